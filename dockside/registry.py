@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from dockside.config import SlaConfig
-from dockside.operators import alerts, dwell, otif, sequences
+from dockside.operators import alerts, dashboard, dwell, measures, otif, sequences
 from dockside.plans.model import FulfilmentModel
 from dockside.sources.sample_mart import load_mart
 
@@ -88,4 +88,104 @@ VIEWS: dict[str, Query] = {
     "v21_top_failing_vendors": _q(lambda m: otif.top_failing_vendors(m.line_level)),
 }
 
-QUERIES: dict[str, Query] = {**VIEWS}
+
+
+def _m(name: str, *by: str) -> Query:
+    return _q(lambda m: measures.measure(m.tables, name, list(by), cfg=m.cfg))
+
+
+def _targets(m: FulfilmentModel) -> DataFrame:
+    strategic = m.tables.vendors.where(F.col("tier") == "strategic")
+    tighter = strategic.select("vendor_code", F.lit(m.cfg.on_time_target / 100).alias("target"))
+    return measures.sla_targets(m.tables, m.cfg, tighter)
+
+
+MEASURES: dict[str, Query] = {
+    "m01_total_delivery_lines": _m("total_delivery_lines", "vendor_code"),
+    "m02_total_orders": _m("total_orders", "vendor_region"),
+    "m02b_total_orders_all": _m("total_orders"),
+    "m03_total_shipments": _m("total_shipments", "carrier_code"),
+    "m04_on_time_count": _m("on_time_count", "vendor_code"),
+    "m05_in_full_count": _m("in_full_count", "vendor_code"),
+    "m06_otif_count": _m("otif_count", "vendor_code"),
+    "m07_otif_share": _m("otif_share", "vendor_code"),
+    "m08_on_time_share": _m("on_time_share", "vendor_code"),
+    "m09_in_full_share": _m("in_full_share", "vendor_code"),
+    "m10_rolling_7d_otif": _m("rolling_7d_otif", "vendor_code"),
+    "m10b_rolling_7d_otif_all": _m("rolling_7d_otif"),
+    "m11_rolling_30d_otif": _m("rolling_30d_otif", "vendor_code"),
+    "m12_current_failure_streak": _m("current_failure_streak", "vendor_code"),
+    "m12b_true_streak": _q(lambda m: measures.vendor_streak(m.line_level)),
+    "m13_max_consecutive_failures": _m("max_consecutive_failures"),
+    "m14_open_backorder_cost": _m("open_backorder_cost", "vendor_code"),
+    "m14b_open_backorder_cost_all": _m("open_backorder_cost"),
+    "m15_open_backorder_count": _m("open_backorder_count", "vendor_code"),
+    "m16_rolling_7d_backorder_cost": _m("rolling_7d_backorder_cost", "vendor_code"),
+    "m17_backorder_to_revenue": _m("backorder_to_revenue", "vendor_code"),
+    "m17b_backorder_to_revenue_all": _m("backorder_to_revenue"),
+    "m18_avg_order_to_ship_days": _m("avg_order_to_ship_days", "carrier_code"),
+    "m19_avg_ship_to_delivery_days": _m("avg_ship_to_delivery_days", "carrier_code"),
+    "m20_avg_total_lead_time_days": _m("avg_total_lead_time_days", "carrier_code"),
+    "m21_sla_target": _q(_targets),
+    "m22_sla_breached": _m("sla_breached", "vendor_code"),
+    "m23_sla_gap": _m("sla_gap", "vendor_code"),
+    "m24_vendor_compliance_score": _m("vendor_compliance_score", "vendor_code"),
+    "m25_vendor_sla_status": _m("vendor_sla_status", "vendor_code"),
+    "m26_carrier_on_time_share": _m("carrier_on_time_share", "carrier_code"),
+    "m27_otif_trend": _m("otif_trend", "vendor_code"),
+    "m28_otif_trend_direction": _m("otif_trend_direction", "vendor_code"),
+}
+
+
+def _calendar(m: FulfilmentModel) -> DataFrame:
+    shipped = m.tables.shipments.groupBy(F.col("actual_delivery_date").alias("day")).agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    return dashboard.delivery_calendar(m.tables).join(shipped, "day", "left").select(
+        "day", "year", "month", "week_start", "is_weekend", F.coalesce("n", F.lit(0)).alias("shipments")
+    )
+
+
+def _sliced(m: FulfilmentModel) -> DataFrame:
+    last = m.anchor
+    window = (otif.days_back(last, m.cfg.lookback_days), last)
+    slicers = {"actual_delivery_date": window, "carrier_mode": ["truck", "air"], "vendor_region": None}
+    return dashboard.sliced_kpis(m.tables, slicers, m.cfg)
+
+
+def _by_status(m: FulfilmentModel) -> DataFrame:
+    return measures.measure(
+        m.tables, "total_delivery_lines", ["vendor_code"],
+        {"sla_status": ["AT_RISK", "CRITICAL"]}, cfg=m.cfg,
+    )
+
+
+DASHBOARD: dict[str, Query] = {
+    "d01_kpi_row": _q(lambda m: dashboard.kpi_row(m.tables, m.anchor, m.cfg)),
+    "d02_colour_bands": _q(lambda m: dashboard.colour_bands(m.tables, m.cfg)),
+    "d03_daily_deliveries": _q(lambda m: dashboard.daily_deliveries(m.tables, m.anchor, m.cfg)),
+    "d04_vendor_week_heatmap": _q(lambda m: dashboard.vendor_week_heatmap(m.tables, m.anchor, m.cfg)),
+    "d05_vendor_gauge": _q(lambda m: dashboard.vendor_gauge(m.tables, "V00003", m.cfg)),
+    "d06_backorder_treemap": _q(lambda m: dashboard.backorder_treemap(m.tables)),
+    "d07_vendor_table": _q(lambda m: dashboard.vendor_table(m.tables, m.cfg)),
+    "d08_carrier_table": _q(lambda m: dashboard.carrier_table(m.tables, m.cfg)),
+    "d09_region_rolling": _q(lambda m: dashboard.region_rolling(m.tables, m.cfg)),
+    "d10_active_alerts_by_severity": _q(
+        lambda m: dashboard.active_alerts_by_severity(_summary(m), m.anchor)
+    ),
+    "d11_sliced_kpis": _q(_sliced),
+    "d11b_sliced_by_status": _q(_by_status),
+    "d12_vendor_profile": _q(lambda m: dashboard.vendor_profile(m.vendor_hierarchy)),
+    "d13_recent_deliveries": _q(lambda m: dashboard.recent_deliveries(m.line_level)),
+    "d14_otif_trend": _q(lambda m: dashboard.otif_trend(m.line_level, m.anchor, m.cfg)),
+    "d15_failure_breakdown": _q(lambda m: dashboard.failure_breakdown(m.line_level)),
+    "d16_failure_history": _q(
+        lambda m: m.consecutive_failures.where(F.col("failure_streak_label") != "SINGLE FAILURE")
+    ),
+    "d17_open_backorders": _q(lambda m: dashboard.open_backorders(m.tables)),
+    "d18_cumulative_backorder_cost": _q(lambda m: dashboard.cumulative_backorder_cost(m.tables)),
+    "d19_days_open": _q(lambda m: dashboard.days_open(m.tables, m.anchor)),
+    "d20_date_dimension": _q(_calendar),
+}
+
+QUERIES: dict[str, Query] = {**VIEWS, **MEASURES, **DASHBOARD}

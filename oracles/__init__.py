@@ -1,5 +1,6 @@
 """Independent SQL statements of the registered queries."""
 
+from oracles.measures import DASHBOARD, MEASURES
 from oracles.views import VIEWS
 
-ORACLES = {**VIEWS}
+ORACLES = {**VIEWS, **MEASURES, **DASHBOARD}
