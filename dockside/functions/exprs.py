@@ -62,7 +62,7 @@ def all_of(conditions: list[Column]) -> Column:
     return reduce(and_, conditions, F.lit(True))
 
 
-def banded(bands: list[tuple[Column, str]], otherwise: str) -> Column:
+def banded(bands: list[tuple[Column, object]], otherwise) -> Column:
     """First matching label of an ordered list of (condition, label)."""
     out = None
     for condition, label in bands:

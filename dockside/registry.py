@@ -7,9 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from dockside.config import SlaConfig
-from dockside.operators import alerts, dashboard, dwell, measures, otif, sequences
+from dockside.operators import (
+    alerts, cooldown, dashboard, dwell, erp, measures, otif, quality, routing, security, sequences,
+)
 from dockside.plans.model import FulfilmentModel
-from dockside.sources.sample_mart import load_mart
+from dockside.plans.staging import fresh_path
+from dockside.sources import readers, sample_events, snapshots
+from dockside.sources.sample_erp import load_erp
+from dockside.sources.sample_mart import event_acks, event_alerts, load_mart
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -188,4 +193,287 @@ DASHBOARD: dict[str, Query] = {
     "d20_date_dimension": _q(_calendar),
 }
 
-QUERIES: dict[str, Query] = {**VIEWS, **MEASURES, **DASHBOARD}
+
+def _e(build: Callable[[dict[str, DataFrame]], DataFrame]) -> Query:
+    return lambda spark, sf_dir: plain(build(load_erp(spark, sf_dir)))
+
+
+def _erp_line_level(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = erp.bundle(load_erp(spark, sf_dir), load_mart(spark, sf_dir))
+    return plain(otif.line_level(t).select(
+        "shipment_number", "order_number", "line_number", "requested_date", "actual_delivery_date",
+        "ordered_qty", "delivered_qty", "is_on_time", "is_in_full", "is_otif", "backorder_value",
+    ))
+
+
+ERP: dict[str, Query] = {
+    "e01_sap_customers": _e(lambda d: erp.customers(d["kna1"])),
+    "e02_sap_vendors": _e(lambda d: erp.vendors(d["lfa1"])),
+    "e03_sap_products": _e(lambda d: erp.products(d["mara"])),
+    "e04_sap_orders": _e(lambda d: erp.orders(d["vbak"], d["vbep"])),
+    "e05_sap_order_lines": _e(lambda d: erp.order_lines(d["vbap"], d["vbep"], priced=True)),
+    "e06_sap_shipments": _e(lambda d: erp.shipments(d["likp"], d["vbfa"])),
+    "e07_sap_delivery_lines": _e(lambda d: erp.delivery_lines(d["lips"], d["vbfa"])),
+    "e08_line_level_on_erp": _erp_line_level,
+}
+
+ROLE, REGION = "regional_manager", "ASIA"
+
+
+def _secured(*grants: tuple[str, str | None], derived: bool = False):
+    return lambda m: security.secure_tables(m.tables, list(grants), derived=derived)
+
+
+def _seen(*grants: tuple[str, str | None]) -> Query:
+    return _q(lambda m: readers.row_counts(_secured(*grants)(m)))
+
+
+def _visible(table: str) -> Query:
+    return _q(lambda m: getattr(_secured((ROLE, REGION))(m), table))
+
+
+def _regional_vendors(m: FulfilmentModel) -> DataFrame:
+    ll = otif.line_level(_secured((ROLE, REGION), derived=True)(m), m.cfg)
+    return ll.groupBy("vendor_code").agg(
+        F.count(F.lit(1)).alias("lines"), F.sum("is_otif").alias("otif_lines")
+    )
+
+
+SECURITY: dict[str, Query] = {
+    "r01_region_unset": _seen((ROLE, "")),
+    "r02a_region_customers": _visible("customers"),
+    "r02b_region_vendors": _q(
+        lambda m: _secured((ROLE, REGION))(m).vendors.select("vendor_code", "vendor_name", "region", "tier")
+    ),
+    "r02c_region_alert_history": _q(
+        lambda m: _secured((ROLE, REGION))(m).alert_history.select(
+            "alert_history_id", "alert_type", "entity", "region", "severity"
+        )
+    ),
+    "r03_region_orders": _visible("orders"),
+    "r04_region_order_lines": _q(
+        lambda m: _secured((ROLE, REGION))(m).order_lines.select("order_number", "line_number", "sku", "ordered_qty")
+    ),
+    "r05_region_shipments": _q(
+        lambda m: _secured((ROLE, REGION))(m).shipments.select("shipment_number", "vendor_code", "vendor_region")
+    ),
+    "r06_reporting_user": _seen(("reporting_user", None)),
+    "r07_auditor": _seen(("auditor", None)),
+    "r08_default_deny": _seen((ROLE, REGION)),
+    "r09_combined_grants": _seen((ROLE, REGION), (ROLE, "AFRICA"), ("auditor", None), ("stranger", "ASIA")),
+    "r10_regional_line_level": _q(_regional_vendors),
+}
+
+
+def _keys(m: FulfilmentModel) -> DataFrame:
+    shared = FulfilmentModel(m.tables, m.cfg, shared=True)
+    return quality.snapshot_key_violations({n: getattr(shared, n) for n in quality.SNAPSHOT_KEYS})
+
+
+QUALITY: dict[str, Query] = {
+    "q01_snapshot_keys": _q(_keys),
+    "q02_natural_keys": _q(lambda m: quality.natural_key_violations(m.tables)),
+    "q03_orphans": _q(lambda m: quality.orphans(m.tables)),
+    "q04_ambiguous_masters": _q(lambda m: quality.ambiguous_masters(m.tables)),
+    "q05_in_full_asymmetry": _q(lambda m: quality.in_full_asymmetry(m.line_level)),
+}
+
+
+def _erp_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = fresh_path(spark, "erp-files")
+    for name, df in load_erp(spark, sf_dir).items():
+        df.write.parquet(f"{folder}/{name}")
+    read = readers.read_erp(spark, folder)
+    out = None
+    for name, df in read.items():
+        one = df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table_name"), "rows")
+        out = one if out is None else out.unionByName(one)
+    return plain(out)
+
+
+def _reload(m: FulfilmentModel) -> DataFrame:
+    folder = fresh_path(m.tables.spark, "reload")
+    for _ in range(2):
+        readers.write_tables(m.tables, folder)
+    return readers.row_counts(readers.read_tables(m.tables.spark, folder))
+
+
+def _csv(m: FulfilmentModel) -> DataFrame:
+    folder = fresh_path(m.tables.spark, "csv")
+    readers.write_csv(m.tables, folder)
+    lines = readers.read_table(m.tables.spark, "delivery_lines", f"{folder}/delivery_lines", "csv")
+    return lines
+
+
+def _absent(m: FulfilmentModel) -> DataFrame:
+    bare = m.tables.delivery_lines.drop("damage_qty", "delivery_line_id")
+    vendors = readers.with_defaults(m.tables.vendors.drop("country", "tier"), "vendors").select(
+        F.lit("vendors").alias("table_name"), F.concat_ws("/", "country", "tier").alias("filled")
+    )
+    lines = readers.with_defaults(bare, "delivery_lines").select(
+        F.lit("delivery_lines").alias("table_name"), F.col("damage_qty").cast("int").cast("string").alias("filled")
+    )
+    return vendors.unionByName(lines).groupBy("table_name", "filled").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def _snapshot(m: FulfilmentModel) -> DataFrame:
+    root = fresh_path(m.tables.spark, "snapshots")
+    snapshots.publish(m.rolling_7d, root, "rolling_7d", quality.SNAPSHOT_KEYS["rolling_7d"])
+    return snapshots.current(m.tables.spark, root, "rolling_7d")
+
+
+def _refresh(m: FulfilmentModel) -> DataFrame:
+    spark = m.tables.spark
+    root = fresh_path(spark, "refresh")
+    report = snapshots.refresh_all(FulfilmentModel(m.tables, m.cfg, shared=True), root)
+    out = None
+    for done in report:
+        one = snapshots.current(spark, root, done.snapshot).agg(F.count(F.lit(1)).alias("rows")).select(
+            F.lit(done.snapshot).alias("snapshot"), F.lit(done.ok).alias("ok"), "rows"
+        )
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def _extract(m: FulfilmentModel) -> DataFrame:
+    snapshots.register_extract(m, "bi_")
+    return m.tables.spark.sql(
+        """SELECT g.carrier_mode, sum(g.total_lines) AS total_lines, max(c.customers) AS customers
+           FROM bi_v_geographic g JOIN (SELECT count(*) AS customers FROM bi_customers) c ON c.customers > 0
+           GROUP BY g.carrier_mode"""
+    )
+
+
+SOURCES: dict[str, Query] = {
+    "s01_typed_tables": _q(lambda m: m.tables.orders),
+    "s02_typed_erp_tables": _erp_files,
+    "s03_absent_column_defaults": _q(_absent),
+    "s04_csv_round_trip": _q(_csv),
+    "s06_surrogate_keys": _q(
+        lambda m: readers.with_surrogate_key(m.tables.shipments, "shipments").select("shipment_id", "shipment_number")
+    ),
+    "s07_reload": _q(_reload),
+    "s08_snapshot": _q(_snapshot),
+    "s10_refresh_all": _q(_refresh),
+    "s11_row_counts": _q(lambda m: readers.row_counts(m.tables)),
+    "s12_bi_extract": _q(_extract),
+}
+
+
+def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/events.parquet")
+
+
+def _a(build: Callable[[DataFrame], DataFrame]) -> Query:
+    """A query over the event table's alerts and messages."""
+    return lambda spark, sf_dir: plain(build(_events(spark, sf_dir)))
+
+
+def _payload(m: FulfilmentModel) -> DataFrame:
+    made = routing.payload(routing.active_alerts(_summary(m)))
+    return made.select(F.from_json("payload", routing.PAYLOAD_SCHEMA).alias("p")).select(
+        "p.EventContext.AlertType", "p.EventContext.Severity", "p.EventContext.TriggerTime",
+        "p.Payload.EntityID", "p.Payload.MetricValue", "p.Payload.Threshold", "p.Payload.Gap", "p.Payload.Message",
+    )
+
+
+def _audit(m: FulfilmentModel) -> DataFrame:
+    rows = routing.audit_rows(
+        routing.active_alerts(_summary(m)), m.tables.alert_history, vendors=m.tables.vendors
+    )
+    return rows.select(
+        "alert_history_id", "alert_type", "entity", "region", "severity", "metric_value",
+        "threshold_value", "alert_description", "channels", "acknowledged", "escalated",
+    )
+
+
+def _severities(e: DataFrame) -> DataFrame:
+    valid, _ = routing.split_events(sample_events.message_bodies(e))
+    metric, limit, way = F.col("metricValue"), F.col("threshold"), F.col("direction")
+    return valid.select(
+        "event_id", metric.alias("metric_value"),
+        routing.absolute_severity(metric).alias("absolute"),
+        routing.relative_severity(metric, limit).alias("relative"),
+        routing.relative_severity(metric, limit, way).alias("directed"),
+    )
+
+
+def _verdicts(e: DataFrame) -> DataFrame:
+    return routing.parse_events(sample_events.message_bodies(e)).select(
+        "event_id", "is_valid", F.when(F.col("is_valid"), F.col("event.metricValue")).alias("metric_value")
+    )
+
+
+def _acknowledged(m: FulfilmentModel) -> DataFrame:
+    done = routing.acknowledge(m.tables.alert_history, sample_events.alert_acks(m.tables.alert_history))
+    return done.select(
+        "alert_history_id", "entity", "acknowledged", "acknowledged_by", "acknowledged_at", "escalated"
+    )
+
+
+def _ids(df: DataFrame) -> DataFrame:
+    return df.select("alert_id", "alert_type", "entity", "severity", "ts")
+
+
+def _messages(e: DataFrame) -> DataFrame:
+    valid, _ = routing.split_events(sample_events.message_bodies(e))
+    return routing.message_fields(valid).select(
+        "event_id", "title", "metric", "threshold_text", "direction_text", "dashboard", "card", "severity"
+    )
+
+
+ALERTING: dict[str, Query] = {
+    "a01_active_alerts": _q(lambda m: routing.active_alerts(_summary(m))),
+    "a01b_active_with_exceeded": _q(
+        lambda m: routing.active_alerts(_summary(m), include_exceeded=True)
+        .groupBy("alert_type", "alert_severity").agg(F.count(F.lit(1)).alias("alerts"))
+    ),
+    "a02_channels": _q(
+        lambda m: routing.sends(routing.active_alerts(_summary(m)))
+        .groupBy("alert_severity", "channel").agg(F.count(F.lit(1)).alias("sends"))
+    ),
+    "a03_payload": _q(_payload),
+    "a04_audit_append": _q(_audit),
+    "a05_a06_event_severity": _a(_severities),
+    "a07_event_validation": _a(_verdicts),
+    "a07b_event_dialects": _a(
+        lambda e: routing.normalise_events(sample_events.flow_bodies(e)).select(
+            "event_id", "metric_value", "threshold", "direction", "severity", "vendor_code", "region"
+        )
+    ),
+    "a08_acknowledgment": _q(_acknowledged),
+    "a09_escalation": _a(
+        lambda e: routing.unacknowledged(event_alerts(e), event_acks(e)).select(
+            "alert_id", "entity", "ts", "escalate_at"
+        )
+    ),
+    "a10_repeated_critical": _a(lambda e: _ids(routing.repeated_critical(event_alerts(e)))),
+    "a10b_repeated_critical_all": _a(
+        lambda e: _ids(routing.repeated_critical(event_alerts(e), scope=[]))
+    ),
+    "a11_cooldown": _a(lambda e: _ids(cooldown.throttle(event_alerts(e)))),
+    # The same chain found by joins alone, as for a key too large for one task.
+    "a11b_cooldown_by_joins": _a(
+        lambda e: _ids(cooldown.throttle(event_alerts(e), SlaConfig(max_group_rows=0)))
+    ),
+    "a12_quiet_hours": _a(
+        lambda e: _ids(routing.quiet_hours(event_alerts(e), sample_events.holidays(e)))
+    ),
+    "a13_measure_alerts": _q(lambda m: routing.measure_alerts(m.tables, m.cfg)),
+    "a14_trend_warning": _q(lambda m: routing.trend_warnings(m.tables, m.cfg)),
+    "a14b_trend_warning_wide": _q(
+        lambda m: routing.trend_warnings(m.tables, m.cfg.but(otif_target=70.0, trend_decline=0.01))
+    ),
+    "a15_dwell_outliers": _q(lambda m: dwell.dwell_outliers(m.dwell_time_trends, m.cfg)),
+    "a15b_dwell_outliers_tight": _q(
+        lambda m: dwell.dwell_outliers(
+            m.dwell_time_trends,
+            m.cfg.but(dwell_order_to_ship_days=4.4, dwell_ship_to_delivery_days=1.8, dwell_total_days=6.3),
+        )
+    ),
+    "a16_message_fields": _a(_messages),
+}
+
+QUERIES: dict[str, Query] = {
+    **VIEWS, **MEASURES, **DASHBOARD, **ERP, **SECURITY, **QUALITY, **SOURCES, **ALERTING,
+}
