@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -15,6 +16,7 @@ from dockside.plans.staging import fresh_path
 from dockside.sources import readers, sample_events, snapshots
 from dockside.sources.sample_erp import load_erp
 from dockside.sources.sample_mart import event_acks, event_alerts, load_mart
+from dockside.streaming import alerts as stream_alerts, kpis, runner
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -474,6 +476,106 @@ ALERTING: dict[str, Query] = {
     "a16_message_fields": _a(_messages),
 }
 
+
+def _arrivals(m: FulfilmentModel) -> DataFrame:
+    """Delivery lines arriving as files, flagged against the tables at rest."""
+    spark = m.tables.spark
+    arriving = runner.file_stream(spark, m.tables.delivery_lines, "arrivals")
+    return kpis.line_level_stream(arriving, m.tables, m.cfg)
+
+
+def _refreshed(m: FulfilmentModel) -> DataFrame:
+    spark = m.tables.spark
+    root, checkpoint = fresh_path(spark, "refresh-root"), fresh_path(spark, "refresh-checkpoint")
+    arriving = runner.file_stream(spark, m.tables.shipments.select("shipment_id"), "refresh-arrivals")
+    kpis.refresh_on_arrival(arriving, m.tables, root, checkpoint, m.cfg, once=True)
+    return snapshots.current(spark, root, "carrier_scorecard")
+
+
+def _line_stream(m: FulfilmentModel) -> DataFrame:
+    return runner.replay(_arrivals(m), "line-stream").select(
+        "shipment_number", "line_number", "vendor_code", "is_on_time", "is_in_full", "is_otif"
+    )
+
+
+def _event_streams(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Alerts and acks as streams, each closed by one far later row that flushes the watermark."""
+    e = _events(spark, sf_dir)
+
+    def closed(df: DataFrame, ts: str, key: str) -> DataFrame:
+        last = df.groupBy().agg(
+            *[F.max_by(c, ts).alias(c) for c in df.columns if c not in (ts, key)],
+            F.timestamp_add("DAY", F.lit(9), F.max(ts)).alias(ts),
+        ).withColumn(key, F.lit(-1).cast("long"))
+        return df.unionByName(last)
+
+    fired = closed(event_alerts(e).withColumn("ts", F.col("ts").cast("timestamp")), "ts", "alert_id")
+    # Filters move in front of the watermark, so the closing alert must pass them too.
+    closing = F.when(F.col("alert_id") < 0, "CRITICAL").otherwise(F.col("severity"))
+    fired = fired.withColumn("severity", closing)
+    acked = closed(event_acks(e).withColumn("ack_ts", F.col("ack_ts").cast("timestamp")), "ack_ts", "ack_id")
+    return runner.file_stream(spark, fired, "alerts"), runner.file_stream(spark, acked, "acks")
+
+
+def _throttled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fired, _ = _event_streams(spark, sf_dir)
+    out = runner.replay(stream_alerts.throttle_stream(fired.where(F.col("alert_id") >= 0)), "throttle")
+    return plain(out.select("alert_id", "alert_type", "entity", "severity"))
+
+
+def _escalated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = runner.replay(stream_alerts.escalations(*_event_streams(spark, sf_dir)), "escalations")
+    return plain(out.where(F.col("alert_id") >= 0).select("alert_id", "entity"))
+
+
+def _repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fired, _ = _event_streams(spark, sf_dir)
+    windows = stream_alerts.repeated_critical(fired.where(F.col("alert_id") >= 0))
+    return plain(runner.replay(windows, "repeated", "complete"))
+
+
+def _fanned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fired, _ = _event_streams(spark, sf_dir)
+    out, checkpoint = fresh_path(spark, "fan-out"), fresh_path(spark, "fan-out-checkpoint")
+
+    def writer(batch: DataFrame, _: int) -> None:
+        batch.write.mode("append").parquet(out)
+
+    def unplugged(batch: DataFrame, _: int) -> None:
+        raise ConnectionError("channel is down")
+
+    send = stream_alerts.fan_out({"Teams": writer, "Email": writer, "Slack": unplugged}, fallback=writer)
+    runner.every(fired.where(F.col("alert_id") >= 0), send, checkpoint, once=True)
+    sent = spark.read.parquet(out)
+    return plain(sent.groupBy("channel", "severity").agg(F.count(F.lit(1)).alias("sends")))
+
+
+def _corrected(m: FulfilmentModel) -> DataFrame:
+    """Rows of the first delivery year arriving after the rest, then their days recomputed."""
+    ll = m.line_level.select("vendor_code", "actual_delivery_date", "is_otif")
+    first = F.lit("1996-01-01").cast("date")
+    old = ll.where(F.col("actual_delivery_date") < first)
+    accepted = ll.where(F.col("actual_delivery_date") >= first)
+    _, late = kpis.split_late(old, accepted, ts="actual_delivery_date", delay=dt.timedelta(days=2))
+    return kpis.recompute_days(ll, late)
+
+
+STREAMING: dict[str, Query] = {
+    "t01_refresh_on_arrival": _q(_refreshed),
+    "t02_line_level_stream": _q(_line_stream),
+    "t03_daily_kpis": _q(lambda m: runner.replay(kpis.daily_kpis(_arrivals(m)), "daily", "complete")),
+    "t03b_sliding_kpis": _q(lambda m: runner.replay(kpis.sliding_kpis(_arrivals(m)), "sliding", "complete")),
+    "t04_failure_streaks": _q(lambda m: runner.replay(kpis.failure_streaks(_arrivals(m)), "streaks")),
+    "t05_cooldown": _throttled,
+    "t06_escalation": _escalated,
+    "t07_repeated_critical": _repeated,
+    "t08_threshold_alerts": _q(
+        lambda m: runner.replay(kpis.threshold_alerts(kpis.sliding_kpis(_arrivals(m)), m.cfg), "breaches", "complete")
+    ),
+    "t09_channel_fan_out": _fanned,
+    "t10_late_corrections": _q(_corrected),
+}
+
 QUERIES: dict[str, Query] = {
-    **VIEWS, **MEASURES, **DASHBOARD, **ERP, **SECURITY, **QUALITY, **SOURCES, **ALERTING,
+    **VIEWS, **MEASURES, **DASHBOARD, **ERP, **SECURITY, **QUALITY, **SOURCES, **ALERTING, **STREAMING,
 }
