@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from dockside.config import SlaConfig
 from dockside.plans.ordered import ordered_columns
@@ -89,30 +89,44 @@ def vendor_backorder_totals(t: Tables) -> DataFrame:
     )
 
 
-def open_backorder_cost(t: Tables) -> DataFrame:
-    """Open backorders with unit price and cost, one row each (price by order line)."""
-    return _priced(t, t.backorders.where(F.col("status") == "open"))
+def open_backorders(t: Tables) -> DataFrame:
+    """Open backorders with sku, unit price and cost, one row each (price by order line)."""
+    return _priced(t, t.backorders.where(F.col("status") == "open"), "backorder_qty")
 
 
-def _priced(t: Tables, backorders: DataFrame) -> DataFrame:
-    sku = t.order_lines.groupBy(*_LINE).agg(F.min("sku").alias("sku"))
+def open_cost_by_line(t: Tables, recent: Column | None = None) -> DataFrame:
+    """Open quantity, cost and count per order line.
+
+    Quantities are summed before the price look-up, so an order line with very
+    many backorders reaches the joins as one row.  ``recent`` marks backorders
+    that also count towards ``cost_recent``.
+    """
+    marked = F.lit(False) if recent is None else recent
+    per_line = t.backorders.where(F.col("status") == "open").groupBy(*_LINE).agg(
+        F.sum("backorder_qty").alias("qty"),
+        F.sum(F.when(marked, F.col("backorder_qty")).otherwise(F.lit(0))).alias("qty_recent"),
+        F.count(F.lit(1)).alias("backorders"),
+    )
+    price = F.coalesce("unit_price", F.lit(0))
+    return _priced(t, per_line, "qty").withColumn("cost_recent", F.col("qty_recent") * price)
+
+
+def _priced(t: Tables, rows: DataFrame, quantity: str) -> DataFrame:
+    # An order line is unique, so the look-ups add no rows.
     return (
-        backorders.join(sku, _LINE, "left")
+        rows.join(t.order_lines.select(*_LINE, "sku"), _LINE, "left")
         .join(t.products.select("sku", "unit_price"), "sku", "left")
-        .withColumn(
-            "cost", F.coalesce(F.col("backorder_qty") * F.col("unit_price"), F.lit(0))
-        )
+        .withColumn("cost", F.coalesce(F.col(quantity) * F.col("unit_price"), F.lit(0)))
+    )
+
+
+def line_shipments(t: Tables) -> DataFrame:
+    """Delivery lines with the vendor side of their shipment."""
+    return t.delivery_lines.select("shipment_number", *_LINE).join(
+        t.shipments.select("shipment_number", "vendor_code", "vendor_region"), "shipment_number"
     )
 
 
 def line_vendors(t: Tables) -> DataFrame:
     """The vendors that shipped an order line, one row per (line, vendor)."""
-    return (
-        t.delivery_lines.select("shipment_number", *_LINE)
-        .join(
-            t.shipments.select("shipment_number", "vendor_code", "vendor_region", "carrier_code"),
-            "shipment_number",
-        )
-        .select(*_LINE, "vendor_code", "vendor_region")
-        .distinct()
-    )
+    return line_shipments(t).select(*_LINE, "vendor_code", "vendor_region").distinct()

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from dockside.config import SlaConfig
 from dockside.functions.exprs import at_least, banded, below, days, divide, pct2, week_of
 from dockside.operators import measures as m
-from dockside.operators.backorders import line_vendors, open_backorder_cost
+from dockside.operators.backorders import open_backorders
 from dockside.operators.measures import Slice
 from dockside.operators.sequences import failure_reason
 from dockside.tables import Tables
@@ -244,17 +244,25 @@ def failure_breakdown(ll: DataFrame) -> DataFrame:
     )
 
 
-def open_backorders(t: Tables) -> DataFrame:
+def open_backorder_list(t: Tables) -> DataFrame:
     """Open backorders with every vendor that shipped the line."""
-    who = line_vendors(t).select("order_number", "line_number", "vendor_code")
-    return open_backorder_cost(t).join(who, ["order_number", "line_number"], "left").select(
-        "backorder_id", "vendor_code", "sku", "backorder_qty", "cost", "estimated_fill_date"
+    line = ["order_number", "line_number"]
+    listed = open_backorders(t).select(
+        "backorder_id", *line, "sku", "backorder_qty", "cost", "estimated_fill_date"
+    )
+    shipped = t.delivery_lines.select("shipment_number", *line)
+    vendors = t.shipments.select("shipment_number", "vendor_code")
+    return (
+        listed.join(shipped, line, "left")
+        .join(vendors, "shipment_number", "left")
+        .select("backorder_id", "vendor_code", "sku", "backorder_qty", "cost", "estimated_fill_date")
+        .distinct()
     )
 
 
 def cumulative_backorder_cost(t: Tables) -> DataFrame:
     """Open cost per day and its running total (one row per day, so one small window)."""
-    daily = open_backorder_cost(t).groupBy(F.to_date("created_at").alias("day")).agg(
+    daily = open_backorders(t).groupBy(F.to_date("created_at").alias("day")).agg(
         F.sum("cost").alias("cost")
     )
     upto = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, Window.currentRow)

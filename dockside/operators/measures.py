@@ -15,8 +15,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from dockside.config import SlaConfig
 from dockside.functions.exprs import at_least, banded, days, divide, flag
-from dockside.operators.backorders import line_vendors, open_backorder_cost
+from dockside.operators.backorders import line_vendors, open_cost_by_line
 from dockside.plans.ordered import same_keys
+from dockside.plans.staging import stage
 from dockside.tables import Tables
 
 SLICES = [
@@ -60,21 +61,22 @@ def sliced_shipments(t: Tables, s: Slice) -> DataFrame:
 def flagged_lines(t: Tables, s: Slice, cfg: SlaConfig) -> DataFrame:
     """Delivery lines with slice columns and 0/1 flags; blanks count as zero.
 
-    Every delivery line stays in the row count; the look-ups are left joins
-    unless a slicer narrows the shipments.
+    Every delivery line stays in the row count: the look-ups are left joins,
+    and an order is looked up once per shipment.  A slicer makes the shipments
+    an inner join that goes first.
     """
-    shipments = sliced_shipments(t, s).select("shipment_number", *SLICES)
-    narrowed = any(c in t.shipments.columns for c in s.filters)
-    due = t.orders.select("order_number", "requested_delivery_date")
-    ordered = t.order_lines.select("order_number", "line_number", "ordered_qty")
-    lines = (
-        t.delivery_lines.select(
-            "shipment_number", "order_number", "line_number", "delivered_qty", "damage_qty"
-        )
-        .join(ordered, ["order_number", "line_number"], "left")
-        .join(shipments, "shipment_number", "inner" if narrowed else "left")
-        .join(due, "order_number", "left")
+    headers = sliced_shipments(t, s).select("shipment_number", "order_number", *SLICES).join(
+        t.orders.select("order_number", "requested_delivery_date"), "order_number", "left"
+    ).drop("order_number")
+    delivered = t.delivery_lines.select(
+        "shipment_number", "order_number", "line_number", "delivered_qty", "damage_qty"
     )
+    ordered = t.order_lines.select("order_number", "line_number", "ordered_qty")
+    line = ["order_number", "line_number"]
+    if any(c in t.shipments.columns for c in s.filters):
+        lines = delivered.join(headers, "shipment_number").join(ordered, line, "left")
+    else:
+        lines = delivered.join(ordered, line, "left").join(headers, "shipment_number", "left")
     came, want = F.col("actual_delivery_date"), F.col("requested_delivery_date")
     zero = lambda c: F.coalesce(F.col(c), F.lit(0))
     on_time = (
@@ -166,6 +168,8 @@ def vendor_streak(ll: DataFrame) -> DataFrame:
     last_good = (
         ll.where(F.col("is_otif") == 1).groupBy("vendor_code").agg(F.max(place).alias("last_good"))
     )
+    # Staged, so that the join reads two plain exchanges and a hot vendor can be split.
+    last_good = stage(last_good, "last-good")
     open_run = F.col("last_good").isNull() | (place > F.col("last_good"))
     return (
         ll.select("vendor_code", "actual_delivery_date", "shipment_number", "line_number")
@@ -178,18 +182,18 @@ def vendor_streak(ll: DataFrame) -> DataFrame:
 def backorder_sums(t: Tables, s: Slice) -> DataFrame:
     """Open cost, open count and the cost of the last seven days, per slice."""
     newest = t.backorders.agg(F.max("created_at")).first()[0]
-    opened = open_backorder_cost(t)
+    recent = None
+    if newest is not None:
+        recent = F.col("created_at") >= F.lit(newest - dt.timedelta(days=6))
+    lines = open_cost_by_line(t, recent)
     if s.by or s.filters:
         who = slicer(line_vendors(t), s.filters)
         keys = list(dict.fromkeys(["order_number", "line_number", *s.by]))
-        opened = opened.join(who.select(*keys).distinct(), ["order_number", "line_number"])
-    recent = F.lit(False)
-    if newest is not None:
-        recent = F.col("created_at") >= F.lit(newest - dt.timedelta(days=6))
-    return opened.groupBy(*s.by).agg(
+        lines = lines.join(who.select(*keys).distinct(), ["order_number", "line_number"])
+    return lines.groupBy(*s.by).agg(
         F.coalesce(F.sum("cost"), F.lit(0)).alias("open_cost"),
-        F.count(F.lit(1)).alias("open_count"),
-        F.coalesce(F.sum(F.when(recent, F.col("cost"))), F.lit(0)).alias("cost_7d"),
+        F.coalesce(F.sum("backorders"), F.lit(0)).alias("open_count"),
+        F.coalesce(F.sum("cost_recent"), F.lit(0)).alias("cost_7d"),
     )
 
 

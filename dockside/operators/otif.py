@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from dockside.config import SlaConfig
 from dockside.functions.exprs import at_least, flag, pct, pct2, round_to, week_of
@@ -18,9 +18,12 @@ def line_level(
 ) -> DataFrame:
     """One row per delivered line with its on-time, in-full and combined flags.
 
-    The joins are bushy: headers (shipment with order) meet lines (delivery
-    with order line).  Each of the three joins reads two fresh exchanges, so
-    adaptive execution can split a hot order, line or shipment in any of them.
+    The whole history is joined in a bushy shape: headers (shipment with
+    order) meet lines (delivery with order line), so the wide header columns
+    travel once per shipment.  With ``since`` the few recent headers go first
+    and cut the delivery lines before order lines are looked up.  Either way
+    every join reads two fresh exchanges, so adaptive execution can split a
+    hot order, line or shipment.
 
     null_damage  'unknown' leaves in-full false when damage is missing (the
                  combined flag still counts it as zero); 'zero' counts it as
@@ -41,15 +44,17 @@ def line_level(
         ),
         "order_number",
     )
-    lines = t.delivery_lines.select(
+    delivered = t.delivery_lines.select(
         "shipment_number", "order_number", "line_number", "delivered_qty", "damage_qty"
-    ).join(
-        t.order_lines.select(
-            "order_number", "line_number", "sku", "category", "ordered_qty", "confirmed_qty", "unit_price"
-        ),
-        ["order_number", "line_number"],
     )
-    rows = headers.join(lines, ["shipment_number", "order_number"])
+    ordered = t.order_lines.select(
+        "order_number", "line_number", "sku", "category", "ordered_qty", "confirmed_qty", "unit_price"
+    )
+    shipment, line = ["shipment_number", "order_number"], ["order_number", "line_number"]
+    if since is None:
+        rows = headers.join(delivered.join(ordered, line), shipment)
+    else:
+        rows = delivered.join(headers, shipment).join(ordered, line)
 
     due, came = F.col("requested_date"), F.col("actual_delivery_date")
     on_time = (came <= due) & (came >= F.date_sub(due, cfg.early_tolerance_days))
@@ -156,6 +161,10 @@ def rolling_active_month(rolling_7d: DataFrame) -> DataFrame:
     )
 
 
+def _whole(x: Column) -> Column:
+    return x.cast("decimal(20,0)")
+
+
 def vendor_hierarchy(
     t: Tables, ll: DataFrame, cfg: SlaConfig = SlaConfig(), *, mode: str = "exact"
 ) -> DataFrame:
@@ -166,49 +175,56 @@ def vendor_hierarchy(
     ``exact`` gives the totals of that join without building it: every branch
     is summed per shipment and weighted by the row counts of the others.
     ``dedupe`` counts each line once.
+
+    Shipments shrink to one row per (order, vendor) before they meet the
+    orders: a hot order then has at most one row per vendor, and orders and
+    shipments are counted without a distinct.
     """
-    order_side = (
-        t.orders.groupBy("order_number").agg(F.count(F.lit(1)).alias("c0"))
-        .join(
-            t.order_lines.groupBy("order_number").agg(
-                F.count(F.lit(1)).alias("c1"), F.sum("ordered_qty").alias("q1")
-            ),
-            "order_number",
-            "left",
-        )
-    )
     delivered = t.delivery_lines.groupBy("shipment_number").agg(
         F.count(F.lit(1)).alias("c2"), F.sum("delivered_qty").alias("q2")
     )
     flagged = ll.groupBy("shipment_id").agg(
         F.count("is_otif").alias("c3"), F.sum("is_otif").alias("passed")
     )
-    per_shipment = (
-        t.shipments.select("shipment_id", "shipment_number", "order_number", "vendor_code")
-        .join(order_side, "order_number", "left")
-        .join(delivered, "shipment_number", "left")
-        .join(flagged, "shipment_id", "left")
-    )
 
     def seen(c):  # rows a branch contributes to the outer join: at least one
         return F.greatest(F.coalesce(F.col(c), F.lit(0)), F.lit(1))
 
+    exact = mode == "exact"
+    one = F.lit(1)
+    pairs = (
+        t.shipments.select("shipment_id", "shipment_number", "order_number", "vendor_code")
+        .join(delivered, "shipment_number", "left")
+        .join(flagged, "shipment_id", "left")
+        .groupBy("order_number", "vendor_code")
+        .agg(
+            F.count("shipment_id").alias("shipments"),
+            F.sum(seen("c2") * seen("c3") if exact else one).alias("w_ordered"),
+            F.sum(F.col("q2") * _whole(seen("c3") if exact else one)).alias("delivered"),
+            F.sum(F.col("passed") * (seen("c2") if exact else one)).alias("passed"),
+            F.sum(F.col("c3") * (seen("c2") if exact else one)).alias("flagged"),
+        )
+    )
+    order_side = (
+        t.orders.groupBy("order_number").agg(F.count(F.lit(1)).alias("c0"))
+        .join(
+            t.order_lines.groupBy("order_number").agg(
+                F.count(F.lit(1)).alias("c1"), F.sum("ordered_qty").alias("q1")
+            ),
+            "order_number",
+            "left",
+        )
+    )
     known = F.col("c0").isNotNull()
-    if mode == "exact":
-        order_rows = F.when(known, F.col("c0") * seen("c1")).otherwise(F.lit(1))
-        w_ordered = F.col("c0") * seen("c2") * seen("c3")
-        w_delivered = order_rows * seen("c3")
-        w_flagged = order_rows * seen("c2")
-    else:
-        w_ordered = w_delivered = w_flagged = F.lit(1)
-    whole = lambda x: x.cast("decimal(20,0)")
-    totals = per_shipment.groupBy("vendor_code").agg(
-        F.sum(F.col("q1") * whole(w_ordered)).alias("ordered"),
-        F.sum(F.col("q2") * whole(w_delivered)).alias("delivered"),
-        F.count_distinct("shipment_id").alias("shipments"),
-        F.count_distinct(F.when(known, F.col("order_number"))).alias("orders"),
-        F.sum(F.col("passed") * w_flagged).alias("passed"),
-        F.sum(F.col("c3") * w_flagged).alias("flagged"),
+    copies = F.when(known, F.col("c0") * seen("c1")).otherwise(one) if exact else one
+    per_order = F.col("c0") * F.col("w_ordered") if exact else F.col("shipments")
+    totals = pairs.join(order_side, "order_number", "left").groupBy("vendor_code").agg(
+        F.sum(F.col("q1") * _whole(per_order)).alias("ordered"),
+        F.sum(F.col("delivered") * _whole(copies)).alias("delivered"),
+        F.sum("shipments").alias("shipments"),
+        F.sum(flag(known)).alias("orders"),
+        F.sum(F.col("passed") * copies).alias("passed"),
+        F.sum(F.col("flagged") * copies).alias("flagged"),
     )
     masters = t.vendors.groupBy(
         "vendor_code", "vendor_name", F.col("region").alias("vendor_region"), "tier"

@@ -11,6 +11,7 @@ from dockside.functions.exprs import banded, below
 from dockside.operators import measures
 from dockside.operators.measures import Slice
 from dockside.plans.ordered import ordered_columns
+from dockside.plans.staging import stage
 from dockside.schemas import ALERT_EVENT, GENERIC
 from dockside.tables import Tables
 
@@ -234,8 +235,12 @@ def unacknowledged(
     nxt = bucketed.select(
         key, (F.col("_bucket") - 1).alias("_bucket"), none.alias("_own"), F.col("_lo").alias("_next")
     )
-    around = own.unionByName(nxt).groupBy(key, "_bucket").agg(
-        F.max("_own").alias("_own"), F.min("_next").alias("_next")
+    # Staged, so that the join reads two plain exchanges and a hot bucket can be split.
+    around = stage(
+        own.unionByName(nxt).groupBy(key, "_bucket").agg(
+            F.max("_own").alias("_own"), F.min("_next").alias("_next")
+        ),
+        "acks-around",
     )
     critical = alerts.where(F.col("severity") == "CRITICAL").withColumn("_ts", _micros("ts")).withColumn(
         "_bucket", F.floor(F.col("_ts") / width)

@@ -189,7 +189,7 @@ DASHBOARD: dict[str, Query] = {
     "d16_failure_history": _q(
         lambda m: m.consecutive_failures.where(F.col("failure_streak_label") != "SINGLE FAILURE")
     ),
-    "d17_open_backorders": _q(lambda m: dashboard.open_backorders(m.tables)),
+    "d17_open_backorders": _q(lambda m: dashboard.open_backorder_list(m.tables)),
     "d18_cumulative_backorder_cost": _q(lambda m: dashboard.cumulative_backorder_cost(m.tables)),
     "d19_days_open": _q(lambda m: dashboard.days_open(m.tables, m.anchor)),
     "d20_date_dimension": _q(_calendar),
