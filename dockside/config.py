@@ -48,3 +48,6 @@ class SlaConfig:
 
     def but(self, **changes) -> "SlaConfig":
         return replace(self, **changes)
+    # The longest alert sequence of one key that is folded as an array; longer
+    # ones are chained by joins (see operators/cooldown.py).
+    max_fold_rows: int = 20_000

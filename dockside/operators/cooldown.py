@@ -1,20 +1,17 @@
 """At most one alert per key and cooldown period.
 
 Which alert may fire depends on the last one that *did*, so this is a chain:
-each fired alert points at the first alert a full period later.  Keys of a
-bounded size are walked inside a task.  For a key too large for one task the
-chain is found by joins: every alert is linked to its successor, links are
-squared (1, 2, 4, ... steps), and the set of fired alerts doubles its reach in
-every round, so the number of rounds is the logarithm of the chain's length.
+each fired alert points at the first alert a full period later.  A key of
+bounded size is folded over its sorted alerts.  For a larger key the chain is found by joins: every alert is linked to its successor, links are squared
+(1, 2, 4, ... steps), and the set of fired alerts doubles its reach in every
+round, so the number of rounds is the logarithm of the chain's length.
 """
 
 from __future__ import annotations
 
 import math
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from dockside.config import SlaConfig
 from dockside.plans.ordered import ordered_columns
@@ -40,7 +37,7 @@ def throttle(alerts: DataFrame, cfg: SlaConfig = SlaConfig()) -> DataFrame:
         "cooldown-nodes",
     )
     sizes = stage(nodes.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n")), "cooldown-sizes")
-    limit = cfg.max_group_rows
+    limit = cfg.max_fold_rows
     small = nodes.join(sizes.where(F.col("n") <= limit), KEY, "left_semi")
     fired = _walked(small)
     large = sizes.where(F.col("n") > limit)
@@ -50,17 +47,25 @@ def throttle(alerts: DataFrame, cfg: SlaConfig = SlaConfig()) -> DataFrame:
 
 
 def _walked(nodes: DataFrame) -> DataFrame:
-    # Nested, so that it travels to the workers by value.
-    def walk(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("at")
-        at, period = pdf["at"].to_numpy(), int(pdf["period"].iloc[0])
-        keep, i = [], 0
-        while i < len(at):
-            keep.append(i)
-            i = int(np.searchsorted(at, at[i] + period, side="left"))
-        return pdf.iloc[keep][["alert_id"]]
-
-    return nodes.groupBy(*KEY).applyInPandas(walk, "alert_id long")
+    """Fold each key's alerts in time order, keeping those a period after the last kept."""
+    lines = nodes.groupBy(*KEY).agg(
+        F.sort_array(F.collect_list(F.struct("at", "alert_id"))).alias("line"),
+        F.first("period").alias("period"),
+    )
+    nothing = F.struct(
+        F.lit(None).cast("long").alias("last"), F.array().cast("array<long>").alias("kept")
+    )
+
+    def step(acc: Column, alert: Column) -> Column:
+        free = acc["last"].isNull() | (alert["at"] >= acc["last"] + F.col("period"))
+        fire = F.struct(
+            alert["at"].alias("last"),
+            F.concat(acc["kept"], F.array(alert["alert_id"])).alias("kept"),
+        )
+        return F.when(free, fire).otherwise(acc)
+
+    kept = F.aggregate("line", nothing, step, lambda acc: acc["kept"])
+    return lines.select(F.explode(kept).alias("alert_id"))
 
 
 def _doubled(nodes: DataFrame) -> DataFrame:

@@ -13,24 +13,43 @@ from dockside.plans.staging import stage
 from dockside.tables import Tables
 
 
+# What the alert views and the snapshots read of the line level.
+SNAPSHOT_COLUMNS = [
+    "shipment_id", "shipment_number", "line_number", "vendor_code", "vendor_region", "carrier_code",
+    "carrier_name", "carrier_mode", "actual_delivery_date", "is_on_time", "is_in_full", "is_otif",
+    "backorder_value",
+]
+
+
 class FulfilmentModel:
     """The named views over ``tables``.
 
     The line level is used by most views.  ``shared=True`` writes it once to
     the shared folder and lets every view scan only the columns it needs;
     ``shared=False`` leaves it as a plain lazy join, which is right when a
-    single view is wanted.
+    single view is wanted.  ``keep`` limits the columns that are written.
     """
 
-    def __init__(self, tables: Tables, cfg: SlaConfig = SlaConfig(), *, shared: bool = False):
+    def __init__(
+        self, tables: Tables, cfg: SlaConfig = SlaConfig(), *, shared: bool = False,
+        keep: list[str] | None = None,
+    ):
         self.tables = tables
         self.cfg = cfg
         self.shared = shared
+        self.keep = keep
+
+    @classmethod
+    def for_snapshots(cls, tables: Tables, cfg: SlaConfig = SlaConfig()) -> "FulfilmentModel":
+        """A model that shares just what alerts and snapshots need."""
+        return cls(tables, cfg, shared=True, keep=SNAPSHOT_COLUMNS)
 
     @cached_property
     def line_level(self) -> DataFrame:
         ll = otif.line_level(self.tables, self.cfg)
-        return stage(ll, "line-level") if self.shared else ll
+        if not self.shared:
+            return ll
+        return stage(ll.select(*self.keep) if self.keep else ll, "line-level")
 
     @cached_property
     def anchor(self) -> dt.date | None:
@@ -67,11 +86,11 @@ class FulfilmentModel:
 
     @property
     def consecutive_failures(self) -> DataFrame:
-        return sequences.consecutive_failures(self.line_level, self.cfg)
+        return sequences.consecutive_failures(self.line_level, self.cfg, staged=self.shared)
 
     @property
     def failures_lead(self) -> DataFrame:
-        return sequences.failures_lead(self.line_level, self.cfg)
+        return sequences.failures_lead(self.line_level, self.cfg, staged=self.shared)
 
     @property
     def dwell_times(self) -> DataFrame:

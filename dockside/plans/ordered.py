@@ -63,6 +63,7 @@ def ordered_columns(
     running: dict[str, tuple[str, str]] | None = None,
     trailing: dict[str, tuple[str, int]] | None = None,
     segments: int | None = None,
+    staged: bool = False,
 ) -> DataFrame:
     """Add order-dependent columns to ``df``.
 
@@ -72,14 +73,15 @@ def ordered_columns(
     trailing  {new: (column, rows)} sum over the last ``rows`` rows
 
     ``order`` must be total within a group.  ``max_group_rows=0`` skips the
-    measurement and always uses segments.
+    measurement and always uses segments.  ``staged`` says ``df`` is a plain
+    scan already, cheap to read once more for the measurement.
     """
     spec = dict(
         rank=rank, lags=lags or {}, leads=leads or {},
         running=running or {}, trailing=trailing or {},
     )
     if max_group_rows > 0:
-        df = stage(df, "ordered-input")
+        df = df if staged else stage(df, "ordered-input")
         if largest_group(df, group) <= max_group_rows:
             return _plain(df, group, order, **spec)
     return _segmented(df, group, order, segments=segments, **spec)

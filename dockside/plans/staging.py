@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,3 +41,10 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = fresh_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def stage_all(frames: dict[str, DataFrame], label: str, *, at_once: int = 4) -> dict[str, DataFrame]:
+    """Stage several frames, a few jobs side by side, so small tables fill idle cores."""
+    with ThreadPoolExecutor(at_once) as pool:
+        jobs = {name: pool.submit(stage, df, f"{label}-{name}") for name, df in frames.items()}
+        return {name: job.result() for name, job in jobs.items()}

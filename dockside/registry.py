@@ -57,7 +57,7 @@ def _portable_7(m: FulfilmentModel) -> DataFrame:
 
 
 def _summary(m: FulfilmentModel) -> DataFrame:
-    return FulfilmentModel(m.tables, m.cfg, shared=True).alert_summary
+    return FulfilmentModel.for_snapshots(m.tables, m.cfg).alert_summary
 
 
 VIEWS: dict[str, Query] = {
@@ -268,7 +268,7 @@ SECURITY: dict[str, Query] = {
 
 
 def _keys(m: FulfilmentModel) -> DataFrame:
-    shared = FulfilmentModel(m.tables, m.cfg, shared=True)
+    shared = FulfilmentModel.for_snapshots(m.tables, m.cfg)
     return quality.snapshot_key_violations({n: getattr(shared, n) for n in quality.SNAPSHOT_KEYS})
 
 
@@ -327,7 +327,7 @@ def _snapshot(m: FulfilmentModel) -> DataFrame:
 def _refresh(m: FulfilmentModel) -> DataFrame:
     spark = m.tables.spark
     root = fresh_path(spark, "refresh")
-    report = snapshots.refresh_all(FulfilmentModel(m.tables, m.cfg, shared=True), root)
+    report = snapshots.refresh_all(FulfilmentModel.for_snapshots(m.tables, m.cfg), root)
     out = None
     for done in report:
         one = snapshots.current(spark, root, done.snapshot).agg(F.count(F.lit(1)).alias("rows")).select(
@@ -456,7 +456,7 @@ ALERTING: dict[str, Query] = {
     "a11_cooldown": _a(lambda e: _ids(cooldown.throttle(event_alerts(e)))),
     # The same chain found by joins alone, as for a key too large for one task.
     "a11b_cooldown_by_joins": _a(
-        lambda e: _ids(cooldown.throttle(event_alerts(e), SlaConfig(max_group_rows=0)))
+        lambda e: _ids(cooldown.throttle(event_alerts(e), SlaConfig(max_fold_rows=0)))
     ),
     "a12_quiet_hours": _a(
         lambda e: _ids(routing.quiet_hours(event_alerts(e), sample_events.holidays(e)))

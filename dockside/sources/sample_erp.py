@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from dockside.plans.staging import stage
+from dockside.plans.staging import stage_all
 from dockside.schemas import ERP
 from dockside.sources.sample_mart import load_mart
 
@@ -20,9 +20,7 @@ _loaded: dict[tuple[str, str], dict[str, DataFrame]] = {}
 def load_erp(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _loaded:
-        _loaded[key] = {
-            name: stage(df, f"erp-{name}") for name, df in derive_erp(spark, sf_dir).items()
-        }
+        _loaded[key] = stage_all(derive_erp(spark, sf_dir), "erp")
     return _loaded[key]
 
 

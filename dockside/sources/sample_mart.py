@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from dockside.plans.staging import stage
+from dockside.plans.staging import stage, stage_all
 from dockside.schemas import GENERIC
 from dockside.tables import Tables
 
@@ -20,7 +20,7 @@ def load_mart(spark: SparkSession, sf_dir: str) -> Tables:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _marts:
         derived = derive_tables(spark, sf_dir)
-        _marts[key] = Tables(**{n: stage(df, f"mart-{n}") for n, df in derived.items()})
+        _marts[key] = Tables(**stage_all(dict(derived.items()), "mart"))
     return _marts[key]
 
 

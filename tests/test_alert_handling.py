@@ -33,14 +33,14 @@ def test_cooldown_matches_brute_force(spark):
             last[kind, key] = ts
             want.add(i)
     for limit in (10**6, 50, 0):  # in tasks, mixed, by joins alone
-        got = cooldown.throttle(df, SlaConfig(max_group_rows=limit))
+        got = cooldown.throttle(df, SlaConfig(max_fold_rows=limit))
         assert {r.alert_id for r in got.collect()} == want
 
 
 def test_cooldown_on_regular_chain(spark):
     # Every alert exactly one period after the last fires; in between none does.
     rows = [(i, "X", "e", "CRITICAL", at(180 * i)) for i in range(65)]
-    got = cooldown.throttle(spark.createDataFrame(rows, ALERT), SlaConfig(max_group_rows=0))
+    got = cooldown.throttle(spark.createDataFrame(rows, ALERT), SlaConfig(max_fold_rows=0))
     assert sorted(r.alert_id for r in got.collect()) == list(range(0, 65, 2))
 
 
