@@ -9,7 +9,10 @@ from dataclasses import dataclass, replace
 class SlaConfig:
     # Service targets, in percent.
     otif_target: float = 92.0
+    otif_breached: float = 92.0  # 88 separates a warning band below the target
     otif_critical: float = 85.0
+    strategic_target: float = 95.0
+    peak_target: float = 88.0
     on_time_target: float = 95.0
     in_full_target: float = 98.0
     vendor_exceeding: float = 95.0

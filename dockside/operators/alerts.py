@@ -19,11 +19,22 @@ def _latest(df: DataFrame, key: str, order: list[Column]) -> DataFrame:
 
 
 def otif_below_threshold(
-    rolling_7d: DataFrame, anchor: dt.date | None, cfg: SlaConfig = SlaConfig(), *, portable: bool = False
+    rolling_7d: DataFrame, anchor: dt.date | None, cfg: SlaConfig = SlaConfig(), *,
+    portable: bool = False, targets: DataFrame | None = None,
 ) -> DataFrame:
-    """Vendors whose latest rolling OTIF share is under target."""
+    """Vendors whose latest rolling OTIF share is under target.
+
+    ``targets`` (vendor_code, target in percent) replaces the default target of
+    the vendors it lists: tighter for strategic partners, looser in a peak.
+    """
     share = F.col("rolling_7d_otif_pct")
     rows = _latest(rolling_7d, "vendor_code", [F.desc("metric_date"), F.desc("vendor_region")])
+    target, breached = F.lit(cfg.otif_target), F.lit(cfg.otif_breached)
+    if targets is not None:
+        own = targets.groupBy("vendor_code").agg(F.max("target").alias("_target"))
+        rows = rows.join(own, "vendor_code", "left")
+        target = F.coalesce("_target", target)
+        breached = F.coalesce("_target", breached)
     cols = [
         F.col("vendor_code"),
         F.col("vendor_region"),
@@ -31,14 +42,15 @@ def otif_below_threshold(
         share,
         F.col("rolling_7d_line_count"),
         F.col("rolling_7d_backorder_cost"),
-        F.lit(cfg.otif_target).alias("sla_threshold"),
-        round_to(F.lit(cfg.otif_target) - share, 2).alias("gap_to_threshold"),
-        below(share, (cfg.otif_critical, "CRITICAL"), (cfg.otif_target, "BREACHED"), otherwise="WARNING")
-        .alias("alert_severity"),
+        target.alias("sla_threshold"),
+        round_to(target - share, 2).alias("gap_to_threshold"),
+        banded(
+            [(share < cfg.otif_critical, "CRITICAL"), (share < breached, "BREACHED")], otherwise="WARNING"
+        ).alias("alert_severity"),
     ]
     if not portable:
         cols.append(F.lit(anchor).cast("date").alias("alert_generated_at"))
-    return rows.where(share < cfg.otif_target).select(*cols)
+    return rows.where(share < target).select(*cols)
 
 
 def backorder_threshold(

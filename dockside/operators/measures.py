@@ -233,6 +233,18 @@ def sla_targets(t: Tables, cfg: SlaConfig, overrides: DataFrame | None = None) -
     )
 
 
+def target_attainment(t: Tables, s: Slice, cfg: SlaConfig) -> DataFrame:
+    """On-time, in-full and combined share against their targets, one row per slice and metric."""
+    counts = line_counts(t, s, cfg)
+    goals = [("on_time", cfg.on_time_target), ("in_full", cfg.in_full_target), ("otif", cfg.otif_target)]
+    metric = F.explode(F.array(*[
+        F.struct(F.lit(n).alias("metric"), divide(n, "lines").alias("share"), F.lit(g / 100).alias("target"))
+        for n, g in goals
+    ])).alias("m")
+    rows = counts.select(*s.by, metric).select(*s.by, "m.metric", "m.share", "m.target")
+    return rows.withColumn("met", flag(F.col("share") >= F.col("target")))
+
+
 def compliance_score(share: Column) -> Column:
     # Share of OTIF lines -> score.
     return (

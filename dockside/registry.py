@@ -60,6 +60,16 @@ def _summary(m: FulfilmentModel) -> DataFrame:
     return FulfilmentModel.for_snapshots(m.tables, m.cfg).alert_summary
 
 
+def _own_targets(m: FulfilmentModel) -> DataFrame:
+    strategic = m.tables.vendors.where(F.col("tier") == "strategic")
+    tighter = strategic.select("vendor_code", F.lit(m.cfg.strategic_target).alias("target"))
+    return alerts.otif_below_threshold(m.rolling_7d, m.anchor, m.cfg, targets=tighter)
+
+
+def _banded_alerts(m: FulfilmentModel) -> DataFrame:
+    return alerts.otif_below_threshold(m.rolling_7d, m.anchor, m.cfg.but(otif_breached=m.cfg.peak_target))
+
+
 VIEWS: dict[str, Query] = {
     "v01_otif_line_level": _q(lambda m: m.line_level),
     "v02_date_anchor": _q(lambda m: otif.date_anchor(m.line_level, m.cfg)),
@@ -78,6 +88,8 @@ VIEWS: dict[str, Query] = {
     "v12_backorder_running_costs": _q(lambda m: m.backorder_running_costs),
     "v13_order_state_sequence": _q(lambda m: m.order_state_sequence),
     "v14_alert_otif_below_threshold": _q(lambda m: m.alert_otif),
+    "v14b_alert_otif_vendor_targets": _q(_own_targets),
+    "v14c_alert_otif_warning_band": _q(_banded_alerts),
     "v15_alert_backorder_threshold": _q(lambda m: m.alert_backorder),
     "v15b_alert_backorder_aggregate": _q(
         lambda m: alerts.backorder_threshold(m.tables, m.cfg, scope="aggregate")
@@ -103,7 +115,7 @@ def _m(name: str, *by: str) -> Query:
 
 def _targets(m: FulfilmentModel) -> DataFrame:
     strategic = m.tables.vendors.where(F.col("tier") == "strategic")
-    tighter = strategic.select("vendor_code", F.lit(m.cfg.on_time_target / 100).alias("target"))
+    tighter = strategic.select("vendor_code", F.lit(m.cfg.strategic_target / 100).alias("target"))
     return measures.sla_targets(m.tables, m.cfg, tighter)
 
 
@@ -141,6 +153,9 @@ MEASURES: dict[str, Query] = {
     "m26_carrier_on_time_share": _m("carrier_on_time_share", "carrier_code"),
     "m27_otif_trend": _m("otif_trend", "vendor_code"),
     "m28_otif_trend_direction": _m("otif_trend_direction", "vendor_code"),
+    "m29_target_attainment": _q(
+        lambda m: measures.target_attainment(m.tables, measures.Slice(("vendor_region",)), m.cfg)
+    ),
 }
 
 

@@ -132,6 +132,12 @@ MEASURES = {
     "m28_otif_trend_direction": _roll(
         "CASE WHEN r7 - before7 > 0.01 THEN 'UP' WHEN r7 - before7 < -0.01 THEN 'DOWN' ELSE 'FLAT' END"
     ),
+    "m29_target_attainment": m(
+        """SELECT vendor_region, metric, share, target, (CASE WHEN share >= target THEN 1 ELSE 0 END)::BIGINT AS met FROM (
+          SELECT vendor_region, 'on_time' AS metric, sum(on_time)::DOUBLE / count(*)::DOUBLE AS share, 0.95::DOUBLE AS target FROM fx GROUP BY 1
+          UNION ALL SELECT vendor_region, 'in_full', sum(in_full)::DOUBLE / count(*)::DOUBLE, 0.98::DOUBLE FROM fx GROUP BY 1
+          UNION ALL SELECT vendor_region, 'otif', sum(on_time * in_full)::DOUBLE / count(*)::DOUBLE, 0.92::DOUBLE FROM fx GROUP BY 1)"""
+    ),
 }
 
 _AD = "(SELECT d FROM anchor)"

@@ -105,6 +105,19 @@ VIEWS = {
         (CASE WHEN requested_delivery_date - order_date <= 3 THEN 1 ELSE 0 END)::BIGINT AS is_rush_order FROM f_orders"""
     ),
     "v14_alert_otif_below_threshold": sql("SELECT * FROM otif_alert"),
+    "v14b_alert_otif_vendor_targets": sql(
+        f"""SELECT vendor_code, vendor_region, metric_date AS last_metric_date, rolling_7d_otif_pct, rolling_7d_line_count,
+        rolling_7d_backorder_cost, target AS sla_threshold, {r('target - rolling_7d_otif_pct', 2)} AS gap_to_threshold,
+        CASE WHEN rolling_7d_otif_pct < 85 THEN 'CRITICAL' ELSE 'BREACHED' END AS alert_severity, (SELECT d FROM anchor) AS alert_generated_at
+        FROM (SELECT r7.*, CASE WHEN tier = 'strategic' THEN 95.0 ELSE 92.0 END::DOUBLE AS target,
+              row_number() OVER (PARTITION BY vendor_code ORDER BY metric_date DESC, r7.vendor_region DESC) AS rn
+              FROM r7 LEFT JOIN (SELECT vendor_code, tier FROM f_vendors) USING (vendor_code))
+        WHERE rn = 1 AND rolling_7d_otif_pct < target"""
+    ),
+    "v14c_alert_otif_warning_band": sql(
+        """SELECT * REPLACE (CASE WHEN rolling_7d_otif_pct < 85 THEN 'CRITICAL' WHEN rolling_7d_otif_pct < 88 THEN 'BREACHED'
+        ELSE 'WARNING' END AS alert_severity) FROM otif_alert"""
+    ),
     "v15_alert_backorder_threshold": sql("SELECT * FROM backorder_alert"),
     "v15b_alert_backorder_aggregate": sql(
         """SELECT vendor_code, cents / 100.0::DOUBLE AS total_open_backorder_cost, open_backorder_count, latest_backorder_date,
