@@ -108,9 +108,9 @@ def _plain(df, group, order, *, rank, lags, leads, running, trailing):
 
 
 def _segmented(df, group, order, *, rank, lags, leads, running, trailing, segments):
-    spark = df.sparkSession
-    count = segments or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(count, *[F.col(g).asc() for g in group], *_sort(order))
+    by = [*[F.col(g).asc() for g in group], *_sort(order)]
+    # Without a count, adaptive execution merges neighbouring small ranges.
+    ranged = df.repartitionByRange(segments, *by) if segments else df.repartitionByRange(*by)
     # Staging freezes the segment number: later reads cannot re-sample the ranges.
     rows = stage(ranged.withColumn(SEG, F.spark_partition_id()), "segments")
 

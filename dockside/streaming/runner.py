@@ -10,19 +10,30 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from dockside.plans.staging import fresh_path
 
+_PARTITIONS = "spark.sql.shuffle.partitions"
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 @contextmanager
-def rocksdb_state(spark: SparkSession):
-    """Keep state in RocksDB (needed by keyed processors) for queries started inside."""
-    before = spark.conf.get(_PROVIDER)
-    spark.conf.set(_PROVIDER, _ROCKSDB)
+def rocksdb_state(spark: SparkSession, partitions: int | None = None):
+    """Keep state in RocksDB (needed by keyed processors) for queries started inside.
+
+    A query's number of state partitions is fixed for its life; the default is
+    one per core of the application.
+    """
+    wanted = {
+        _PROVIDER: _ROCKSDB,
+        _PARTITIONS: str(partitions or spark.sparkContext.defaultParallelism),
+    }
+    before = {name: spark.conf.get(name) for name in wanted}
+    for name, value in wanted.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.set(_PROVIDER, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
 
 
 def file_stream(spark: SparkSession, df: DataFrame, label: str, *, files_per_batch: int | None = None) -> DataFrame:
