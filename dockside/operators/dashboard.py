@@ -12,25 +12,24 @@ from dockside.operators import measures as m
 from dockside.operators.backorders import open_backorders
 from dockside.operators.measures import Slice
 from dockside.operators.sequences import failure_reason
+from dockside.plans.staging import stage
 from dockside.tables import Tables
 
 
 def kpi_row(t: Tables, as_of: dt.date, cfg: SlaConfig = SlaConfig()) -> DataFrame:
     """One row with the five headline figures; "today" is ``as_of``."""
     s = Slice()
-    daily = m.daily_counts(t, s, cfg)
     age = F.datediff(F.lit(as_of), F.col("day"))
     recent = age.between(0, 6)
-    rolled = daily.agg(
+    one = lambda df, c: df.select(c).scalar()
+    return m.daily_counts(t, s, cfg).agg(
+        divide(F.sum("otif"), F.sum("lines")).alias("otif_share"),
         divide(F.sum(F.when(recent, F.col("otif"))), F.sum(F.when(recent, F.col("lines")))).alias("rolling_7d_otif"),
         F.coalesce(F.sum(F.when(age == 0, F.col("lines"))), F.lit(0)).alias("lines_today"),
-    )
-    one = lambda df, c: df.select(c).scalar()
-    return m.line_counts(t, s, cfg).select(
-        divide("otif", "lines").alias("otif_share"),
-        one(rolled, "rolling_7d_otif").alias("rolling_7d_otif"),
+    ).select(
+        "otif_share", "rolling_7d_otif",
         one(m.backorder_sums(t, s), "open_cost").alias("open_backorder_cost"),
-        one(rolled, "lines_today").alias("lines_today"),
+        "lines_today",
         one(m.shipment_figures(t, s), "lead_time").alias("avg_total_lead_time_days"),
     )
 
@@ -118,11 +117,11 @@ def vendor_week_heatmap(
     monday = as_of - dt.timedelta(days=as_of.weekday())
     first = monday - dt.timedelta(days=7 * (weeks - 1))
     s = Slice(filters={"actual_delivery_date": (first, as_of)})
-    lines = m.flagged_lines(t, s, cfg)
-    cells = lines.groupBy(
+    results = m.shipment_results(t, s, cfg)
+    cells = results.groupBy(
         "vendor_code",
         (F.datediff(F.lit(monday), week_of("actual_delivery_date")) / 7).cast("int").alias("weeks_ago"),
-    ).agg(F.count(F.lit(1)).alias("lines"), F.sum("otif").alias("otif"))
+    ).agg(F.sum("lines").alias("lines"), F.sum("otif").alias("otif"))
     volume = cells.groupBy("vendor_code").agg(F.sum("lines").alias("volume"))
     largest = volume.orderBy(F.desc("volume"), "vendor_code").limit(top)
     wide = (
@@ -149,14 +148,15 @@ def backorder_treemap(t: Tables) -> DataFrame:
 def vendor_table(t: Tables, cfg: SlaConfig = SlaConfig()) -> DataFrame:
     """Vendors worst first: rolling share, volume, status, failures."""
     s = Slice(("vendor_code",))
-    rolled = m.rolling_calendar_days(t, s, cfg).select("vendor_code", F.col("rolling_7d").alias("share"))
-    volume = m.line_counts(t, s, cfg).select("vendor_code", "lines")
-    failed = m.vendor_failures(t, s, cfg)
+    results = stage(m.shipment_results(t, s, cfg), "shipment-results")
+    rolled = m.rolling_calendar_days(t, s, cfg, results)
+    failed = m.vendor_failures(t, s, cfg, results)
+    share = F.col("rolling_7d")
     return (
-        rolled.join(volume, "vendor_code", "left").join(failed, "vendor_code", "left")
+        rolled.join(failed, "vendor_code", "left")
         .select(
-            "vendor_code", F.col("share").alias("rolling_7d_otif"), F.col("lines").alias("total_lines"),
-            m.compliance_status(m.compliance_score(F.col("share"))).alias("sla_status"),
+            "vendor_code", share.alias("rolling_7d_otif"), F.col("lines").alias("total_lines"),
+            m.compliance_status(m.compliance_score(share)).alias("sla_status"),
             F.col("value").alias("consecutive_failures"),
         )
         .orderBy("rolling_7d_otif", "vendor_code")

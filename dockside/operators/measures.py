@@ -58,12 +58,13 @@ def sliced_shipments(t: Tables, s: Slice) -> DataFrame:
     return slicer(t.shipments, s.filters)
 
 
-def flagged_lines(t: Tables, s: Slice, cfg: SlaConfig) -> DataFrame:
-    """Delivery lines with slice columns and 0/1 flags; blanks count as zero.
+def shipment_results(t: Tables, s: Slice, cfg: SlaConfig) -> DataFrame:
+    """Line counts per shipment: all, on time, in full and both.
 
-    Every delivery line stays in the row count: the look-ups are left joins,
-    and an order is looked up once per shipment.  A slicer makes the shipments
-    an inner join that goes first.
+    Whether a line is in full depends on its order line, whether it is on time
+    only on its shipment.  Lines are therefore counted per shipment before
+    they meet the shipments and orders.  Blanks count as zero, and lines
+    without a shipment stay in the count unless a slicer narrows it.
     """
     headers = sliced_shipments(t, s).select("shipment_number", "order_number", *SLICES).join(
         t.orders.select("order_number", "requested_delivery_date"), "order_number", "left"
@@ -71,49 +72,54 @@ def flagged_lines(t: Tables, s: Slice, cfg: SlaConfig) -> DataFrame:
     delivered = t.delivery_lines.select(
         "shipment_number", "order_number", "line_number", "delivered_qty", "damage_qty"
     )
+    narrowed = any(c in t.shipments.columns for c in s.filters)
+    if narrowed:
+        wanted = sliced_shipments(t, s).select("shipment_number")
+        delivered = delivered.join(wanted, "shipment_number", "left_semi")
     ordered = t.order_lines.select("order_number", "line_number", "ordered_qty")
-    line = ["order_number", "line_number"]
-    if any(c in t.shipments.columns for c in s.filters):
-        lines = delivered.join(headers, "shipment_number").join(ordered, line, "left")
-    else:
-        lines = delivered.join(ordered, line, "left").join(headers, "shipment_number", "left")
-    came, want = F.col("actual_delivery_date"), F.col("requested_delivery_date")
     zero = lambda c: F.coalesce(F.col(c), F.lit(0))
-    on_time = (
-        (F.col("delivered_qty") > 0)
-        & (came <= want)
-        & (came >= F.date_sub(want, cfg.early_tolerance_days))
+    moved = F.col("delivered_qty") > 0
+    whole = zero("delivered_qty") - zero("damage_qty") >= zero("ordered_qty")
+    counted = (
+        delivered.join(ordered, ["order_number", "line_number"], "left")
+        .groupBy("shipment_number")
+        .agg(
+            F.count(F.lit(1)).alias("lines"),
+            F.sum(flag(moved)).alias("moved"),
+            F.sum(flag(whole)).alias("in_full"),
+            F.sum(flag(moved & whole)).alias("moved_in_full"),
+        )
     )
-    in_full = zero("delivered_qty") - zero("damage_qty") >= zero("ordered_qty")
-    return lines.select(
-        "shipment_number", *SLICES,
-        flag(on_time).alias("on_time"),
-        flag(in_full).alias("in_full"),
-        flag(on_time & in_full).alias("otif"),
+    came, want = F.col("actual_delivery_date"), F.col("requested_delivery_date")
+    on_time = (came <= want) & (came >= F.date_sub(want, cfg.early_tolerance_days))
+    return counted.join(headers, "shipment_number", "inner" if narrowed else "left").select(
+        "shipment_number", *SLICES, "lines",
+        F.when(on_time, F.col("moved")).otherwise(0).alias("on_time"),
+        "in_full",
+        F.when(on_time, F.col("moved_in_full")).otherwise(0).alias("otif"),
     )
 
 
+def _sums() -> list[Column]:
+    return [F.sum(c).alias(c) for c in ("lines", "on_time", "in_full", "otif")]
+
+
 def line_counts(t: Tables, s: Slice, cfg: SlaConfig) -> DataFrame:
-    return flagged_lines(t, s, cfg).groupBy(*s.by).agg(
-        F.count(F.lit(1)).alias("lines"),
-        F.sum("on_time").alias("on_time"),
-        F.sum("in_full").alias("in_full"),
-        F.sum("otif").alias("otif"),
-    )
+    return shipment_results(t, s, cfg).groupBy(*s.by).agg(*_sums())
 
 
-def daily_counts(t: Tables, s: Slice, cfg: SlaConfig) -> DataFrame:
-    """Lines and OTIF lines per slice and delivery day: small, and reused by every rolling figure."""
+def daily_counts(t: Tables, s: Slice, cfg: SlaConfig, results: DataFrame | None = None) -> DataFrame:
+    """Line counts per slice and delivery day: small, and reused by every rolling figure."""
     by = [c for c in s.by if c != "actual_delivery_date"]
-    lines = flagged_lines(t, s, cfg).where(F.col("actual_delivery_date").isNotNull())
-    return lines.groupBy(*by, F.col("actual_delivery_date").alias("day")).agg(
-        F.count(F.lit(1)).alias("lines"), F.sum("otif").alias("otif")
-    )
+    rows = shipment_results(t, s, cfg) if results is None else results
+    return rows.groupBy(*by, F.col("actual_delivery_date").alias("day")).agg(*_sums())
 
 
-def rolling_calendar_days(t: Tables, s: Slice, cfg: SlaConfig) -> DataFrame:
-    """7- and 30-calendar-day OTIF shares up to the slice's last day, and the 7 days before."""
-    daily = daily_counts(t, s, cfg)
+def rolling_calendar_days(
+    t: Tables, s: Slice, cfg: SlaConfig, results: DataFrame | None = None
+) -> DataFrame:
+    """Totals and 7- and 30-calendar-day OTIF shares up to the slice's last day, and the 7 days before."""
+    daily = daily_counts(t, s, cfg, results)
     if s.as_of is not None:
         daily = daily.where(F.col("day") <= F.lit(s.as_of))
         top = F.lit(s.as_of)
@@ -125,24 +131,29 @@ def rolling_calendar_days(t: Tables, s: Slice, cfg: SlaConfig) -> DataFrame:
         inside = age.between(first, last)
         return divide(F.sum(F.when(inside, F.col("otif"))), F.sum(F.when(inside, F.col("lines"))))
 
-    return daily.withColumn("top", top).groupBy(*s.by).agg(
+    out = daily.withColumn("top", top).groupBy(*s.by).agg(
+        *_sums(),
+        F.max("top").alias("last_day"),
         share(0, 6).alias("rolling_7d"),
         share(0, 29).alias("rolling_30d"),
         share(7, 13).alias("previous_7d"),
     )
+    return out.where(F.col("last_day").isNotNull()) if s.by else out
 
 
-def vendor_failures(t: Tables, s: Slice, cfg: SlaConfig, *, recent: int = 100) -> DataFrame:
+def vendor_failures(
+    t: Tables, s: Slice, cfg: SlaConfig, results: DataFrame | None = None, *, recent: int = 100
+) -> DataFrame:
     """Failed shipments among each vendor's most recent ones, ties included.
 
     Works on one row per (vendor, day): a day belongs to the recent set when
     fewer than ``recent`` shipments came after it.
     """
-    passed = flagged_lines(t, s, cfg).groupBy("shipment_number").agg(F.sum("otif").alias("otif"))
+    rows = shipment_results(t, s, cfg) if results is None else results
     shipped = sliced_shipments(t, s).where(F.col("actual_delivery_date").isNotNull())
     daily = (
         shipped.select("shipment_number", "vendor_code", "actual_delivery_date")
-        .join(passed, "shipment_number", "left")
+        .join(rows.select("shipment_number", "otif"), "shipment_number", "left")
         .groupBy("vendor_code", "actual_delivery_date")
         .agg(
             F.count(F.lit(1)).alias("shipments"),
@@ -340,6 +351,27 @@ MEASURES: dict[str, Callable[[Tables, Slice, SlaConfig], DataFrame]] = {
     ),
 }
 
+
+def measure_table(t: Tables, s: Slice, cfg: SlaConfig = SlaConfig()) -> DataFrame:
+    """All line, rolling and service-level measures of a slice from one pass over the lines."""
+    share, change = F.col("rolling_7d"), F.col("rolling_7d") - F.col("previous_7d")
+    target = F.lit(cfg.otif_target / 100)
+    return rolling_calendar_days(t, s, cfg).select(
+        *s.by, "lines", "on_time", "in_full", "otif",
+        divide("otif", "lines").alias("otif_share"),
+        divide("on_time", "lines").alias("on_time_share"),
+        divide("in_full", "lines").alias("in_full_share"),
+        share.alias("rolling_7d_otif"),
+        F.col("rolling_30d").alias("rolling_30d_otif"),
+        flag(share < target).alias("sla_breached"),
+        (share - target).alias("sla_gap"),
+        compliance_score(share).alias("compliance_score"),
+        compliance_status(compliance_score(share)).alias("sla_status"),
+        change.alias("otif_trend"),
+        trend_direction(change, cfg).alias("otif_trend_direction"),
+    )
+
+
 # Measures whose grain is fixed, whatever ``by`` says.
 _FIXED_GRAIN = {"current_failure_streak": ["vendor_code"], "sla_target": ["vendor_code"],
                 "max_consecutive_failures": []}

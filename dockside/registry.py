@@ -156,6 +156,9 @@ MEASURES: dict[str, Query] = {
     "m29_target_attainment": _q(
         lambda m: measures.target_attainment(m.tables, measures.Slice(("vendor_region",)), m.cfg)
     ),
+    "m30_measure_table": _q(
+        lambda m: measures.measure_table(m.tables, measures.Slice(("vendor_code",)), m.cfg)
+    ),
 }
 
 

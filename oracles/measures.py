@@ -138,6 +138,17 @@ MEASURES = {
           UNION ALL SELECT vendor_region, 'in_full', sum(in_full)::DOUBLE / count(*)::DOUBLE, 0.98::DOUBLE FROM fx GROUP BY 1
           UNION ALL SELECT vendor_region, 'otif', sum(on_time * in_full)::DOUBLE / count(*)::DOUBLE, 0.92::DOUBLE FROM fx GROUP BY 1)"""
     ),
+    "m30_measure_table": m(
+        f"""SELECT vendor_code, lines, on_time, in_full, otif, otif / lines::DOUBLE AS otif_share, on_time / lines::DOUBLE AS on_time_share,
+        in_full / lines::DOUBLE AS in_full_share, r7 AS rolling_7d_otif, r30 AS rolling_30d_otif,
+        (CASE WHEN r7 < 0.92 THEN 1 ELSE 0 END)::BIGINT AS sla_breached, r7 - 0.92::DOUBLE AS sla_gap,
+        (CASE WHEN r7 >= 0.95 THEN 100 WHEN r7 >= 0.92 THEN 85 WHEN r7 >= 0.85 THEN 60 WHEN r7 >= 0.75 THEN 30 ELSE 0 END)::BIGINT AS compliance_score,
+        {STATUS.format(x='r7')} AS sla_status, r7 - before7 AS otif_trend,
+        CASE WHEN r7 - before7 > 0.01 THEN 'UP' WHEN r7 - before7 < -0.01 THEN 'DOWN' ELSE 'FLAT' END AS otif_trend_direction
+        FROM rolled JOIN (SELECT vendor_code, count(*) AS lines, sum(on_time)::BIGINT AS on_time, sum(in_full)::BIGINT AS in_full,
+                          sum(on_time * in_full)::BIGINT AS otif FROM fx GROUP BY 1) USING (vendor_code)""",
+        rolled("vendor_code"),
+    ),
 }
 
 _AD = "(SELECT d FROM anchor)"
