@@ -48,3 +48,15 @@ def stage_all(frames: dict[str, DataFrame], label: str, *, at_once: int = 4) ->
     with ThreadPoolExecutor(at_once) as pool:
         jobs = {name: pool.submit(stage, df, f"{label}-{name}") for name, df in frames.items()}
         return {name: job.result() for name, job in jobs.items()}
+
+
+def remove_folder(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.delete(p, True)
+
+
+def release(spark: SparkSession) -> bool:
+    """Remove what this application staged; call it last, when nothing reads it any more."""
+    return remove_folder(spark, f"{shared_dir(spark)}/dockside/{spark.sparkContext.applicationId}")

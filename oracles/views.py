@@ -39,14 +39,14 @@ VIEWS = {
         CASE WHEN {p('passed', 'flagged')} >= 95 THEN 'EXCEEDING' WHEN {p('passed', 'flagged')} >= 92 THEN 'MEETING'
              WHEN {p('passed', 'flagged')} >= 85 THEN 'AT_RISK' ELSE 'CRITICAL' END AS sla_status
         FROM (SELECT v.vendor_code, v.vendor_name, v.region AS vendor_region, v.tier,
-                coalesce(sum(ol.ordered_qty), 0) AS ordered, coalesce(sum(dl.delivered_qty), 0) AS delivered,
-                count(DISTINCT s.shipment_id) AS total_shipments, count(DISTINCT o.order_number) AS total_orders,
+                coalesce(sum(x.ordered_qty), 0) AS ordered, coalesce(sum(x.delivered_qty), 0) AS delivered,
+                count(DISTINCT x.shipment_id) AS total_shipments, count(DISTINCT x.order_number) AS total_orders,
                 coalesce(sum(x.is_otif), 0) AS passed, count(x.is_otif) AS flagged
-              FROM f_vendors v LEFT JOIN f_shipments s ON s.vendor_code = v.vendor_code
-              LEFT JOIN f_orders o ON o.order_number = s.order_number
-              LEFT JOIN f_order_lines ol ON ol.order_number = o.order_number
-              LEFT JOIN f_delivery_lines dl ON dl.shipment_number = s.shipment_number
-              LEFT JOIN ll x ON x.shipment_id = s.shipment_id GROUP BY 1, 2, 3, 4)"""
+              FROM f_vendors v LEFT JOIN (
+                SELECT s.vendor_code, s.shipment_id, s.order_number, a.ordered_qty, b.delivered_qty, c.is_otif
+                FROM f_shipments s LEFT JOIN f_order_lines a USING (order_number)
+                LEFT JOIN f_delivery_lines b USING (shipment_number) LEFT JOIN ll c USING (shipment_id)) x USING (vendor_code)
+              GROUP BY 1, 2, 3, 4)"""
     ),
     "v05b_vendor_hierarchy_dedupe": sql(
         f"""SELECT v.vendor_code, v.vendor_name, v.region AS vendor_region, v.tier,

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from dockside.operators import erp, quality, security
 from dockside.operators.otif import line_level
 from dockside.plans.model import FulfilmentModel
+from dockside.plans import staging
 from dockside.plans.staging import fresh_path
 from dockside.schemas import ERP, GENERIC
 from dockside.sources import readers, snapshots
@@ -176,5 +177,29 @@ def test_masters(spark):
     assert sorted(rows(erp.products(d["mara"]), "product_name", "unit_of_measure")) == [("M", "EA"), ("x", None)]
 
 
+def test_staged_tables_and_their_removal(spark):
+    df = spark.createDataFrame([(1, "a")], "k int, v string")
+    staged = staging.stage(df, "stage-test")
+    assert staged.schema == df.schema and staged.inputFiles()[0].find("stage-test") > 0
+    folder = fresh_path(spark, "remove-test")
+    df.write.parquet(folder)
+    assert staging.remove_folder(spark, folder) and not staging.remove_folder(spark, folder)
+
+
+def test_shared_folder_is_required_on_a_cluster(monkeypatch):
+    class Conf:
+        def get(self, name, default=None):
+            return default
+
+    class Context:
+        master, applicationId = "yarn", "app-1"
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(RuntimeError):
+        staging.shared_dir(Session())
+
+
 def test_schemas_cover_every_table():
     assert len(GENERIC) == 10 and len(ERP) == 9
