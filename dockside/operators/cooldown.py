@@ -20,9 +20,9 @@ from dockside.plans.staging import stage
 KEY = ["alert_type", "entity"]
 
 
-def period_micros(cfg: SlaConfig):
+def period_micros(cfg: SlaConfig, alert_type: str = "alert_type") -> Column:
     """Cooldown length per alert type: streak alerts may repeat sooner."""
-    hours = F.when(F.col("alert_type") == "CONSECUTIVE_FAILURES", cfg.streak_cooldown_hours)
+    hours = F.when(F.col(alert_type) == "CONSECUTIVE_FAILURES", cfg.streak_cooldown_hours)
     return hours.otherwise(cfg.cooldown_hours).cast("long") * 3_600_000_000
 
 

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from dockside.config import SlaConfig
-from dockside.functions.exprs import banded, below
+from dockside.functions.exprs import banded, below, divide
 from dockside.operators import measures
 from dockside.operators.measures import Slice
 from dockside.plans.ordered import ordered_columns
@@ -293,17 +293,26 @@ def rules(cfg: SlaConfig, spark) -> DataFrame:
 
 def measure_alerts(t: Tables, cfg: SlaConfig = SlaConfig()) -> DataFrame:
     """Every rule whose measure is on the wrong side of its threshold."""
-    def long(name, by=()):
-        entity = F.col(by[0]) if by else F.lit("ALL")
-        return measures.measure(t, name, list(by), cfg=cfg).select(
-            F.lit(name).alias("metric"), entity.alias("entity"), F.col("value").cast("double").alias("value")
+    everything, vendors = Slice(), Slice(("vendor_code",))
+    # Three of the four measures count the same lines; they share one pass.
+    results = stage(measures.shipment_results(t, everything, cfg), "shipment-results")
+    carriers = results.where(F.col("carrier_code").isNotNull()).groupBy("carrier_code").agg(
+        divide(F.sum("on_time"), F.sum("lines")).alias("value")
+    )
+
+    def long(df: DataFrame, name: str, value: str, entity: str | None = None) -> DataFrame:
+        who = F.lit("ALL") if entity is None else F.col(entity)
+        return df.select(
+            F.lit(name).alias("metric"), who.alias("entity"), F.col(value).cast("double").alias("value")
         )
 
     figures = (
-        long("rolling_7d_otif")
-        .unionByName(long("open_backorder_cost"))
-        .unionByName(long("current_failure_streak", ("vendor_code",)))
-        .unionByName(long("carrier_on_time_share", ("carrier_code",)).where(F.col("entity").isNotNull()))
+        long(measures.rolling_calendar_days(t, everything, cfg, results), "rolling_7d_otif", "rolling_7d")
+        .unionByName(long(measures.backorder_sums(t, everything), "open_backorder_cost", "open_cost"))
+        .unionByName(
+            long(measures.vendor_failures(t, vendors, cfg, results), "current_failure_streak", "value", "vendor_code")
+        )
+        .unionByName(long(carriers, "carrier_on_time_share", "value", "carrier_code"))
     )
     hit = F.when(F.col("direction") == "Less than", F.col("value") < F.col("threshold")).otherwise(
         F.col("value") > F.col("threshold")

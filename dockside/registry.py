@@ -12,11 +12,11 @@ from dockside.operators import (
     alerts, cooldown, dashboard, dwell, erp, measures, otif, quality, routing, security, sequences,
 )
 from dockside.plans.model import FulfilmentModel
-from dockside.plans.staging import fresh_path
+from dockside.plans.staging import fresh_path, stage
 from dockside.sources import readers, sample_events, snapshots
 from dockside.sources.sample_erp import load_erp
 from dockside.sources.sample_mart import event_acks, event_alerts, load_mart
-from dockside.streaming import alerts as stream_alerts, kpis, runner
+from dockside.streaming import alerts as stream_alerts, carried, kpis, runner
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -70,6 +70,16 @@ def _banded_alerts(m: FulfilmentModel) -> DataFrame:
     return alerts.otif_below_threshold(m.rolling_7d, m.anchor, m.cfg.but(otif_breached=m.cfg.peak_target))
 
 
+_feeds: dict[FulfilmentModel, DataFrame] = {}
+
+
+def _feed(m: FulfilmentModel) -> DataFrame:
+    """The alert summary as dispatch reads it: written once, then scanned."""
+    if m not in _feeds:
+        _feeds[m] = stage(_summary(m), "alert-feed")
+    return _feeds[m]
+
+
 VIEWS: dict[str, Query] = {
     "v01_otif_line_level": _q(lambda m: m.line_level),
     "v02_date_anchor": _q(lambda m: otif.date_anchor(m.line_level, m.cfg)),
@@ -196,7 +206,7 @@ DASHBOARD: dict[str, Query] = {
     "d08_carrier_table": _q(lambda m: dashboard.carrier_table(m.tables, m.cfg)),
     "d09_region_rolling": _q(lambda m: dashboard.region_rolling(m.tables, m.cfg)),
     "d10_active_alerts_by_severity": _q(
-        lambda m: dashboard.active_alerts_by_severity(_summary(m), m.anchor)
+        lambda m: dashboard.active_alerts_by_severity(_feed(m), m.anchor)
     ),
     "d11_sliced_kpis": _q(_sliced),
     "d11b_sliced_by_status": _q(_by_status),
@@ -356,7 +366,7 @@ def _refresh(m: FulfilmentModel) -> DataFrame:
 
 
 def _extract(m: FulfilmentModel) -> DataFrame:
-    snapshots.register_extract(m, "bi_")
+    snapshots.register_extract(FulfilmentModel(m.tables, m.cfg, shared=True), "bi_")
     return m.tables.spark.sql(
         """SELECT g.carrier_mode, sum(g.total_lines) AS total_lines, max(c.customers) AS customers
            FROM bi_v_geographic g JOIN (SELECT count(*) AS customers FROM bi_customers) c ON c.customers > 0
@@ -390,7 +400,7 @@ def _a(build: Callable[[DataFrame], DataFrame]) -> Query:
 
 
 def _payload(m: FulfilmentModel) -> DataFrame:
-    made = routing.payload(routing.active_alerts(_summary(m)))
+    made = routing.payload(routing.active_alerts(_feed(m)))
     return made.select(F.from_json("payload", routing.PAYLOAD_SCHEMA).alias("p")).select(
         "p.EventContext.AlertType", "p.EventContext.Severity", "p.EventContext.TriggerTime",
         "p.Payload.EntityID", "p.Payload.MetricValue", "p.Payload.Threshold", "p.Payload.Gap", "p.Payload.Message",
@@ -399,7 +409,7 @@ def _payload(m: FulfilmentModel) -> DataFrame:
 
 def _audit(m: FulfilmentModel) -> DataFrame:
     rows = routing.audit_rows(
-        routing.active_alerts(_summary(m)), m.tables.alert_history, vendors=m.tables.vendors
+        routing.active_alerts(_feed(m)), m.tables.alert_history, vendors=m.tables.vendors
     )
     return rows.select(
         "alert_history_id", "alert_type", "entity", "region", "severity", "metric_value",
@@ -443,13 +453,13 @@ def _messages(e: DataFrame) -> DataFrame:
 
 
 ALERTING: dict[str, Query] = {
-    "a01_active_alerts": _q(lambda m: routing.active_alerts(_summary(m))),
+    "a01_active_alerts": _q(lambda m: routing.active_alerts(_feed(m))),
     "a01b_active_with_exceeded": _q(
-        lambda m: routing.active_alerts(_summary(m), include_exceeded=True)
+        lambda m: routing.active_alerts(_feed(m), include_exceeded=True)
         .groupBy("alert_type", "alert_severity").agg(F.count(F.lit(1)).alias("alerts"))
     ),
     "a02_channels": _q(
-        lambda m: routing.sends(routing.active_alerts(_summary(m)))
+        lambda m: routing.sends(routing.active_alerts(_feed(m)))
         .groupBy("alert_severity", "channel").agg(F.count(F.lit(1)).alias("sends"))
     ),
     "a03_payload": _q(_payload),
@@ -541,6 +551,23 @@ def _throttled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(out.select("alert_id", "alert_type", "entity", "severity"))
 
 
+def _throttled_by_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fired, _ = _event_streams(spark, sf_dir)
+    out = carried.replay(
+        fired.where(F.col("alert_id") >= 0), "throttle-carried", carried.FIRED, carried.throttle_step()
+    )
+    return plain(out.select("alert_id", "alert_type", "entity", "severity"))
+
+
+def _streaks_by_batch(m: FulfilmentModel) -> DataFrame:
+    step = carried.streak_step(m.cfg)
+    out = carried.replay(_arrivals(m), "streaks-carried", carried.STREAKS, step)
+    return out.select(
+        "vendor_code", "actual_delivery_date", "shipment_number", "line_number", "delivery_rank",
+        "failure_streak_label",
+    )
+
+
 def _escalated(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = runner.replay(stream_alerts.escalations(*_event_streams(spark, sf_dir)), "escalations")
     return plain(out.where(F.col("alert_id") >= 0).select("alert_id", "entity"))
@@ -584,7 +611,9 @@ STREAMING: dict[str, Query] = {
     "t03_daily_kpis": _q(lambda m: runner.replay(kpis.daily_kpis(_arrivals(m)), "daily", "complete")),
     "t03b_sliding_kpis": _q(lambda m: runner.replay(kpis.sliding_kpis(_arrivals(m)), "sliding", "complete")),
     "t04_failure_streaks": _q(lambda m: runner.replay(kpis.failure_streaks(_arrivals(m)), "streaks")),
+    "t04b_failure_streaks_by_batch": _q(_streaks_by_batch),
     "t05_cooldown": _throttled,
+    "t05b_cooldown_by_batch": _throttled_by_batch,
     "t06_escalation": _escalated,
     "t07_repeated_critical": _repeated,
     "t08_threshold_alerts": _q(

@@ -17,7 +17,10 @@ THROTTLE_OUTPUT = "alert_id long, alert_type string, entity string, severity str
 
 
 def throttle_stream(alerts: DataFrame, cfg: SlaConfig = SlaConfig()) -> DataFrame:
-    """Alerts that fire, from one number of state per key: when it last fired."""
+    """Alerts that fire, from one number of state per key: when it last fired.
+
+    For small micro-batches; backlogs and hot keys take ``carried.throttle_step``.
+    """
 
     class Cooldown(StatefulProcessor):
         def init(self, handle: StatefulProcessorHandle) -> None:

@@ -1,11 +1,13 @@
 import datetime as dt
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from dockside.config import SlaConfig
 from dockside.operators import cooldown, otif, sequences
 from dockside.plans.staging import fresh_path
-from dockside.streaming import alerts, kpis, runner
+from dockside.streaming import alerts, carried, kpis, runner
 from micro import day
 from test_alert_handling import ALERT, ACK, at
 
@@ -101,3 +103,45 @@ def test_line_level_stream_equals_batch(spark, small_model):
     out = runner.replay(stream, "dl")
     assert out.exceptAll(otif.line_level(t)).count() == 0 and out.count() == small_model.line_level.count()
     assert out.agg(F.sum("is_otif")).first()[0] > 0
+
+
+def carried_in_steps(spark, df, parts, schema, step, label):
+    source, folder = fresh_path(spark, f"{label}-in"), fresh_path(spark, label)
+    for part in parts:
+        df.where(part).coalesce(1).write.mode("append").parquet(source)
+        carried.run(spark.readStream.schema(df.schema).parquet(source), folder, schema, step)
+    return spark.read.parquet(f"{folder}/out")
+
+
+@pytest.mark.parametrize("limit", [10**6, 1])
+def test_carried_streaks_equal_batch(spark, small_model, limit):
+    ll = small_model.line_level
+    cuts = ["actual_delivery_date < date'1995-01-02'",
+            "actual_delivery_date >= date'1995-01-02' and actual_delivery_date < date'1995-01-04'",
+            "actual_delivery_date >= date'1995-01-04' and actual_delivery_date < date'2000-06-01'",
+            "actual_delivery_date >= date'2000-06-01'"]
+    got = carried_in_steps(spark, ll, cuts, carried.STREAKS, carried.streak_step(SlaConfig(max_group_rows=limit)), "cs")
+    want = sequences.consecutive_failures(ll)
+    cols = ["vendor_code", "actual_delivery_date", "delivery_rank", "failure_streak_label"]
+    assert want.select(*cols).exceptAll(got.select(*cols)).count() == 0 and got.count() == want.count()
+
+
+def test_carried_cooldown_equals_batch(spark):
+    rows = [(i, "X", "abb"[i % 3], "CRITICAL", at(70 * i)) for i in range(90)]
+    df = spark.createDataFrame(rows, ALERT)
+    got = carried_in_steps(spark, df, ["alert_id < 17", "alert_id >= 17 and alert_id < 18", "alert_id >= 18"],
+                           carried.FIRED, carried.throttle_step(), "ct")
+    want = cooldown.throttle(df)
+    assert sorted(r.alert_id for r in got.collect()) == sorted(r.alert_id for r in want.collect())
+
+
+def test_a_repeated_batch_changes_nothing(spark):
+    rows = [(i, "X", "a", "CRITICAL", at(200 * i)) for i in range(10)]
+    df = spark.createDataFrame(rows, ALERT)
+    folder = fresh_path(spark, "again")
+    act = carried.batch_action(carried.throttle_step(), carried.FIRED, folder)
+    act(df.where("alert_id < 5"), 0)
+    for _ in range(2):
+        act(df.where("alert_id >= 5"), 1)
+    fired = sorted(r.alert_id for r in spark.read.parquet(f"{folder}/out").collect())
+    assert fired == sorted(r.alert_id for r in cooldown.throttle(df).collect())
