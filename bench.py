@@ -85,7 +85,7 @@ def main() -> None:
         compare = {
             "hierarchy_rewritten": timed(lambda: run(otif.vendor_hierarchy(m.tables, m.line_level))),
             "hierarchy_plain_join": timed(lambda: run(plain_hierarchy(m))),
-            "running_costs_segments": timed(lambda: run(backorders.backorder_running_costs(m.tables))),
+            "running_costs_segments": timed(lambda: run(backorders.backorder_running_costs(m.tables, segments=int(cpus)))),
             "running_costs_one_window": timed(lambda: run(plain_running_costs(m))),
             "summary_line_level_shared": timed(lambda: run(FulfilmentModel.for_snapshots(m.tables).alert_summary)),
             "summary_line_level_rebuilt": timed(lambda: run(FulfilmentModel(m.tables).alert_summary)),

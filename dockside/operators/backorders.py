@@ -24,8 +24,10 @@ def backorder_running_costs(
 ) -> DataFrame:
     """Cumulative and trailing backorder cost over one global time order.
 
-    The order has no partition key, so the running sums are always built from
-    range segments plus the totals in front of each segment.
+    The order has no partition key.  While the rows are few (measured against
+    ``max_group_rows``) one task sorts them; beyond that, or with ``segments``
+    given, the sums are built from range segments plus the totals in front of
+    each segment.
     """
     cost = F.round(F.col("backorder_qty") * F.col("unit_price"), 2)
     base = costed(t).select(
@@ -37,7 +39,7 @@ def backorder_running_costs(
     run = ordered_columns(
         base, [],
         [("backorder_date", True), ("backorder_id", True), ("delivery_line_id", True)],
-        max_group_rows=0,
+        max_group_rows=0 if segments else cfg.max_group_rows,
         segments=segments,
         running={"open_so_far": ("open_cost", "sum"), "total_so_far": ("backorder_cost", "sum")},
         trailing={"last_7": ("backorder_cost", 7)},

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from dockside.config import SlaConfig
 from dockside.operators import (
-    alerts, cooldown, dashboard, dwell, erp, measures, otif, quality, routing, security, sequences,
+    alerts, backorders, cooldown, dashboard, dwell, erp, measures, otif, quality, routing, security, sequences,
 )
 from dockside.plans.model import FulfilmentModel
 from dockside.plans.staging import fresh_path, stage
@@ -96,6 +96,10 @@ VIEWS: dict[str, Query] = {
     "v10_dwell_times": _q(lambda m: m.dwell_times),
     "v11_dwell_time_trends": _q(lambda m: m.dwell_time_trends),
     "v12_backorder_running_costs": _q(lambda m: m.backorder_running_costs),
+    # The same sums as a table too large for one task takes them.
+    "v12b_backorder_running_costs_segments": _q(
+        lambda m: backorders.backorder_running_costs(m.tables, m.cfg, segments=8)
+    ),
     "v13_order_state_sequence": _q(lambda m: m.order_state_sequence),
     "v14_alert_otif_below_threshold": _q(lambda m: m.alert_otif),
     "v14b_alert_otif_vendor_targets": _q(_own_targets),

@@ -156,3 +156,5 @@ VIEWS = {
         "SELECT vendor_code, count(*) AS failures FROM ll WHERE is_otif = 0 GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 5"
     ),
 }
+
+VIEWS["v12b_backorder_running_costs_segments"] = VIEWS["v12_backorder_running_costs"]
