@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from dockside.config import SlaConfig
-from dockside.functions.exprs import at_least, banded, below, round_to
+from dockside.functions.exprs import banded, below, round_to
 from dockside.operators.backorders import vendor_backorder_totals
 from dockside.tables import Tables
 

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from dockside.config import SlaConfig
-from dockside.functions.exprs import at_least, banded, below, days, divide, pct2, week_of
+from dockside.functions.exprs import at_least, below, days, divide, pct2, week_of
 from dockside.operators import measures as m
 from dockside.operators.backorders import open_backorders
 from dockside.operators.measures import Slice

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from dockside.config import SlaConfig
 from dockside.functions.exprs import banded, below, divide
