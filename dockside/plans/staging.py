@@ -1,33 +1,22 @@
-"""Intermediate tables written to the cluster's shared folder.
+"""Intermediate tables written to a folder that driver and executors share.
 
 A staged table cuts lineage and outlives lost executors: a reader never has
 to replay the joins behind it.  The folder is the one named by
-``spark.checkpoint.dir``; only a local session without that setting gets a
-scratch folder of its own.
+``spark.checkpoint.dir``; where that is unset it lies in the session's
+warehouse, which a cluster shares as well.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_dirs: dict[str, str] = {}
-
 
 def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    sc = spark.sparkContext
-    if not sc.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    app = sc.applicationId
-    if app not in _local_dirs:
-        _local_dirs[app] = tempfile.mkdtemp(prefix="dockside-")
-    return _local_dirs[app]
+    return (configured or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
