@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dockside.llm import packing, quality
+from dockside.llm import packing, quality, simhash
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,9 +19,15 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.cluster(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.hex_digits(found.fp).alias("fingerprint"), "component_id")
+
+
 QUERIES = {
     "op3_quality": op3_quality,
     "op4_packing": op4_packing,
+    "op7_simhash": op7_simhash,
 }
 
 ORACLES: dict[str, str] = {}
