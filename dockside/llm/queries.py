@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dockside.llm import decontaminate, packing, quality, secrets, simhash
+from dockside.llm import (
+    decontaminate, lm_score, packing, quality, secrets, sharding, simhash, url_rules, weak_rules,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +25,10 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weak_rules.judge(table(spark, sf_dir, "documents"))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -32,12 +38,28 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_digits(found.fp).alias("fingerprint"), "component_id")
 
 
+def op8_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_rules.judge(table(spark, sf_dir, "pages"), url_rules.rule_table(spark))
+
+
+def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.cross_entropy_difference(table(spark, sf_dir, "documents"), table(spark, sf_dir, "conversations"))
+
+
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.place(table(spark, sf_dir, "documents").select("doc_id"), sharding.shard_names())
+
+
 QUERIES = {
     "op2_secrets": op2_secrets,
     "op3_quality": op3_quality,
     "op4_packing": op4_packing,
+    "op5_quality_rules": op5_quality_rules,
     "op6_decontamination": op6_decontamination,
     "op7_simhash": op7_simhash,
+    "op8_url_rules": op8_url_rules,
+    "op9_lm_score": op9_lm_score,
+    "op10_sharding": op10_sharding,
 }
 
 ORACLES: dict[str, str] = {}
