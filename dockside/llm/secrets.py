@@ -21,6 +21,8 @@ from re import _constants as _c, _parser
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from dockside.llm.columns import free_names
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -152,23 +154,24 @@ def _is(kind: str) -> Callable[[Column], Column]:
     return lambda s: s.kind == kind
 
 
-def find(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """All columns of ``docs``, and ``__spans``: array of (start, rank of the kind, end, kind), ascending."""
+def find(docs: DataFrame, spans: str = "spans", rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """``docs`` with a column ``spans`` of a name it has not: array of (start, rank of the kind, end, kind), ascending."""
     queries = {r.kind: trigram_query(r.pattern) for r in rules}
     indexed = {k: q for k, q in queries.items() if all(q)}
-    found = candidates(docs, indexed).select(F.col("doc_id").alias("__id"), F.col("rules").alias("__rules"))
-    joined = docs.join(found, F.col("doc_id").eqNullSafe(F.col("__id")), "left")
+    id_, kinds = free_names(docs, "id_", "rules_")
+    found = candidates(docs, indexed).select(F.col("doc_id").alias(id_), F.col("rules").alias(kinds))
+    joined = docs.join(found, F.col("doc_id").eqNullSafe(F.col(id_)), "left")
     text = F.coalesce(F.col("text"), F.lit(""))
     none = F.array().cast("array<struct<start:int,rank:int,end:int,kind:string>>")
     each = []
     for rank, rule in enumerate(rules):
         if rule.kind in indexed:
-            verify = F.coalesce(F.array_contains("__rules", rule.kind), F.lit(False))
+            verify = F.coalesce(F.array_contains(kinds, rule.kind), F.lit(False))
         else:
             verify = text.rlike(rule.pattern)
-        spans = F.transform(_spans(text, rule), _ranked(rank, rule.kind))
-        each.append(F.when(verify, spans).otherwise(none))
-    return joined.withColumn("__spans", F.array_sort(F.concat(*each))).drop("__id", "__rules")
+        found_here = F.transform(_spans(text, rule), _ranked(rank, rule.kind))
+        each.append(F.when(verify, found_here).otherwise(none))
+    return joined.withColumn(spans, F.array_sort(F.concat(*each))).drop(id_, kinds)
 
 
 def spans_text(spans: Column) -> Column:
@@ -186,29 +189,29 @@ def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, *, mask: str = REDA
         touches = (F.size(acc) > 0) & (s.start <= F.try_element_at(acc, F.lit(-1)).end)
         return F.when(touches, F.array_append(F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))), wider)).otherwise(F.array_append(acc, own))
 
-    marked = find(docs, rules).withColumn("__spans", F.aggregate("__spans", none, merge))
+    spans, clean = free_names(docs, "spans_", "clean_")
+    marked = find(docs, spans, rules).withColumn(spans, F.aggregate(spans, none, merge))
     text = F.col("text")
     built = F.aggregate(
-        "__spans",
+        spans,
         F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
         lambda acc, s: F.struct(
             s.end.alias("at"), F.concat(acc.out, F.substring(text, acc.at + 1, s.start - acc.at), F.lit(mask)).alias("out")
         ),
         lambda acc: F.concat(acc.out, F.substring(text, acc.at + 1, F.length(text))),
     )
-    clean = F.when(F.size("__spans") > 0, built).otherwise(text)
-    out = marked.withColumn("__clean", clean)
-    columns = {"text": F.col("__clean")}
+    out = marked.withColumn(clean, F.when(F.size(spans) > 0, built).otherwise(text))
+    columns = {"text": F.col(clean)}
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        columns["n_chars"] = F.when(F.size("__spans") > 0, F.length("__clean").cast(kind)).otherwise(F.col("n_chars"))
+        columns["n_chars"] = F.when(F.size(spans) > 0, F.length(clean).cast(kind)).otherwise(F.col("n_chars"))
     return out.select(*(columns[c].alias(c) if c in columns else F.col(f"`{c}`") for c in docs.columns))
 
 
 def digest(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """doc_id, counts of the base kinds, hash of the base spans, and all spans as text."""
     base = [r.kind for r in rules if r.base]
-    found = find(docs.select("doc_id", "text"), rules).select("doc_id", F.col("__spans").alias("s"))
+    found = find(docs.select("doc_id", "text"), "s", rules).select("doc_id", "s")
     of_base = F.filter("s", lambda x: x.kind.isin(base))
     counts = [F.size(F.filter("s", _is(k))).cast("long").alias(f"n_{k}") for k in base]
     return found.select("doc_id", *counts, F.sha2(spans_text(of_base), 256).alias("base_sha256"), spans_text(F.col("s")).alias("spans"))

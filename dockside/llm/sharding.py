@@ -16,6 +16,8 @@ import hashlib
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from dockside.llm.columns import free_names
+
 TABLE_SIZE = 65_537
 SHARDS = 64
 #: Pieces that a shard's rows are written by, so no task writes a whole shard.
@@ -54,18 +56,19 @@ def place(df: DataFrame, shards: list[str], *, key: str = "doc_id", size: int =
     """``df`` with ``slot`` (long) and ``shard`` (string); columns of these names are replaced."""
     spark: SparkSession = df.sparkSession
     rows = [(slot, shards[k]) for slot, k in enumerate(lookup_table(shards, size).tolist())]
-    table = spark.createDataFrame(rows, "__slot long, __shard string")
-    slot = F.pmod(F.xxhash64(F.col(key)), F.lit(size))
-    found = df.withColumn("__of", slot).join(F.broadcast(table), F.col("__of") == F.col("__slot"))
-    own = [F.col(f"`{c}`") for c in df.columns if c not in ("slot", "shard")]
-    return found.select(*own, F.col("__slot").alias("slot"), F.col("__shard").alias("shard"))
+    at, slot, shard = free_names(df, "at_", "slot_", "shard_")
+    table = spark.createDataFrame(rows, f"{slot} long, {shard} string")
+    found = df.withColumn(at, F.pmod(F.xxhash64(F.col(key)), F.lit(size))).join(F.broadcast(table), F.col(at) == F.col(slot))
+    own = [F.col(f"`{c}`") for c in df.columns if c.lower() not in ("slot", "shard")]
+    return found.select(*own, F.col(slot).alias("slot"), F.col(shard).alias("shard"))
 
 
 def write_shards(df: DataFrame, path: str, shards: list[str], *, writers: int = WRITERS, **options) -> None:
     """Writes each shard's rows to a folder of its own; several tasks write one shard, dealt by the hash of the row."""
     placed = place(df, shards, **options)
-    dealt = placed.withColumn("__writer", F.pmod(F.xxhash64(*(f"`{c}`" for c in placed.columns)), F.lit(writers)))
-    dealt.repartition("shard", "__writer").drop("__writer", "slot").write.partitionBy("shard").parquet(path)
+    (writer,) = free_names(placed, "writer_")
+    dealt = placed.withColumn(writer, F.pmod(F.xxhash64(*(f"`{c}`" for c in placed.columns)), F.lit(writers)))
+    dealt.repartition("shard", writer).drop(writer, "slot").write.partitionBy("shard").parquet(path)
 
 
 def shard_names(n: int = SHARDS) -> list[str]:

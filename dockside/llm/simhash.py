@@ -20,6 +20,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
+from dockside.llm.columns import free_names
 from dockside.llm.components import components
 from dockside.plans.staging import stage
 
@@ -196,9 +197,11 @@ def class_components(prints: DataFrame, **options) -> DataFrame:
     classes = stage(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-classes")
     roots = components(link_edges(classes, **options)).withColumnRenamed("node", "fp")
     rooted = stage(classes.join(roots, "fp", "left"), "simhash-roots")
-    least = rooted.where("root is not null").groupBy("root").agg(F.min("first").alias("least"))
-    of_class = rooted.join(least, "root", "left").select(
-        "fp", F.coalesce("root", "fp").alias("root"), F.coalesce("least", "first").alias("component_id")
+    linked = rooted.where("root is not null")
+    least = linked.groupBy("root").agg(F.min("first").alias("component_id"))
+    # Classes without links stay out of the join, where they would all meet under the null root.
+    of_class = linked.join(least, "root").select("fp", "root", "component_id").unionByName(
+        rooted.where("root is null").select("fp", F.col("fp").alias("root"), F.col("first").alias("component_id"))
     )
     return stage(of_class, "simhash-components")
 
@@ -214,19 +217,18 @@ def keep_one(docs: DataFrame, **options) -> DataFrame:
     has none, one for each component.  Only rows whose id is null or repeated, few as a rule, are told apart by their
     fingerprints again.
     """
+    id_, fp, root, first = free_names(docs, "id_", "fp_", "root_", "first_")
     prints = stage(fingerprints(docs), "simhash")
     of_class = class_components(prints, **options)
     ids = prints.join(of_class, "fp").groupBy("doc_id").agg(
         F.count("*").alias("n"), F.bool_and(F.col("doc_id") == F.col("component_id")).alias("stays")
     )
-    ids = stage(ids.select(F.col("doc_id").alias("__id"), "n", "stays"), "simhash-ids")
-    odd = F.col("__id").isNull() | (F.col("n") > 1)
-    once = docs.where(F.col("doc_id").isNotNull()).join(
-        ids.where(odd | ~F.col("stays")), F.col("doc_id") == F.col("__id"), "left_anti"
-    )
-    again = docs.join(ids.where(odd), F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
-    again = again.withColumn("__fp", fingerprint_column("text")).join(
-        of_class.select(F.col("fp").alias("__fp"), F.col("root").alias("__root"), F.col("component_id").alias("__first")), "__fp"
-    )
-    again = again.where(F.col("doc_id").eqNullSafe(F.col("__first"))).dropDuplicates(["doc_id", "__root"])
-    return once.unionByName(again.select(*(f"`{c}`" for c in docs.columns)))
+    ids = stage(ids.select(F.col("doc_id").alias(id_), "n", "stays"), "simhash-ids")
+    odd = F.col(id_).isNull() | (F.col("n") > 1)
+    gone, again = ids.where(odd | ~F.col("stays")).select(id_), ids.where(odd).select(id_)
+    once = docs.where(F.col("doc_id").isNotNull()).join(gone, F.col("doc_id") == F.col(id_), "left_anti")
+    more = docs.join(again, F.col("doc_id").eqNullSafe(F.col(id_)), "left_semi")
+    of_class = of_class.select(F.col("fp").alias(fp), F.col("root").alias(root), F.col("component_id").alias(first))
+    more = more.withColumn(fp, fingerprint_column("text")).join(of_class, fp)
+    more = more.where(F.col("doc_id").eqNullSafe(F.col(first))).dropDuplicates(["doc_id", root])
+    return once.unionByName(more.select(*(f"`{c}`" for c in docs.columns)))
