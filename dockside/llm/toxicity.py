@@ -116,7 +116,7 @@ def draw_lexicon(rows: DataFrame, *, min_share: float = MIN_SHARE, min_lift: flo
             for text, label in zip(frame["text"], frame["label"]):
                 met[label > 0].update({t for w in set(_WORD.findall(text.lower())) for t in terms_of(w)} | {""})
         terms = [*met[True].keys() | met[False].keys()]
-        yield pd.DataFrame({"term": terms, "toxic": [met[True][t] for t in terms], "clean": [met[False][t] for t in terms]})
+        yield pd.DataFrame({"term": pd.Series(terms, dtype=object), "toxic": [met[True][t] for t in terms], "clean": [met[False][t] for t in terms]})
 
     counted = rows.select("text", "label").mapInPandas(count, "term string, toxic long, clean long")
     counted = stage(counted.groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")), "toxic-terms")
