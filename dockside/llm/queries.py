@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from dockside.llm.oracles import ORACLES as ORACLES
 from dockside.llm import (
     decontaminate, lm_score, packing, quality, secrets, sharding, simhash, toxicity, url_rules, weak_rules,
 )
@@ -66,5 +67,3 @@ QUERIES = {
     "op9_lm_score": op9_lm_score,
     "op10_sharding": op10_sharding,
 }
-
-ORACLES: dict[str, str] = {}
