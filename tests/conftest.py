@@ -2,23 +2,20 @@ import os
 import sys
 
 import pytest
-from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from dockside.session import build_session  # noqa: E402
+
 SMALL = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = (
-        SparkSession.builder.master("local[8]")
-        .appName("dockside-tests")
-        .config("spark.sql.shuffle.partitions", "4")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.ui.enabled", "false")
-        .config("spark.driver.memory", "8g")
-        .getOrCreate()
+def spark(tmp_path_factory):
+    session = build_session(
+        "dockside-tests", "local[8]", spark__sql__shuffle__partitions="4", spark__ui__enabled="false",
+        spark__driver__memory="8g", spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
+        spark__sql__adaptive__coalescePartitions__initialPartitionNum="8",
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

