@@ -45,12 +45,5 @@ class SlaConfig:
     repeat_critical_count: int = 2
     cooldown_hours: int = 6
     streak_cooldown_hours: int = 1
-    # Physical limit: the largest ordered group one task may hold.  Larger
-    # groups are cut into range segments (see plans/ordered.py).
-    max_group_rows: int = 2_000_000
-
     def but(self, **changes) -> "SlaConfig":
         return replace(self, **changes)
-    # The longest alert sequence of one key that is folded as an array; longer
-    # ones are chained by joins (see operators/cooldown.py).
-    max_fold_rows: int = 20_000

@@ -4,34 +4,29 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from dockside.config import SlaConfig
 from dockside.plans.ordered import ordered_columns
 from dockside.tables import Tables
 
-_LINE = ["order_number", "line_number"]
+LINE = ["order_number", "line_number"]
 
 
 def costed(t: Tables, backorders: DataFrame | None = None) -> DataFrame:
     """Backorders priced by the product of each matching delivery line."""
     source = t.backorders if backorders is None else backorders
     return source.join(
-        t.delivery_lines.select(*_LINE, "delivery_line_id", "sku"), _LINE
+        t.delivery_lines.select(*LINE, "delivery_line_id", "sku"), LINE
     ).join(t.products.select("sku", "unit_price"), "sku")
 
 
-def backorder_running_costs(
-    t: Tables, cfg: SlaConfig = SlaConfig(), *, segments: int | None = None
-) -> DataFrame:
+def backorder_running_costs(t: Tables, *, segments: int | None = None) -> DataFrame:
     """Cumulative and trailing backorder cost over one global time order.
 
-    The order has no partition key.  While the rows are few (measured against
-    ``max_group_rows``) one task sorts them; beyond that, or with ``segments``
-    given, the sums are built from range segments plus the totals in front of
-    each segment.
+    The order has no partition key, so the sums are built from range segments
+    plus the totals in front of each segment.
     """
     cost = F.round(F.col("backorder_qty") * F.col("unit_price"), 2)
     base = costed(t).select(
-        "backorder_id", "delivery_line_id", *_LINE, "product_id", "backorder_qty", "status",
+        "backorder_id", "delivery_line_id", *LINE, "product_id", "backorder_qty", "status",
         F.col("created_at").alias("backorder_date"),
         cost.alias("backorder_cost"),
         F.when(F.col("status") == "open", cost).otherwise(F.lit(0).cast("decimal(38,2)")).alias("open_cost"),
@@ -39,13 +34,12 @@ def backorder_running_costs(
     run = ordered_columns(
         base, [],
         [("backorder_date", True), ("backorder_id", True), ("delivery_line_id", True)],
-        max_group_rows=0 if segments else cfg.max_group_rows,
         segments=segments,
         running={"open_so_far": ("open_cost", "sum"), "total_so_far": ("backorder_cost", "sum")},
         trailing={"last_7": ("backorder_cost", 7)},
     )
     return run.select(
-        "backorder_id", *_LINE, "product_id", "backorder_qty", "backorder_cost", "backorder_date",
+        "backorder_id", *LINE, "product_id", "backorder_qty", "backorder_cost", "backorder_date",
         "status",
         F.round("open_so_far", 2).alias("cumulative_open_cost"),
         F.round("total_so_far", 2).alias("cumulative_total_cost"),
@@ -61,7 +55,7 @@ def vendor_backorder_totals(t: Tables) -> DataFrame:
     and per (order, vendor), and the shipment count weights the cost.
     """
     opened = t.backorders.where(F.col("status") == "open").select(
-        *_LINE, "backorder_id", "backorder_qty", "created_at"
+        *LINE, "backorder_id", "backorder_qty", "created_at"
     )
     per_order = (
         costed(t, opened)
@@ -93,42 +87,26 @@ def vendor_backorder_totals(t: Tables) -> DataFrame:
 
 def open_backorders(t: Tables) -> DataFrame:
     """Open backorders with sku, unit price and cost, one row each (price by order line)."""
-    return _priced(t, t.backorders.where(F.col("status") == "open"), "backorder_qty")
+    return price_lines(t, t.backorders.where(F.col("status") == "open"), "backorder_qty")
 
 
-def open_cost_by_line(t: Tables, recent: Column | None = None) -> DataFrame:
+def open_cost_by_line(t: Tables, backorders: DataFrame | None = None) -> DataFrame:
     """Open quantity, cost and count per order line.
 
     Quantities are summed before the price look-up, so an order line with very
-    many backorders reaches the joins as one row.  ``recent`` marks backorders
-    that also count towards ``cost_recent``.
+    many backorders reaches the joins as one row.
     """
-    marked = F.lit(False) if recent is None else recent
-    per_line = t.backorders.where(F.col("status") == "open").groupBy(*_LINE).agg(
-        F.sum("backorder_qty").alias("qty"),
-        F.sum(F.when(marked, F.col("backorder_qty")).otherwise(F.lit(0))).alias("qty_recent"),
-        F.count(F.lit(1)).alias("backorders"),
+    source = t.backorders if backorders is None else backorders
+    per_line = source.where(F.col("status") == "open").groupBy(*LINE).agg(
+        F.sum("backorder_qty").alias("qty"), F.count(F.lit(1)).alias("backorders"),
     )
-    price = F.coalesce("unit_price", F.lit(0))
-    return _priced(t, per_line, "qty").withColumn("cost_recent", F.col("qty_recent") * price)
+    return price_lines(t, per_line, "qty")
 
 
-def _priced(t: Tables, rows: DataFrame, quantity: str) -> DataFrame:
-    # An order line is unique, so the look-ups add no rows.
+def price_lines(t: Tables, rows: DataFrame, quantity: str) -> DataFrame:
+    """``rows`` with sku, unit price and cost of their order line; it is unique, so no row is added."""
     return (
-        rows.join(t.order_lines.select(*_LINE, "sku"), _LINE, "left")
+        rows.join(t.order_lines.select(*LINE, "sku"), LINE, "left")
         .join(t.products.select("sku", "unit_price"), "sku", "left")
         .withColumn("cost", F.coalesce(F.col(quantity) * F.col("unit_price"), F.lit(0)))
     )
-
-
-def line_shipments(t: Tables) -> DataFrame:
-    """Delivery lines with the vendor side of their shipment."""
-    return t.delivery_lines.select("shipment_number", *_LINE).join(
-        t.shipments.select("shipment_number", "vendor_code", "vendor_region"), "shipment_number"
-    )
-
-
-def line_vendors(t: Tables) -> DataFrame:
-    """The vendors that shipped an order line, one row per (line, vendor)."""
-    return line_shipments(t).select(*_LINE, "vendor_code", "vendor_region").distinct()

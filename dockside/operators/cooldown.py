@@ -1,16 +1,14 @@
 """At most one alert per key and cooldown period.
 
 Which alert may fire depends on the last one that *did*, so this is a chain:
-each fired alert points at the first alert a full period later.  A key of
-bounded size is folded over its sorted alerts.  For a larger key the chain is found by joins: every alert is linked to its successor, links are squared
+each fired alert points at the first alert a full period later.  The chain is
+found by joins: every alert is linked to its successor, links are squared
 (1, 2, 4, ... steps), and the set of fired alerts doubles its reach in every
 round, so the number of rounds is the logarithm of the chain's length.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from dockside.config import SlaConfig
@@ -36,47 +34,15 @@ def throttle(alerts: DataFrame, cfg: SlaConfig = SlaConfig()) -> DataFrame:
         ),
         "cooldown-nodes",
     )
-    sizes = stage(nodes.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n")), "cooldown-sizes")
-    limit = cfg.max_fold_rows
-    small = nodes.join(sizes.where(F.col("n") <= limit), KEY, "left_semi")
-    fired = _walked(small)
-    large = sizes.where(F.col("n") > limit)
-    if not large.isEmpty():
-        fired = fired.unionByName(_doubled(nodes.join(large, KEY, "left_semi")))
+    fired = _chained(nodes).select("alert_id")
     return alerts.join(fired, "alert_id", "left_semi").select(*alerts.columns)
 
 
-def _walked(nodes: DataFrame) -> DataFrame:
-    """Fold each key's alerts in time order, keeping those a period after the last kept."""
-    lines = nodes.groupBy(*KEY).agg(
-        F.sort_array(F.collect_list(F.struct("at", "alert_id"))).alias("line"),
-        F.first("period").alias("period"),
-    )
-    nothing = F.struct(
-        F.lit(None).cast("long").alias("last"), F.array().cast("array<long>").alias("kept")
-    )
-
-    def step(acc: Column, alert: Column) -> Column:
-        free = acc["last"].isNull() | (alert["at"] >= acc["last"] + F.col("period"))
-        fire = F.struct(
-            alert["at"].alias("last"),
-            F.concat(acc["kept"], F.array(alert["alert_id"])).alias("kept"),
-        )
-        return F.when(free, fire).otherwise(acc)
-
-    kept = F.aggregate("line", nothing, step, lambda acc: acc["kept"])
-    return lines.select(F.explode(kept).alias("alert_id"))
-
-
-def _doubled(nodes: DataFrame) -> DataFrame:
-    nodes = stage(nodes, "cooldown-large")
+def _chained(nodes: DataFrame) -> DataFrame:
+    """The nodes that the chain from each key's first alert reaches."""
     links = stage(_successors(nodes), "cooldown-links")
-    starts = nodes.groupBy(*KEY).agg(F.min("at").alias("at"))
-    reached = stage(starts, "cooldown-reached")
-    longest = nodes.groupBy(*KEY).agg(
-        ((F.max("at") - F.min("at")) / F.min("period")).alias("steps")
-    ).agg(F.max("steps")).first()[0]
-    for _ in range(max(1, math.ceil(math.log2(longest + 2)))):
+    reached = nodes.groupBy(*KEY).agg(F.min("at").alias("at"))
+    while not links.isEmpty():
         further = reached.join(links, [*KEY, "at"]).select(*KEY, F.col("to").alias("at"))
         reached = stage(reached.unionByName(further), "cooldown-reached")
         second = links.select(*KEY, F.col("at").alias("to"), F.col("to").alias("far"))
@@ -84,7 +50,7 @@ def _doubled(nodes: DataFrame) -> DataFrame:
             links.join(second, [*KEY, "to"]).select(*KEY, "at", F.col("far").alias("to")),
             "cooldown-links",
         )
-    return reached.join(nodes, [*KEY, "at"]).select("alert_id")
+    return nodes.join(reached, [*KEY, "at"], "left_semi")
 
 
 def _successors(nodes: DataFrame) -> DataFrame:
@@ -101,7 +67,7 @@ def _successors(nodes: DataFrame) -> DataFrame:
                           none.alias("alert_at"), F.col("at").alias("src"))
     merged = ordered_columns(
         marks.unionByName(probes), KEY, [("t", False), ("kind", True)],
-        max_group_rows=0, running={"to": ("alert_at", "min")},
+        running={"to": ("alert_at", "min")},
     )
     return merged.where(F.col("src").isNotNull() & F.col("to").isNotNull()).select(
         *KEY, F.col("src").alias("at"), "to"

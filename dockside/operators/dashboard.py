@@ -9,16 +9,16 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from dockside.config import SlaConfig
 from dockside.functions.exprs import at_least, below, days, divide, pct2, week_of
 from dockside.operators import measures as m
-from dockside.operators.backorders import open_backorders
+from dockside.operators.backorders import LINE, open_backorders
 from dockside.operators.measures import Slice
 from dockside.operators.sequences import failure_reason
 from dockside.plans.staging import stage
 from dockside.tables import Tables
 
 
-def kpi_row(t: Tables, as_of: dt.date, cfg: SlaConfig = SlaConfig()) -> DataFrame:
+def kpi_row(t: Tables, as_of: dt.date, cfg: SlaConfig = SlaConfig(), *, filters: dict | None = None) -> DataFrame:
     """One row with the five headline figures; "today" is ``as_of``."""
-    s = Slice()
+    s = Slice(filters=filters or {})
     age = F.datediff(F.lit(as_of), F.col("day"))
     recent = age.between(0, 6)
     one = lambda df, c: df.select(c).scalar()
@@ -53,9 +53,9 @@ def backorder_colour(cost: Column, cfg: SlaConfig) -> Column:
     )
 
 
-def colour_bands(t: Tables, cfg: SlaConfig = SlaConfig()) -> DataFrame:
+def colour_bands(t: Tables, cfg: SlaConfig = SlaConfig(), *, filters: dict | None = None) -> DataFrame:
     """Colours per vendor for its OTIF share and open backorder cost."""
-    s = Slice(("vendor_code",))
+    s = Slice(("vendor_code",), filters or {})
     share = m.line_counts(t, s, cfg).select("vendor_code", divide("otif", "lines").alias("otif_share"))
     cost = m.backorder_sums(t, s).select("vendor_code", "open_cost")
     return share.join(cost, "vendor_code", "left").select(
@@ -89,11 +89,12 @@ def delivery_calendar(t: Tables) -> DataFrame:
 
 
 def daily_deliveries(
-    t: Tables, as_of: dt.date, cfg: SlaConfig = SlaConfig(), *, back: int | None = None
+    t: Tables, as_of: dt.date, cfg: SlaConfig = SlaConfig(), *, back: int | None = None,
+    filters: dict | None = None,
 ) -> DataFrame:
     """Lines per calendar day, 7-day rolling share and the target line; idle days show zero."""
     first = as_of - dt.timedelta(days=cfg.lookback_days if back is None else back)
-    s = Slice(filters={"actual_delivery_date": (first - dt.timedelta(days=6), as_of)})
+    s = Slice(filters={**(filters or {}), "actual_delivery_date": (first - dt.timedelta(days=6), as_of)})
     daily = m.daily_counts(t, s, cfg)
     calendar = date_dimension(first - dt.timedelta(days=6), as_of, t.spark).select("day")
     # One row per calendar day.
@@ -111,12 +112,18 @@ def daily_deliveries(
 
 
 def vendor_week_heatmap(
-    t: Tables, as_of: dt.date, cfg: SlaConfig = SlaConfig(), *, top: int = 15, weeks: int = 13
+    t: Tables, as_of: dt.date, cfg: SlaConfig = SlaConfig(), *, top: int = 15, back: int | None = None,
+    filters: dict | None = None,
 ) -> DataFrame:
-    """Top vendors by volume against the last weeks; column w00 is the week of ``as_of``."""
+    """Top vendors by volume against the weeks of the last ``back`` days; column w00 is the week of ``as_of``.
+
+    There is a column for every calendar week that so many days can touch.
+    """
+    back = cfg.lookback_days if back is None else back
+    weeks = (back + 6) // 7 + 1
     monday = as_of - dt.timedelta(days=as_of.weekday())
-    first = monday - dt.timedelta(days=7 * (weeks - 1))
-    s = Slice(filters={"actual_delivery_date": (first, as_of)})
+    first = as_of - dt.timedelta(days=back)
+    s = Slice(filters={**(filters or {}), "actual_delivery_date": (first, as_of)})
     results = m.shipment_results(t, s, cfg)
     cells = results.groupBy(
         "vendor_code",
@@ -133,21 +140,21 @@ def vendor_week_heatmap(
     return wide.select("vendor_code", *[F.col(str(w)).alias(f"w{w:02d}") for w in range(weeks)])
 
 
-def vendor_gauge(t: Tables, vendor: str, cfg: SlaConfig = SlaConfig()) -> DataFrame:
-    rolled = m.rolling_calendar_days(t, Slice(filters={"vendor_code": vendor}), cfg)
+def vendor_gauge(t: Tables, vendor: str, cfg: SlaConfig = SlaConfig(), *, filters: dict | None = None) -> DataFrame:
+    rolled = m.rolling_calendar_days(t, Slice(filters={**(filters or {}), "vendor_code": vendor}), cfg)
     return rolled.select(
         F.lit(vendor).alias("vendor_code"), F.col("rolling_7d").alias("rolling_7d_otif"),
         F.lit(cfg.otif_target / 100).alias("target"), F.lit(1.0).alias("maximum"),
     )
 
 
-def backorder_treemap(t: Tables) -> DataFrame:
-    return m.backorder_sums(t, Slice(("vendor_code",))).select("vendor_code", "open_cost")
+def backorder_treemap(t: Tables, *, filters: dict | None = None) -> DataFrame:
+    return m.backorder_sums(t, Slice(("vendor_code",), filters or {})).select("vendor_code", "open_cost")
 
 
-def vendor_table(t: Tables, cfg: SlaConfig = SlaConfig()) -> DataFrame:
+def vendor_table(t: Tables, cfg: SlaConfig = SlaConfig(), *, filters: dict | None = None) -> DataFrame:
     """Vendors worst first: rolling share, volume, status, failures."""
-    s = Slice(("vendor_code",))
+    s = Slice(("vendor_code",), filters or {})
     results = stage(m.shipment_results(t, s, cfg), "shipment-results")
     rolled = m.rolling_calendar_days(t, s, cfg, results)
     failed = m.vendor_failures(t, s, cfg, results)
@@ -155,7 +162,7 @@ def vendor_table(t: Tables, cfg: SlaConfig = SlaConfig()) -> DataFrame:
     return (
         rolled.join(failed, "vendor_code", "left")
         .select(
-            "vendor_code", share.alias("rolling_7d_otif"), F.col("lines").alias("total_lines"),
+            "vendor_code", share.alias("rolling_7d_otif"), F.coalesce("lines", F.lit(0)).alias("total_lines"),
             m.compliance_status(m.compliance_score(share)).alias("sla_status"),
             F.col("value").alias("consecutive_failures"),
         )
@@ -163,10 +170,10 @@ def vendor_table(t: Tables, cfg: SlaConfig = SlaConfig()) -> DataFrame:
     )
 
 
-def carrier_table(t: Tables, cfg: SlaConfig = SlaConfig()) -> DataFrame:
+def carrier_table(t: Tables, cfg: SlaConfig = SlaConfig(), *, filters: dict | None = None) -> DataFrame:
     """Carriers worst first."""
     return (
-        m.line_counts(t, Slice(("carrier_code", "carrier_mode")), cfg)
+        m.line_counts(t, Slice(("carrier_code", "carrier_mode"), filters or {}), cfg)
         .where(F.col("carrier_code").isNotNull())
         .select(
             "carrier_code", "carrier_mode", divide("on_time", "lines").alias("on_time_share"),
@@ -176,8 +183,8 @@ def carrier_table(t: Tables, cfg: SlaConfig = SlaConfig()) -> DataFrame:
     )
 
 
-def region_rolling(t: Tables, cfg: SlaConfig = SlaConfig()) -> DataFrame:
-    return m.measure(t, "rolling_7d_otif", ["vendor_region"], cfg=cfg)
+def region_rolling(t: Tables, cfg: SlaConfig = SlaConfig(), *, filters: dict | None = None) -> DataFrame:
+    return m.measure(t, "rolling_7d_otif", ["vendor_region"], filters, cfg=cfg)
 
 
 def active_alerts_by_severity(summary: DataFrame, as_of: dt.date, *, back: int = 7) -> DataFrame:
@@ -244,35 +251,38 @@ def failure_breakdown(ll: DataFrame) -> DataFrame:
     )
 
 
-def open_backorder_list(t: Tables) -> DataFrame:
+def _sliced_open(t: Tables, filters: dict | None) -> DataFrame:
+    """Open backorders of the order lines that a shipment of the slice carried; all without slicers."""
+    opened = open_backorders(t)
+    if not filters:
+        return opened
+    return opened.join(m.line_slices(t, Slice(filters=filters), opened), LINE, "left_semi")
+
+
+def open_backorder_list(t: Tables, *, filters: dict | None = None) -> DataFrame:
     """Open backorders with every vendor that shipped the line."""
-    line = ["order_number", "line_number"]
-    listed = open_backorders(t).select(
-        "backorder_id", *line, "sku", "backorder_qty", "cost", "estimated_fill_date"
+    listed = _sliced_open(t, filters).select(
+        "backorder_id", *LINE, "sku", "backorder_qty", "cost", "estimated_fill_date"
     )
-    shipped = t.delivery_lines.select("shipment_number", *line)
-    vendors = t.shipments.select("shipment_number", "vendor_code")
-    return (
-        listed.join(shipped, line, "left")
-        .join(vendors, "shipment_number", "left")
-        .select("backorder_id", "vendor_code", "sku", "backorder_qty", "cost", "estimated_fill_date")
-        .distinct()
+    # One row per (line, vendor) before the backorders meet them, so none is repeated.
+    vendors = m.line_slices(t, Slice(("vendor_code",), filters or {}), listed)
+    return listed.join(vendors, LINE, "left").select(
+        "backorder_id", "vendor_code", "sku", "backorder_qty", "cost", "estimated_fill_date"
     )
 
 
-def cumulative_backorder_cost(t: Tables) -> DataFrame:
+def cumulative_backorder_cost(t: Tables, *, filters: dict | None = None) -> DataFrame:
     """Open cost per day and its running total (one row per day, so one small window)."""
-    daily = open_backorders(t).groupBy(F.to_date("created_at").alias("day")).agg(
+    daily = _sliced_open(t, filters).groupBy(F.to_date("created_at").alias("day")).agg(
         F.sum("cost").alias("cost")
     )
     upto = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return daily.select("day", "cost", F.sum("cost").over(upto).alias("cumulative_cost"))
 
 
-def days_open(t: Tables, as_of: dt.date) -> DataFrame:
+def days_open(t: Tables, as_of: dt.date, *, filters: dict | None = None) -> DataFrame:
     """Average age of open backorders on ``as_of``."""
-    opened = t.backorders.where(F.col("status") == "open")
-    return opened.agg(
+    return _sliced_open(t, filters).agg(
         F.avg(days(F.to_date("created_at"), F.lit(as_of))).alias("avg_days_open"),
         F.count(F.lit(1)).alias("open_backorders"),
     )

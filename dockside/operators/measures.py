@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from dockside.config import SlaConfig
 from dockside.functions.exprs import at_least, banded, days, divide, flag
-from dockside.operators.backorders import line_vendors, open_cost_by_line
+from dockside.operators.backorders import LINE, open_cost_by_line, price_lines
 from dockside.plans.ordered import same_keys
 from dockside.plans.staging import stage
 from dockside.tables import Tables
@@ -28,18 +28,28 @@ SLICES = [
 
 @dataclass(frozen=True)
 class Slice:
-    """Grouping columns, slicer predicates and the day to look from."""
+    """Grouping columns, slicer predicates and the day to look from.
+
+    With ``as_of`` only shipments delivered, backorders created and orders
+    placed by the end of that day count.  ``narrowed`` says that the tables
+    themselves were cut down, so orders and backorders must follow shipments.
+    """
 
     by: tuple[str, ...] = ()
     filters: dict = field(default_factory=dict)
     as_of: dt.date | None = None
+    narrowed: bool = False
+
+    @property
+    def sliced(self) -> bool:
+        return bool(self.by or self.filters or self.narrowed)
 
 
 def slicer(df: DataFrame, filters: dict) -> DataFrame:
     """Apply {column: value | list of values | (low, high)}; None means open."""
     for name, want in filters.items():
-        if name not in df.columns:
-            continue
+        if name not in SLICES:
+            raise ValueError(f"no slicer {name!r}; there are {', '.join(SLICES)}")
         c = F.col(name)
         if isinstance(want, tuple):
             low, high = want
@@ -55,27 +65,35 @@ def slicer(df: DataFrame, filters: dict) -> DataFrame:
 
 
 def sliced_shipments(t: Tables, s: Slice) -> DataFrame:
-    return slicer(t.shipments, s.filters)
+    shipments = slicer(t.shipments, s.filters)
+    return shipments if s.as_of is None else shipments.where(F.col("actual_delivery_date") <= F.lit(s.as_of))
+
 
+def created_by(backorders: DataFrame, s: Slice) -> DataFrame:
+    """The backorders there were at the end of the day looked from."""
+    if s.as_of is None:
+        return backorders
+    return backorders.where(F.col("created_at") < F.lit(s.as_of + dt.timedelta(days=1)))
 
-def shipment_results(t: Tables, s: Slice, cfg: SlaConfig) -> DataFrame:
-    """Line counts per shipment: all, on time, in full and both.
+
+def shipment_results(t: Tables, s: Slice, cfg: SlaConfig, shipments: DataFrame | None = None) -> DataFrame:
+    """Line counts per shipment: all, on time, in full and both; of some ``shipments`` or of the slice's.
 
     Whether a line is in full depends on its order line, whether it is on time
     only on its shipment.  Lines are therefore counted per shipment before
     they meet the shipments and orders.  Blanks count as zero, and lines
     without a shipment stay in the count unless a slicer narrows it.
     """
-    headers = sliced_shipments(t, s).select("shipment_number", "order_number", *SLICES).join(
+    narrowed = bool(s.filters) or s.as_of is not None or shipments is not None
+    shipments = sliced_shipments(t, s) if shipments is None else shipments
+    headers = shipments.select("shipment_number", "order_number", *SLICES).join(
         t.orders.select("order_number", "requested_delivery_date"), "order_number", "left"
     ).drop("order_number")
     delivered = t.delivery_lines.select(
         "shipment_number", "order_number", "line_number", "delivered_qty", "damage_qty"
     )
-    narrowed = any(c in t.shipments.columns for c in s.filters)
     if narrowed:
-        wanted = sliced_shipments(t, s).select("shipment_number")
-        delivered = delivered.join(wanted, "shipment_number", "left_semi")
+        delivered = delivered.join(shipments.select("shipment_number"), "shipment_number", "left_semi")
     ordered = t.order_lines.select("order_number", "line_number", "ordered_qty")
     zero = lambda c: F.coalesce(F.col(c), F.lit(0))
     moved = F.col("delivered_qty") > 0
@@ -115,30 +133,60 @@ def daily_counts(t: Tables, s: Slice, cfg: SlaConfig, results: DataFrame | None
     return rows.groupBy(*by, F.col("actual_delivery_date").alias("day")).agg(*_sums())
 
 
+def last_days(t: Tables, s: Slice) -> DataFrame:
+    """The day each slice is looked at from: its newest shipment's, or ``as_of``; a narrow scan."""
+    dated = sliced_shipments(t, s).where(F.col("actual_delivery_date").isNotNull())
+    newest = F.max("actual_delivery_date") if s.as_of is None else F.max(F.lit(s.as_of))
+    return dated.groupBy(*s.by).agg(newest.alias("top"))
+
+
+def _recent_shipments(t: Tables, s: Slice, tops: DataFrame, span: int) -> DataFrame:
+    """Shipments of the last ``span`` days of each slice; the earliest day of any is a bound on the scan."""
+    first = tops.agg(F.date_sub(F.min("top"), span - 1)).scalar()
+    shipments = sliced_shipments(t, s).where(F.col("actual_delivery_date") >= first)
+    if not s.by:
+        return shipments
+    kept = shipments.alias("x").join(
+        tops.alias("t"),
+        same_keys("x", "t", list(s.by)) & (F.col("x.actual_delivery_date") > F.date_sub("t.top", span)), "left_semi",
+    )
+    return kept.select(*t.shipments.columns)
+
+
 def rolling_calendar_days(
     t: Tables, s: Slice, cfg: SlaConfig, results: DataFrame | None = None
 ) -> DataFrame:
-    """Totals and 7- and 30-calendar-day OTIF shares up to the slice's last day, and the 7 days before."""
+    """7- and 30-calendar-day OTIF shares up to the slice's last day, and the 7 days before.
+
+    The last day is that of the newest shipment, with lines or without.  Given
+    ``results`` of all shipments, their totals come along; otherwise only the
+    last 30 days of each slice are read.
+    """
+    if "actual_delivery_date" in s.by:
+        raise ValueError("rolling figures span days, so they can't be sliced by day")
+    tops = last_days(t, s)
+    if results is None:
+        results = shipment_results(t, s, cfg, _recent_shipments(t, s, tops, 30))
     daily = daily_counts(t, s, cfg, results)
-    if s.as_of is not None:
-        daily = daily.where(F.col("day") <= F.lit(s.as_of))
-        top = F.lit(s.as_of)
+    if s.by:
+        rows = tops.alias("t").join(daily.alias("d"), same_keys("t", "d", list(s.by)), "left").select(
+            *[F.col(f"t.{c}") for c in s.by], "t.top", "d.day", "d.lines", "d.on_time", "d.in_full", "d.otif"
+        )
     else:
-        top = F.max("day").over(Window.partitionBy(*s.by))
+        rows = daily.withColumn("top", tops.select("top").scalar())
     age = F.datediff(F.col("top"), F.col("day"))
 
     def share(first: int, last: int) -> Column:
         inside = age.between(first, last)
         return divide(F.sum(F.when(inside, F.col("otif"))), F.sum(F.when(inside, F.col("lines"))))
 
-    out = daily.withColumn("top", top).groupBy(*s.by).agg(
+    return rows.groupBy(*s.by).agg(
         *_sums(),
         F.max("top").alias("last_day"),
         share(0, 6).alias("rolling_7d"),
         share(0, 29).alias("rolling_30d"),
         share(7, 13).alias("previous_7d"),
     )
-    return out.where(F.col("last_day").isNotNull()) if s.by else out
 
 
 def vendor_failures(
@@ -147,29 +195,25 @@ def vendor_failures(
     """Failed shipments among each vendor's most recent ones, ties included.
 
     Works on one row per (vendor, day): a day belongs to the recent set when
-    fewer than ``recent`` shipments came after it.
+    fewer than ``recent`` shipments came after it.  Only the lines of the
+    shipments of those days are read.
     """
-    rows = shipment_results(t, s, cfg) if results is None else results
     shipped = sliced_shipments(t, s).where(F.col("actual_delivery_date").isNotNull())
-    daily = (
-        shipped.select("shipment_number", "vendor_code", "actual_delivery_date")
-        .join(rows.select("shipment_number", "otif"), "shipment_number", "left")
-        .groupBy("vendor_code", "actual_delivery_date")
-        .agg(
-            F.count(F.lit(1)).alias("shipments"),
-            F.sum(flag(F.coalesce(F.col("otif"), F.lit(0)) == 0)).alias("failed"),
-        )
-    )
+    daily = shipped.groupBy("vendor_code", "actual_delivery_date").agg(F.count(F.lit(1)).alias("shipments"))
     newer = (
         Window.partitionBy("vendor_code").orderBy(F.desc("actual_delivery_date"))
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     after = F.coalesce(F.sum("shipments").over(newer), F.lit(0))
+    days_kept = daily.withColumn("after", after).where(F.col("after") < recent)
+    on = [F.col(f"x.{c}").eqNullSafe(F.col(f"k.{c}")) for c in ("vendor_code", "actual_delivery_date")]
+    kept = shipped.alias("x").join(days_kept.alias("k"), on, "left_semi").select(*t.shipments.columns)
+    rows = shipment_results(t, s, cfg, kept) if results is None else results
     return (
-        daily.withColumn("after", after)
-        .where(F.col("after") < recent)
+        kept.select("shipment_number", "vendor_code")
+        .join(rows.select("shipment_number", "otif"), "shipment_number", "left")
         .groupBy("vendor_code")
-        .agg(F.sum("failed").alias("value"))
+        .agg(F.sum(flag(F.coalesce(F.col("otif"), F.lit(0)) == 0)).alias("value"))
     )
 
 
@@ -190,28 +234,60 @@ def vendor_streak(ll: DataFrame) -> DataFrame:
     )
 
 
+def line_slices(t: Tables, s: Slice, lines: DataFrame) -> DataFrame:
+    """The slices of each order line in ``lines``: those of every shipment that carried it, each once."""
+    carried = t.delivery_lines.select("shipment_number", *LINE).join(lines.select(*LINE), LINE, "left_semi")
+    slices = sliced_shipments(t, s).select("shipment_number", *s.by)
+    return carried.join(slices, "shipment_number").select(*LINE, *s.by).distinct()
+
+
 def backorder_sums(t: Tables, s: Slice) -> DataFrame:
-    """Open cost, open count and the cost of the last seven days, per slice."""
-    newest = t.backorders.agg(F.max("created_at")).first()[0]
-    recent = None
-    if newest is not None:
-        recent = F.col("created_at") >= F.lit(newest - dt.timedelta(days=6))
-    lines = open_cost_by_line(t, recent)
-    if s.by or s.filters:
-        who = slicer(line_vendors(t), s.filters)
-        keys = list(dict.fromkeys(["order_number", "line_number", *s.by]))
-        lines = lines.join(who.select(*keys).distinct(), ["order_number", "line_number"])
+    """Open cost and open count per slice."""
+    lines = open_cost_by_line(t, created_by(t.backorders, s))
+    if s.sliced:
+        lines = lines.join(line_slices(t, s, lines), LINE)
     return lines.groupBy(*s.by).agg(
         F.coalesce(F.sum("cost"), F.lit(0)).alias("open_cost"),
         F.coalesce(F.sum("backorders"), F.lit(0)).alias("open_count"),
-        F.coalesce(F.sum("cost_recent"), F.lit(0)).alias("cost_7d"),
+    )
+
+
+def recent_backorder_cost(t: Tables, s: Slice) -> DataFrame:
+    """Cost of the open backorders of the seven days up to the slice's newest backorder, open or not."""
+    known = created_by(t.backorders, s)
+    newest = known.groupBy(*LINE).agg(F.max("created_at").alias("newest"))
+    if s.sliced:
+        slices = line_slices(t, s, newest)
+        newest = newest.join(slices, LINE)
+    tops = newest.groupBy(*s.by).agg((F.max("newest") - F.expr("INTERVAL 6 DAYS")).alias("since"))
+    opened = known.where(F.col("status") == "open")
+    if not s.by:
+        if s.sliced:
+            opened = opened.join(slices, LINE, "left_semi")
+        inside = opened.where(F.col("created_at") >= tops.select("since").scalar())
+        lines = open_cost_by_line(t, inside.select(*t.backorders.columns))
+        return lines.agg(F.coalesce(F.sum("cost"), F.lit(0)).alias("cost_7d"))
+    # A line's backorders are summed for each day its slices look back to, before the price look-up.
+    since = slices.alias("l").join(tops.alias("t"), same_keys("l", "t", list(s.by))).select(
+        *[F.col(f"l.{c}") for c in LINE], "since"
+    ).distinct()
+    recent = opened.join(since, LINE).where(F.col("created_at") >= F.col("since")).groupBy(*LINE, "since").agg(
+        F.sum("backorder_qty").alias("qty")
+    )
+    priced = price_lines(t, recent, "qty").select(*LINE, "since", "cost")
+    of_slice = slices.alias("l").join(tops.alias("t"), same_keys("l", "t", list(s.by))).select(
+        *[F.col(f"l.{c}") for c in [*LINE, *s.by]], "since"
+    )
+    return of_slice.join(priced, [*LINE, "since"], "left").groupBy(*s.by).agg(
+        F.coalesce(F.sum("cost"), F.lit(0)).alias("cost_7d"),
     )
 
 
 def order_figures(t: Tables, s: Slice) -> DataFrame:
     """Distinct orders and their value; a sliced order counts once per slice."""
-    orders = t.orders.select("order_number", "total_value")
-    if s.by or s.filters:
+    orders = t.orders if s.as_of is None else t.orders.where(F.col("order_date") <= F.lit(s.as_of))
+    orders = orders.select("order_number", "total_value")
+    if s.sliced:
         keys = list(dict.fromkeys(["order_number", *s.by]))
         orders = orders.join(sliced_shipments(t, s).select(*keys).distinct(), "order_number")
     return orders.groupBy(*s.by).agg(
@@ -330,7 +406,7 @@ MEASURES: dict[str, Callable[[Tables, Slice, SlaConfig], DataFrame]] = {
     "max_consecutive_failures": _max_failures,
     "open_backorder_cost": _pick(_no_cfg(backorder_sums), "open_cost"),
     "open_backorder_count": _pick(_no_cfg(backorder_sums), "open_count"),
-    "rolling_7d_backorder_cost": _pick(_no_cfg(backorder_sums), "cost_7d"),
+    "rolling_7d_backorder_cost": _pick(_no_cfg(recent_backorder_cost), "cost_7d"),
     "backorder_to_revenue": _backorder_to_revenue,
     "avg_order_to_ship_days": _pick(_no_cfg(shipment_figures), "order_to_ship"),
     "avg_ship_to_delivery_days": _pick(_no_cfg(shipment_figures), "ship_to_delivery"),
@@ -356,7 +432,7 @@ def measure_table(t: Tables, s: Slice, cfg: SlaConfig = SlaConfig()) -> DataFram
     """All line, rolling and service-level measures of a slice from one pass over the lines."""
     share, change = F.col("rolling_7d"), F.col("rolling_7d") - F.col("previous_7d")
     target = F.lit(cfg.otif_target / 100)
-    return rolling_calendar_days(t, s, cfg).select(
+    return rolling_calendar_days(t, s, cfg, shipment_results(t, s, cfg)).select(
         *s.by, "lines", "on_time", "in_full", "otif",
         divide("otif", "lines").alias("otif_share"),
         divide("on_time", "lines").alias("on_time_share"),
@@ -388,7 +464,7 @@ def measure(
     status = filters.pop("sla_status", None)
     if status is not None:
         t = with_sla_status(t, [status] if isinstance(status, str) else status, cfg)
-    return MEASURES[name](t, Slice(tuple(by or ()), filters, as_of), cfg)
+    return MEASURES[name](t, Slice(tuple(by or ()), filters, as_of, status is not None), cfg)
 
 
 def with_sla_status(t: Tables, wanted: list[str], cfg: SlaConfig) -> Tables:

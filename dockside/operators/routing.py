@@ -86,7 +86,7 @@ def audit_rows(
     numbered = ordered_columns(
         alerts, [],
         [("alert_type", True), ("entity", True), ("event_date", True), ("metric_value", True)],
-        max_group_rows=0, rank="_n",
+        rank="_n",
     )
     region = F.lit(None).cast("string")
     if vendors is not None:
@@ -261,7 +261,7 @@ def repeated_critical(
     n, hours = cfg.repeat_critical_count, cfg.repeat_window_hours
     seq = ordered_columns(
         alerts.where(F.col("severity") == "CRITICAL"), scope, [("ts", True), ("alert_id", True)],
-        max_group_rows=cfg.max_group_rows, lags={"nth_before": ("ts", n - 1)},
+        lags={"nth_before": ("ts", n - 1)},
     )
     near = F.col("nth_before") >= F.col("ts") - F.expr(f"INTERVAL {hours} HOURS")
     return seq.where(near).drop("nth_before")

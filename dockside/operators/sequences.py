@@ -13,9 +13,7 @@ from dockside.plans.ordered import ordered_columns
 from dockside.tables import Tables
 
 
-def consecutive_failures(
-    ll: DataFrame, cfg: SlaConfig = SlaConfig(), *, staged: bool = False
-) -> DataFrame:
+def consecutive_failures(ll: DataFrame) -> DataFrame:
     """Every failed line with the length class of the streak it closes."""
     lines = ll.select(
         "vendor_code", "actual_delivery_date", "shipment_number", "line_number",
@@ -23,8 +21,6 @@ def consecutive_failures(
     )
     ranked = ordered_columns(
         lines, ["vendor_code"], LINE_KEY,
-        max_group_rows=cfg.max_group_rows,
-        staged=staged,
         rank="delivery_rank",
         lags={"back_1": ("is_otif", 1), "back_2": ("is_otif", 2), "back_3": ("is_otif", 3)},
     )
@@ -50,17 +46,13 @@ def failure_reason(late, short):
     )
 
 
-def failures_lead(
-    ll: DataFrame, cfg: SlaConfig = SlaConfig(), *, staged: bool = False
-) -> DataFrame:
+def failures_lead(ll: DataFrame) -> DataFrame:
     """Every line with a forward look at the vendor's next two."""
     lines = ll.select(
         "vendor_code", "actual_delivery_date", "shipment_number", "line_number", "is_otif"
     )
     ahead = ordered_columns(
         lines, ["vendor_code"], LINE_KEY,
-        max_group_rows=cfg.max_group_rows,
-        staged=staged,
         leads={"next_delivery_otif": ("is_otif", 1), "next_2": ("is_otif", 2)},
     )
     now, nxt, second = F.col("is_otif"), F.col("next_delivery_otif"), F.col("next_2")
@@ -88,8 +80,6 @@ def order_state_sequence(
     )
     seq = ordered_columns(
         orders, ["order_number"], [("order_date", False), ("order_id", False)],
-        max_group_rows=cfg.max_group_rows,
-        staged=True,  # a projection of the orders table
         leads={"previous_status": ("order_status", 1)},
     )
     limit = F.lit(days_back(anchor, cfg.stall_days)).cast("date")

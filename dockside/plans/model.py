@@ -86,11 +86,11 @@ class FulfilmentModel:
 
     @property
     def consecutive_failures(self) -> DataFrame:
-        return sequences.consecutive_failures(self.line_level, self.cfg, staged=self.shared)
+        return sequences.consecutive_failures(self.line_level)
 
     @property
     def failures_lead(self) -> DataFrame:
-        return sequences.failures_lead(self.line_level, self.cfg, staged=self.shared)
+        return sequences.failures_lead(self.line_level)
 
     @property
     def dwell_times(self) -> DataFrame:
@@ -102,7 +102,7 @@ class FulfilmentModel:
 
     @property
     def backorder_running_costs(self) -> DataFrame:
-        return backorders.backorder_running_costs(self.tables, self.cfg)
+        return backorders.backorder_running_costs(self.tables)
 
     @property
     def order_state_sequence(self) -> DataFrame:

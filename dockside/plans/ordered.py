@@ -1,19 +1,17 @@
 """Ordered (window) columns that survive a hot group.
 
-A window partitioned by vendor puts every row of a vendor into one task.  That
-is the right plan while groups are small, and a dead end once a single vendor
-holds a third of the data.  ``ordered_columns`` measures the largest group and
-picks between
-
-* the plain window, and
-* range segments: rows are range-partitioned on (group, order), the segment
-  number is frozen by staging the result, and each segment is windowed on its
-  own.  What a segment needs from its neighbours is small: the totals of the
-  segments before it, and the few rows next to its borders that LAG, LEAD or a
-  trailing frame can reach.  Those rows are copied in, used, and filtered out.
-
-Both give the same values; a segment never exceeds its range partition however
-large the group is.
+A window partitioned by vendor puts every row of a vendor into one task, a
+dead end once a single vendor holds a third of the data.  ``ordered_columns``
+works on range segments instead, at every size: rows are range-partitioned on
+(group, order), the segment number is frozen by staging the result, and each
+segment is windowed on its own.  What a segment needs from its neighbours is
+small: the totals of the segments before it, and the few rows next to its
+borders that LAG, LEAD or a trailing frame can reach.  Those rows are copied
+in, used, and filtered out.
+
+A segment never exceeds its range partition however large the group is, and
+there are as many ranges as the session's initial shuffle partitions, merged
+by adaptive execution where they prove small.
 """
 
 from __future__ import annotations
@@ -36,14 +34,6 @@ def _flip(order: Order) -> list[Column]:
     return [F.col(c).desc() if up else F.col(c).asc() for c, up in order]
 
 
-def largest_group(df: DataFrame, group: list[str]) -> int:
-    """Row count of the biggest group (one number reaches the driver)."""
-    if not group:
-        return df.count()
-    row = df.groupBy(*group).count().agg(F.max("count")).first()
-    return row[0] or 0
-
-
 def same_keys(left: str, right: str, keys: list[str]) -> Column:
     out = F.lit(True)
     for k in keys:
@@ -56,14 +46,12 @@ def ordered_columns(
     group: list[str],
     order: Order,
     *,
-    max_group_rows: int,
     rank: str | None = None,
     lags: dict[str, tuple[str, int]] | None = None,
     leads: dict[str, tuple[str, int]] | None = None,
     running: dict[str, tuple[str, str]] | None = None,
     trailing: dict[str, tuple[str, int]] | None = None,
     segments: int | None = None,
-    staged: bool = False,
 ) -> DataFrame:
     """Add order-dependent columns to ``df``.
 
@@ -72,39 +60,13 @@ def ordered_columns(
     running   {new: (column, 'sum' | 'min')} from the start of the group
     trailing  {new: (column, rows)} sum over the last ``rows`` rows
 
-    ``order`` must be total within a group.  ``max_group_rows=0`` skips the
-    measurement and always uses segments.  ``staged`` says ``df`` is a plain
-    scan already, cheap to read once more for the measurement.
+    ``order`` must be total within a group.  ``segments`` fixes the number of
+    ranges, for tests.
     """
-    spec = dict(
-        rank=rank, lags=lags or {}, leads=leads or {},
+    return _segmented(
+        df, group, order, segments=segments, rank=rank, lags=lags or {}, leads=leads or {},
         running=running or {}, trailing=trailing or {},
     )
-    if max_group_rows > 0:
-        df = df if staged else stage(df, "ordered-input")
-        if largest_group(df, group) <= max_group_rows:
-            return _plain(df, group, order, **spec)
-    return _segmented(df, group, order, segments=segments, **spec)
-
-
-def _plain(df, group, order, *, rank, lags, leads, running, trailing):
-    w = Window.partitionBy(*group).orderBy(*_sort(order))
-    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    new = {}
-    if rank:
-        new[rank] = F.row_number().over(w).cast("long")
-    for name, (c, k) in lags.items():
-        new[name] = F.lag(c, k).over(w)
-    for name, (c, k) in leads.items():
-        new[name] = F.lead(c, k).over(w)
-    for name, (c, how) in running.items():
-        if how == "sum":
-            new[name] = F.coalesce(F.sum(c).over(upto), F.lit(0))
-        else:
-            new[name] = F.min(c).over(upto)
-    for name, (c, n) in trailing.items():
-        new[name] = F.sum(c).over(w.rowsBetween(-(n - 1), Window.currentRow))
-    return df.select("*", *[x.alias(n) for n, x in new.items()])
 
 
 def _segmented(df, group, order, *, rank, lags, leads, running, trailing, segments):

@@ -96,9 +96,9 @@ VIEWS: dict[str, Query] = {
     "v10_dwell_times": _q(lambda m: m.dwell_times),
     "v11_dwell_time_trends": _q(lambda m: m.dwell_time_trends),
     "v12_backorder_running_costs": _q(lambda m: m.backorder_running_costs),
-    # The same sums as a table too large for one task takes them.
+    # The same sums from a fixed number of segments.
     "v12b_backorder_running_costs_segments": _q(
-        lambda m: backorders.backorder_running_costs(m.tables, m.cfg, segments=8)
+        lambda m: backorders.backorder_running_costs(m.tables, segments=8)
     ),
     "v13_order_state_sequence": _q(lambda m: m.order_state_sequence),
     "v14_alert_otif_below_threshold": _q(lambda m: m.alert_otif),
@@ -114,7 +114,7 @@ VIEWS: dict[str, Query] = {
     "v19_alert_dashboard_summary": _q(_summary),
     "v20a_portable_line_level": _q(_portable_ll),
     "v20b_portable_rolling_7": _q(_portable_7),
-    "v20c_portable_failures": _q(lambda m: sequences.consecutive_failures(_portable_ll(m), m.cfg)),
+    "v20c_portable_failures": _q(lambda m: sequences.consecutive_failures(_portable_ll(m))),
     "v20d_portable_alert_otif": _q(
         lambda m: alerts.otif_below_threshold(_portable_7(m), None, m.cfg, portable=True)
     ),
@@ -152,10 +152,23 @@ MEASURES: dict[str, Query] = {
     "m13_max_consecutive_failures": _m("max_consecutive_failures"),
     "m14_open_backorder_cost": _m("open_backorder_cost", "vendor_code"),
     "m14b_open_backorder_cost_all": _m("open_backorder_cost"),
+    "m14c_open_backorder_cost_by_carrier": _m("open_backorder_cost", "carrier_code"),
+    "m14d_open_backorder_cost_of_a_day": _q(
+        lambda m: measures.measure(m.tables, "open_backorder_cost", filters={"actual_delivery_date": m.anchor}, cfg=m.cfg)
+    ),
+    "m14e_open_backorder_cost_as_of": _q(
+        lambda m: measures.measure(m.tables, "open_backorder_cost", as_of=otif.days_back(m.anchor, 30), cfg=m.cfg)
+    ),
     "m15_open_backorder_count": _m("open_backorder_count", "vendor_code"),
     "m16_rolling_7d_backorder_cost": _m("rolling_7d_backorder_cost", "vendor_code"),
+    "m16b_rolling_7d_backorder_cost_all": _m("rolling_7d_backorder_cost"),
     "m17_backorder_to_revenue": _m("backorder_to_revenue", "vendor_code"),
     "m17b_backorder_to_revenue_all": _m("backorder_to_revenue"),
+    "m17c_backorder_to_revenue_by_status": _q(
+        lambda m: measures.measure(
+            m.tables, "backorder_to_revenue", filters={"sla_status": ["AT_RISK", "CRITICAL"]}, cfg=m.cfg
+        )
+    ),
     "m18_avg_order_to_ship_days": _m("avg_order_to_ship_days", "carrier_code"),
     "m19_avg_ship_to_delivery_days": _m("avg_ship_to_delivery_days", "carrier_code"),
     "m20_avg_total_lead_time_days": _m("avg_total_lead_time_days", "carrier_code"),
@@ -206,6 +219,9 @@ DASHBOARD: dict[str, Query] = {
     "d04_vendor_week_heatmap": _q(lambda m: dashboard.vendor_week_heatmap(m.tables, m.anchor, m.cfg)),
     "d05_vendor_gauge": _q(lambda m: dashboard.vendor_gauge(m.tables, "V00003", m.cfg)),
     "d06_backorder_treemap": _q(lambda m: dashboard.backorder_treemap(m.tables)),
+    "d06b_backorder_treemap_by_truck": _q(
+        lambda m: dashboard.backorder_treemap(m.tables, filters={"carrier_mode": "truck"})
+    ),
     "d07_vendor_table": _q(lambda m: dashboard.vendor_table(m.tables, m.cfg)),
     "d08_carrier_table": _q(lambda m: dashboard.carrier_table(m.tables, m.cfg)),
     "d09_region_rolling": _q(lambda m: dashboard.region_rolling(m.tables, m.cfg)),
@@ -216,12 +232,17 @@ DASHBOARD: dict[str, Query] = {
     "d11b_sliced_by_status": _q(_by_status),
     "d12_vendor_profile": _q(lambda m: dashboard.vendor_profile(m.vendor_hierarchy)),
     "d13_recent_deliveries": _q(lambda m: dashboard.recent_deliveries(m.line_level)),
-    "d14_otif_trend": _q(lambda m: dashboard.otif_trend(m.line_level, m.anchor, m.cfg)),
+    "d14_otif_trend": _q(
+        lambda m: dashboard.otif_trend(m._recent(m.cfg.lookback_long_days), m.anchor, m.cfg)
+    ),
     "d15_failure_breakdown": _q(lambda m: dashboard.failure_breakdown(m.line_level)),
     "d16_failure_history": _q(
         lambda m: m.consecutive_failures.where(F.col("failure_streak_label") != "SINGLE FAILURE")
     ),
     "d17_open_backorders": _q(lambda m: dashboard.open_backorder_list(m.tables)),
+    "d17b_open_backorders_of_a_vendor": _q(
+        lambda m: dashboard.open_backorder_list(m.tables, filters={"vendor_code": "V00003"})
+    ),
     "d18_cumulative_backorder_cost": _q(lambda m: dashboard.cumulative_backorder_cost(m.tables)),
     "d19_days_open": _q(lambda m: dashboard.days_open(m.tables, m.anchor)),
     "d20_date_dimension": _q(_calendar),
@@ -488,7 +509,7 @@ ALERTING: dict[str, Query] = {
     "a11_cooldown": _a(lambda e: _ids(cooldown.throttle(event_alerts(e)))),
     # The same chain found by joins alone, as for a key too large for one task.
     "a11b_cooldown_by_joins": _a(
-        lambda e: _ids(cooldown.throttle(event_alerts(e), SlaConfig(max_fold_rows=0)))
+        lambda e: _ids(cooldown.throttle(event_alerts(e)))
     ),
     "a12_quiet_hours": _a(
         lambda e: _ids(routing.quiet_hours(event_alerts(e), sample_events.holidays(e)))
@@ -564,7 +585,7 @@ def _throttled_by_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _streaks_by_batch(m: FulfilmentModel) -> DataFrame:
-    step = carried.streak_step(m.cfg)
+    step = carried.streak_step()
     out = carried.replay(_arrivals(m), "streaks-carried", carried.STREAKS, step)
     return out.select(
         "vendor_code", "actual_delivery_date", "shipment_number", "line_number", "delivery_rank",

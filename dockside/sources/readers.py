@@ -47,7 +47,7 @@ def with_surrogate_key(df: DataFrame, name: str) -> DataFrame:
     _check(name)
     key = SURROGATE_KEYS[name]
     order = [(c, True) for c in NATURAL_KEYS[name]]
-    numbered = ordered_columns(df.drop(key), [], order, max_group_rows=0, rank=key)
+    numbered = ordered_columns(df.drop(key), [], order, rank=key)
     return numbered.select(*[f.name for f in GENERIC[name] if f.name in numbered.columns])
 
 

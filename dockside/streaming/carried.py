@@ -67,14 +67,14 @@ def replay(stream: DataFrame, label: str, schema: str, step: Step) -> DataFrame:
     return spark.read.parquet(f"{folder}/out")
 
 
-def streak_step(cfg: SlaConfig = SlaConfig()) -> Step:
+def streak_step() -> Step:
     """Failed lines with their streak label, continuing each vendor's open run."""
 
     def step(lines: DataFrame, prior: DataFrame) -> tuple[DataFrame, DataFrame]:
         columns = ["vendor_code", "actual_delivery_date", "shipment_number", "line_number", "is_otif"]
         seq = ordered_columns(
             lines.select(*columns), ["vendor_code"], LINE_KEY,
-            max_group_rows=cfg.max_group_rows, staged=True, rank="place",
+            rank="place",
             lags={"back_1": ("is_otif", 1), "back_2": ("is_otif", 2), "back_3": ("is_otif", 3)},
         )
         carried = F.coalesce("open_run", F.lit(0))

@@ -21,9 +21,10 @@ ob AS (
 lv AS (
   SELECT DISTINCT d.order_number, d.line_number, s.vendor_code, s.vendor_region
   FROM f_delivery_lines d JOIN f_shipments s USING (shipment_number)),
+vnew AS (
+  SELECT vendor_code, max(created_at) AS newest FROM f_backorders JOIN lv USING (order_number, line_number) GROUP BY 1),
 vcost AS (
-  SELECT vendor_code, sum(cents)::BIGINT / 100.0::DOUBLE AS open_cost, count(*) AS open_count,
-         coalesce(sum(CASE WHEN created_at >= (SELECT max(created_at) FROM f_backorders) - INTERVAL 6 DAY THEN cents END), 0)::BIGINT / 100.0::DOUBLE AS cost_7d
+  SELECT vendor_code, sum(cents)::BIGINT / 100.0::DOUBLE AS open_cost, count(*) AS open_count
   FROM ob JOIN lv USING (order_number, line_number) GROUP BY 1)"""
 
 STATUS = """CASE WHEN {x} >= 0.85 THEN CASE WHEN {x} >= 0.92 THEN 'EXCEEDING' ELSE 'MEETING' END
@@ -39,7 +40,8 @@ def rolled(key: str) -> str:
     return f"""
 rolled AS (
   SELECT {key}, {s(0, 6)} AS r7, {s(0, 29)} AS r30, {s(7, 13)} AS before7
-  FROM (SELECT *, max(day) OVER (PARTITION BY {key}) AS top FROM fx WHERE day IS NOT NULL) GROUP BY {key})"""
+  FROM (SELECT {key}, max(actual_delivery_date) AS top FROM f_shipments WHERE actual_delivery_date IS NOT NULL GROUP BY 1)
+  LEFT JOIN fx USING ({key}) GROUP BY {key})"""
 
 
 RECENT_FAILS = """
@@ -75,6 +77,8 @@ def _ship(a: str, b: str) -> str:
     )
 
 
+_AD = "(SELECT d FROM anchor)"
+
 MEASURES = {
     "m01_total_delivery_lines": _count("count(*)"),
     "m02_total_orders": sql(
@@ -91,7 +95,7 @@ MEASURES = {
     "m10_rolling_7d_otif": _roll("r7"),
     "m10b_rolling_7d_otif_all": m(
         """SELECT coalesce(sum(on_time * in_full)::DOUBLE / nullif(count(*), 0)::DOUBLE, 0) AS value FROM fx
-        WHERE day >= (SELECT max(day) FROM fx) - 6"""
+        WHERE day >= (SELECT max(actual_delivery_date) FROM f_shipments) - 6"""
     ),
     "m11_rolling_30d_otif": _roll("r30"),
     "m12_current_failure_streak": m("SELECT * FROM recent_fails", RECENT_FAILS),
@@ -104,7 +108,41 @@ MEASURES = {
     "m14_open_backorder_cost": sql("SELECT vendor_code, open_cost AS value FROM vcost", COSTED),
     "m14b_open_backorder_cost_all": sql("SELECT sum(cents)::BIGINT / 100.0::DOUBLE AS value FROM ob", COSTED),
     "m15_open_backorder_count": sql("SELECT vendor_code, open_count AS value FROM vcost", COSTED),
-    "m16_rolling_7d_backorder_cost": sql("SELECT vendor_code, cost_7d AS value FROM vcost", COSTED),
+    "m14c_open_backorder_cost_by_carrier": sql(
+        """SELECT carrier_code, sum(cents)::BIGINT / 100.0::DOUBLE AS value FROM (
+          SELECT DISTINCT carrier_code, backorder_id, cents FROM ob JOIN f_delivery_lines d USING (order_number, line_number)
+          JOIN f_shipments s ON s.shipment_number = d.shipment_number) GROUP BY 1""",
+        COSTED,
+    ),
+    "m14d_open_backorder_cost_of_a_day": sql(
+        f"""SELECT coalesce(sum(cents)::BIGINT / 100.0::DOUBLE, 0) AS value FROM ob WHERE (order_number, line_number) IN (
+          SELECT (order_number, line_number) FROM f_delivery_lines WHERE shipment_number IN (
+            SELECT shipment_number FROM f_shipments WHERE actual_delivery_date = {_AD}))""",
+        COSTED,
+    ),
+    "m14e_open_backorder_cost_as_of": sql(
+        f"SELECT coalesce(sum(cents)::BIGINT / 100.0::DOUBLE, 0) AS value FROM ob WHERE created_at < {_AD} - 29",
+        COSTED,
+    ),
+    "m16_rolling_7d_backorder_cost": sql(
+        """SELECT vendor_code, coalesce(sum(cents), 0)::BIGINT / 100.0::DOUBLE AS value FROM vnew
+        LEFT JOIN (SELECT v.vendor_code, cents FROM ob JOIN lv v USING (order_number, line_number)
+                   JOIN vnew n ON n.vendor_code = v.vendor_code AND created_at >= newest - INTERVAL 6 DAY) x USING (vendor_code)
+        GROUP BY 1""",
+        COSTED,
+    ),
+    "m16b_rolling_7d_backorder_cost_all": sql(
+        """SELECT coalesce(sum(cents), 0)::BIGINT / 100.0::DOUBLE AS value FROM ob
+        WHERE created_at >= (SELECT max(created_at) FROM f_backorders) - INTERVAL 6 DAY""",
+        COSTED,
+    ),
+    "m17c_backorder_to_revenue_by_status": m(
+        """SELECT coalesce((SELECT sum(cents)::BIGINT / 100.0::DOUBLE FROM (SELECT DISTINCT backorder_id, cents FROM ob
+            JOIN lv USING (order_number, line_number) JOIN low USING (vendor_code)))
+          / nullif((SELECT sum(total_value)::DOUBLE FROM f_orders WHERE order_number IN (
+              SELECT order_number FROM f_shipments JOIN low USING (vendor_code))), 0), 0) AS value""",
+        COSTED, rolled("vendor_code"), "low AS (SELECT vendor_code FROM rolled WHERE r7 < 0.85)",
+    ),
     "m17_backorder_to_revenue": sql(
         """SELECT vendor_code, coalesce(open_cost / nullif(revenue, 0), 0) AS value FROM (
           SELECT vendor_code, sum(total_value)::DOUBLE AS revenue FROM (SELECT DISTINCT vendor_code, order_number FROM f_shipments)
@@ -151,10 +189,9 @@ MEASURES = {
     ),
 }
 
-_AD = "(SELECT d FROM anchor)"
 _WEEKS = ", ".join(
     f"(sum(CASE WHEN ago = {w} THEN good END)::DOUBLE / nullif(sum(CASE WHEN ago = {w} THEN 1 END), 0)::DOUBLE) AS w{w:02d}"
-    for w in range(13)
+    for w in range(14)
 )
 
 DASHBOARD = {
@@ -185,8 +222,8 @@ DASHBOARD = {
     "d04_vendor_week_heatmap": m(
         f"""SELECT vendor_code, {_WEEKS} FROM (
           SELECT vendor_code, on_time * in_full AS good, (date_trunc('week', {_AD})::DATE - date_trunc('week', day)::DATE) // 7 AS ago
-          FROM fx WHERE day >= date_trunc('week', {_AD})::DATE - 84 AND day <= {_AD})
-        WHERE vendor_code IN (SELECT vendor_code FROM fx WHERE day >= date_trunc('week', {_AD})::DATE - 84 AND day <= {_AD}
+          FROM fx WHERE day BETWEEN {_AD} - 90 AND {_AD})
+        WHERE vendor_code IN (SELECT vendor_code FROM fx WHERE day BETWEEN {_AD} - 90 AND {_AD}
                               GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 15) GROUP BY 1"""
     ),
     "d05_vendor_gauge": m(
@@ -194,8 +231,14 @@ DASHBOARD = {
         rolled("vendor_code"),
     ),
     "d06_backorder_treemap": sql("SELECT vendor_code, open_cost FROM vcost", COSTED),
+    "d06b_backorder_treemap_by_truck": sql(
+        """SELECT vendor_code, sum(cents)::BIGINT / 100.0::DOUBLE AS open_cost FROM (
+          SELECT DISTINCT s.vendor_code, backorder_id, cents FROM ob JOIN f_delivery_lines d USING (order_number, line_number)
+          JOIN f_shipments s ON s.shipment_number = d.shipment_number WHERE s.carrier_mode = 'truck') GROUP BY 1""",
+        COSTED,
+    ),
     "d07_vendor_table": m(
-        f"""SELECT vendor_code, r7 AS rolling_7d_otif, total_lines, {STATUS.format(x='r7')} AS sla_status, value AS consecutive_failures
+        f"""SELECT vendor_code, r7 AS rolling_7d_otif, coalesce(total_lines, 0) AS total_lines, {STATUS.format(x='r7')} AS sla_status, value AS consecutive_failures
         FROM rolled LEFT JOIN (SELECT vendor_code, count(*) AS total_lines FROM fx GROUP BY 1) USING (vendor_code)
         LEFT JOIN recent_fails USING (vendor_code)""",
         rolled("vendor_code"), RECENT_FAILS,
@@ -248,6 +291,11 @@ DASHBOARD = {
         FROM ob LEFT JOIN lv USING (order_number, line_number)""",
         COSTED,
     ),
+    "d17b_open_backorders_of_a_vendor": sql(
+        """SELECT backorder_id, vendor_code, sku, backorder_qty::DOUBLE AS backorder_qty, cents / 100.0::DOUBLE AS cost, estimated_fill_date
+        FROM ob JOIN lv USING (order_number, line_number) WHERE vendor_code = 'V00003'""",
+        COSTED,
+    ),
     "d18_cumulative_backorder_cost": sql(
         """SELECT day, cents / 100.0::DOUBLE AS cost, (sum(cents) OVER (ORDER BY day))::BIGINT / 100.0::DOUBLE AS cumulative_cost
         FROM (SELECT created_at::DATE AS day, sum(cents)::BIGINT AS cents FROM ob GROUP BY 1)""",

@@ -32,15 +32,13 @@ def test_cooldown_matches_brute_force(spark):
         if (kind, key) not in last or ts >= last[kind, key] + gap:
             last[kind, key] = ts
             want.add(i)
-    for limit in (10**6, 50, 0):  # in tasks, mixed, by joins alone
-        got = cooldown.throttle(df, SlaConfig(max_fold_rows=limit))
-        assert {r.alert_id for r in got.collect()} == want
+    assert {r.alert_id for r in cooldown.throttle(df).collect()} == want
 
 
 def test_cooldown_on_regular_chain(spark):
     # Every alert exactly one period after the last fires; in between none does.
     rows = [(i, "X", "e", "CRITICAL", at(180 * i)) for i in range(65)]
-    got = cooldown.throttle(spark.createDataFrame(rows, ALERT), SlaConfig(max_fold_rows=0))
+    got = cooldown.throttle(spark.createDataFrame(rows, ALERT))
     assert sorted(r.alert_id for r in got.collect()) == list(range(0, 65, 2))
 
 
@@ -66,15 +64,13 @@ def test_escalation_matches_brute_force(spark):
     assert {r.alert_id for r in got.collect()} == want
 
 
-@pytest.mark.parametrize("limit", [10**6, 1])
-def test_repeated_critical(spark, limit):
+def test_repeated_critical(spark):
     rows = [(1, "X", "a", "CRITICAL", at(0)), (2, "X", "a", "CRITICAL", at(24 * 60)),
             (3, "X", "a", "CRITICAL", at(48 * 60 + 1)), (4, "X", "b", "CRITICAL", at(48 * 60 + 1)),
             (5, "X", "a", "WARNING", at(48 * 60 + 2))]
     df = spark.createDataFrame(rows, ALERT)
-    cfg = SlaConfig(max_group_rows=limit)
-    assert [r.alert_id for r in routing.repeated_critical(df, cfg).collect()] == [2]
-    everywhere = routing.repeated_critical(df, cfg, scope=[])
+    assert [r.alert_id for r in routing.repeated_critical(df).collect()] == [2]
+    everywhere = routing.repeated_critical(df, scope=[])
     assert sorted(r.alert_id for r in everywhere.collect()) == [2, 4]
 
 

@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from dockside.plans.ordered import largest_group, ordered_columns
+from dockside.plans.ordered import ordered_columns
 from dockside.sources.readers import with_surrogate_key
 
 SCHEMA = "g string, t long, id long, x long"
@@ -38,13 +38,13 @@ def brute(rows, group):
 
 @pytest.mark.parametrize("groups", [["a"], ["a", "a", "a", "b", None], list("abcdefgh")])
 @pytest.mark.parametrize("grouped", [True, False])
-@pytest.mark.parametrize("limit, segments", [(10**6, None), (0, 1), (0, 7), (0, 40)])
-def test_columns_match_brute_force(spark, groups, grouped, limit, segments):
+@pytest.mark.parametrize("segments", [None, 1, 7, 40])
+def test_columns_match_brute_force(spark, groups, grouped, segments):
     rows = data(len(groups), groups, 120)
     df = spark.createDataFrame(rows, SCHEMA)
     got = ordered_columns(
         df, ["g"] if grouped else [], [("t", True), ("id", True)],
-        max_group_rows=limit, segments=segments, rank="n",
+        segments=segments, rank="n",
         lags={"two_back": ("x", 2)}, leads={"next": ("x", 1), "third": ("x", 3)},
         running={"total": ("x", "sum"), "low": ("x", "min")}, trailing={"last4": ("x", 4)},
     )
@@ -54,19 +54,13 @@ def test_columns_match_brute_force(spark, groups, grouped, limit, segments):
 
 def test_descending_order(spark):
     df = spark.createDataFrame([("a", i, i, i) for i in range(20)], SCHEMA)
-    got = ordered_columns(df, ["g"], [("t", False), ("id", False)], max_group_rows=0, segments=5,
+    got = ordered_columns(df, ["g"], [("t", False), ("id", False)], segments=5,
                           rank="n", lags={"before": ("x", 1)})
     assert {r.x: (r.n, r.before) for r in got.collect()} == {
         i: (20 - i, i + 1 if i < 19 else None) for i in range(20)
     }
 
 
-def test_largest_group(spark):
-    df = spark.createDataFrame([("a", 1, 1, 1)] * 3 + [("b", 1, 1, 1)], SCHEMA)
-    assert largest_group(df, ["g"]) == 3 and largest_group(df, []) == 4
-    assert largest_group(df.where("false"), ["g"]) == 0
-
-
 def test_surrogate_keys_are_dense(small_model):
     got = with_surrogate_key(small_model.tables.orders, "orders")
     ids = sorted(r[0] for r in got.select("order_id").collect())

@@ -113,14 +113,13 @@ def carried_in_steps(spark, df, parts, schema, step, label):
     return spark.read.parquet(f"{folder}/out")
 
 
-@pytest.mark.parametrize("limit", [10**6, 1])
-def test_carried_streaks_equal_batch(spark, small_model, limit):
+def test_carried_streaks_equal_batch(spark, small_model):
     ll = small_model.line_level
     cuts = ["actual_delivery_date < date'1995-01-02'",
             "actual_delivery_date >= date'1995-01-02' and actual_delivery_date < date'1995-01-04'",
             "actual_delivery_date >= date'1995-01-04' and actual_delivery_date < date'2000-06-01'",
             "actual_delivery_date >= date'2000-06-01'"]
-    got = carried_in_steps(spark, ll, cuts, carried.STREAKS, carried.streak_step(SlaConfig(max_group_rows=limit)), "cs")
+    got = carried_in_steps(spark, ll, cuts, carried.STREAKS, carried.streak_step(), "cs")
     want = sequences.consecutive_failures(ll)
     cols = ["vendor_code", "actual_delivery_date", "delivery_rank", "failure_streak_label"]
     assert want.select(*cols).exceptAll(got.select(*cols)).count() == 0 and got.count() == want.count()
