@@ -538,15 +538,32 @@ def _arrivals(m: FulfilmentModel) -> DataFrame:
 
 
 def _refreshed(m: FulfilmentModel) -> DataFrame:
-    spark = m.tables.spark
-    root, checkpoint = fresh_path(spark, "refresh-root"), fresh_path(spark, "refresh-checkpoint")
-    arriving = runner.file_stream(spark, m.tables.shipments.select("shipment_id"), "refresh-arrivals")
-    kpis.refresh_on_arrival(arriving, m.tables, root, checkpoint, m.cfg, once=True)
+    """All four snapshots after two refreshes, the second with rows that came meanwhile."""
+    spark, t = m.tables.spark, m.tables
+    root, checkpoint, source = (fresh_path(spark, f"refresh-{x}") for x in ("root", "checkpoint", "source"))
+    ships = fresh_path(spark, "refresh-shipments")
+    early = F.col("shipment_id") % 2 == 0
+    for part in (early, ~early):
+        t.shipments.where(part).write.mode("append").parquet(ships)
+        t.shipments.where(part).select("shipment_id").write.mode("append").parquet(source)
+        arriving = spark.readStream.schema("shipment_id long").parquet(source)
+        read = lambda: t.but(shipments=spark.read.schema(t.shipments.schema).parquet(ships))
+        kpis.refresh_on_arrival(arriving, read, root, checkpoint, m.cfg, once=True)
     return snapshots.current(spark, root, "carrier_scorecard")
 
 
 def _line_stream(m: FulfilmentModel) -> DataFrame:
-    return runner.replay(_arrivals(m), "line-stream").select(
+    """Delivery lines over three micro-batches; shipments of every third line come a batch later."""
+    spark, t = m.tables.spark, m.tables
+    folder, source, ships = (fresh_path(spark, f"lines-{x}") for x in ("folder", "source", "shipments"))
+    third = F.pmod(F.xxhash64("shipment_number"), F.lit(3))
+    read = lambda: t.but(shipments=spark.read.schema(t.shipments.schema).parquet(ships))
+    for k in range(3):
+        t.shipments.where(third == (k + 1) % 3).write.mode("append").parquet(ships)
+        t.delivery_lines.where(third == k).write.mode("append").parquet(source)
+        arriving = spark.readStream.schema(t.delivery_lines.schema).parquet(source)
+        runner.every(arriving, kpis.line_level_action(read, folder, m.cfg), f"{folder}/checkpoint", once=True)
+    return spark.read.parquet(f"{folder}/out").select(
         "shipment_number", "line_number", "vendor_code", "is_on_time", "is_in_full", "is_otif"
     )
 
@@ -570,12 +587,6 @@ def _event_streams(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
     return runner.file_stream(spark, fired, "alerts"), runner.file_stream(spark, acked, "acks")
 
 
-def _throttled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fired, _ = _event_streams(spark, sf_dir)
-    out = runner.replay(stream_alerts.throttle_stream(fired.where(F.col("alert_id") >= 0)), "throttle")
-    return plain(out.select("alert_id", "alert_type", "entity", "severity"))
-
-
 def _throttled_by_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     fired, _ = _event_streams(spark, sf_dir)
     out = carried.replay(
@@ -601,48 +612,57 @@ def _escalated(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
     fired, _ = _event_streams(spark, sf_dir)
     windows = stream_alerts.repeated_critical(fired.where(F.col("alert_id") >= 0))
-    return plain(runner.replay(windows, "repeated", "complete"))
+    return plain(runner.replay(windows, "repeated", ["entity", "window_start"]))
 
 
 def _fanned(spark: SparkSession, sf_dir: str) -> DataFrame:
     fired, _ = _event_streams(spark, sf_dir)
     out, checkpoint = fresh_path(spark, "fan-out"), fresh_path(spark, "fan-out-checkpoint")
 
-    def writer(batch: DataFrame, _: int) -> None:
-        batch.write.mode("append").parquet(out)
+    def writer(batch: DataFrame, batch_id: int) -> None:
+        name = batch.select("channel").first()
+        if name is not None:
+            batch.write.mode("overwrite").parquet(f"{out}/sent/batch={batch_id}/to={name[0]}")
 
     def unplugged(batch: DataFrame, _: int) -> None:
         raise ConnectionError("channel is down")
 
-    send = stream_alerts.fan_out({"Teams": writer, "Email": writer, "Slack": unplugged}, fallback=writer)
+    send = stream_alerts.fan_out({"Teams": writer, "Email": writer, "Slack": unplugged}, out, fallback=writer)
     runner.every(fired.where(F.col("alert_id") >= 0), send, checkpoint, once=True)
-    sent = spark.read.parquet(out)
+    sent = spark.read.parquet(f"{out}/sent")
     return plain(sent.groupBy("channel", "severity").agg(F.count(F.lit(1)).alias("sends")))
 
 
 def _corrected(m: FulfilmentModel) -> DataFrame:
-    """Rows of the first delivery year arriving after the rest, then their days recomputed."""
+    """Rows of the first delivery year arriving after the rest, and their days recomputed."""
+    spark = m.tables.spark
     ll = m.line_level.select("vendor_code", "actual_delivery_date", "is_otif")
-    first = F.lit("1996-01-01").cast("date")
-    old = ll.where(F.col("actual_delivery_date") < first)
-    accepted = ll.where(F.col("actual_delivery_date") >= first)
-    _, late = kpis.split_late(old, accepted, ts="actual_delivery_date", delay=dt.timedelta(days=2))
-    return kpis.recompute_days(ll, late)
+    folder, source = fresh_path(spark, "late"), fresh_path(spark, "late-source")
+    old = F.col("actual_delivery_date") < F.lit("1996-01-01").cast("date")
+    act = kpis.late_action(folder, ts="actual_delivery_date", delay=dt.timedelta(days=2))
+    for part in (~old, old):
+        ll.where(part).write.mode("append").parquet(source)
+        arriving = spark.readStream.schema(ll.schema).parquet(source)
+        runner.every(arriving, act, f"{folder}/checkpoint", once=True)
+    corrected = runner.latest(spark.read.parquet(f"{folder}/corrections"), ["vendor_code", "first_day"])
+    return corrected.drop("batch")
+
 
+_WINDOW = ["vendor_code", "last_day"]
 
 STREAMING: dict[str, Query] = {
     "t01_refresh_on_arrival": _q(_refreshed),
     "t02_line_level_stream": _q(_line_stream),
-    "t03_daily_kpis": _q(lambda m: runner.replay(kpis.daily_kpis(_arrivals(m)), "daily", "complete")),
-    "t03b_sliding_kpis": _q(lambda m: runner.replay(kpis.sliding_kpis(_arrivals(m)), "sliding", "complete")),
-    "t04_failure_streaks": _q(lambda m: runner.replay(kpis.failure_streaks(_arrivals(m)), "streaks")),
+    "t03_daily_kpis": _q(lambda m: runner.replay(kpis.daily_kpis(_arrivals(m)), "daily", _WINDOW)),
+    "t03b_sliding_kpis": _q(lambda m: runner.replay(kpis.sliding_kpis(_arrivals(m)), "sliding", _WINDOW)),
+    "t04_failure_streaks": _q(_streaks_by_batch),
     "t04b_failure_streaks_by_batch": _q(_streaks_by_batch),
-    "t05_cooldown": _throttled,
+    "t05_cooldown": _throttled_by_batch,
     "t05b_cooldown_by_batch": _throttled_by_batch,
     "t06_escalation": _escalated,
     "t07_repeated_critical": _repeated,
     "t08_threshold_alerts": _q(
-        lambda m: runner.replay(kpis.threshold_alerts(kpis.sliding_kpis(_arrivals(m)), m.cfg), "breaches", "complete")
+        lambda m: kpis.threshold_alerts(runner.replay(kpis.sliding_kpis(_arrivals(m)), "breaches", _WINDOW), m.cfg)
     ),
     "t09_channel_fan_out": _fanned,
     "t10_late_corrections": _q(_corrected),

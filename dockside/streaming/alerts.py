@@ -3,54 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from dockside.config import SlaConfig
-from dockside.operators.cooldown import KEY, period_micros
+from dockside.operators.cooldown import KEY
 from dockside.operators.routing import channels_for
-
-THROTTLE_OUTPUT = "alert_id long, alert_type string, entity string, severity string, at long"
-
-
-def throttle_stream(alerts: DataFrame, cfg: SlaConfig = SlaConfig()) -> DataFrame:
-    """Alerts that fire, from one number of state per key: when it last fired.
-
-    For small micro-batches; backlogs and hot keys take ``carried.throttle_step``.
-    """
-
-    class Cooldown(StatefulProcessor):
-        def init(self, handle: StatefulProcessorHandle) -> None:
-            self.state = handle.getValueState("fired", "at long")
-
-        def handleInputRows(self, key, rows, timerValues):
-            pdf = pd.concat(list(rows)).sort_values(["at", "alert_id"], kind="stable")
-            at, period = pdf["at"].to_numpy(), int(pdf["period"].iloc[0])
-            i = 0
-            if self.state.exists():
-                i = int(np.searchsorted(at, self.state.get()[0] + period, side="left"))
-            keep = []
-            while i < len(at):
-                keep.append(i)
-                i = int(np.searchsorted(at, at[i] + period, side="left"))
-            if keep:
-                self.state.update((int(at[keep[-1]]),))
-            yield pdf.iloc[keep][["alert_id", "alert_type", "entity", "severity", "at"]]
-
-        def close(self) -> None:
-            pass
-
-    shaped = alerts.select(
-        "alert_id", *KEY, "severity", F.unix_micros(F.col("ts").cast("timestamp")).alias("at"),
-        period_micros(cfg).alias("period"),
-    )
-    return shaped.groupBy(*KEY).transformWithStateInPandas(
-        statefulProcessor=Cooldown(), outputStructType=THROTTLE_OUTPUT, outputMode="Append", timeMode="None"
-    )
-
+from dockside.plans.staging import stage
 
 def first_of_period(alerts: DataFrame, cfg: SlaConfig = SlaConfig()) -> DataFrame:
     """The simple form of the cooldown: repeats inside the watermark are dropped."""
@@ -100,26 +60,31 @@ def repeated_critical(
 
 
 def fan_out(
-    senders: dict[str, Callable[[DataFrame, int], None]], *, fallback: Callable[[DataFrame, int], None],
-    failures: list | None = None,
+    senders: dict[str, Callable[[DataFrame, int], None]], folder: str, *, fallback: Callable[[DataFrame, int], None],
 ) -> Callable[[DataFrame, int], None]:
-    """A batch action that hands each channel its alerts.
+    """A batch action that hands each channel its alerts, all channels side by side.
 
-    A channel that fails is noted and does not hold up the others; only when
-    every channel fails does the fallback get the batch.
+    The batch is written once and every channel reads that copy.  A channel that fails does not hold up the others;
+    what failed is kept in ``folder/failures`` by batch.  Only when every channel fails does the fallback get the batch.
     """
 
     def send(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.withColumn("channel", F.explode(channels_for(F.col("severity"))))
-        broken = []
-        for channel, sender in senders.items():
+        spark = batch.sparkSession
+        rows = stage(batch.withColumn("channel", F.explode(channels_for(F.col("severity")))), "fan-out")
+
+        def attempt(channel: str) -> tuple[str, str] | None:
             try:
-                sender(rows.where(F.col("channel") == channel), batch_id)
+                senders[channel](rows.where(F.col("channel") == channel), batch_id)
             except Exception as problem:  # noqa: BLE001 - one channel must not stop the rest
-                broken.append((channel, batch_id, str(problem)))
-        if failures is not None:
-            failures.extend(broken)
-        if len(broken) == len(senders):
+                return channel, str(problem)
+            return None
+
+        with ThreadPoolExecutor(max(1, len(senders))) as pool:
+            broken = [x for x in pool.map(attempt, senders) if x]
+        spark.createDataFrame(broken, "channel string, problem string").write.mode("overwrite").parquet(
+            f"{folder}/failures/batch={batch_id}"
+        )
+        if senders and len(broken) == len(senders):
             fallback(batch, batch_id)
 
     return send

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from dockside.plans.staging import fresh_path
@@ -53,24 +53,31 @@ def run_available(writer: DataStreamWriter) -> StreamingQuery:
     return query
 
 
-def replay(stream: DataFrame, label: str, mode: str = "append") -> DataFrame:
+def replay(stream: DataFrame, label: str, keys: list[str] | None = None) -> DataFrame:
     """Run a streaming frame over what has arrived and return its output as a table.
 
-    ``complete`` results replace each other, so the last batch is the answer;
-    ``append`` batches add up.
+    With ``keys`` the stream runs in update mode and the newest row of each key counts; without, it appends.  Every
+    batch has a folder of its own and overwrites it, so a batch that is run again doubles nothing.
     """
     spark = stream.sparkSession
     out, checkpoint = fresh_path(spark, f"{label}-out"), fresh_path(spark, f"{label}-checkpoint")
-    save = "overwrite" if mode == "complete" else "append"
 
-    def keep(batch: DataFrame, _: int) -> None:
-        batch.write.mode(save).parquet(out)
+    def keep(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
     with rocksdb_state(spark):
         run_available(
-            stream.writeStream.outputMode(mode).foreachBatch(keep).option("checkpointLocation", checkpoint)
+            stream.writeStream.outputMode("update" if keys else "append").foreachBatch(keep)
+            .option("checkpointLocation", checkpoint)
         )
-    return spark.read.schema(stream.schema).parquet(out)
+    rows = spark.read.schema(stream.schema).parquet(f"{out}/batch=*") if not keys else spark.read.parquet(out)
+    return latest(rows, keys).select(*stream.columns) if keys else rows
+
+
+def latest(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """The row of the newest ``batch`` of each key."""
+    newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*rows.columns), "batch").alias("row"))
+    return newest.select("row.*")
 
 
 def every(stream: DataFrame, action: Callable[[DataFrame, int], None], checkpoint: str, *,

@@ -7,45 +7,12 @@ from pyspark.sql import functions as F
 from dockside.config import SlaConfig
 from dockside.operators import cooldown, otif, sequences
 from dockside.plans.staging import fresh_path
+from dockside.sources import snapshots
 from dockside.streaming import alerts, carried, kpis, runner
 from micro import day
 from test_alert_handling import ALERT, ACK, at
 
 
-def in_steps(spark, df, parts, build, label):
-    """Feed ``df`` in several files, one run of the same query after each."""
-    source, out, checkpoint = (fresh_path(spark, f"{label}-{x}") for x in ("in", "out", "checkpoint"))
-    for part in parts:
-        df.where(part).coalesce(1).write.mode("append").parquet(source)
-        stream = build(spark.readStream.schema(df.schema).parquet(source))
-        with runner.rocksdb_state(spark):
-            runner.run_available(
-                stream.writeStream.foreachBatch(lambda b, _: b.write.mode("append").parquet(out))
-                .option("checkpointLocation", checkpoint)
-            )
-    return spark.read.parquet(out)
-
-
-def test_streaks_carry_over_batches(spark, small_model):
-    ll = small_model.line_level
-    cuts = ["actual_delivery_date < date'1998-01-01'",
-            "actual_delivery_date >= date'1998-01-01' and actual_delivery_date < date'2000-06-01'",
-            "actual_delivery_date >= date'2000-06-01'"]
-    got = in_steps(spark, ll, cuts, kpis.failure_streaks, "streaks")
-    want = sequences.consecutive_failures(ll)
-    cols = ["vendor_code", "actual_delivery_date", "delivery_rank", "failure_streak_label"]
-    assert want.select(*cols).exceptAll(got.select(*cols)).count() == 0 and got.count() == want.count()
-
-
-def test_cooldown_carries_over_batches(spark):
-    rows = [(i, "X", "e", "CRITICAL", at(100 * i)) for i in range(60)]
-    df = spark.createDataFrame(rows, ALERT)
-    got = in_steps(spark, df, ["alert_id < 17", "alert_id >= 17 and alert_id < 40", "alert_id >= 40"],
-                   alerts.throttle_stream, "throttle")
-    want = cooldown.throttle(df)
-    assert sorted(r.alert_id for r in got.collect()) == sorted(r.alert_id for r in want.collect())
-
-
 def test_unacknowledged_alerts_wait_for_the_watermark(spark):
     fired = spark.createDataFrame(
         [(1, "X", "a", "CRITICAL", at(0)), (2, "X", "b", "CRITICAL", at(0)), (9, "X", "z", "CRITICAL", at(500))], ALERT)
@@ -64,7 +31,7 @@ def test_duplicates_inside_the_watermark(spark):
 
 def test_one_broken_channel_does_not_stop_the_others(spark):
     batch = spark.createDataFrame([(1, "X", "a", "CRITICAL", at(0)), (2, "X", "b", "WARNING", at(1))], ALERT)
-    sent, failures, last_resort = [], [], []
+    sent, last_resort, folder = [], [], fresh_path(spark, "fan")
 
     def good(df, _):
         sent.extend((r.channel, r.alert_id) for r in df.collect())
@@ -72,14 +39,71 @@ def test_one_broken_channel_does_not_stop_the_others(spark):
     def broken(df, _):
         raise ConnectionError("down")
 
-    alerts.fan_out({"Teams": broken, "Email": good, "Slack": good}, fallback=lambda b, _: last_resort.append(1),
-                   failures=failures)(batch, 7)
-    assert sorted(sent) == [("Email", 1), ("Email", 2), ("Slack", 1)]
-    assert [(c, i) for c, i, _ in failures] == [("Teams", 7)] and not last_resort
-    alerts.fan_out({"Teams": broken}, fallback=lambda b, _: last_resort.append(b.count()))(batch, 8)
+    last = lambda b, _: last_resort.append(b.count())
+    alerts.fan_out({"Teams": broken, "Email": good, "Slack": good}, folder, fallback=last)(batch, 7)
+    assert sorted(sent) == [("Email", 1), ("Email", 2), ("Slack", 1)] and not last_resort
+    noted = spark.read.parquet(f"{folder}/failures").collect()
+    assert [(r.channel, r.problem, r.batch) for r in noted] == [("Teams", "down", 7)]
+    alerts.fan_out({"Teams": broken}, folder, fallback=last)(batch, 8)
     assert last_resort == [2]
 
 
+def test_refresh_sees_rows_that_came_later(spark, small_model):
+    t = small_model.tables
+    ships, source, root, checkpoint = (fresh_path(spark, f"later-{x}") for x in ("ships", "source", "root", "check"))
+    read = lambda: t.but(shipments=spark.read.schema(t.shipments.schema).parquet(ships))
+    seen = []
+    for part in ("shipment_id % 5 = 0", "shipment_id % 5 <> 0"):
+        t.shipments.where(part).write.mode("append").parquet(ships)
+        t.shipments.where(part).select("shipment_id").write.mode("append").parquet(source)
+        arriving = spark.readStream.schema("shipment_id long").parquet(source)
+        kpis.refresh_on_arrival(arriving, read, root, checkpoint, once=True)
+        seen.append({r.carrier_code: r.asDict() for r in snapshots.current(spark, root, "carrier_scorecard").collect()})
+    assert seen[0] != seen[1]
+    assert list(seen[1].values()) and {k: v for k, v in seen[1].items()} == {
+        r.carrier_code: r.asDict() for r in small_model.carrier_scorecard.collect()
+    }
+
+
+def test_lines_wait_for_their_shipment(spark, small_model):
+    t = small_model.tables
+    ships, folder = fresh_path(spark, "wait-ships"), fresh_path(spark, "wait")
+    read = lambda: t.but(shipments=spark.read.schema(t.shipments.schema).parquet(ships))
+    act = kpis.line_level_action(read, folder)
+    t.shipments.where("shipment_id % 2 = 0").write.parquet(ships)
+    act(t.delivery_lines.where("delivery_line_id % 3 = 0"), 0)
+    act(t.delivery_lines.where("delivery_line_id % 3 = 1"), 1)
+    t.shipments.where("shipment_id % 2 <> 0").write.mode("append").parquet(ships)
+    for _ in range(2):  # a repeated batch changes nothing
+        act(t.delivery_lines.where("delivery_line_id % 3 = 2"), 2)
+    out = spark.read.parquet(f"{folder}/out").drop("batch")
+    whole = otif.line_level(t)
+    assert out.exceptAll(whole).count() == 0 and out.count() == whole.count()
+
+
+def test_late_days_are_recomputed(spark):
+    rows = lambda *x: spark.createDataFrame([("V1", day(d), o) for d, o in x], "vendor_code string, actual_delivery_date date, is_otif int")
+    folder = fresh_path(spark, "late-days")
+    act = kpis.late_action(folder, ts="actual_delivery_date", delay=dt.timedelta(days=2))
+    act(rows(("2024-01-01", 1), ("2024-01-10", 1)), 0)
+    act(rows(("2024-01-09", 0)), 1)  # in time
+    for _ in range(2):
+        act(rows(("2024-01-01", 0), ("2024-01-02", 1)), 2)
+    act(rows(("2024-01-01", 0)), 3)
+    fixed = runner.latest(spark.read.parquet(f"{folder}/corrections"), ["vendor_code", "first_day"])
+    assert sorted((r.first_day, r.lines, r.otif_lines) for r in fixed.collect()) == [
+        (day("2024-01-01"), 3, 1), (day("2024-01-02"), 1, 1),
+    ]
+
+
+def test_updates_replace_each_other(spark, small_model):
+    ll = small_model.line_level.where("actual_delivery_date >= date'2000-06-01'")
+    stream = runner.file_stream(spark, ll.repartition(3), "kpi", files_per_batch=1)
+    got = runner.replay(kpis.daily_kpis(stream, delay="4000 days"), "kpi", ["vendor_code", "last_day"])
+    want = {(r.vendor_code, r.actual_delivery_date): r["count"] for r in ll.groupBy("vendor_code", "actual_delivery_date").count().collect()}
+    assert {(r.vendor_code, r.last_day): r.lines for r in got.collect()} == want
+
+
 def test_late_rows_are_split_off(spark):
     rows = spark.createDataFrame([("V1", day("2024-01-01")), ("V1", day("2024-01-09"))], "vendor_code string, d date")
     accepted = spark.createDataFrame([("V1", day("2024-01-10"))], "vendor_code string, d date")
