@@ -21,8 +21,8 @@ from dockside.operators import backorders, otif  # noqa: E402
 from dockside.plans.model import FulfilmentModel  # noqa: E402
 from dockside.registry import QUERIES  # noqa: E402
 from dockside.session import build_session  # noqa: E402
-from dockside.sources.sample_erp import load_erp  # noqa: E402
-from dockside.sources.sample_mart import load_mart  # noqa: E402
+from fixtures.sample_erp import load_erp  # noqa: E402
+from fixtures.sample_mart import load_mart  # noqa: E402
 
 HEADLINE = [
     "v01_otif_line_level", "v03_rolling_active_7", "v05_vendor_hierarchy", "v07_carrier_scorecard",
@@ -74,6 +74,7 @@ def main() -> None:
     spark = build_session(
         "dockside-bench", f"local[{cpus}]", spark__sql__shuffle__partitions=cpus,
         spark__ui__enabled="false", spark__driver__memory="12g",
+        spark__sql__adaptive__coalescePartitions__initialPartitionNum=str(4 * int(cpus)),
     )
     spark.sparkContext.setLogLevel("ERROR")
     with contextlib.redirect_stdout(sys.stderr):

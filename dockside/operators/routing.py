@@ -134,11 +134,27 @@ def relative_severity(metric: Column, threshold: Column, direction: Column | Non
     return banded(more + [(~up & c, label) for c, label in less], otherwise="Warning")
 
 
+# Formats of the two formatted members.
+_URI = r"^[A-Za-z][A-Za-z0-9+.-]*:\S+$"
+_DATE_TIME = r"^\d{4}-\d{2}-\d{2}[Tt]\d{2}:\d{2}:\d{2}(\.\d+)?([Zz]|[+-]\d{2}:\d{2})$"
+
+
+def _json_types(body: Column) -> Column:
+    """Whether every member has the JSON type that its column stands for: number or string."""
+    message = F.try_parse_json(body)
+    right = F.lit(True)
+    for f in ALERT_EVENT.fields:
+        kind = F.schema_of_variant(F.try_variant_get(message, f"$.{f.name}", "variant"))
+        right = right & kind.rlike("^(BIGINT|DOUBLE|DECIMAL.*)$" if isinstance(f.dataType, T.DoubleType) else "^STRING$")
+    return right
+
+
 def parse_events(raw: DataFrame, column: str = "body") -> DataFrame:
-    """Incoming JSON with its members and an ``is_valid`` verdict."""
+    """Incoming JSON with its members and an ``is_valid`` verdict on presence, types, formats and enumerations."""
     e = F.from_json(F.col(column), ALERT_EVENT, {"mode": "PERMISSIVE"})
     parsed = raw.withColumn("event", e)
-    present = F.lit(True)
+    present = _json_types(F.col(column)) & F.col("event.url").rlike(_URI)
+    present = present & F.get_json_object(F.col(column), "$.occurred").rlike(_DATE_TIME)
     for f in ALERT_EVENT.fields:
         present = present & F.col(f"event.{f.name}").isNotNull()
     # Allowed members of the two enumerations.

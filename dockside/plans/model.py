@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from dockside.config import SlaConfig
 from dockside.operators import alerts, backorders, dwell, otif, sequences
@@ -108,13 +108,25 @@ class FulfilmentModel:
     def order_state_sequence(self) -> DataFrame:
         return sequences.order_state_sequence(self.tables, self.anchor, self.cfg)
 
+    # The short alert views come in the order in which they are read; the summary takes them as they are.
+    def _alerts(self) -> dict[str, DataFrame]:
+        return {
+            "otif": alerts.otif_below_threshold(self.rolling_7d, self.anchor, self.cfg),
+            "backorder": alerts.backorder_threshold(self.tables, self.cfg),
+            "failures": alerts.consecutive_failure_alerts(self.consecutive_failures),
+            "carriers": alerts.carrier_performance(self.carrier_scorecard, self.anchor, self.cfg),
+            "spikes": dwell.dwell_time_spikes(self.dwell_time_trends, self.anchor, self.cfg),
+        }
+
     @property
     def alert_otif(self) -> DataFrame:
-        return alerts.otif_below_threshold(self.rolling_7d, self.anchor, self.cfg)
+        rows = alerts.otif_below_threshold(self.rolling_7d, self.anchor, self.cfg)
+        return rows.orderBy("gap_to_threshold", "vendor_code")
 
     @property
     def alert_backorder(self) -> DataFrame:
-        return alerts.backorder_threshold(self.tables, self.cfg)
+        rows = alerts.backorder_threshold(self.tables, self.cfg)
+        return rows.orderBy(F.desc("total_open_backorder_cost"), "vendor_code")
 
     @property
     def alert_failures(self) -> DataFrame:
@@ -122,18 +134,17 @@ class FulfilmentModel:
 
     @property
     def alert_carrier(self) -> DataFrame:
-        return alerts.carrier_performance(self.carrier_scorecard, self.anchor, self.cfg)
+        rows = alerts.carrier_performance(self.carrier_scorecard, self.anchor, self.cfg)
+        return rows.orderBy("rolling_4wk_on_time_pct", "carrier_code")
 
     @property
     def alert_dwell(self) -> DataFrame:
-        return dwell.dwell_time_spikes(self.dwell_time_trends, self.anchor, self.cfg)
+        rows = dwell.dwell_time_spikes(self.dwell_time_trends, self.anchor, self.cfg)
+        return rows.orderBy(F.desc("order_week"))
 
     @property
     def alert_summary(self) -> DataFrame:
-        return alerts.dashboard_summary(
-            self.alert_otif, self.alert_backorder, self.alert_failures, self.alert_carrier,
-            self.alert_dwell, self.cfg,
-        )
+        return alerts.dashboard_summary(**self._alerts(), cfg=self.cfg)
 
     def views(self) -> dict[str, DataFrame]:
         """Every view by name, ready for ``createOrReplaceTempView``."""

@@ -13,9 +13,10 @@ from dockside.operators import (
 )
 from dockside.plans.model import FulfilmentModel
 from dockside.plans.staging import fresh_path, stage
-from dockside.sources import readers, sample_events, snapshots
-from dockside.sources.sample_erp import load_erp
-from dockside.sources.sample_mart import event_acks, event_alerts, load_mart
+from dockside.sources import readers, snapshots
+from fixtures import sample_events
+from fixtures.sample_erp import load_erp
+from fixtures.sample_mart import event_acks, event_alerts, load_mart
 from dockside.streaming import alerts as stream_alerts, carried, kpis, runner
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -94,7 +95,7 @@ VIEWS: dict[str, Query] = {
     "v08_consecutive_failures": _q(lambda m: m.consecutive_failures),
     "v09_failures_lead": _q(lambda m: m.failures_lead),
     "v10_dwell_times": _q(lambda m: m.dwell_times),
-    "v11_dwell_time_trends": _q(lambda m: m.dwell_time_trends),
+    "v11_dwell_time_trends": _q(lambda m: m.dwell_time_trends.orderBy(F.desc("order_week"))),
     "v12_backorder_running_costs": _q(lambda m: m.backorder_running_costs),
     # The same sums from a fixed number of segments.
     "v12b_backorder_running_costs_segments": _q(
@@ -393,9 +394,8 @@ def _refresh(m: FulfilmentModel) -> DataFrame:
 def _extract(m: FulfilmentModel) -> DataFrame:
     snapshots.register_extract(FulfilmentModel(m.tables, m.cfg, shared=True), "bi_")
     return m.tables.spark.sql(
-        """SELECT g.carrier_mode, sum(g.total_lines) AS total_lines, max(c.customers) AS customers
-           FROM bi_v_geographic g JOIN (SELECT count(*) AS customers FROM bi_customers) c ON c.customers > 0
-           GROUP BY g.carrier_mode"""
+        """SELECT carrier_mode, sum(total_lines) AS total_lines, (SELECT count(*) FROM bi_customers) AS customers
+           FROM bi_v_geographic GROUP BY carrier_mode"""
     )
 
 

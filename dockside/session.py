@@ -17,8 +17,20 @@ SETTINGS = {
 }
 
 
-def build_session(app: str = "dockside", master: str | None = None, **extra: str) -> SparkSession:
-    """A session with these settings; ``extra`` (dots as ``__``) wins."""
+#: Bytes of input that one shuffle partition stands for before adaptive execution merges partitions.
+PARTITION_BYTES = 64 << 20
+
+
+def build_session(
+    app: str = "dockside", master: str | None = None, *, input_bytes: int | None = None, **extra: str
+) -> SparkSession:
+    """A session with these settings; ``extra`` (dots as ``__``) wins.
+
+    Adaptive execution only merges partitions, so shuffles begin with as many as ``input_bytes``, the size of the
+    largest table, asks for.
+    """
+    initial = max(1000, (input_bytes or 0) // PARTITION_BYTES)
+    extra = {"spark__sql__adaptive__coalescePartitions__initialPartitionNum": str(initial), **extra}
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from dockside.plans.staging import stage_all
 from dockside.schemas import ERP
-from dockside.sources.sample_mart import load_mart
+from fixtures.sample_mart import load_mart
 
 _loaded: dict[tuple[str, str], dict[str, DataFrame]] = {}
 

@@ -204,7 +204,7 @@ active AS (SELECT * FROM summary WHERE alert_severity IN ('CRITICAL', 'BREACHED'
 BODIES = """
 bodies AS (
   SELECT event_id, (round(value)::BIGINT % 100) / 100.0::DOUBLE AS m,
-         CASE WHEN event_id % 2 = 0 THEN 'Less than' ELSE 'Greater than' END AS way, event_id % 10 > 3 AS ok, user_id
+         CASE WHEN event_id % 2 = 0 THEN 'Less than' ELSE 'Greater than' END AS way, event_id % 10 > 6 AS ok, user_id
   FROM events)"""
 
 _CH = "CASE severity WHEN 'CRITICAL' THEN 'Teams,Email,Slack' WHEN 'BREACHED' THEN 'Teams,Email' WHEN 'HIGH' THEN 'Teams,Email' ELSE 'Email' END"
@@ -292,8 +292,8 @@ ALERTING = {
     "a15_dwell_outliers": sql(_OUTLIERS.format(a=5.0, b=7.0, c=10.0)),
     "a15b_dwell_outliers_tight": sql(_OUTLIERS.format(a=4.4, b=1.8, c=6.3)),
     "a16_message_fields": sql(
-        f"""SELECT event_id, 'OTIF SLA Breach' AS title, printf('%.2f%%', m * 100) AS metric, '92.00%' AS threshold_text,
-        way AS direction_text, 'OTIF SLA Monitoring' AS dashboard, '7D Rolling OTIF %' AS card, {_ABS} AS severity
+        f"""SELECT event_id, 'Complete deliveries fell' AS title, printf('%.2f%%', m * 100) AS metric, '92.00%' AS threshold_text,
+        way AS direction_text, 'Fulfilment watch' AS dashboard, 'Weekly share' AS card, {_ABS} AS severity
         FROM bodies WHERE ok""", BODIES),
 }
 

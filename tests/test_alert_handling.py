@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from dockside.config import SlaConfig
 from dockside.operators import cooldown, routing
-from dockside.sources import sample_events
+from fixtures import sample_events
 
 ALERT = "alert_id long, alert_type string, entity string, severity string, ts timestamp_ntz"
 ACK = "ack_id long, entity string, ack_ts timestamp_ntz"
@@ -106,7 +106,7 @@ def test_payload_keeps_nulls(spark):
 
 GOOD = {
     "type": "alert", "alertTitle": "t", "dashboardName": "d", "cardName": "c", "metricName": "m", "metricValue": 0.5,
-    "threshold": 0.92, "direction": "Less than", "url": "u", "dashboardId": "i", "occurred": "2025-01-15T14:30:00Z",
+    "threshold": 0.92, "direction": "Less than", "url": "https://example.org/r", "dashboardId": "i", "occurred": "2025-01-15T14:30:00Z",
 }
 
 
@@ -114,7 +114,9 @@ def test_every_required_member_is_checked(spark):
     bodies = [json.dumps(GOOD)]
     bodies += [json.dumps({k: v for k, v in GOOD.items() if k != gone}) for gone in GOOD]
     bodies += [json.dumps({**GOOD, "type": "note"}), json.dumps({**GOOD, "direction": "Sideways"}),
-               json.dumps({**GOOD, "metricValue": "high"}), json.dumps({**GOOD, "occurred": "soon"}), "not json"]
+               json.dumps({**GOOD, "metricValue": "high"}), json.dumps({**GOOD, "occurred": "soon"}), "not json",
+               json.dumps({**GOOD, "alertTitle": 5}), json.dumps({**GOOD, "url": {"a": 1}}), json.dumps({**GOOD, "url": "no scheme"}),
+               json.dumps({**GOOD, "threshold": "0.9"}), json.dumps({**GOOD, "occurred": "2025-01-15"}), json.dumps({**GOOD, "cardName": None})]
     valid, rejected = routing.split_events(spark.createDataFrame([(b,) for b in bodies], "body string"))
     assert valid.count() == 1 and rejected.count() == len(bodies) - 1
 

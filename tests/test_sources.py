@@ -186,19 +186,20 @@ def test_staged_tables_and_their_removal(spark):
     assert staging.remove_folder(spark, folder) and not staging.remove_folder(spark, folder)
 
 
-def test_shared_folder_is_required_on_a_cluster(monkeypatch):
+def test_shared_folder_is_the_checkpoint_folder_or_the_warehouse():
     class Conf:
-        def get(self, name, default=None):
-            return default
+        def __init__(self, **values):
+            self.values = values
 
-    class Context:
-        master, applicationId = "yarn", "app-1"
+        def get(self, name, default=None):
+            return self.values.get(name.replace(".", "_"), default)
 
     class Session:
-        conf, sparkContext = Conf(), Context()
+        conf = Conf(spark_checkpoint_dir="hdfs:/shared/", spark_sql_warehouse_dir="hdfs:/warehouse")
 
-    with pytest.raises(RuntimeError):
-        staging.shared_dir(Session())
+    assert staging.shared_dir(Session()) == "hdfs:/shared"
+    Session.conf = Conf(spark_sql_warehouse_dir="hdfs:/warehouse")
+    assert staging.shared_dir(Session()) == "hdfs:/warehouse"
 
 
 def test_schemas_cover_every_table():
