@@ -51,25 +51,23 @@ def vendor_backorder_totals(t: Tables) -> DataFrame:
     """Open backorder cost credited to every vendor shipping the order.
 
     Joining backorders with all delivery lines and all shipments of the order
-    multiplies rows; here both sides are first reduced to one row per order
-    and per (order, vendor), and the shipment count weights the cost.
+    multiplies rows; here every side is first reduced to one row per order
+    line, order, or (order, vendor), and counts take the place of copies.
     """
-    opened = t.backorders.where(F.col("status") == "open").select(
-        *LINE, "backorder_id", "backorder_qty", "created_at"
+    opened = t.backorders.where(F.col("status") == "open").groupBy(*LINE).agg(
+        F.sum("backorder_qty").alias("qty"), F.count(F.lit(1)).alias("n"), F.max("created_at").alias("latest")
     )
-    per_order = (
-        costed(t, opened)
-        .groupBy("order_number", "backorder_id")
-        .agg(
-            F.sum(F.col("backorder_qty") * F.col("unit_price")).alias("cost"),
-            F.max("created_at").alias("latest"),
-        )
-        .groupBy("order_number")
-        .agg(
-            F.sum("cost").alias("cost"),
-            F.count(F.lit(1)).alias("backorders"),
-            F.max("latest").alias("latest"),
-        )
+    # What one unit of the order line costs over all deliveries of it.
+    delivered = t.delivery_lines.join(opened.select(*LINE), LINE, "left_semi").groupBy(*LINE, "sku").agg(
+        F.count(F.lit(1)).cast("decimal(10,0)").alias("times")
+    )
+    unit_cost = delivered.join(t.products.select("sku", "unit_price"), "sku").groupBy(*LINE).agg(
+        F.sum(F.col("unit_price") * F.col("times")).cast("decimal(18,2)").alias("unit_cost")
+    )
+    per_order = opened.join(unit_cost, LINE).groupBy("order_number").agg(
+        F.sum((F.col("qty") * F.col("unit_cost")).cast("decimal(28,2)")).alias("cost"),
+        F.sum("n").alias("backorders"),
+        F.max("latest").alias("latest"),
     )
     shipping = t.shipments.groupBy("order_number", "vendor_code").agg(
         F.count(F.lit(1)).cast("decimal(20,0)").alias("copies")

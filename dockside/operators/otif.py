@@ -105,8 +105,16 @@ def anchor_date(t: Tables, cfg: SlaConfig = SlaConfig()) -> dt.date | None:
         width *= 4
 
 
+MONTH = "delivery_month"
+
+
 def _since(ll: DataFrame, day: dt.date | None) -> DataFrame:
-    return ll if day is None else ll.where(F.col("actual_delivery_date") >= F.lit(day))
+    """Lines from ``day`` on; where they lie in folders by month, earlier months are not opened."""
+    if day is None:
+        return ll
+    if MONTH in ll.columns:
+        ll = ll.where(F.col(MONTH) >= F.lit(day.replace(day=1))).drop(MONTH)
+    return ll.where(F.col("actual_delivery_date") >= F.lit(day))
 
 
 def days_back(anchor: dt.date | None, days: int | None) -> dt.date | None:

@@ -46,10 +46,15 @@ class FulfilmentModel:
 
     @cached_property
     def line_level(self) -> DataFrame:
+        return self._monthly.drop(otif.MONTH) if self.shared else otif.line_level(self.tables, self.cfg)
+
+    @cached_property
+    def _monthly(self) -> DataFrame:
+        """The shared line level in folders by month of delivery."""
         ll = otif.line_level(self.tables, self.cfg)
-        if not self.shared:
-            return ll
-        return stage(ll.select(*self.keep) if self.keep else ll, "line-level")
+        ll = ll.select(*self.keep) if self.keep else ll
+        month = F.trunc("actual_delivery_date", "month")
+        return stage(ll.withColumn(otif.MONTH, month), "line-level", partition=otif.MONTH)
 
     @cached_property
     def anchor(self) -> dt.date | None:
@@ -61,7 +66,7 @@ class FulfilmentModel:
         """Line level from ``days`` before the anchor; the bound reaches the scan."""
         since = otif.days_back(self.anchor, days)
         if self.shared:
-            return otif._since(self.line_level, since)
+            return otif._since(self._monthly, since)
         return otif.line_level(self.tables, self.cfg, since=since)
 
     @property

@@ -24,11 +24,17 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/dockside/{app}/{label}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once and return a scan of the written copy."""
+def stage(df: DataFrame, label: str, *, partition: str | None = None) -> DataFrame:
+    """Write ``df`` once and return a scan of the written copy.
+
+    With ``partition`` there is a folder for each value of that column; large values get several files.
+    """
     spark = df.sparkSession
     path = fresh_path(spark, label)
-    df.write.parquet(path)
+    if partition is None:
+        df.write.parquet(path)
+    else:
+        df.hint("rebalance", partition).write.partitionBy(partition).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -14,6 +14,7 @@ from dockside.operators import (
 from dockside.plans.model import FulfilmentModel
 from dockside.plans.staging import fresh_path, stage
 from dockside.sources import readers, snapshots
+from dockside.tables import Tables
 from fixtures import sample_events
 from fixtures.sample_erp import load_erp
 from fixtures.sample_mart import event_acks, event_alerts, load_mart
@@ -326,9 +327,22 @@ def _keys(m: FulfilmentModel) -> DataFrame:
     return quality.snapshot_key_violations({n: getattr(shared, n) for n in quality.SNAPSHOT_KEYS})
 
 
+def _faulty(m: FulfilmentModel) -> Tables:
+    """The tables with some orders missing, some twice, and every third shipment again from another region."""
+    t, o, s = m.tables, F.col("order_id"), F.col("shipment_id")
+    moved = t.shipments.where(s % 3 == 0).withColumn("vendor_region", F.lit("ELSEWHERE"))
+    return t.but(
+        orders=t.orders.where(o % 40 != 0).unionByName(t.orders.where((o % 50 == 0) & (o % 40 != 0))),
+        shipments=t.shipments.unionByName(moved),
+    )
+
+
 QUALITY: dict[str, Query] = {
     "q01_snapshot_keys": _q(_keys),
     "q02_natural_keys": _q(lambda m: quality.natural_key_violations(m.tables)),
+    "q02b_repeated_natural_keys": _q(lambda m: quality.natural_key_violations(_faulty(m))),
+    "q03b_lost_parents": _q(lambda m: quality.orphans(_faulty(m))),
+    "q04b_masters_in_two_regions": _q(lambda m: quality.ambiguous_masters(_faulty(m))),
     "q03_orphans": _q(lambda m: quality.orphans(m.tables)),
     "q04_ambiguous_masters": _q(lambda m: quality.ambiguous_masters(m.tables)),
     "q05_in_full_asymmetry": _q(lambda m: quality.in_full_asymmetry(m.line_level)),

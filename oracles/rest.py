@@ -154,6 +154,20 @@ QUALITY = {
         _orphan("delivery_lines", "order_lines", "order_number,line_number"),
         _orphan("backorders", "order_lines", "order_number,line_number"),
     ])),
+    "q02b_repeated_natural_keys": sql(
+        """SELECT 'orders.order_number' AS check_name, count(*) FILTER (order_id % 50 = 0 AND order_id % 40 <> 0) AS violations FROM f_orders
+        UNION ALL SELECT 'shipments.shipment_number', count(*) FILTER (shipment_id % 3 = 0) FROM f_shipments"""),
+    "q03b_lost_parents": sql(
+        """, gone AS (SELECT order_number FROM f_orders WHERE order_id % 40 = 0)
+        SELECT 'order_lines->orders(order_number)' AS check_name, count(*) AS violations FROM f_order_lines SEMI JOIN gone USING (order_number)
+        UNION ALL SELECT 'shipments->orders(order_number)', coalesce(sum(CASE WHEN shipment_id % 3 = 0 THEN 2 ELSE 1 END), 0)::BIGINT
+          FROM f_shipments SEMI JOIN gone USING (order_number)
+        UNION ALL VALUES ('delivery_lines->shipments(shipment_number)', 0), ('delivery_lines->order_lines(order_number,line_number)', 0),
+          ('backorders->order_lines(order_number,line_number)', 0)"""),
+    "q04b_masters_in_two_regions": sql(
+        """SELECT 'vendor_code with several regions' AS check_name, count(DISTINCT vendor_code) AS violations
+          FROM f_shipments WHERE shipment_id % 3 = 0
+        UNION ALL SELECT 'carrier_code with several names or modes', 0"""),
     "q04_ambiguous_masters": sql(
         """SELECT 'vendor_code with several regions' AS check_name, count(*) AS violations FROM
           (SELECT vendor_code FROM f_shipments GROUP BY 1 HAVING count(DISTINCT vendor_region) > 1)
