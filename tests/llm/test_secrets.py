@@ -60,8 +60,10 @@ def test_queries_are_mandatory_trigrams():
 
 def test_only_documents_with_all_trigrams_are_candidates(spark):
     docs = spark.createDataFrame([(1, "AKIA"), (2, "aki kib"), (3, "xakiay"), (4, None)], "doc_id long, text string")
-    got = secrets.candidates(docs, {"access": secrets.trigram_query("AKIA[A-Z0-9]{12,}")})
-    assert {r.doc_id for r in got.collect()} == {1, 3}
+    query = {"access": secrets.trigram_query("AKIA[A-Z0-9]{12,}")}
+    index = secrets.postings(docs, secrets.terms_of(query))
+    assert {r.doc_id for r in secrets.candidates(index, query).collect()} == {1, 3}
+    assert secrets.rarest(index, query) == ["kia"]
 
 
 def test_no_python_in_the_plan(spark):

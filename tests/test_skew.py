@@ -13,6 +13,7 @@ from dockside.tables import Tables
 SMALL = {
     **{k: v for k, v in SETTINGS.items() if "adaptive" in k},
     "spark.sql.shuffle.partitions": "16",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "16",
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200KB",
