@@ -198,7 +198,8 @@ def class_components(prints: DataFrame, **options) -> DataFrame:
     roots = components(link_edges(classes, **options)).withColumnRenamed("node", "fp")
     rooted = stage(classes.join(roots, "fp", "left"), "simhash-roots")
     linked = rooted.where("root is not null")
-    least = linked.groupBy("root").agg(F.min("first").alias("component_id"))
+    # Written, so that the join reads two plain exchanges and a component of very many classes can be split.
+    least = stage(linked.groupBy("root").agg(F.min("first").alias("component_id")), "simhash-least")
     # Classes without links stay out of the join, where they would all meet under the null root.
     of_class = linked.join(least, "root").select("fp", "root", "component_id").unionByName(
         rooted.where("root is null").select("fp", F.col("fp").alias("root"), F.col("first").alias("component_id"))
@@ -226,8 +227,12 @@ def keep_one(docs: DataFrame, **options) -> DataFrame:
     ids = stage(ids.select(F.col("doc_id").alias(id_), "n", "stays"), "simhash-ids")
     odd = F.col(id_).isNull() | (F.col("n") > 1)
     gone, again = ids.where(odd | ~F.col("stays")).select(id_), ids.where(odd).select(id_)
-    once = docs.where(F.col("doc_id").isNotNull()).join(gone, F.col("doc_id") == F.col(id_), "left_anti")
-    more = docs.join(again, F.col("doc_id").eqNullSafe(F.col(id_)), "left_semi")
+    # By merging at every size: what is gone grows with the corpus, so in the end it is never small.
+    once = docs.where(F.col("doc_id").isNotNull()).join(gone.hint("merge"), F.col("doc_id") == F.col(id_), "left_anti")
+    if again.isEmpty():
+        return once
+    # Written before the fingerprints, or they would be taken of all documents in front of the join.
+    more = stage(docs.join(again, F.col("doc_id").eqNullSafe(F.col(id_)), "left_semi"), "simhash-again")
     of_class = of_class.select(F.col("fp").alias(fp), F.col("root").alias(root), F.col("component_id").alias(first))
     more = more.withColumn(fp, fingerprint_column("text")).join(of_class, fp)
     more = more.where(F.col("doc_id").eqNullSafe(F.col(first))).dropDuplicates(["doc_id", root])
