@@ -6,7 +6,7 @@ are intersected, and only documents in a rule's result are verified by its expre
 trigrams scans every document.  Everything runs on built-in functions.
 
 Only ids move between tasks on the index side; a posting list is never gathered, for intersection counts a set's
-trigrams by document.
+trigrams by document.  Of the texts only those move that have the rarest trigram of some set.
 
 Edge cases: a null text is empty and has no spans.  Documents that share an id share their postings, which can only add
 candidates; each row is verified by its own text.  A null id is an id like any other.  An empty table gives an empty
@@ -22,6 +22,7 @@ from re import _constants as _c, _parser
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from dockside.llm.columns import free_names
+from dockside.plans.staging import stage
 
 
 @dataclass(frozen=True)
@@ -105,15 +106,17 @@ def postings(docs: DataFrame, trigrams: list[str]) -> DataFrame:
     return low.select(F.explode(present).alias("trigram"), "doc_id")
 
 
-def candidates(docs: DataFrame, queries: dict[str, list[frozenset[str]]]) -> DataFrame:
-    """(doc_id, rules): the documents that some rule's query finds, with the rules, each document once."""
-    spark: SparkSession = docs.sparkSession
+def terms_of(queries: dict[str, list[frozenset[str]]]) -> list[str]:
+    """The trigrams that the queries ask for."""
+    return sorted({t for sets in queries.values() for s in sets for t in s})
+
+
+def candidates(index: DataFrame, queries: dict[str, list[frozenset[str]]]) -> DataFrame:
+    """(doc_id, rules): the documents that some rule's query finds in the index, each once with its rules."""
+    spark: SparkSession = index.sparkSession
     terms = [(kind, k, t, len(s)) for kind, sets in queries.items() for k, s in enumerate(sets) for t in sorted(s)]
-    if not terms:
-        return spark.createDataFrame([], "doc_id long, rules array<string>")
     # As many rows as the rules have trigrams, whatever the corpus.
     asked = F.broadcast(spark.createDataFrame(terms, "rule string, clause int, trigram string, need long"))
-    index = postings(docs, sorted({t for _, _, t, _ in terms}))
     # The postings of a document meet where they were made, so most of the count happens before the shuffle.
     met = index.distinct().join(asked, "trigram").groupBy("doc_id", "rule", "clause").agg(
         F.count("*").alias("n"), F.first("need").alias("need")
@@ -121,6 +124,12 @@ def candidates(docs: DataFrame, queries: dict[str, list[frozenset[str]]]) -> Dat
     return met.where("n = need").groupBy("doc_id").agg(F.collect_set("rule").alias("rules"))
 
 
+def rarest(index: DataFrame, queries: dict[str, list[frozenset[str]]]) -> list[str]:
+    """Of every set the trigram with the shortest posting list: who has none of these is no candidate."""
+    length = {r["trigram"]: r["count"] for r in index.groupBy("trigram").count().collect()}
+    return sorted({min(sorted(s), key=lambda t: length.get(t, 0)) for sets in queries.values() for s in sets})
+
+
 def _spans(text: Column, rule: Rule) -> Column:
     """array<struct<start, end, kind>> of the rule's matches, in code points, end exclusive.
 
@@ -159,8 +168,17 @@ def find(docs: DataFrame, spans: str = "spans", rules: tuple[Rule, ...] = RULES)
     queries = {r.kind: trigram_query(r.pattern) for r in rules}
     indexed = {k: q for k, q in queries.items() if all(q)}
     id_, kinds = free_names(docs, "id_", "rules_")
-    found = candidates(docs, indexed).select(F.col("doc_id").alias(id_), F.col("rules").alias(kinds))
-    joined = docs.join(found, F.col("doc_id").eqNullSafe(F.col(id_)), "left")
+    joined = docs.withColumn(kinds, F.lit(None).cast("array<string>"))
+    if indexed:
+        index = stage(postings(docs, terms_of(indexed)), "trigram-index")
+        found = candidates(index, indexed).select(F.col("doc_id").alias(id_), F.col("rules").alias(kinds))
+        # Only texts with a rare trigram move to meet their candidate rules; the rest stay where they are read.
+        low = F.lower(F.coalesce(F.col("text"), F.lit("")))
+        maybe = F.lit(False)
+        for probe in rarest(index, indexed):
+            maybe = maybe | low.contains(probe)
+        met = docs.where(maybe).join(found.hint("merge"), F.col("doc_id").eqNullSafe(F.col(id_)), "left").drop(id_)
+        joined = met.unionByName(joined.where(~maybe))
     text = F.coalesce(F.col("text"), F.lit(""))
     none = F.array().cast("array<struct<start:int,rank:int,end:int,kind:string>>")
     each = []
@@ -171,7 +189,7 @@ def find(docs: DataFrame, spans: str = "spans", rules: tuple[Rule, ...] = RULES)
             verify = text.rlike(rule.pattern)
         found_here = F.transform(_spans(text, rule), _ranked(rank, rule.kind))
         each.append(F.when(verify, found_here).otherwise(none))
-    return joined.withColumn(spans, F.array_sort(F.concat(*each))).drop(id_, kinds)
+    return joined.withColumn(spans, F.array_sort(F.concat(*each))).drop(kinds)
 
 
 def spans_text(spans: Column) -> Column:
