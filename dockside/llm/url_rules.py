@@ -23,8 +23,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from dockside.plans.staging import stage
 
-#: Urls of one domain that a task sweeps at once; more are cut into segments.
-SEGMENT_URLS = 200_000
+#: Urls of one domain to a segment, or four for each mark of a rule there if that is more: the marks, which every
+#: segment of a domain repeats, then stay fewer than the urls.
+SEGMENT_URLS = 2_000
 DEFAULT_VERDICT = "allow"
 #: (host, path, verdict)
 RULES = (
@@ -94,9 +95,12 @@ def judge(
         path_of(F.col("url")).alias("path"), F.monotonically_increasing_id().alias("row"),
     )
     urls = urls.withColumn("at", reversed_key(F.col("host"))).withColumn("domain", _domain(F.col("at")))
-    sizes = stage(urls.groupBy("domain").agg(F.ceil(F.count("*") / segment_urls).cast("int").alias("segments")), "url-domains")
     rules = rules.groupBy("host", "path").agg(F.max("verdict").alias("verdict"))  # "block" is after "allow"
-    edges = marks(rules)
+    edges = stage(marks(rules), "url-marks")
+    marked = edges.where("labels > 1").groupBy("domain").agg(F.count("*").alias("marks"))
+    cut = F.greatest(F.lit(segment_urls), 4 * F.coalesce("marks", F.lit(0)))
+    sizes = urls.groupBy("domain").agg(F.count("*").alias("n")).join(marked, "domain", "left")
+    sizes = stage(sizes.select("domain", F.ceil(F.col("n") / cut).cast("int").alias("segments")), "url-domains")
     # The first label is a top-level domain: its rules are open before the first mark of any segment below it.
     top = edges.where("labels = 1 and opens = 1").select(F.expr("left(at, length(at) - 1)").alias("tld"), F.col("stack").alias("top"))
     segments = sizes.join(top, F.substring_index(F.col("domain"), ".", 1) == F.col("tld"), "left").select("domain", "segments", "top")
