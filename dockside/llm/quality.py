@@ -177,7 +177,7 @@ def fit(rows: list[np.ndarray], y: np.ndarray, *, c: float = 1.0, epochs: int =
     if len(set(y[:cut])) < 2 or len(set(y[cut:])) < 2:
         cut = len(y)
     ratio = log_count_ratios(rows[:cut], y[:cut])
-    values = [ratio[r] / np.sqrt(len(r)) for r in rows[:cut]]
+    values = [(ratio[r] / np.sqrt(len(r))).astype(np.float32) for r in rows[:cut]]  # half the memory
     share = (y[:cut] > 0).mean()
     cost = c * np.where(y[:cut] > 0, 0.5 / share, 0.5 / (1 - share))
     w, bias = dual_coordinate_descent(rows[:cut], values, y[:cut], cost, epochs)
