@@ -7,7 +7,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from dockside.config import SlaConfig
 from dockside.operators import (
     alerts, backorders, cooldown, dashboard, dwell, erp, measures, otif, quality, routing, security, sequences,
 )

@@ -5,7 +5,6 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from dockside.config import SlaConfig
 from dockside.operators import cooldown, routing
 from fixtures import sample_events
 

@@ -3,7 +3,6 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F, types as T
 
-from dockside.config import SlaConfig
 from dockside.operators import alerts, backorders, dwell, otif, sequences
 from micro import day, frame, merged, one_line_order, rows, tables
 
