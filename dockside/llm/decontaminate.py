@@ -3,12 +3,16 @@
 Texts are sequences of lower-cased words.  A window as long as an item is embedded by the CGK random walk, which stays
 at a word or goes on as a random bit of that word says, so few edits between two sequences leave most places of their
 walks equal.  Repeated sampling of places gives hash keys: windows and items that agree on a key become candidates,
-and the least number of word edits to any stretch of the text there is computed exactly.  The number of repetitions is
-the smallest that reaches the target recall on items edited as far as the limit.
+and the least number of word edits to any stretch of the text there is computed exactly.  Each length of item has its own
+number of repetitions, the smallest that reaches the target recall on items of that length edited as far as the limit.
 
 Windows that can't lie within the limit are not embedded.  That test loses nothing: n words within d edits of an item
 share at least n - 1 - 2 d neighbouring pairs of words with it.
 
+Long items would need ever more repetitions.  Items of over ``WALK_WORDS`` words, and of lengths that miss the target
+within ``MAX_REPETITIONS``, are not embedded but found by the same argument for runs of q words, of which n - q + 1 - q d
+stay: every stretch that has so many of an item's runs, and its share of pairs, is verified.  This loses nothing.
+
 Items are few beside the documents, and are taken in blocks of bounded size, each block a pass over all documents.
 
 Edge cases: null texts are empty and match nothing.  Items of fewer than five words (one shingle) are no evidence and
@@ -32,8 +36,14 @@ SAMPLED = 3
 MIN_WORDS = 5
 #: Items of one pass over the documents; their index is broadcast, a few hundred bytes an item.
 BLOCK_ITEMS = 20_000
-#: No more repetitions than this, should the target be out of reach.
+#: Characters of the items of one pass, about: long items make more blocks.
+BLOCK_CHARS = 16_000_000
+#: Lengths that need more repetitions than this are searched exactly, as are items of more words than these.
 MAX_REPETITIONS = 128
+WALK_WORDS = 40
+#: Longest run of words that is looked up, and (run, item) pairs that are held at once.
+_MAX_RUN = 8
+_HELD_PAIRS = 1 << 20
 _SPACES = bytes(b if chr(b).isalnum() or b > 127 else 32 for b in range(256))
 _BATCH_WORDS = 1 << 20
 _GRAM_BITS = 22
@@ -79,35 +89,45 @@ class ItemIndex:
             for x in w:
                 self.vocabulary.setdefault(x, len(self.vocabulary) + 1)
         self.items = [np.array([self.vocabulary[x] for x in w], np.int64) for _, w in split]
-        self.lengths = np.unique([len(x) for x in self.items]).astype(np.int64)
         if not self.items:
             return
-        self.longest, shortest = int(self.lengths[-1]), int(self.lengths[0])
+        sizes = np.array([len(x) for x in self.items], np.int64)
+        short = np.unique(sizes[sizes <= WALK_WORDS])
+        rng = np.random.default_rng(seed)
+        self.longest = int(short[-1]) if len(short) else 0
+        shape = (MAX_REPETITIONS, 2 * self.longest)
+        self.factors = rng.integers(0, 1 << 63, shape, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+        self.places = rng.random((MAX_REPETITIONS, sampled))
+        enough = {n: self._enough(n, np.flatnonzero(sizes == n), recall, rng) for n in short.tolist()}
+        #: By length; a length without them is searched exactly.
+        self.repetitions: dict[int, int] = {n: r for n, r in enough.items() if r is not None}
+        self.lengths = np.array(list(self.repetitions), np.int64)
+        walked = np.isin(sizes, self.lengths)
+        self._post(np.flatnonzero(~walked), sizes)
+        if not len(self.lengths):
+            return
+        shortest = int(self.lengths[0])
+        self.longest = int(self.lengths[-1])
         self.grams = np.zeros(1 << _GRAM_BITS, bool)
-        for x in self.items:
-            self.grams[self._gram(x)] = True
+        for k in np.flatnonzero(walked).tolist():
+            self.grams[self._gram(self.items[k])] = True
         # Pairs that a window of each length must share, and what that leaves for some window of the least length.
         self.need = np.maximum(self.lengths - 1 - 2 * allowed(self.lengths, max_edits), 1)
         whole, rest = np.divmod(self.lengths, shortest)
         self.width = shortest
         self.least = max(1, int(np.maximum(np.ceil((self.need - rest) / whole), np.ceil(self.need / (whole + (rest > 0)))).min()) - 1)
-        rng = np.random.default_rng(seed)
-        shape = (MAX_REPETITIONS, 2 * self.longest)
-        self.factors = rng.integers(0, 1 << 63, shape, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-        self.places = rng.random((MAX_REPETITIONS, sampled))
-        self.repetitions = self._enough(recall, rng)
-        self.tables = [self._table(r) for r in range(self.repetitions)]
+        self.tables = [self._table(r) for r in range(max(self.repetitions.values()))]
 
     def _gram(self, codes: np.ndarray) -> np.ndarray:
         pair = codes[:-1].astype(np.uint64) * np.uint64(0x1FFFFFFFFFFFFF) + codes[1:].astype(np.uint64)
         return (pair * _MIX >> np.uint64(64 - _GRAM_BITS)).astype(np.int64)
 
-    def _walks(self, codes: np.ndarray, starts: np.ndarray, r: int) -> tuple[np.ndarray, np.ndarray]:
-        """Word and place in the window, by step of the walk and start; ``codes`` go on for ``longest`` behind each."""
-        read = np.empty((2 * self.longest, len(starts)), np.int64)
+    def _walks(self, codes: np.ndarray, starts: np.ndarray, r: int, longest: int) -> tuple[np.ndarray, np.ndarray]:
+        """Word and place in windows up to ``longest``, by step and start; ``codes`` go on for ``self.longest`` behind each."""
+        read = np.empty((2 * longest, len(starts)), np.int64)
         place = np.empty_like(read)
         at = np.zeros(len(starts), np.int64)
-        for t in range(2 * self.longest):
+        for t in range(2 * longest):
             place[t] = at
             word = codes[starts + np.minimum(at, self.longest)]
             read[t] = word
@@ -126,24 +146,26 @@ class ItemIndex:
 
     def _table(self, r: int) -> dict[int, tuple[np.ndarray, np.ndarray]]:
         out = {}
-        for length in self.lengths.tolist():
+        for length, enough in self.repetitions.items():
+            if enough <= r:
+                continue
             of = [k for k, x in enumerate(self.items) if len(x) == length]
             codes = np.concatenate([np.append(self.items[k], np.zeros(self.longest + 1, np.int64)) for k in of])
             starts = np.arange(len(of)) * (length + self.longest + 1)
-            keys = self._keys(*self._walks(codes, starts, r), length, r, np.arange(len(of)))
+            keys = self._keys(*self._walks(codes, starts, r, length), length, r, np.arange(len(of)))
             order = np.argsort(keys, kind="stable")
             out[length] = keys[order], np.array(of, np.int64)[order]
         return out
 
-    def _enough(self, recall: float, rng: np.random.Generator, trials: int = 300) -> int:
-        """Repetitions after which the wanted share of items, edited as far as the limit, has met its original."""
-        chosen = rng.integers(0, len(self.items), trials)
+    def _enough(self, length: int, of: np.ndarray, recall: float, rng: np.random.Generator, trials: int = 300) -> int | None:
+        """Repetitions after which the wanted share of the items ``of`` a length, edited as far as the limit, has met its original."""
+        chosen = of[rng.integers(0, len(of), trials)]
         texts, starts = [], []
         at = 0
         for k in chosen:
             x = self.items[k].tolist()
-            for _ in range(int(allowed(len(x), self.max_edits))):
-                p, kind = int(rng.integers(0, len(x))), int(rng.integers(0, 3))
+            for _ in range(int(allowed(length, self.max_edits))):
+                p, kind = int(rng.integers(0, max(len(x), 1))), int(rng.integers(0, 3))
                 other = int(rng.integers(0, len(self.vocabulary) + 1))
                 x[p:p + (kind != 1)] = [other] * (kind != 2)
             before = rng.integers(0, len(self.vocabulary) + 1, 2).tolist()
@@ -152,23 +174,91 @@ class ItemIndex:
             at += len(texts[-1])
         codes, starts = np.concatenate(texts), np.concatenate(starts)
         whole = np.concatenate([np.append(self.items[k], np.zeros(self.longest + 1, np.int64)) for k in chosen])
-        own = np.cumsum([0] + [len(self.items[k]) + self.longest + 1 for k in chosen[:-1]])
-        sizes = np.array([len(self.items[k]) for k in chosen])
+        own = np.arange(trials) * (length + self.longest + 1)
         met = np.zeros(trials, bool)
         for r in range(MAX_REPETITIONS):
-            there, here = self._walks(codes, starts, r), self._walks(whole, own, r)
-            for length in np.unique(sizes).tolist():
-                of = np.flatnonzero((sizes == length) & ~met)
-                if len(of):
-                    keys = self._keys(*there, length, r, (of[:, None] * 5 + np.arange(5)).ravel()).reshape(-1, 5)
-                    met[of] |= (keys == self._keys(*here, length, r, of)[:, None]).any(axis=1)
+            there = self._keys(*self._walks(codes, starts, r, length), length, r, np.arange(len(starts))).reshape(-1, 5)
+            here = self._keys(*self._walks(whole, own, r, length), length, r, np.arange(trials))
+            met |= (there == here[:, None]).any(axis=1)
             if met.mean() >= recall:
                 return r + 1
-        return MAX_REPETITIONS
+        return None
+
+    @staticmethod
+    def _runs(codes: np.ndarray, q: int) -> np.ndarray:
+        """Hash of the ``q`` words from each place on; none for the last q - 1."""
+        n = max(len(codes) - q + 1, 0)
+        key = np.zeros(n, np.uint64)
+        for k in range(q):
+            key = (key ^ codes[k:k + n].astype(np.uint64)) * _MIX
+            key ^= key >> np.uint64(29)
+        return key
+
+    def _post(self, exact: np.ndarray, sizes: np.ndarray) -> None:
+        """For each q the items that are searched by runs of q words: their runs, and which items have each."""
+        d = allowed(sizes, self.max_edits)
+        run = np.ones_like(sizes)
+        for q in range(2, _MAX_RUN + 1):
+            run[sizes - q + 1 - q * d >= 1] = q
+        self.sizes, self.kept_runs = sizes, np.maximum(sizes - run + 1 - run * d, 1)
+        self.postings: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, int]] = {}
+        for q in np.unique(run[exact]).tolist():
+            of = exact[run[exact] == q]
+            own = [np.unique(self._runs(self.items[k], q)) for k in of.tolist()]
+            keys, items = np.concatenate(own), np.repeat(of, [len(x) for x in own]).astype(np.int32)
+            order = np.argsort(keys, kind="stable")
+            keys, first = np.unique(keys[order], return_index=True)
+            self.postings[q] = keys, np.append(first, len(items)), items[order], int((sizes + d)[of].max())
+
+    def exact_spans(self, codes: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(item, start, end) of parts of texts that hold every stretch within the limit of an item searched exactly."""
+        out = [np.empty((3, 0), np.int64)]
+        for q, (keys, first, items, reach) in self.postings.items():
+            run = self._runs(codes, q)
+            known = np.concatenate(([0], np.cumsum(codes > 0)))
+            at = np.flatnonzero(known[q:] - known[:-q] == q) if len(run) else np.empty(0, np.int64)
+            place = np.minimum(np.searchsorted(keys, run[at]), len(keys) - 1)
+            hit = keys[place] == run[at]
+            at, place = at[hit], place[hit]
+            many = first[place + 1] - first[place]
+            upto = np.cumsum(many)
+            lo = 0
+            while lo < len(at):
+                # Runs that begin here, and those behind them that a stretch may reach.
+                hi = max(lo + 1, int(np.searchsorted(upto, upto[lo] - many[lo] + _HELD_PAIRS, "right")))
+                end = int(np.searchsorted(at, at[min(hi, len(at)) - 1] + reach))
+                n = many[lo:end]
+                p = np.repeat(at[lo:end], n)
+                k = items[np.arange(n.sum()) + np.repeat(first[place[lo:end]] - np.cumsum(n) + n, n)].astype(np.int64)
+                order = np.lexsort((p, k))
+                p, k = p[order], k[order]
+                last = np.minimum(np.arange(len(p)) + self.kept_runs[k] - 1, len(p) - 1)
+                longest = self.sizes[k] + allowed(self.sizes[k], self.max_edits)
+                text = np.searchsorted(begin, p, "right") - 1
+                enough = (np.arange(len(p)) + self.kept_runs[k] <= len(p)) & (k[last] == k) & (p[last] + q - p <= longest)
+                enough &= p[last] < begin[text + 1]
+                some = np.flatnonzero(enough)
+                text = text[some]
+                out.append(np.stack([
+                    k[some], np.maximum(p[last[some]] + q - longest[some], begin[text]),
+                    np.minimum(p[some] + longest[some], begin[text + 1] - 1),
+                ]))
+                lo = hi
+        item, lo, hi = np.concatenate(out, axis=1)
+        return item, lo, hi
+
+    def _may_hold(self, k: int, codes: np.ndarray) -> bool:
+        """Whether some stretch has the pairs that one within the limit of the item keeps; loses nothing."""
+        n, d = int(self.sizes[k]), int(allowed(self.sizes[k], self.max_edits))
+        upto = np.concatenate(([0], np.cumsum(np.isin(self._runs(codes, 2), self._runs(self.items[k], 2)))))
+        width = min(n + d - 1, len(upto) - 1)
+        return int((upto[width:] - upto[:len(upto) - width]).max()) >= n - 1 - 2 * d
 
     def candidates(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(start, item) pairs whose keys agree in some repetition."""
         none = np.empty(0, np.int64)
+        if not len(self.lengths):
+            return none, none
         codes = np.append(codes, np.zeros(2 * self.longest + 2, np.int64))
         hit = np.zeros(len(codes), np.int32)
         known = np.flatnonzero((codes[:-1] > 0) & (codes[1:] > 0))
@@ -189,13 +279,15 @@ class ItemIndex:
             return none, none
         of_length = [np.flatnonzero(fits[:, j]) for j in range(len(self.lengths))]
         found_at, found = [], []
-        for r in range(self.repetitions):
-            walks = self._walks(codes, starts, r)
-            for length, of in zip(self.lengths.tolist(), of_length):
-                if not len(of):
-                    continue
-                keys, items = self.tables[r][length]
-                got = self._keys(*walks, length, r, of)
+        for r, table in enumerate(self.tables):
+            left = [(n, of) for n, of in zip(self.lengths.tolist(), of_length) if len(of) and n in table]
+            if not left:
+                continue
+            wanted = np.unique(np.concatenate([of for _, of in left]))
+            walks = self._walks(codes, starts[wanted], r, left[-1][0])
+            for length, of in left:
+                keys, items = table[length]
+                got = self._keys(*walks, length, r, np.searchsorted(wanted, of))
                 lo, hi = np.searchsorted(keys, got), np.searchsorted(keys, got, "right")
                 more = np.flatnonzero(hi > lo)
                 n = hi[more] - lo[more]
@@ -218,18 +310,24 @@ class ItemIndex:
             codes[b:b + len(t)] = np.fromiter(map(code, t, repeat(0)), np.int64, len(t))
         at, item = self.candidates(codes)
         text = np.searchsorted(begin, at, "right") - 1
-        order = np.lexsort((at, item, text))
+        d = allowed(self.sizes[item], self.max_edits)
+        more, more_lo, more_hi = self.exact_spans(codes, begin)
+        lo = np.concatenate((np.maximum(at - d, begin[text]), more_lo))
+        hi = np.concatenate((np.minimum(at + self.sizes[item] + 2 * d, begin[text] + sizes[text]), more_hi))
+        item = np.concatenate((item, more))
+        text = np.concatenate((text, np.searchsorted(begin, more_lo, "right") - 1))
+        order = np.lexsort((lo, item, text))
         groups: dict[tuple[int, int], list[list[int]]] = {}
-        for k in order.tolist():
-            n = len(self.items[item[k]])
-            d = int(allowed(n, self.max_edits))
-            lo, hi = max(int(at[k]) - d, int(begin[text[k]])), min(int(at[k]) + n + 2 * d, int(begin[text[k]] + sizes[text[k]]))
-            spans = groups.setdefault((int(text[k]), int(item[k])), [])
-            if spans and lo <= spans[-1][1]:
-                spans[-1][1] = max(hi, spans[-1][1])
+        for t, k, a, z in zip(*(x[order].tolist() for x in (text, item, lo, hi))):
+            spans = groups.setdefault((t, k), [])
+            if spans and a <= spans[-1][1]:
+                spans[-1][1] = max(z, spans[-1][1])
             else:
-                spans.append([lo, hi])
+                spans.append([a, z])
         for (t, k), spans in groups.items():
+            spans = [(lo, hi) for lo, hi in spans if self._may_hold(k, codes[lo:hi])]
+            if not spans:
+                continue
             best = min((e, lo + s - begin[t], lo + z - begin[t]) for lo, hi in spans for e, s, z in [least_edits(self.items[k], codes[lo:hi])])
             if best[0] <= allowed(len(self.items[k]), self.max_edits):
                 yield t, self.ids[k], int(best[0]), int(best[1]), int(best[2])
@@ -263,11 +361,16 @@ def _search(docs: DataFrame, index: ItemIndex) -> DataFrame:
     )
 
 
+def _blocks(items: DataFrame, block_items: int) -> int:
+    n, chars = items.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.length("text")), F.lit(0))).first()
+    return max(1, -(-n // block_items), -(-chars // BLOCK_CHARS))
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, *, block_items: int = BLOCK_ITEMS, **options) -> DataFrame:
     """(doc_id, item_id, edits, start_word, end_word): each document and the items that it has a passage of."""
     spark: SparkSession = docs.sparkSession
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text")
-    blocks = max(1, -(-items.count() // block_items))
+    blocks = _blocks(items, block_items)
     out = None
     for k in range(blocks):
         block = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k) if blocks > 1 else items
@@ -287,7 +390,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataF
     """
     rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text")
     block_items = options.pop("block_items", BLOCK_ITEMS)
-    blocks = max(1, -(-rows.count() // block_items))
+    blocks = _blocks(rows, block_items)
     for k in range(blocks):
         block = rows.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k) if blocks > 1 else rows
         items = [(r["item_id"], r["text"]) for r in block.distinct().orderBy("item_id", "text").collect()]

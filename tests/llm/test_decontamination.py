@@ -77,3 +77,47 @@ def test_edges(spark):
     assert decontaminate.contamination(docs, none).count() == 0
     assert decontaminate.drop_contaminated(docs, none).count() == docs.count()
     assert decontaminate.contamination(no_documents(spark), items).count() == 0
+
+
+def edited(rng, words, d):
+    words = list(words)
+    for _ in range(d):
+        p = rng.randrange(len(words))
+        words[p:p + rng.randint(0, 1)] = rng.choice([[], made(rng, 1)])
+    return words
+
+
+def test_every_length_of_a_mixed_benchmark_is_found():
+    rng = random.Random(3)
+    items = [(k, made(rng, 12)) for k in range(80)] + [(100 + k, made(rng, n)) for k, n in enumerate([60, 120, 250, 500] * 3)]
+    index = decontaminate.ItemIndex([(k, " ".join(w)) for k, w in items])
+    for n in (12, 60, 120, 250, 500):
+        of = [x for x in items if len(x[1]) == n]
+        wanted, texts = [], []
+        for j in range(60):
+            k, w = of[j % len(of)]
+            wanted.append((j, k))
+            texts.append([x.encode() for x in made(rng, 40) + edited(rng, w, int(n * 0.2)) + made(rng, 40)])
+        got = {(t, k): (e, s, z) for t, k, e, s, z in index.matches(texts)}
+        share = sum(x in got for x in wanted) / len(wanted)
+        assert share >= 0.9 if n == 12 else share == 1, (n, share)  # the walks' target is 0.97; the rest is exact
+        assert all(got[x][0] <= n * 0.2 for x in wanted if x in got)
+
+
+def test_exact_search_finds_all_that_brute_force_finds(monkeypatch):
+    monkeypatch.setattr(decontaminate, "WALK_WORDS", 0)
+    monkeypatch.setattr(decontaminate, "_HELD_PAIRS", 7)  # many small parts
+    rng = random.Random(4)
+    few = [f"w{k}" for k in range(9)]
+    items = [(k, [rng.choice(few) for _ in range(rng.randint(5, 24))]) for k in range(25)]
+    texts = [[rng.choice(few) for _ in range(rng.randint(0, 12))] + edited(rng, rng.choice(items)[1], rng.randint(0, 5)) for _ in range(60)]
+    index = decontaminate.ItemIndex([(k, " ".join(w)) for k, w in items])
+    got = {(t, k): (e, s, z) for t, k, e, s, z in index.matches([[x.encode() for x in t] for t in texts])}
+    want = {}
+    code = {w.encode(): c for w, c in zip(few, range(1, 99))}
+    for t, text in enumerate(texts):
+        for k, w in items:
+            best = decontaminate.least_edits(np.array([code[x.encode()] for x in w]), np.array([code.get(x.encode(), 0) for x in text], np.int64))
+            if best[0] <= decontaminate.allowed(len(w)):
+                want[t, k] = best
+    assert got == want and len(want) > 40
