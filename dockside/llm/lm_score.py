@@ -1,19 +1,24 @@
-"""Cross-entropy difference of matched n-gram models.
+"""Cross-entropy difference of matched models of words.
 
-A target and a background corpus give two models of the same order and smoothing over one closed vocabulary, the 256
-bytes of UTF-8, so no token is unknown to either.  The background's counts are scaled to the target's amount of text,
-so both models smooth alike.  A text's score is the mean over its tokens of the target's loss less the background's:
-the lower, the more it is like the target.
+A target and a background corpus give two models of the same order and smoothing over one shared vocabulary, the words
+(and single marks) of both corpora.  A word's count is smoothed by the probability of its spelling, from a model of byte
+trigrams of the same corpus, so no word is unknown to either.  The background's counts are scaled to the target's amount
+of text, so both models smooth alike.  A text's score is the mean over its words of the target's loss less the
+background's: the lower, the more it is like the target.
 
-Counts cover every byte of both corpora.  A task sums its own before the shuffle.  The model has at most 256^3 entries
-whatever the corpora, some 10^5 in text, and is broadcast.
+Counts cover every word of both corpora; a task sums its own before the shuffle.  The vocabulary grows with the corpora
+and stays a table: each document's distinct words are joined with it by 64-bit hash.  Only the spelling model, at most
+256^3 entries and some 10^5 in text, reaches the driver and is broadcast.  The spelling model can be used alone, on whole
+texts, by :func:`fit` and :func:`score`.
 
 Edge cases: a null or empty text has no tokens and null losses and score.  Repeated rows count, and are scored, each.
-With an empty target or background its model is uniform.  Extra columns are ignored.
+With an empty target or background its model is uniform over bytes.  Extra columns are ignored.
 """
 
 from __future__ import annotations
 
+import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -21,10 +26,15 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from dockside.plans.staging import stage
+
 _CODES = 1 << 24
 _CHUNK = 8_000_000
 #: Two line feeds stand before every text.
 _START = b"\n\n"
+_WORD = re.compile(r"\w+|[^\w\s]")
+#: Distinct words that a task holds before it passes their counts on.
+_HELD_WORDS = 500_000
 
 
 def trigrams(raw: bytes) -> np.ndarray:
@@ -102,10 +112,13 @@ class LossTable:
 
 def fit(target: DataFrame, background: DataFrame) -> LossTable:
     """Models of two tables with a ``text`` column."""
-    both = count_trigrams(target, "n").withColumn("m", F.lit(0).cast("long")).unionByName(
+    return _losses(count_trigrams(target, "n").withColumn("m", F.lit(0).cast("long")).unionByName(
         count_trigrams(background, "m").withColumn("n", F.lit(0).cast("long"))
-    )
-    found = both.groupBy("code").agg(F.sum("n").alias("n"), F.sum("m").alias("m")).toArrow()
+    ))
+
+
+def _losses(counted: DataFrame) -> LossTable:
+    found = counted.groupBy("code").agg(F.sum("n").alias("n"), F.sum("m").alias("m")).toArrow()
     codes = found["code"].to_numpy().astype(np.int64)
     order = np.argsort(codes)
     codes, n, m = codes[order], found["n"].to_numpy()[order].astype(float), found["m"].to_numpy()[order].astype(float)
@@ -141,3 +154,128 @@ def score(docs: DataFrame, table: LossTable) -> DataFrame:
 def cross_entropy_difference(docs: DataFrame, target: DataFrame) -> DataFrame:
     """Scores ``docs`` by a model of ``target`` against one of ``docs`` themselves."""
     return score(docs, fit(target, docs))
+
+
+def words(text: str) -> list[str]:
+    return _WORD.findall(text)
+
+
+def count_words(texts: DataFrame, name: str) -> DataFrame:
+    """(word, ``name``): each task's counts of words; a word has a row or a few for each task that met it."""
+
+    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total: Counter[str] = Counter()
+
+        def counted() -> Iterator[pd.DataFrame]:
+            out = pd.DataFrame({"word": list(total.keys()), name: np.fromiter(total.values(), np.int64, len(total))})
+            total.clear()
+            for at in range(0, len(out), 100_000):
+                yield out[at:at + 100_000]
+
+        for frame in frames:
+            for text in frame["text"]:
+                total.update(words(text))
+                if len(total) >= _HELD_WORDS:
+                    yield from counted()
+        yield from counted()
+
+    return texts.select("text").where("text is not null").mapInPandas(count, f"word string, {name} long")
+
+
+def _spelled(found: pd.Series) -> tuple[np.ndarray, np.ndarray]:
+    """Trigrams of the words, each with a line feed behind it, and where each word's begin."""
+    raw = [w.encode("utf-8", "replace") for w in found]
+    sizes = np.fromiter(map(len, raw), np.int64, len(raw)) + 1
+    codes = trigrams(_START.join(raw) + _START)
+    begin = np.cumsum(sizes + 1) - sizes - 1
+    return np.delete(codes, begin + sizes), np.cumsum(sizes) - sizes
+
+
+def _count_spellings(vocabulary: DataFrame) -> DataFrame:
+    """(code, n, m): the trigrams of the words, weighted by the words' counts."""
+
+    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            if len(frame):
+                codes, begin = _spelled(frame["word"])
+                sizes = np.diff(np.append(begin, len(codes)))
+                met, at = np.unique(codes, return_inverse=True)
+                sums = (np.bincount(at, np.repeat(frame[c].to_numpy(float), sizes)).astype(np.int64) for c in ("n", "m"))
+                yield pd.DataFrame({"code": met, **dict(zip("nm", sums))})
+
+    return vocabulary.mapInPandas(count, "code int, n long, m long")
+
+
+def fit_words(target: DataFrame, background: DataFrame) -> DataFrame:
+    """(key, target, background): the losses in nats of every word of either table, by the hash of the word."""
+    none = F.lit(0).cast("long")
+    vocabulary = stage(
+        count_words(target, "n").withColumn("m", none).unionByName(count_words(background, "m").withColumn("n", none))
+        .groupBy("word").agg(F.sum("n").alias("n"), F.sum("m").alias("m")),
+        "words",
+    )
+    sums = vocabulary.agg(*[f(c) for c in ("n", "m") for f in (F.sum, lambda c: F.count_if(F.col(c) > 0))]).first()
+    n_all, n_kinds, m_all, m_kinds = (float(x or 0) for x in sums)
+    scale = n_all / m_all if n_all and m_all else 1.0
+    shared = vocabulary.sparkSession.sparkContext.broadcast(_losses(_count_spellings(vocabulary)))
+
+    def loss(counts: np.ndarray, all_: float, kinds: float, spelling: np.ndarray) -> np.ndarray:
+        if not kinds:
+            return spelling
+        with np.errstate(divide="ignore"):
+            return np.log(all_ + kinds) - np.logaddexp(np.log(counts), np.log(kinds) - spelling)
+
+    def judge(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        own = shared.value
+        places = own.places()
+        for frame in frames:
+            if len(frame):
+                codes, begin = _spelled(frame["word"])
+                at = places[codes]
+                yield pd.DataFrame({
+                    "word": frame["word"],
+                    "target": loss(frame["n"].to_numpy(float), n_all, n_kinds, np.add.reduceat(own.target[at], begin)),
+                    "background": loss(
+                        frame["m"].to_numpy(float) * scale, m_all * scale, m_kinds, np.add.reduceat(own.background[at], begin)
+                    ),
+                })
+
+    judged = vocabulary.mapInPandas(judge, "word string, target double, background double")
+    return stage(judged.select(F.xxhash64("word").alias("key"), "target", "background"), "word-losses")
+
+
+def _distinct_words(docs: DataFrame) -> DataFrame:
+    """(row, doc_id, word, n): the words of every row and how often it has each; a row without any has a null word."""
+
+    def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for lo in range(0, len(frame), 500):
+                part = frame[lo:lo + 500]
+                found, n, sizes = [], [], []
+                for text in part["text"]:
+                    own = Counter(words(text)) or {None: 0}
+                    found.extend(own.keys())
+                    n.extend(own.values())
+                    sizes.append(len(own))
+                yield pd.DataFrame({
+                    "row": np.repeat(part["row"].to_numpy(), sizes),
+                    "doc_id": part["doc_id"].astype("Int64").repeat(sizes).array, "word": found, "n": n,
+                })
+
+    rows = docs.select(
+        F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text")
+    )
+    return rows.mapInPandas(read, "row long, doc_id long, word string, n int")
+
+
+def word_cross_entropy_difference(docs: DataFrame, target: DataFrame) -> DataFrame:
+    """doc_id, n_tokens, target_loss, background_loss (nats a word), score of ``docs`` by a model of ``target`` against one of ``docs``."""
+    losses = fit_words(target, docs)
+    # A row without words meets nothing, under a key of its own.
+    key = F.when(F.col("word").isNull(), F.col("row")).otherwise(F.xxhash64("word"))
+    met = _distinct_words(docs).select("row", "doc_id", key.alias("key"), "n").join(losses, "key", "left")
+    tokens = F.sum("n")
+    each = {c: F.when(tokens > 0, F.sum(F.col("n") * F.col(c)) / tokens) for c in ("target", "background")}
+    return met.groupBy("row", "doc_id").agg(
+        tokens.alias("n_tokens"), *[x.alias(f"{c}_loss") for c, x in each.items()]
+    ).select("doc_id", "n_tokens", "target_loss", "background_loss", (F.col("target_loss") - F.col("background_loss")).alias("score"))

@@ -48,7 +48,7 @@ def op8_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lm_score.cross_entropy_difference(table(spark, sf_dir, "documents"), table(spark, sf_dir, "conversations"))
+    return lm_score.word_cross_entropy_difference(table(spark, sf_dir, "documents"), table(spark, sf_dir, "conversations"))
 
 
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
