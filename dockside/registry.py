@@ -565,8 +565,11 @@ def _refreshed(m: FulfilmentModel) -> DataFrame:
     return snapshots.current(spark, root, "carrier_scorecard")
 
 
-def _line_stream(m: FulfilmentModel) -> DataFrame:
-    """Delivery lines over three micro-batches; shipments of every third line come a batch later."""
+def _delivered(m: FulfilmentModel, action: Callable[..., Callable], **options) -> str:
+    """Folder of a batch action after three micro-batches of delivery lines, each with lines of all dates.
+
+    Shipments of every third line come two batches later.
+    """
     spark, t = m.tables.spark, m.tables
     folder, source, ships = (fresh_path(spark, f"lines-{x}") for x in ("folder", "source", "shipments"))
     third = F.pmod(F.xxhash64("shipment_number"), F.lit(3))
@@ -575,12 +578,21 @@ def _line_stream(m: FulfilmentModel) -> DataFrame:
         t.shipments.where(third == (k + 1) % 3).write.mode("append").parquet(ships)
         t.delivery_lines.where(third == k).write.mode("append").parquet(source)
         arriving = spark.readStream.schema(t.delivery_lines.schema).parquet(source)
-        runner.every(arriving, kpis.line_level_action(read, folder, m.cfg), f"{folder}/checkpoint", once=True)
-    return spark.read.parquet(f"{folder}/out").select(
+        runner.every(arriving, action(read, folder, m.cfg, **options), f"{folder}/checkpoint", once=True)
+    return folder
+
+
+def _line_stream(m: FulfilmentModel) -> DataFrame:
+    return m.tables.spark.read.parquet(f"{_delivered(m, kpis.line_level_action)}/out").select(
         "shipment_number", "line_number", "vendor_code", "is_on_time", "is_in_full", "is_otif"
     )
 
 
+def _kpis(m: FulfilmentModel, days: int) -> DataFrame:
+    folder = _delivered(m, kpis.kpi_action, days=days)
+    return runner.latest(m.tables.spark.read.parquet(f"{folder}/kpis"), ["vendor_code", "last_day"]).drop("batch")
+
+
 def _event_streams(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Alerts and acks as streams, each closed by one far later row that flushes the watermark."""
     e = _events(spark, sf_dir)
@@ -661,22 +673,18 @@ def _corrected(m: FulfilmentModel) -> DataFrame:
     return corrected.drop("batch")
 
 
-_WINDOW = ["vendor_code", "last_day"]
-
 STREAMING: dict[str, Query] = {
     "t01_refresh_on_arrival": _q(_refreshed),
     "t02_line_level_stream": _q(_line_stream),
-    "t03_daily_kpis": _q(lambda m: runner.replay(kpis.daily_kpis(_arrivals(m)), "daily", _WINDOW)),
-    "t03b_sliding_kpis": _q(lambda m: runner.replay(kpis.sliding_kpis(_arrivals(m)), "sliding", _WINDOW)),
+    "t03_daily_kpis": _q(lambda m: _kpis(m, 1)),
+    "t03b_sliding_kpis": _q(lambda m: _kpis(m, 7)),
     "t04_failure_streaks": _q(_streaks_by_batch),
     "t04b_failure_streaks_by_batch": _q(_streaks_by_batch),
     "t05_cooldown": _throttled_by_batch,
     "t05b_cooldown_by_batch": _throttled_by_batch,
     "t06_escalation": _escalated,
     "t07_repeated_critical": _repeated,
-    "t08_threshold_alerts": _q(
-        lambda m: kpis.threshold_alerts(runner.replay(kpis.sliding_kpis(_arrivals(m)), "breaches", _WINDOW), m.cfg)
-    ),
+    "t08_threshold_alerts": _q(lambda m: kpis.threshold_alerts(_kpis(m, 7), m.cfg)),
     "t09_channel_fan_out": _fanned,
     "t10_late_corrections": _q(_corrected),
 }

@@ -167,3 +167,22 @@ def test_a_repeated_batch_changes_nothing(spark):
         act(df.where("alert_id >= 5"), 1)
     fired = sorted(r.alert_id for r in spark.read.parquet(f"{folder}/out").collect())
     assert fired == sorted(r.alert_id for r in cooldown.throttle(df).collect())
+
+
+def test_late_lines_count_in_their_windows(spark, small_model):
+    t, folder = small_model.tables, fresh_path(spark, "late-kpis")
+    act = kpis.kpi_action(lambda: t, folder, days=7)
+    # The newest deliveries first: all of the second and third batch come more than two days late.
+    cuts = ["actual_delivery_date >= date'1997-01-01'", "actual_delivery_date < date'1994-01-01'",
+            "actual_delivery_date >= date'1994-01-01' and actual_delivery_date < date'1997-01-01'"]
+    numbers = [small_model.line_level.where(c).select("shipment_number", "line_number") for c in cuts]
+    for k, part in enumerate(numbers):
+        for _ in range(2 if k == 1 else 1):  # a repeated batch changes nothing
+            act(t.delivery_lines.join(part, ["shipment_number", "line_number"], "left_semi"), k)
+    got = runner.latest(spark.read.parquet(f"{folder}/kpis"), ["vendor_code", "last_day"])
+    want = small_model.line_level.select("vendor_code", "is_otif", F.explode(F.expr(
+        "sequence(actual_delivery_date, date_add(actual_delivery_date, 6))")).alias("last_day")
+    ).groupBy("vendor_code", "last_day").agg(F.count(F.lit(1)).alias("lines"), F.sum("is_otif").alias("otif_lines"))
+    cols = ["vendor_code", "last_day", "lines", "otif_lines"]
+    rows = lambda df: sorted(tuple(r) for r in df.select(*cols).collect())
+    assert rows(got) == rows(want)
