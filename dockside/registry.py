@@ -543,13 +543,6 @@ ALERTING: dict[str, Query] = {
 }
 
 
-def _arrivals(m: FulfilmentModel) -> DataFrame:
-    """Delivery lines arriving as files, flagged against the tables at rest."""
-    spark = m.tables.spark
-    arriving = runner.file_stream(spark, m.tables.delivery_lines, "arrivals")
-    return kpis.line_level_stream(arriving, m.tables, m.cfg)
-
-
 def _refreshed(m: FulfilmentModel) -> DataFrame:
     """All four snapshots after two refreshes, the second with rows that came meanwhile."""
     spark, t = m.tables.spark, m.tables
@@ -613,16 +606,29 @@ def _event_streams(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
 
 
 def _throttled_by_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fired, _ = _event_streams(spark, sf_dir)
-    out = carried.replay(
-        fired.where(F.col("alert_id") >= 0), "throttle-carried", carried.FIRED, carried.throttle_step()
-    )
+    """Alerts over three micro-batches, each with alerts of all times."""
+    fired = event_alerts(_events(spark, sf_dir)).withColumn("ts", F.col("ts").cast("timestamp"))
+    folder, source = fresh_path(spark, "throttle-carried"), fresh_path(spark, "throttle-source")
+    for k in range(3):
+        fired.where(F.pmod(F.xxhash64("alert_id"), F.lit(3)) == k).write.mode("append").parquet(source)
+        arriving = spark.readStream.schema(fired.schema).parquet(source)
+        carried.run(arriving, folder, carried.FIRED, carried.throttle_step())
+    out = carried.output(spark, folder, carried.FIRED)
     return plain(out.select("alert_id", "alert_type", "entity", "severity"))
 
 
 def _streaks_by_batch(m: FulfilmentModel) -> DataFrame:
-    step = carried.streak_step()
-    out = carried.replay(_arrivals(m), "streaks-carried", carried.STREAKS, step)
+    def action(read, folder: str, cfg) -> Callable[[DataFrame, int], None]:
+        flag = kpis.line_level_action(read, folder, cfg)
+        label = carried.batch_action(carried.streak_step(), carried.STREAKS, f"{folder}/streaks")
+
+        def act(batch: DataFrame, batch_id: int) -> None:
+            flag(batch, batch_id)
+            label(batch.sparkSession.read.parquet(f"{folder}/out/batch={batch_id}"), batch_id)
+
+        return act
+
+    out = carried.output(m.tables.spark, f"{_delivered(m, action)}/streaks", carried.STREAKS)
     return out.select(
         "vendor_code", "actual_delivery_date", "shipment_number", "line_number", "delivery_rank",
         "failure_streak_label",

@@ -5,6 +5,10 @@ backlog, or one key most of it, each batch runs the distributed batch operator
 instead, and what the next batch needs, a few numbers per key, is carried in a
 table with one version per batch.  A batch that is run again reads the same
 version and overwrites its own output, so nothing is counted twice.
+
+Rows may come late.  A key with a row from before its carried state is run
+again over all its rows so far, and what it put out before no longer counts:
+``output`` reads, for each key, the batches from its last such run on.
 """
 
 from __future__ import annotations
@@ -12,6 +16,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType, StructType
 
 from dockside.config import SlaConfig
 from dockside.operators import cooldown
@@ -21,23 +26,43 @@ from dockside.plans.ordered import ordered_columns, same_keys
 from dockside.plans.staging import fresh_path, stage
 from dockside.streaming.runner import run_available
 
-# Step: (rows of the batch, state before) -> (output, state of the keys seen).
+# Step: (rows of the batch, state before) -> (output, state of the keys seen); its attribute late: which rows are late.
 # In a state schema the key columns are the strings.
 Step = Callable[[DataFrame, DataFrame], tuple[DataFrame, DataFrame]]
 
-STREAKS = "vendor_code string, open_run long, seen long"
+STREAKS = (
+    "vendor_code string, open_run long, seen long, "
+    "newest struct<actual_delivery_date: date, shipment_number: string, line_number: int>"
+)
 FIRED = "alert_type string, entity string, fired_at long"
 
 
 def batch_action(step: Step, schema: str, folder: str) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` action; output lands in ``folder/out``, state in ``folder/state``."""
+    """A ``foreachBatch`` action.
+
+    Output lands in ``folder/out``, state in ``folder/state``, all rows in ``folder/history`` and the keys that late rows
+    made run again in ``folder/again``.  ``step.late`` tells late rows (``a``) by the state of their key (``p``).
+    """
 
     def act(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         prior = _state(spark, schema, folder, batch_id - 1)
-        output, seen = step(stage(batch, "carried-batch"), prior)
+        keys = _keys(schema)
+        batch.write.mode("overwrite").parquet(f"{folder}/history/{batch_id}")
+        rows = spark.read.schema(batch.schema).parquet(f"{folder}/history/{batch_id}")
+        rows.alias("a").join(prior.alias("p"), same_keys("a", "p", keys)).where(step.late).select(
+            *[f"a.{k}" for k in keys]
+        ).distinct().write.mode("overwrite").parquet(f"{folder}/again/batch={batch_id}")
+        again = spark.read.schema(_key_schema(keys)).parquet(f"{folder}/again/batch={batch_id}")
+        if not again.isEmpty():
+            only = lambda df, how: df.alias("a").join(again.alias("g"), same_keys("a", "g", keys), how)
+            earlier = spark.read.schema(batch.schema).parquet(*[f"{folder}/history/{k}" for k in range(batch_id)])
+            rows = stage(rows.unionByName(only(earlier, "left_semi")), "carried-again")
+            carried = stage(only(prior, "left_anti"), "carried-prior")
+        else:
+            carried = prior
+        output, seen = step(rows, carried)
         output.write.mode("overwrite").parquet(f"{folder}/out/batch={batch_id}")
-        keys = [name for name, kind in prior.dtypes if kind == "string"]
         kept = prior.alias("p").join(seen.alias("s"), same_keys("p", "s", keys), "left_anti")
         seen.select(*prior.columns).unionByName(kept).write.mode("overwrite").parquet(
             f"{folder}/state/{batch_id}"
@@ -46,6 +71,24 @@ def batch_action(step: Step, schema: str, folder: str) -> Callable[[DataFrame, i
     return act
 
 
+def _keys(schema: str) -> list[str]:
+    return [f.name for f in StructType.fromDDL(schema) if isinstance(f.dataType, StringType)]
+
+
+def _key_schema(keys: list[str]) -> str:
+    return ", ".join(f"{k} string" for k in keys)
+
+
+def output(spark: SparkSession, folder: str, schema: str) -> DataFrame:
+    """What holds of a batch action's output: a key that was run again counts from that batch on."""
+    keys = _keys(schema)
+    again = spark.read.schema(_key_schema(keys) + ", batch int").parquet(f"{folder}/again")
+    since = again.groupBy(*keys).agg(F.max("batch").alias("since"))
+    out = spark.read.parquet(f"{folder}/out")
+    gone = same_keys("o", "s", keys) & (F.col("o.batch") < F.col("s.since"))
+    return out.alias("o").join(since.alias("s"), gone, "left_anti").drop("batch")
+
+
 def _state(spark: SparkSession, schema: str, folder: str, batch_id: int) -> DataFrame:
     if batch_id < 0:
         return spark.createDataFrame([], schema)
@@ -64,7 +107,7 @@ def replay(stream: DataFrame, label: str, schema: str, step: Step) -> DataFrame:
     spark = stream.sparkSession
     folder = fresh_path(spark, label)
     run(stream, folder, schema, step)
-    return spark.read.parquet(f"{folder}/out")
+    return output(spark, folder, schema)
 
 
 def streak_step() -> Step:
@@ -104,10 +147,13 @@ def streak_step() -> Step:
         )
         output = done.where(F.col("is_otif") == 0).withColumn("failure_streak_label", label).drop("is_otif", "run")
         seen = done.groupBy("vendor_code").agg(
-            F.max_by("run", "delivery_rank").alias("open_run"), F.max("delivery_rank").alias("seen")
+            F.max_by("run", "delivery_rank").alias("open_run"), F.max("delivery_rank").alias("seen"),
+            F.max(F.struct("actual_delivery_date", "shipment_number", F.col("line_number").cast("int").alias("line_number"))).alias("newest"),
         )
         return output, seen
 
+    place = F.struct(*[F.col(f"a.{c}") for c, _ in LINE_KEY[:2]], F.col("a.line_number").cast("int").alias("line_number"))
+    step.late = place < F.col("p.newest")
     return step
 
 
@@ -125,4 +171,6 @@ def throttle_step(cfg: SlaConfig = SlaConfig()) -> Step:
         fired = stage(cooldown.throttle(waiting, cfg), "fired")
         return fired, fired.groupBy(*KEY).agg(F.max(at).alias("fired_at"))
 
+    # Up to a period behind the last alert that fired nothing can, whenever it comes; at or before it the chain may change.
+    step.late = F.unix_micros(F.col("a.ts").cast("timestamp")) <= F.col("p.fired_at")
     return step

@@ -186,3 +186,26 @@ def test_late_lines_count_in_their_windows(spark, small_model):
     cols = ["vendor_code", "last_day", "lines", "otif_lines"]
     rows = lambda df: sorted(tuple(r) for r in df.select(*cols).collect())
     assert rows(got) == rows(want)
+
+
+def test_late_alerts_change_the_chain(spark):
+    rows = [(i, "X", "abb"[i % 3], "CRITICAL", at(70 * i)) for i in range(90)]
+    df = spark.createDataFrame(rows, ALERT)
+    source, folder = fresh_path(spark, "late-ct-in"), fresh_path(spark, "late-ct")
+    for part in ("alert_id >= 60", "alert_id < 20", "alert_id >= 20 and alert_id < 60"):
+        df.where(part).write.mode("append").parquet(source)
+        carried.run(spark.readStream.schema(df.schema).parquet(source), folder, carried.FIRED, carried.throttle_step())
+    got = carried.output(spark, folder, carried.FIRED)
+    assert sorted(r.alert_id for r in got.collect()) == sorted(r.alert_id for r in cooldown.throttle(df).collect())
+
+
+def test_late_lines_correct_streaks(spark, small_model):
+    ll, folder = small_model.line_level, fresh_path(spark, "late-cs")
+    act = carried.batch_action(carried.streak_step(), carried.STREAKS, folder)
+    for k, part in enumerate(["actual_delivery_date >= date'1997-01-01'", "actual_delivery_date < date'1994-01-01'",
+                              "actual_delivery_date >= date'1994-01-01' and actual_delivery_date < date'1997-01-01'"]):
+        for _ in range(2 if k == 1 else 1):  # a repeated batch changes nothing
+            act(ll.where(part), k)
+    got, want = carried.output(spark, folder, carried.STREAKS), sequences.consecutive_failures(ll)
+    cols = ["vendor_code", "actual_delivery_date", "delivery_rank", "failure_streak_label"]
+    assert want.select(*cols).exceptAll(got.select(*cols)).count() == 0 and got.count() == want.count()
