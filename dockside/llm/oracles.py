@@ -78,4 +78,53 @@ SELECT doc_id, count(p3.g) AS n_tokens, avg(a) AS target_loss, avg(b) AS backgro
 FROM d LEFT JOIN dg USING (n) LEFT JOIN p3 ON p3.g = dg.g GROUP BY n, doc_id
 """
 
-ORACLES = {"op2_secrets": SECRETS, "op8_url_rules": URL_RULES, "op9_lm_score": LM_SCORE}
+_UPPER, _LOWER = (f"'{''.join(map(chr, range(a, a + 26)))}'" for a in (65, 97))
+
+PHRASES = f"""
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang,
+                       unnest(regexp_split_to_array(translate(coalesce(text, ''), {_UPPER}, {_LOWER}), '[.,;:!?\\n-\\r]')) AS piece FROM documents),
+p AS (SELECT lang, regexp_extract_all(piece, '[^ \\t]+') AS w FROM pieces),
+g AS (SELECT lang, k, w[i:i + k - 1] AS w, count(*) AS f
+      FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM p, range(1, 5) AS r(k)) GROUP BY ALL),
+n AS (SELECT lang, sum(f)::BIGINT AS n FROM g WHERE k = 1 GROUP BY lang),
+c AS (SELECT lang, k, w, f AS a FROM g WHERE k > 1 AND f >= 30),
+inside AS (SELECT lang, w[i:i + j - 1] AS w, max(a) AS around
+           FROM (SELECT *, unnest(range(1, k - j + 2)) AS i FROM c, range(2, 4) AS r(j) WHERE j < k) GROUP BY ALL),
+held AS (SELECT c.* FROM c LEFT JOIN inside USING (lang, w) WHERE around IS NULL OR 100 * around < 80 * a),
+cut AS (SELECT *, unnest(range(1, k)) AS place FROM held),
+scored AS (SELECT cut.lang, cut.w, cut.a, cut.place, x.f AS l, y.f AS r, (2000000::HUGEINT * cut.a // (x.f + y.f))::BIGINT AS score
+           FROM cut JOIN g x ON x.lang = cut.lang AND x.w = cut.w[1:cut.place] JOIN g y ON y.lang = cut.lang AND y.w = cut.w[cut.place + 1:]),
+weakest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, w ORDER BY score, place) = 1),
+ranked AS (SELECT lang, array_to_string(w, ' ') AS phrase, a, l, r, score,
+                  row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(w, ' ')) AS rank FROM weakest)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN n USING (lang) WHERE rank <= 2000
+"""
+
+SPELLING = f"""
+WITH RECURSIVE table_of AS (
+    SELECT list_transform(range(256), lambda v: list_reduce(list_prepend(v, range(8)),
+           lambda c, b: CASE WHEN c % 2 = 1 THEN xor(3988292384, c // 2) ELSE c // 2 END)) AS t),
+runs AS (SELECT coalesce(doc_id::VARCHAR, '') AS id, run, count(*) AS m
+         FROM (SELECT doc_id, unnest(regexp_extract_all(translate(text, {_UPPER}, {_LOWER}), '[a-z\u00C0-\u00FF]+')) AS run FROM documents)
+         WHERE length(run) >= 6 GROUP BY ALL),
+hashed AS (SELECT run, m, xor(4294967295, list_reduce(
+               list_prepend(4294967295, list_transform(range(octet_length(encode(id || ':' || run))), lambda i: ('0x' || substr(hex(encode(id || ':' || run)), 2 * i + 1, 2))::BIGINT)),
+               lambda c, b: xor(c // 256, t[xor(c % 256, b) + 1]))) AS h FROM runs, table_of),
+words AS (SELECT CASE WHEN h % 199 = 0 THEN left(run, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word, m FROM hashed),
+v AS (SELECT word, sum(m)::BIGINT AS n FROM words WHERE length(word) >= 6 GROUP BY word HAVING sum(m) >= 5),
+gone AS (SELECT word, unnest(list_distinct(list_transform(range(length(word)), lambda i: left(word, i) || substr(word, i + 2)))) AS part FROM v),
+slot AS (SELECT word, i, left(word, i) || '*' || substr(word, i + 2) AS part FROM (SELECT word, unnest(range(length(word))) AS i FROM v)),
+pair AS (SELECT word, part AS near FROM gone WHERE part IN (SELECT word FROM v)
+         UNION SELECT part, word FROM gone WHERE part IN (SELECT word FROM v)
+         UNION SELECT a.word, b.word FROM slot a JOIN slot b USING (part) WHERE a.word <> b.word),
+near AS (SELECT pair.word, count(*) AS n_near, arg_min(near, (-v.n, near)) AS form, max(v.n) AS form_n FROM pair JOIN v ON v.word = near GROUP BY pair.word),
+f AS (SELECT v.word, CASE WHEN form_n >= 5 * n THEN form END AS form, n, coalesce(n_near, 0) AS n_near,
+             CASE WHEN form_n >= 5 * n THEN form_n END AS form_n FROM v LEFT JOIN near USING (word)),
+up(word, root) AS (SELECT word, word FROM f UNION ALL SELECT up.word, f.form FROM up JOIN f ON f.word = up.root WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, up.root, f.n, f.n_near, f.form_n
+FROM f JOIN up ON up.word = f.word JOIN f last ON last.word = up.root AND last.form IS NULL
+"""
+
+ORACLES = {
+    "op2_secrets": SECRETS, "op8_url_rules": URL_RULES, "op9_lm_score": LM_SCORE, "op11_phrases": PHRASES, "op12_spelling": SPELLING,
+}

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from dockside.llm.oracles import ORACLES as ORACLES
 from dockside.llm import (
-    decontaminate, lm_score, packing, quality, secrets, sharding, simhash, toxicity, url_rules, weak_rules,
+    decontaminate, lm_score, mixing, packing, phrases, quality, secrets, sharding, simhash, spelling, toxicity, url_rules,
+    weak_rules,
 )
 
 
@@ -55,6 +56,18 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(table(spark, sf_dir, "documents").select("doc_id"), sharding.shard_names())
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.shares(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_secrets": op2_secrets,
@@ -66,4 +79,7 @@ QUERIES = {
     "op8_url_rules": op8_url_rules,
     "op9_lm_score": op9_lm_score,
     "op10_sharding": op10_sharding,
+    "op11_phrases": op11_phrases,
+    "op12_spelling": op12_spelling,
+    "op13_mixing": op13_mixing,
 }
