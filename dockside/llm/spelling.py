@@ -164,8 +164,12 @@ class WordIndex:
         q = np.arange(len(words))
         lo, hi = np.zeros(len(words), np.int64), np.full(len(words), int((self.text == 0).sum()))  # all delimiters
         i, wrong = np.zeros(len(words), np.int64), np.zeros(len(words), bool)
-        found = []
+        found, steps = [], 0
         while len(q):
+            steps += 1
+            if steps % 16 == 0:  # several errors may lead to one state, as in a run of one letter
+                state = np.unique(np.stack((q, i, lo, hi, wrong)), axis=1)
+                q, i, lo, hi, wrong = *state[:4], state[4].astype(bool)
             p = flat[begin[q] + i]
             narrow = wrong | (i < exact[q])  # only the word's own symbol will do
             k = np.flatnonzero(narrow & (p >= 0))

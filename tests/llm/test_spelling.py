@@ -70,6 +70,7 @@ def test_against_plain_pairs(spark, block):
     rng = random.Random(7)
     some = words(rng, 200)
     rows = [(k if k % 9 else None, " ".join(rng.choices(some, weights=[1 + (i % 13) ** 3 for i in range(len(some))], k=150)) + ", " + some[k % len(some)].upper()) for k in range(60)]
+    rows.append((99, " ".join(w for w, n in [("chaina", 200), ("chainb", 36), ("choinb", 6)] for _ in range(n))))
     frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     v = plain_vocabulary(rows)
     have = got(spelling.variants(frame, block=block))
@@ -81,6 +82,6 @@ def test_edges(spark):
     docs = edge_documents(spark)
     assert got(spelling.variants(docs)) == plain_variants(plain_vocabulary([(r.doc_id, r.text) for r in docs.collect()]))
     assert spelling.variants(no_documents(spark)).count() == 0
-    long = ["x" * 200_000, "x" * 199_999 + "y", "short words here"]
+    long = ["x" * 5_000, "x" * 4_999 + "y", "short words here"]
     frame = spark.createDataFrame([(k, t) for t in long for k in range(6)], "doc_id long, text string")
     assert got(spelling.variants(frame)) == plain_variants(plain_vocabulary([(k, t) for t in long for k in range(6)]))
