@@ -12,7 +12,8 @@ A candidate is a phrase of two to four words with at least ``least`` occurrences
 counts l and r and a score, floor(2000000 * a / (l + r)); its weakest cut counts.  Candidates that lie inside a longer one
 with nearly as many occurrences are dropped.
 
-Tasks count their own edges in chunks of bounded size before the shuffle.  Only words and frequent phrases are kept as a
+Tasks count their own edges in chunks of bounded size before the shuffle, and counts travel packed, those of a bucket of
+nodes in one row; buckets are as many as the texts' bytes ask for.  Only words and frequent phrases are kept as a
 table; nothing of the corpus is broadcast by hand or collected.
 
 Edge cases: a null or empty text has no words; a null language is ``und``, together with texts that say so.  Repeated rows
@@ -40,107 +41,192 @@ TOP = 2000
 SCALE = 2_000_000
 #: A candidate goes if a longer one around it has at least so many hundredths of its occurrences.
 COVERED = 80
-#: Words that a task holds of a language before it passes their edges on.
-CHUNK_WORDS = 1_500_000
+#: Bytes of text that a task holds of a language before it passes their edges on.
+CHUNK_BYTES = 5_000_000
+#: Bytes of text whose grams share a bucket, about.
+BUCKET_BYTES = 4_000_000
 #: Edges of a path that meet in one row.
 STRETCH = 64
 _CUT = b".,;:!?\n\x0b\x0c\r"
 _LOWER = bytes.maketrans(bytes(range(65, 91)) + b"\t" + _CUT, bytes(range(97, 123)) + b" " + b"." * len(_CUT))
 
 
-def tokens(text: str) -> list[bytes]:
-    """Words of a text, a full stop at the end of every piece."""
-    return (text.encode("utf-8", "replace").translate(_LOWER).replace(b".", b" . ") + b" .").split()
+def prepared(text: str) -> bytes:
+    """A text in lower case, words parted by spaces alone and a full stop at every end of a piece."""
+    return text.encode("utf-8", "replace").translate(_LOWER) + b"."
 
 
-def _edges(found: list[bytes], lang: str) -> Iterator[pa.RecordBatch]:
-    """(lang, node, last, n): edges, and pieces that end with a node or have no more than two words (null ``last``)."""
-    ids, words = pd.factorize(np.array([*found, b"."], dtype=object))
-    stop = words.tolist().index(b".")
+def _places(parts: np.ndarray, buckets: int) -> np.ndarray:
+    """A bucket for every row of word hashes; the hash 0 stands for no word."""
+    h = np.full(len(parts[0]), np.uint64(0x9E3779B97F4A7C15))
+    for part in parts:
+        h = (h ^ part) * np.uint64(0xBF58476D1CE4E5B9)
+        h ^= h >> np.uint64(31)
+    return (h % np.uint64(buckets)).astype(np.int64)
+
+
+def _packed(lang: str, bucket: np.ndarray, grams: pa.Array, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """(lang, bucket, grams, n): one row for each bucket, its grams joined by line feeds, their counts as longs."""
+    order = np.argsort(bucket, kind="stable")
+    edge = np.flatnonzero(np.concatenate(([True], np.diff(bucket[order]) != 0, [True]))) if len(bucket) else np.zeros(1, np.int64)
+    taken = grams.take(pa.array(order))
+    joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(edge, pa.int32()), taken), "\n")
+    counts = [n[order[lo:hi]].astype("<i8").tobytes() for lo, hi in zip(edge, edge[1:])]
+    rows = pa.table({"lang": pa.array([lang] * len(counts), pa.string()), "bucket": pa.array(bucket[order[edge[:-1]]], pa.int64()),
+                     "grams": joined, "n": pa.array(counts, pa.binary())})
+    yield from rows.to_batches(max_chunksize=64)
+
+
+def _unpacked(rows: pa.Table) -> tuple[pa.Array, np.ndarray]:
+    """Distinct grams and their summed counts."""
+    grams = pa.chunked_array([pc.split_pattern(x, "\n").flatten() for x in rows["grams"].chunks if len(x)])
+    n = np.frombuffer(b"".join(rows["n"].to_pylist()), "<i8")
+    summed = pa.table({"g": grams, "n": n}).group_by("g").aggregate([("n", "sum")])
+    return summed["g"].combine_chunks(), summed["n_sum"].to_numpy()
+
+
+def _halves(grams: pa.Array, mark: str) -> tuple[pa.Array, pa.Array]:
+    """What stands before the mark, and after it (null where it has none)."""
+    cut = pc.split_pattern(grams, mark, max_splits=1)
+    front = pc.list_element(cut, 0)
+    two = pc.equal(pc.list_value_length(cut), 2)
+    back = pc.if_else(two, pc.list_element(pc.if_else(two, cut, pa.scalar(["", ""], cut.type)), 1), pa.scalar(None, grams.type))
+    return front, back
+
+
+def _edges(raw: bytes, lang: str, buckets: int) -> Iterator[pa.RecordBatch]:
+    """Packed edges ``a b<CR>c<TAB>d``, nodes that end a piece, ``a b<CR>c``, and pieces of one or two words."""
+    ids, words = pd.factorize(np.array(raw.replace(b".", b" . ").split(), dtype=object), sort=True)
+    stop = int(np.flatnonzero(words == b".")[0])
     ends = np.flatnonzero(ids == stop)
     left = ends[np.searchsorted(ends, np.arange(len(ids)))] - np.arange(len(ids))  # words up to the piece's end
     begins = np.concatenate(([True], ids[:-1] == stop))
-    at = np.flatnonzero((left >= 3) | (begins & (left > 0)))
-    if not len(at):
+    start = np.flatnonzero((left >= 3) | (begins & (left > 0)))
+    if not len(start):
         return
     none = len(words)
     padded = np.concatenate((ids, np.full(4, stop))).astype(np.int64)
-    gram = [np.where(left[at] > k, padded[at + k], none) for k in range(4)]
+    gram = [np.where(left[start] > k, padded[start + k], none) for k in range(LONGEST)]
     pairs = [np.unique(a * (none + 1) + b, return_inverse=True) for a, b in (gram[:2], gram[2:])]
     both, n = np.unique(pairs[0][1].astype(np.int64) * len(pairs[1][0]) + pairs[1][1], return_counts=True)
     front, back = pairs[0][0][both // len(pairs[1][0])], pairs[1][0][both % len(pairs[1][0])]
+    each = (front // (none + 1), front % (none + 1), back // (none + 1), back % (none + 1))
+    hashes = np.append(pd.util.hash_array(words, categorize=False), np.uint64(0))
     spelled = pa.array([*words.tolist(), None], pa.binary()).cast(pa.string())
-    a, b, c, d = (spelled.take(pa.array(x)) for x in (front // (none + 1), front % (none + 1), back // (none + 1), back % (none + 1)))
-    node = pc.binary_join_element_wise(a, b, c, " ", null_handling="skip")
-    out = pa.table({"lang": pa.array([lang] * len(n)), "node": node, "last": d, "n": pa.array(n, pa.int64())})
-    yield from out.to_batches(max_chunksize=20_000)
+    a, b, c, d = (spelled.take(pa.array(x)) for x in each)
+    skip = {"null_handling": "skip"}
+    grams = pc.binary_join_element_wise(pc.binary_join_element_wise(pc.binary_join_element_wise(a, b, " ", **skip), c, "\r", **skip), d, "\t", **skip)
+    yield from _packed(lang, _places([hashes[x] for x in each[:3]], buckets), grams, n)
 
 
-def count_edges(docs: DataFrame) -> DataFrame:
-    """(lang, node, last, n): each task's counts."""
+def count_edges(docs: DataFrame, buckets: int) -> DataFrame:
+    """(lang, bucket, grams, n): each task's counts; the bucket goes by the node."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list[bytes]] = defaultdict(list)
+        size: dict[str, int] = defaultdict(int)
+
+        def flushed(lang: str) -> Iterator[pa.RecordBatch]:
+            size.pop(lang)
+            yield from _edges(b"".join(held.pop(lang)), lang, buckets)
+
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                own = tokens(text.as_py())
-                while len(own) > CHUNK_WORDS:  # a piece is never cut
-                    try:
-                        cut = own.index(b".", CHUNK_WORDS) + 1
-                    except ValueError:
-                        break
-                    yield from _edges(own[:cut], lang)
-                    own = own[cut:]
-                held[lang].extend(own)
-                if len(held[lang]) >= CHUNK_WORDS:
-                    yield from _edges(held.pop(lang), lang)
+                own, done = prepared(text.as_py()), 0
+                while len(own) - done > CHUNK_BYTES:  # a piece is never cut
+                    cut = own.find(b".", done + CHUNK_BYTES) + 1 or len(own)
+                    yield from _edges(own[done:cut], lang, buckets)
+                    done = cut
+                held[lang].append(own[done:])
+                size[lang] += len(own) - done
+                if size[lang] >= CHUNK_BYTES:
+                    yield from flushed(lang)
         for lang in list(held):
-            yield from _edges(held.pop(lang), lang)
+            if size[lang]:
+                yield from flushed(lang)
 
     read = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.col("text")).where("text is not null")
-    return read.mapInArrow(count, "lang string, node string, last string, n long")
+    return read.mapInArrow(count, _PACKED)
 
 
-def _words(phrase: str | Column) -> Column:
-    return F.split(phrase, " ")
+_PACKED = "lang string, bucket long, grams string, n binary"
 
 
-def _joined(words: Column, start: Column | int, length: Column | int) -> Column:
-    return F.array_join(F.slice(words, start, length), " ")
+def _hashed(phrases: pa.Array) -> np.ndarray:
+    return pd.util.hash_array(np.array(phrases.to_pylist(), dtype=object), categorize=False)
 
 
-def _passed_on(rows: DataFrame, parts: list[Column]) -> DataFrame:
-    """(lang, phrase, n): sums of what every row gives to phrases; a part is a null or a (phrase, n)."""
-    each = rows.select("lang", F.explode(F.array(*parts)).alias("x")).where("x is not null")
-    return each.select("lang", "x.phrase", "x.n").groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
+def _merged(parts: list[tuple[pa.Array, np.ndarray]]) -> tuple[pa.Array, np.ndarray]:
+    """One row for each phrase of several lists; null phrases go."""
+    every = pa.table({"g": pa.chunked_array([g for g, _ in parts]), "n": np.concatenate([n for _, n in parts])})
+    summed = every.filter(pc.is_valid(every["g"])).group_by("g").aggregate([("n", "sum")])
+    return summed["g"].combine_chunks(), summed["n_sum"].to_numpy()
 
 
-def _gives(phrase: Column, n: str = "n") -> Column:
-    return F.struct(phrase.alias("phrase"), F.col(n).alias("n"))
+def _repacked(lang: str, parts: list[tuple[pa.Array, np.ndarray]], buckets: int) -> pa.Table:
+    grams, n = _merged(parts)
+    order = pc.sort_indices(grams)  # likeness of neighbours makes them small
+    grams, n = grams.take(order), n[order.to_numpy()]
+    batches = list(_packed(lang, _places([_hashed(grams)], buckets), grams, n))
+    return pa.Table.from_batches(batches) if batches else pa.table({"lang": pa.array([], pa.string()), "bucket": pa.array([], pa.int64()), "grams": pa.array([], pa.string()), "n": pa.array([], pa.binary())})
 
 
 def phrase_counts(docs: DataFrame, *, least: int = LEAST) -> DataFrame:
-    """(lang, phrase, words, n): every word, and the phrases of two to four words that occur ``least`` times."""
-    edges = count_edges(docs).repartition("lang", "node")
-    # Each edge once for itself and once for its node: a node's edges lie together, so both sums need no more exchange.
-    seen = edges.select("lang", "node", "n", "last", F.explode(F.array(F.lit(False), F.lit(True))).alias("whole"))
-    flow = seen.groupBy("lang", "node", "whole", F.when(F.col("whole"), F.lit(None)).otherwise(F.col("last")).alias("last")).agg(F.sum("n").alias("n"))
-    w = F.col("w")
-    flow = flow.withColumn("w", _words("node")).withColumn("k", F.size("w"))
-    enough, whole, ended = F.col("n") >= least, F.col("whole"), F.col("last").isNull()
-    pairs = _passed_on(flow, [
-        F.when(~whole & ~ended & enough, _gives(F.concat_ws(" ", "node", "last"))),
-        F.when(whole & (F.col("k") == 3) & enough, _gives(F.col("node"))),
-        F.when(whole & (F.col("k") > 1), _gives(_joined(w, 1, 2))),  # a node's flow, or a piece of two words
-        F.when(~whole & ended & (F.col("k") == 3), _gives(_joined(w, 2, 2))),  # pieces end with the pair
-        F.when(~whole & ended, _gives(F.element_at("w", -1))),  # and with the word
-    ])
-    pairs = pairs.withColumn("w", _words("phrase")).withColumn("k", F.size("w"))
-    counts = _passed_on(pairs, [
-        F.when((F.col("k") != 2) | enough, _gives(F.col("phrase"))),
-        F.when(F.col("k") == 2, _gives(F.element_at("w", 1))),
-    ])
-    return stage(counts.select("lang", "phrase", F.size(_words("phrase")).alias("words"), "n"), "phrase-counts")
+    """(lang, phrase, words, n): every word, and the phrases of two to four words that occur ``least`` times.
+
+    Counts travel packed, many to a row.  A round sums what meets in a bucket and passes on what it gives to shorter phrases;
+    no more than one count for each phrase and bucket.
+    """
+    volume = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = 1 + volume // BUCKET_BYTES
+
+    def nodes(rows: pa.Table) -> pa.Table:
+        """Of edges: the strong ones, strong nodes by their flow, what nodes and piece ends give to pairs, piece ends to words."""
+        grams, n = _unpacked(rows)
+        node, last = _halves(grams, "\t")
+        pair, third = _halves(node, "\r")
+        ends, edge, long_ = pc.is_null(last).to_numpy(False), pc.is_valid(last).to_numpy(False), pc.is_valid(third).to_numpy(False)
+        flow, of_flow = _merged([(node.filter(pa.array(long_)), n[long_])])
+        strong = edge & (n >= least)
+        phrase = lambda x: pc.replace_substring(pc.replace_substring(x, "\r", " "), "\t", " ")
+        first, second = _halves(pair, " ")
+        two = pc.is_valid(second).to_numpy(False)
+        closing = ends & long_  # a node ends the piece, and with it a pair
+        tail = pc.binary_join_element_wise(second, third, " ").filter(pa.array(closing))
+        return _repacked(rows["lang"][0].as_py(), [
+            (phrase(grams.filter(pa.array(strong))), n[strong]),
+            (phrase(flow.filter(pa.array(of_flow >= least))), of_flow[of_flow >= least]),
+            (pair.filter(pa.array(two)), n[two]),
+            (tail, n[closing]),
+            (pc.coalesce(third, second, first).filter(pa.array(ends)), n[ends]),
+        ], buckets)
+
+    def pairs(rows: pa.Table) -> pa.Table:
+        """Of sums for pairs, words and strong phrases: those, but for rare pairs, and what pairs give to their first words."""
+        grams, n = _unpacked(rows)
+        spaces = pc.count_substring(grams, " ").to_numpy()
+        keep = (spaces != 1) | (n >= least)
+        two = spaces == 1
+        first, _ = _halves(grams.filter(pa.array(two)), " ")
+        return _repacked(rows["lang"][0].as_py(), [(grams.filter(pa.array(keep)), n[keep]), (first, n[two])], buckets)
+
+    def whole(rows: pa.Table) -> pa.Table:
+        grams, n = _unpacked(rows)
+        k = pc.add(pc.count_substring(grams, " "), 1).cast(pa.int32())
+        return pa.table({"lang": pa.array([rows["lang"][0].as_py()] * len(n), pa.string()), "phrase": grams, "words": k, "n": pa.array(n, pa.int64())})
+
+    packed = count_edges(docs, buckets)
+    for step in (nodes, pairs):
+        packed = packed.groupBy("lang", "bucket").applyInArrow(step, _PACKED)
+    return stage(packed.groupBy("lang", "bucket").applyInArrow(whole, "lang string, phrase string, words int, n long"), "phrase-counts")
+
+
+def _words(phrase: str | Column) -> Column:
+    return F.split(phrase, " ")
+
+
+def _joined(words: Column, start: Column | int, length: Column | int) -> Column:
+    return F.array_join(F.slice(words, start, length), " ")
 
 
 def compact(strong: DataFrame) -> DataFrame:

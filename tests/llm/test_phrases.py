@@ -53,7 +53,8 @@ def test_against_plain_counts(spark, monkeypatch):
     frame = frame_of(spark, rows)
     assert got(frame, least=6) == plain(rows, 6)
     assert got(frame, least=2, top=7, covered=40) == plain(rows, 2, 7, 40)
-    monkeypatch.setattr(phrases, "CHUNK_WORDS", 20)  # chunks inside a text, stretches inside a path
+    monkeypatch.setattr(phrases, "CHUNK_BYTES", 100)  # chunks inside a text, stretches inside a path
+    monkeypatch.setattr(phrases, "BUCKET_BYTES", 2_000)
     monkeypatch.setattr(phrases, "STRETCH", 2)
     assert got(frame, least=6) == plain(rows, 6)
 
