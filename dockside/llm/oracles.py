@@ -55,15 +55,20 @@ FROM s LEFT JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_wit
 GROUP BY n, page_id, host, path
 """
 
-LM_SCORE = """
-WITH d AS (SELECT row_number() OVER () AS n, doc_id, '0A0A' || hex(encode(coalesce(text, ''))) AS h FROM documents),
-t AS (SELECT '0A0A' || hex(encode(text)) AS h FROM conversations WHERE text IS NOT NULL),
-dg AS (SELECT n, substr(h, 2 * i + 1, 6) AS g FROM (SELECT n, h, unnest(range(length(h) // 2 - 2)) AS i FROM d)),
-tg AS (SELECT substr(h, 2 * i + 1, 6) AS g FROM (SELECT h, unnest(range(length(h) // 2 - 2)) AS i FROM t)),
-c AS (SELECT g, sum(a)::DOUBLE AS a, sum(b)::DOUBLE AS b
-      FROM (SELECT g, 1 AS a, 0 AS b FROM tg UNION ALL SELECT g, 0, 1 FROM dg) GROUP BY g),
+_TOKEN = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_\p{Z}\s\x0B\x1C-\x1F\x{85}]"
+
+#: A word's losses by the method: its count smoothed by the probability of its spelling, from byte trigrams of the corpus's words.
+LM_SCORE = f"""
+WITH d AS (SELECT row_number() OVER () AS n, doc_id, coalesce(text, '') AS t FROM documents),
+dw AS (SELECT n, word, count(*) AS k FROM (SELECT n, unnest(regexp_extract_all(t, '{_TOKEN}')) AS word FROM d) GROUP BY ALL),
+tw AS (SELECT word, count(*) AS k FROM (SELECT unnest(regexp_extract_all(text, '{_TOKEN}')) AS word FROM conversations) GROUP BY ALL),
+v AS (SELECT word, sum(a)::DOUBLE AS a, sum(b)::DOUBLE AS b
+      FROM (SELECT word, k AS a, 0 AS b FROM tw UNION ALL SELECT word, 0, k FROM dw) GROUP BY word),
+s AS (SELECT word, '0A0A' || hex(encode(word)) || '0A' AS h FROM v),
+s3 AS (SELECT word, substr(h, 2 * i + 1, 6) AS g FROM (SELECT word, h, unnest(range(length(h) // 2 - 2)) AS i FROM s)),
+c AS (SELECT g, sum(a) AS a, sum(b) AS b FROM s3 JOIN v USING (word) GROUP BY g),
 w AS (SELECT 'target' AS m, g, a AS c FROM c
-      UNION ALL SELECT 'background', g, b * (SELECT sum(a) / sum(b) FROM c) FROM c),
+      UNION ALL SELECT 'background', g, b * (SELECT CASE WHEN sum(a) > 0 AND sum(b) > 0 THEN sum(a) / sum(b) ELSE 1 END FROM c) FROM c),
 one AS (SELECT m, right(g, 2) AS x, sum(c) AS c FROM w GROUP BY ALL),
 p1 AS (SELECT m, x, (c + count(*) FILTER (c > 0) OVER (PARTITION BY m) / 256)
                     / (sum(c) OVER (PARTITION BY m) + count(*) FILTER (c > 0) OVER (PARTITION BY m)) AS p FROM one),
@@ -73,10 +78,17 @@ p2 AS (SELECT k2.m, y, CASE WHEN k > 0 THEN (c + k * p) / (s + k) ELSE p END AS
 k3 AS (SELECT *, count(*) FILTER (c > 0) OVER (PARTITION BY m, left(g, 4)) AS k, sum(c) OVER (PARTITION BY m, left(g, 4)) AS s FROM w),
 p3 AS (SELECT g, max(-ln(CASE WHEN k > 0 THEN (c + k * p) / (s + k) ELSE p END)) FILTER (k3.m = 'target') AS a,
               max(-ln(CASE WHEN k > 0 THEN (c + k * p) / (s + k) ELSE p END)) FILTER (k3.m = 'background') AS b
-       FROM k3 JOIN p2 ON p2.m = k3.m AND y = right(g, 4) GROUP BY g)
-SELECT doc_id, count(p3.g) AS n_tokens, avg(a) AS target_loss, avg(b) AS background_loss, avg(a) - avg(b) AS score
-FROM d LEFT JOIN dg USING (n) LEFT JOIN p3 ON p3.g = dg.g GROUP BY n, doc_id
-"""
+       FROM k3 JOIN p2 ON p2.m = k3.m AND y = right(g, 4) GROUP BY g),
+spelled AS (SELECT word, sum(a) AS a, sum(b) AS b FROM s3 JOIN p3 USING (g) GROUP BY word),
+sums AS (SELECT sum(a) AS na, sum(b) AS nb, (count(*) FILTER (a > 0))::DOUBLE AS ka, (count(*) FILTER (b > 0))::DOUBLE AS kb,
+                CASE WHEN sum(a) > 0 AND sum(b) > 0 THEN sum(a) / sum(b) ELSE 1 END AS scale FROM v),
+loss AS (SELECT word, {{target}} AS a, {{background}} AS b FROM v JOIN spelled x USING (word), sums)
+SELECT doc_id, coalesce(sum(k), 0)::BIGINT AS n_tokens, sum(k * a) / sum(k) AS target_loss, sum(k * b) / sum(k) AS background_loss,
+       sum(k * a) / sum(k) - sum(k * b) / sum(k) AS score
+FROM d LEFT JOIN dw USING (n) LEFT JOIN loss USING (word) GROUP BY n, doc_id
+""".replace("{target}", "CASE WHEN ka = 0 THEN x.a WHEN v.a = 0 THEN ln(na + ka) - ln(ka) + x.a ELSE ln(na + ka) - ln(v.a + ka * exp(-x.a)) END").replace(
+    "{background}", "CASE WHEN kb = 0 THEN x.b WHEN v.b = 0 THEN ln(nb * scale + kb) - ln(kb) + x.b ELSE ln(nb * scale + kb) - ln(v.b * scale + kb * exp(-x.b)) END"
+)
 
 _UPPER, _LOWER = (f"'{''.join(map(chr, range(a, a + 26)))}'" for a in (65, 97))
 
