@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from dockside.operators import (
     alerts, backorders, cooldown, dashboard, dwell, erp, measures, otif, quality, routing, security, sequences,
 )
+from dockside.plans import maintained
 from dockside.plans.model import FulfilmentModel
 from dockside.plans.staging import fresh_path, stage
 from dockside.sources import readers, snapshots
@@ -392,16 +393,11 @@ def _snapshot(m: FulfilmentModel) -> DataFrame:
 
 
 def _refresh(m: FulfilmentModel) -> DataFrame:
+    """All figures of the four snapshots after a refresh."""
     spark = m.tables.spark
     root = fresh_path(spark, "refresh")
-    report = snapshots.refresh_all(FulfilmentModel.for_snapshots(m.tables, m.cfg), root)
-    out = None
-    for done in report:
-        one = snapshots.current(spark, root, done.snapshot).agg(F.count(F.lit(1)).alias("rows")).select(
-            F.lit(done.snapshot).alias("snapshot"), F.lit(done.ok).alias("ok"), "rows"
-        )
-        out = one if out is None else out.unionByName(one)
-    return out
+    snapshots.refresh_all(FulfilmentModel.for_snapshots(m.tables, m.cfg), root)
+    return snapshots.figures(spark, root)
 
 
 def _extract(m: FulfilmentModel) -> DataFrame:
@@ -543,19 +539,49 @@ ALERTING: dict[str, Query] = {
 }
 
 
-def _refreshed(m: FulfilmentModel) -> DataFrame:
-    """All four snapshots after two refreshes, the second with rows that came meanwhile."""
+_stores: dict[FulfilmentModel, tuple[maintained.MaintainedLineLevel, Tables]] = {}
+
+
+def _kept(m: FulfilmentModel) -> tuple[maintained.MaintainedLineLevel, Tables]:
+    if m not in _stores:
+        _stores[m] = _maintained(m, 3)
+    return _stores[m]
+
+
+def _maintained(m: FulfilmentModel, batches: int, snapshots_root: str | None = None) -> tuple[maintained.MaintainedLineLevel, Tables]:
+    """A line level after micro-batches of lines; the shipments of a part come some batches before or after, orders come first."""
     spark, t = m.tables.spark, m.tables
-    root, checkpoint, source = (fresh_path(spark, f"refresh-{x}") for x in ("root", "checkpoint", "source"))
-    ships = fresh_path(spark, "refresh-shipments")
-    early = F.col("shipment_id") % 2 == 0
-    for part in (early, ~early):
-        t.shipments.where(part).write.mode("append").parquet(ships)
-        t.shipments.where(part).select("shipment_id").write.mode("append").parquet(source)
-        arriving = spark.readStream.schema("shipment_id long").parquet(source)
-        read = lambda: t.but(shipments=spark.read.schema(t.shipments.schema).parquet(ships))
-        kpis.refresh_on_arrival(arriving, read, root, checkpoint, m.cfg, once=True)
-    return snapshots.current(spark, root, "carrier_scorecard")
+    root, source = fresh_path(spark, "maintained"), fresh_path(spark, "maintained-source")
+    store = maintained.MaintainedLineLevel(spark, root, m.cfg, order_parts=8, vendor_shares=2)
+    none = {n: getattr(t, n).where(F.lit(False)) for n in maintained.BY_ORDER}
+    store.apply(t.but(**none | {"orders": t.orders, "order_lines": t.order_lines}), 0)
+    part = F.pmod(F.xxhash64("shipment_number"), F.lit(batches))
+    for k in range(batches):
+        t.delivery_lines.where(part == k).write.mode("append").parquet(source)
+        arriving = spark.readStream.schema(t.delivery_lines.schema).parquet(source)
+        came = t.shipments.where(part == (k + 1) % batches)
+        kpis.maintain_on_arrival(
+            arriving, lambda batch: t.but(**none | {"delivery_lines": batch, "shipments": came}), store, f"{root}/checkpoint",
+            root=snapshots_root, first=1, once=True,
+        )
+    return store, t
+
+
+def _refreshed(m: FulfilmentModel) -> DataFrame:
+    """All figures of the four snapshots, refreshed from the maintained lines as rows came."""
+    root = fresh_path(m.tables.spark, "arrival-snapshots")
+    _maintained(m, 2, root)
+    return snapshots.figures(m.tables.spark, root)
+
+
+def _maintained_lines(m: FulfilmentModel) -> DataFrame:
+    store, t = _kept(m)
+    return store.line_level(t)
+
+
+def _merged_service(m: FulfilmentModel) -> DataFrame:
+    store, t = _kept(m)
+    return maintained.service_by(store.days(t), ["vendor_region", "carrier_code"])
 
 
 def _delivered(m: FulfilmentModel, action: Callable[..., Callable], **options) -> str:
@@ -576,9 +602,7 @@ def _delivered(m: FulfilmentModel, action: Callable[..., Callable], **options) -
 
 
 def _line_stream(m: FulfilmentModel) -> DataFrame:
-    return m.tables.spark.read.parquet(f"{_delivered(m, kpis.line_level_action)}/out").select(
-        "shipment_number", "line_number", "vendor_code", "is_on_time", "is_in_full", "is_otif"
-    )
+    return _maintained_lines(m).select("shipment_number", "line_number", "vendor_code", "is_on_time", "is_in_full", "is_otif")
 
 
 def _kpis(m: FulfilmentModel, days: int) -> DataFrame:
@@ -682,6 +706,8 @@ def _corrected(m: FulfilmentModel) -> DataFrame:
 STREAMING: dict[str, Query] = {
     "t01_refresh_on_arrival": _q(_refreshed),
     "t02_line_level_stream": _q(_line_stream),
+    "t11_maintained_lines": _q(_maintained_lines),
+    "t12_merged_service": _q(_merged_service),
     "t03_daily_kpis": _q(lambda m: _kpis(m, 1)),
     "t03b_sliding_kpis": _q(lambda m: _kpis(m, 7)),
     "t04_failure_streaks": _q(_streaks_by_batch),

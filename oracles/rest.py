@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from oracles.measures import FX, RECENT_FAILS, rolled
 from oracles.prelude import sql
+from oracles.views import HIERARCHY
 
 # --- ERP documents, restated over the common tables -------------------------------------
 
@@ -180,6 +181,28 @@ QUALITY = {
 
 # --- Sources ----------------------------------------------------------------------------
 
+_NUMBERS = {
+    "rolling_7d": ("r7", "vendor_code || '/' || metric_date",
+                   "total_lines on_time_lines in_full_lines otif_lines otif_pct on_time_pct in_full_pct rolling_7d_otif_pct "
+                   "rolling_7d_line_count rolling_7d_backorder_cost"),
+    "vendor_hierarchy": ("hierarchy", "vendor_code",
+                         "total_ordered_qty total_delivered_qty total_shipments total_orders overall_otif_pct rank_in_region"),
+    "carrier_scorecard": ("scorecard", "carrier_code || '/' || delivery_week",
+                          "total_deliveries on_time_count on_time_pct rolling_4wk_on_time_pct"),
+    "alert_summary": ("summary", "concat_ws('/', alert_type, entity, event_date::DATE)", "metric_value sla_threshold gap_to_threshold"),
+}
+
+
+def _long(name: str, source: str, key: str, numbers: str) -> str:
+    labels, values = (", ".join(form.format(c) for c in numbers.split()) for form in ("'{}'", "{}::DOUBLE"))
+    return f"SELECT '{name}' AS snapshot, {key} AS row_key, unnest([{labels}]) AS figure, unnest([{values}]) AS value FROM {source}"
+
+
+#: Every number of the four snapshots.
+FIGURES = sql(
+    " UNION ALL ".join(_long(name, *x) for name, x in _NUMBERS.items()), f"hierarchy AS ({HIERARCHY})"
+)
+
 SOURCES = {
     "s01_typed_tables": sql(
         """SELECT order_id, order_number, customer_code, order_date, requested_delivery_date, order_status, channel, currency,
@@ -200,11 +223,7 @@ SOURCES = {
     "s06_surrogate_keys": sql("SELECT row_number() OVER (ORDER BY shipment_number) AS shipment_id, shipment_number FROM f_shipments"),
     "s07_reload": _tally(**_full()),
     "s08_snapshot": sql("SELECT * FROM r7"),
-    "s10_refresh_all": sql(
-        """SELECT 'rolling_7d' AS snapshot, true AS ok, (SELECT count(*) FROM r7) AS rows
-        UNION ALL SELECT 'vendor_hierarchy', true, (SELECT count(*) FROM f_vendors)
-        UNION ALL SELECT 'carrier_scorecard', true, (SELECT count(*) FROM scorecard)
-        UNION ALL SELECT 'alert_summary', true, (SELECT count(*) FROM summary)"""),
+    "s10_refresh_all": FIGURES,
     "s11_row_counts": _tally(**_full()),
     "s12_bi_extract": sql(
         """SELECT carrier_mode, count(*) AS total_lines, (SELECT count(*) FROM f_customers) AS customers FROM ll GROUP BY 1"""),

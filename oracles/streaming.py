@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from oracles.prelude import sql
-from oracles.rest import ALERTING
+from oracles.rest import ALERTING, FIGURES
+from oracles.views import VIEWS
 
 SLIDING = """
 sliding AS (
@@ -14,7 +15,13 @@ sliding AS (
 _CH = "CASE severity WHEN 'CRITICAL' THEN 'Teams,Email,Slack' WHEN 'BREACHED' THEN 'Teams,Email' ELSE 'Email' END"
 
 STREAMING = {
-    "t01_refresh_on_arrival": sql("SELECT * FROM scorecard"),
+    "t01_refresh_on_arrival": FIGURES,
+    "t11_maintained_lines": VIEWS["v01_otif_line_level"],
+    "t12_merged_service": sql(
+        """SELECT vendor_region, carrier_code, count(*) AS lines, sum(is_on_time)::BIGINT AS on_time, sum(is_in_full)::BIGINT AS in_full,
+        sum(is_otif)::BIGINT AS otif, 100.0 * sum(is_on_time)::DOUBLE / count(*) AS on_time_pct,
+        100.0 * sum(is_in_full)::DOUBLE / count(*) AS in_full_pct, 100.0 * sum(is_otif)::DOUBLE / count(*) AS otif_pct FROM ll GROUP BY 1, 2"""
+    ),
     "t02_line_level_stream": sql(
         """SELECT shipment_number, line_number::BIGINT AS line_number, vendor_code, is_on_time::BIGINT AS is_on_time,
         is_in_full::BIGINT AS is_in_full, is_otif::BIGINT AS is_otif FROM ll"""

@@ -20,20 +20,7 @@ run AS (
   FROM f_backorders b JOIN f_delivery_lines d ON d.order_number = b.order_number AND d.line_number = b.line_number
   JOIN f_products pr ON pr.sku = d.sku)"""
 
-VIEWS = {
-    "v01_otif_line_level": sql(f"SELECT {LL_COLS} FROM ll"),
-    "v02_date_anchor": sql(
-        "SELECT d AS max_delivery_date, d30 AS window_start_30d, d90 AS window_start_90d, d180 AS window_start_180d FROM anchor"
-    ),
-    "v03_rolling_active_7": sql("SELECT * FROM r7"),
-    "v04_rolling_active_30": sql(
-        f"""SELECT vendor_code, vendor_region, metric_date, total_lines, otif_lines, on_time_lines, in_full_lines,
-        otif_pct, on_time_pct, in_full_pct, {r('avg(' + p('otif_lines', 'total_lines') + ') OVER w', 2)} AS rolling_30d_otif_pct,
-        (sum(total_lines) OVER w)::BIGINT AS rolling_30d_line_count FROM r7
-        WINDOW w AS (PARTITION BY vendor_code ORDER BY metric_date, vendor_region ROWS BETWEEN 29 PRECEDING AND CURRENT ROW)"""
-    ),
-    "v05_vendor_hierarchy": sql(
-        f"""SELECT vendor_code, vendor_name, vendor_region, tier, ordered::DOUBLE AS total_ordered_qty,
+HIERARCHY = f"""SELECT vendor_code, vendor_name, vendor_region, tier, ordered::DOUBLE AS total_ordered_qty,
         delivered::DOUBLE AS total_delivered_qty, total_shipments, total_orders, {r(p('passed', 'flagged'), 2)} AS overall_otif_pct,
         row_number() OVER (PARTITION BY vendor_region ORDER BY {p('passed', 'flagged')} DESC NULLS LAST, vendor_code) AS rank_in_region,
         CASE WHEN {p('passed', 'flagged')} >= 95 THEN 'EXCEEDING' WHEN {p('passed', 'flagged')} >= 92 THEN 'MEETING'
@@ -47,7 +34,20 @@ VIEWS = {
                 FROM f_shipments s LEFT JOIN f_order_lines a USING (order_number)
                 LEFT JOIN f_delivery_lines b USING (shipment_number) LEFT JOIN ll c USING (shipment_id)) x USING (vendor_code)
               GROUP BY 1, 2, 3, 4)"""
+
+VIEWS = {
+    "v01_otif_line_level": sql(f"SELECT {LL_COLS} FROM ll"),
+    "v02_date_anchor": sql(
+        "SELECT d AS max_delivery_date, d30 AS window_start_30d, d90 AS window_start_90d, d180 AS window_start_180d FROM anchor"
+    ),
+    "v03_rolling_active_7": sql("SELECT * FROM r7"),
+    "v04_rolling_active_30": sql(
+        f"""SELECT vendor_code, vendor_region, metric_date, total_lines, otif_lines, on_time_lines, in_full_lines,
+        otif_pct, on_time_pct, in_full_pct, {r('avg(' + p('otif_lines', 'total_lines') + ') OVER w', 2)} AS rolling_30d_otif_pct,
+        (sum(total_lines) OVER w)::BIGINT AS rolling_30d_line_count FROM r7
+        WINDOW w AS (PARTITION BY vendor_code ORDER BY metric_date, vendor_region ROWS BETWEEN 29 PRECEDING AND CURRENT ROW)"""
     ),
+    "v05_vendor_hierarchy": sql(HIERARCHY),
     "v05b_vendor_hierarchy_dedupe": sql(
         f"""SELECT v.vendor_code, v.vendor_name, v.region AS vendor_region, v.tier,
         coalesce(a.ordered, 0)::DOUBLE AS total_ordered_qty, coalesce(b.delivered, 0)::DOUBLE AS total_delivered_qty,
