@@ -74,6 +74,25 @@ def replay(stream: DataFrame, label: str, keys: list[str] | None = None) -> Data
     return latest(rows, keys).select(*stream.columns) if keys else rows
 
 
+def replay_parts(parts: list[DataFrame], build: Callable[[DataFrame], DataFrame], label: str) -> DataFrame:
+    """What an appending stream puts out when ``parts`` arrive one after the other, each as micro-batches of its own.
+
+    The query stops after every part and goes on from its checkpoint.
+    """
+    spark = parts[0].sparkSession
+    source, out, checkpoint = (fresh_path(spark, f"{label}-{x}") for x in ("source", "out", "checkpoint"))
+
+    def keep(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+    with rocksdb_state(spark):
+        for part in parts:
+            part.write.mode("append").parquet(source)
+            stream = build(spark.readStream.schema(part.schema).parquet(source))
+            run_available(stream.writeStream.outputMode("append").foreachBatch(keep).option("checkpointLocation", checkpoint))
+    return spark.read.schema(stream.schema).parquet(f"{out}/batch=*")
+
+
 def latest(rows: DataFrame, keys: list[str]) -> DataFrame:
     """The row of the newest ``batch`` of each key."""
     newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*rows.columns), "batch").alias("row"))

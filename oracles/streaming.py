@@ -57,6 +57,6 @@ STREAMING = {
     ),
 }
 
-# The carried-state forms give the same rows.
-STREAMING["t04b_failure_streaks_by_batch"] = STREAMING["t04_failure_streaks"]
-STREAMING["t05b_cooldown_by_batch"] = STREAMING["t05_cooldown"]
+# The keyed forms give the same rows.
+STREAMING["t04b_keyed_streaks"] = STREAMING["t04_failure_streaks"]
+STREAMING["t05b_keyed_cooldown"] = STREAMING["t05_cooldown"]
