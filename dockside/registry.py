@@ -18,7 +18,7 @@ from dockside.tables import Tables
 from fixtures import sample_events
 from fixtures.sample_erp import load_erp
 from fixtures.sample_mart import event_acks, event_alerts, load_mart
-from dockside.streaming import alerts as stream_alerts, carried, keyed, kpis, runner
+from dockside.streaming import alerts as stream_alerts, carried, changes, keyed, kpis, runner
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -682,14 +682,20 @@ def _keyed_cooldown(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _escalated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = runner.replay(stream_alerts.escalations(*_event_streams(spark, sf_dir)), "escalations")
-    return plain(out.where(F.col("alert_id") >= 0).select("alert_id", "entity"))
+    """Three micro-batches, each with alerts and acknowledgments of all times, so answers come before and long after their alerts."""
+    e = _events(spark, sf_dir)
+    rows = stage(changes.events(event_alerts(e), event_acks(e)), "alert-events")
+    folder, source = fresh_path(spark, "escalations"), fresh_path(spark, "escalations-source")
+    for k in range(3):
+        rows.where(F.pmod(F.xxhash64("kind", "id"), F.lit(3)) == k).write.mode("append").parquet(source)
+        arriving = spark.readStream.schema(rows.schema).parquet(source)
+        runner.every(arriving, changes.escalation_action(folder), f"{folder}/checkpoint", once=True)
+    return plain(changes.fold(changes.escalation_log(spark, folder)).select("alert_id", "entity"))
 
 
 def _repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fired, _ = _event_streams(spark, sf_dir)
-    windows = stream_alerts.repeated_critical(fired.where(F.col("alert_id") >= 0))
-    return plain(runner.replay(windows, "repeated", ["entity", "window_start"]))
+    fired = event_alerts(_events(spark, sf_dir)).select("alert_id", "alert_type", "entity", "severity", F.col("ts").cast("timestamp").alias("ts"))
+    return plain(runner.replay_parts(_out_of_order(stage(fired, "critical"), "ts"), keyed.repeated_critical, "keyed-repeats"))
 
 
 def _fanned(spark: SparkSession, sf_dir: str) -> DataFrame:

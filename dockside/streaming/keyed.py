@@ -134,6 +134,39 @@ class Cooldown(_InOrder):
             self.state.clear()
 
 
+class Repeats(_InOrder):
+    """Alerts of an entity that are at least the n-th inside the window that ends with them; n - 1 times are carried."""
+
+    waiting = "micros long, alert_id long, alert_type string, severity string"
+    carried = "recent array<long>"
+
+    def __init__(self, n: int, hours: float):
+        self.n, self.window = n, int(hours * 3_600_000_000)
+
+    def held(self, row: Row) -> tuple:
+        return row.micros, row.alert_id, row.alert_type, row.severity
+
+    def start(self, row: Row) -> None:
+        self._keep(list(row.recent))
+
+    def _keep(self, recent: list[int]) -> None:
+        self.state.update((recent,))
+        self.handle.registerTimer(-(-(recent[-1] + self.window) // 1000) + 1)
+
+    def walk(self, key, found: list[tuple]) -> Iterator[Row]:
+        recent = list(self.state.get()[0]) if self.state.exists() else []
+        for micros, alert, kind, severity in found:
+            if self.n <= 1 or len(recent) == self.n - 1 and recent[0] >= micros - self.window:
+                yield Row(alert_id=alert, alert_type=kind, entity=key[0], severity=severity, micros=micros)
+            recent = [*recent, micros][-max(self.n - 1, 1):]
+        self._keep(recent)
+
+    def quiet(self, now: int) -> None:
+        """A day after the last alert none of them matters."""
+        if self.state.exists() and self.state.get()[0][-1] + self.window < now * 1000:
+            self.state.clear()
+
+
 def failure_streaks(lines: DataFrame, *, delay: str = DELAY, initial: DataFrame | None = None) -> DataFrame:
     """Labelled failures of a stream of flagged lines; ``initial`` has vendor_code, open_run and seen."""
     ts = F.col("actual_delivery_date").cast("timestamp")
@@ -157,3 +190,17 @@ def throttled(alerts: DataFrame, cfg: SlaConfig = SlaConfig(), *, delay: str = D
         processor, "alert_id long, alert_type string, entity string, severity string",
         "Append", "EventTime", initial.groupBy("alert_type", "entity") if initial is not None else None,
     )
+
+
+def repeated_critical(alerts: DataFrame, cfg: SlaConfig = SlaConfig(), *, delay: str = DELAY, initial: DataFrame | None = None) -> DataFrame:
+    """Critical alerts of a stream that repeat within the window, to the microsecond; ``initial`` has entity and recent."""
+    ts = F.col("ts").cast("timestamp")
+    critical = alerts.where(F.col("severity") == "CRITICAL").select(
+        "alert_id", "alert_type", "entity", "severity", ts.alias("ts"), F.unix_micros(ts).alias("micros")
+    ).withWatermark("ts", delay)
+    found = critical.groupBy("entity").transformWithState(
+        Repeats(cfg.repeat_critical_count, cfg.repeat_window_hours),
+        "alert_id long, alert_type string, entity string, severity string, micros long",
+        "Append", "EventTime", initial.groupBy("entity") if initial is not None else None,
+    )
+    return found.withColumn("ts", F.timestamp_micros("micros").cast("timestamp_ntz")).drop("micros")

@@ -40,8 +40,9 @@ STREAMING = {
     "t05_cooldown": f"SELECT alert_id, alert_type, entity, severity FROM ({ALERTING['a11_cooldown']})",
     "t06_escalation": f"SELECT alert_id, entity FROM ({ALERTING['a09_escalation']})",
     "t07_repeated_critical": sql(
-        """SELECT entity, date_trunc('hour', ts) - to_hours(i) AS window_start, count(*) AS alerts
-        FROM f_alerts, (SELECT unnest(range(24)) AS i) WHERE severity = 'CRITICAL' GROUP BY 1, 2 HAVING count(*) >= 2"""
+        """SELECT alert_id, alert_type, entity, severity, ts FROM (
+        SELECT *, lag(ts) OVER (PARTITION BY entity ORDER BY ts, alert_id) AS prev FROM f_alerts WHERE severity = 'CRITICAL')
+        WHERE prev >= ts - INTERVAL 24 HOUR"""
     ),
     "t08_threshold_alerts": sql(
         """SELECT vendor_code, last_day, otif_share, CASE WHEN otif_share < 0.85 THEN 'Critical' ELSE 'Breached' END AS severity
