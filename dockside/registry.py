@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from dockside.operators import (
-    alerts, backorders, cooldown, dashboard, dwell, erp, measures, otif, quality, routing, security, sequences,
+    alerts, backorders, cooldown, dashboard, dwell, erp, measures, otif, quality, routing, security,
+    sequences, sketches, targets,
 )
 from dockside.plans import maintained
 from dockside.plans.model import FulfilmentModel
@@ -408,7 +409,41 @@ def _extract(m: FulfilmentModel) -> DataFrame:
     )
 
 
+def _sketched(m: FulfilmentModel, what: str, key: str, by: list[str]) -> DataFrame:
+    """Exact distinct counts, and whether the estimate merged from days is within its bound."""
+    daily = stage(sketches.daily_sketches(m.line_level), "daily-sketches")
+    exact = m.line_level.groupBy(*by).agg(F.count_distinct(key).alias("exact"))
+    about = sketches.distinct_over(daily, by).select(*by, what)
+    close = F.abs(F.col(what) - F.col("exact")) <= F.col("exact") * sketches.BOUND
+    return exact.join(about, by).select(*by, "exact", close.alias("close"))
+
+
+def _dated(m: FulfilmentModel) -> DataFrame:
+    """Daily shares of vendors and carriers below the target of their day: peak seasons, a stricter one for strategic vendors, one carrier."""
+    spark = m.tables.spark
+    strategic = m.tables.vendors.where(F.col("tier") == "strategic").select("vendor_code", F.lit(None).cast("string").alias("carrier_code"))
+    season = spark.range(1992, 2010).select(
+        F.lit(None).cast("string").alias("vendor_code"), F.lit(None).cast("string").alias("carrier_code"),
+        F.make_date("id", F.lit(11), F.lit(1)).alias("valid_from"), F.make_date("id", F.lit(12), F.lit(31)).alias("valid_to"),
+        F.lit(m.cfg.peak_target).alias("target"),
+    )
+    own = strategic.select("*", F.lit("1996-01-01").cast("date").alias("valid_from"), F.lit(None).cast("date").alias("valid_to"), F.lit(m.cfg.strategic_target).alias("target"))
+    daily = stage(m.line_level.groupBy("vendor_code", "carrier_code", "actual_delivery_date").agg(
+        (F.lit(100.0) * F.sum("is_otif") / F.count(F.lit(1))).alias("otif_pct")
+    ), "daily-shares")
+    carrier = daily.agg(F.min("carrier_code").alias("carrier_code")).select(
+        F.lit(None).cast("string").alias("vendor_code"), "carrier_code", F.lit("1995-03-15").cast("date").alias("valid_from"),
+        F.lit("1997-06-20").cast("date").alias("valid_to"), F.lit(90.0).alias("target"),
+    )
+    return targets.misses(
+        daily, season.unionByName(own).unionByName(carrier), day="actual_delivery_date", share="otif_pct", default=m.cfg.otif_target
+    )
+
+
 SOURCES: dict[str, Query] = {
+    "m02c_orders_sketched": _q(lambda m: _sketched(m, "orders", "order_number", ["vendor_region"])),
+    "m03b_shipments_sketched": _q(lambda m: _sketched(m, "shipments", "shipment_number", ["vendor_region", "carrier_mode"])),
+    "a17_dated_targets": _q(_dated),
     "s01_typed_tables": _q(lambda m: m.tables.orders),
     "s02_typed_erp_tables": _erp_files,
     "s03_absent_column_defaults": _q(_absent),

@@ -204,6 +204,20 @@ FIGURES = sql(
 )
 
 SOURCES = {
+    "m02c_orders_sketched": sql("SELECT vendor_region, count(DISTINCT order_number) AS exact, true AS close FROM ll GROUP BY 1"),
+    "m03b_shipments_sketched": sql(
+        "SELECT vendor_region, carrier_mode, count(DISTINCT shipment_number) AS exact, true AS close FROM ll GROUP BY 1, 2"
+    ),
+    "a17_dated_targets": sql(
+        """SELECT vendor_code, carrier_code, actual_delivery_date, otif_pct, target, target - otif_pct AS gap FROM (
+        SELECT *, CASE WHEN strategic AND actual_delivery_date >= DATE '1996-01-01' THEN 95.0
+                       WHEN carrier_code = one AND actual_delivery_date BETWEEN DATE '1995-03-15' AND DATE '1997-06-20' THEN 90.0
+                       WHEN month(actual_delivery_date) IN (11, 12) THEN 88.0 ELSE 92.0 END::DOUBLE AS target
+        FROM (SELECT ll.vendor_code, ll.carrier_code, actual_delivery_date, 100.0::DOUBLE * sum(is_otif)::DOUBLE / count(*)::DOUBLE AS otif_pct,
+                     coalesce(bool_or(v.tier = 'strategic'), false) AS strategic,
+                     (SELECT min(carrier_code) FROM ll) AS one
+              FROM ll LEFT JOIN f_vendors v ON v.vendor_code = ll.vendor_code GROUP BY 1, 2, 3)) WHERE otif_pct < target"""
+    ),
     "s01_typed_tables": sql(
         """SELECT order_id, order_number, customer_code, order_date, requested_delivery_date, order_status, channel, currency,
         total_value::DOUBLE AS total_value FROM f_orders"""),
