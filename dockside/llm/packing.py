@@ -55,7 +55,7 @@ class WordTokenizer:
     """Ids of whole texts, by way of the ids of their words.
 
     Exact for tokenizers that drop white space and never merge across it: each word between ASCII white space is
-    encoded once and remembered.  Folding A-Z first is exact where both forms are in NFC, for the tokenizer lower-cases
+    encoded once and remembered; a text that holds one of the tokenizer's special tokens is encoded whole.  Folding A-Z first is exact where both forms are in NFC, for the tokenizer lower-cases
     each character; other texts keep their case and the tokenizer folds it.
     """
 
@@ -63,7 +63,7 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.model = self.tokenizer.model
         self.cached_words = cached_words
         self._forget()
@@ -98,6 +98,8 @@ class WordTokenizer:
         return at
 
     def ids(self, text: str) -> np.ndarray:
+        if any(s in text for s in self.special):  # a token of its own wherever it stands, also inside a word
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
         folded = text.encode().lower()
         if not text.isascii() and not (
             unicodedata.is_normalized("NFC", text) and unicodedata.is_normalized("NFC", folded.decode())

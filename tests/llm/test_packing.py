@@ -4,6 +4,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from tokenizers import Tokenizer
 
 from dockside.llm import packing
 from tests.llm.cases import edge_documents, no_documents
@@ -49,11 +50,14 @@ def test_pieces_are_those_of_the_whole_text(spark, source):
 
 def test_words_in_any_case_and_script():
     tok = packing.WordTokenizer(packing.default_tokenizer(), cached_words=50)
+    own = Tokenizer.from_file(packing.default_tokenizer())  # unaltered
+    assert tok.ids("hello <|endoftext|> world").tolist() == own.encode("hello <|endoftext|> world", add_special_tokens=False).ids
+    assert tok.ids("a<|endoftext|>b <|startoftext|>").tolist() == own.encode("a<|endoftext|>b <|startoftext|>", add_special_tokens=False).ids
     rng = random.Random(3)
     pieces = ["It's", "don't,", "ÉTÉ.", "straße", "Å", "H̱", "K", "x_y", "3.14", "<|endoftext|>", "!!!", "…", "日本語", "we'll", "THE.", "l'été", "İ"]
     for _ in range(200):
         text = rng.choice([" ", "\n", " ", "\t "]).join(rng.choices(pieces, k=rng.randint(0, 12)))
-        assert tok.ids(text).tolist() == tok.tokenizer.encode(text, add_special_tokens=False).ids
+        assert tok.ids(text).tolist() == own.encode(text, add_special_tokens=False).ids
 
 
 def test_bounds_and_best_fit():
