@@ -8,7 +8,8 @@ not drawn from.  The third calibrates the trees' probability by isotonic regress
 Fitting reads a bounded sample of labelled rows.  Scoring is one pass over whole texts without a shuffle; the lexicon
 and the trees are what is broadcast, and the sample bounds both.
 
-Edge cases: null text is empty; an empty text has all features zero and gets a score like any other.  Where the part
+Edge cases: null text is empty; an empty text has all features zero and gets a score like any other.  Very long texts and
+words are read whole, in time that grows with their length.  Repeated rows get the same score each.  Where the part
 for the trees lacks a class, every score is the smoothed share of label 1; where the part for calibration does, the
 trees' own probability is the score.  Extra columns are ignored.
 """
@@ -41,8 +42,8 @@ SECOND_PERSON = frozenset(
     "you your yours yourself du dich dir dein deine ihr euch tu te toi vous votre ton tú ti usted ustedes vos".split()
 )
 _WORD = re.compile(r"[^\W\d_]+")
-# A letter, digits or symbols that stand for letters, a letter.
-_MASKED = re.compile(r"[^\W\d_]+(?:[0-9@$*!|]+[^\W\d_]+)+")
+# A letter, digits or symbols that stand for letters, a letter.  Tried only where a run of letters begins, so a long word is read once.
+_MASKED = re.compile(r"(?<![^\W\d_])[^\W\d_]++(?:[0-9@$*!|]++[^\W\d_]++)+")
 _SPACED = re.compile(r"(?<!\w)[^\W\d_](?:[ .*_-][^\W\d_]){3,}(?!\w)")
 _STRETCHED = re.compile(r"([^\W\d_])\1{2,}")
 _LETTERS = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i", "|": "l", "*": None})

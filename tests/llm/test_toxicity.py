@@ -1,9 +1,12 @@
+import re
+import time
 import zlib
 
 import numpy as np
 import pytest
 
 from dockside.llm import toxicity
+from dockside.llm.labelled import training_rows
 from dockside.llm.queries import op1_toxicity
 from tests.llm.cases import edge_documents, label_rows, no_documents
 
@@ -47,3 +50,26 @@ def test_edges(spark, labels):
     rows = toxicity.classify(docs, label_rows(spark, labels)).collect()
     assert len(rows) == docs.count() and all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.7) for r in rows)
     assert toxicity.classify(no_documents(spark), label_rows(spark, labels)).count() == 0
+
+
+def test_long_words_take_linear_time():
+    lexicon = toxicity.Lexicon({"idiot$": 4.0})
+    start = time.perf_counter()
+    for text in ("a" * 1_000_000, "x1" * 400_000, "é" * 500_000 + "1", "a.b " * 200_000, "a_b" * 200_000):
+        assert len(toxicity.features(text, lexicon)) == len(toxicity.FEATURES)
+    assert time.perf_counter() - start < 30
+
+
+def test_masked_words_as_by_every_start():
+    rng = np.random.default_rng(1)
+    every_start = re.compile(r"[^\W\d_]+(?:[0-9@$*!|]+[^\W\d_]+)+")
+    for _ in range(3000):
+        text = "".join(rng.choice(list("abé1@_! -"), rng.integers(1, 25)))
+        assert toxicity._MASKED.findall(text) == every_start.findall(text)
+
+
+def test_sample_is_bounded_in_rows(spark):
+    docs = spark.range(3000).selectExpr("id % 3 as doc_id", "concat('text ', id) as text")
+    labels = label_rows(spark, [(0, 1, 0), (1, 0, 1), (2, 1, 1)])
+    sample = lambda: sorted(training_rows(docs.repartition(4), labels, "toxic", folds=5, fold=0, max_rows=2).collect())
+    assert len({r.doc_id for r in sample()}) == len(sample()) <= 2 and sample() == sample()
