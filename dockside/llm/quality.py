@@ -8,7 +8,8 @@ on labelled rows that it was not fitted on.
 The model is one weight for each of 2^18 buckets, whatever the size of the corpus.  Scoring is one pass without a
 shuffle.  Whole texts are read; very long ones in blocks.
 
-Edge cases: null text is empty; an empty text has the single n-gram "no words" and gets a score like any other.  With
+Edge cases: null text is empty; an empty text has the single n-gram "no words" and gets a score like any other.  Words of
+any length are counted whole.  Repeated rows get the same score each.  With
 no labelled rows, or one class only, every score is the smoothed share of label 1.  Extra columns are ignored.
 """
 
@@ -38,8 +39,10 @@ _CLASS[97:123] = _CLASS[128:] = 1
 _CLASS[65:91] = 2
 _CLASS[48:58] = 3
 _CLASS[[ord(c) for c in "#*$%&|<>{}[]\\^~=_@/"]] = 4
-#: One in the twelve bits of the byte's class, nothing for white space.
-_COUNT = np.where(_WORD, np.left_shift(np.uint64(1), np.uint64(12) * _CLASS.astype(np.uint64)), np.uint64(0))
+#: Bits of a class in a packed count.
+_BITS = 12
+#: One in the bits of the byte's class, nothing for white space.
+_COUNT = np.where(_WORD, np.left_shift(np.uint64(1), np.uint64(_BITS) * _CLASS.astype(np.uint64)), np.uint64(0))
 BLOCK = 1 << 20
 
 
@@ -60,6 +63,15 @@ def _shares(share: float) -> int:
     return int(np.searchsorted([0.002, 0.01, 0.03, 0.06, 0.1, 0.2, 0.35, 0.5, 0.8], share))
 
 
+def _class_counts(b: np.ndarray, starts: np.ndarray, longest: int) -> list[np.ndarray]:
+    """For each class, how many bytes of it every word has; packed in one sum where the longest word fits its bits."""
+    if longest < 1 << _BITS:
+        counts = np.add.reduceat(_COUNT[b], starts)
+        return [(counts >> np.uint64(_BITS * c)) & np.uint64((1 << _BITS) - 1) for c in range(5)]
+    kind = np.where(_WORD[b], _CLASS[b], 5)
+    return [np.add.reduceat(kind == c, starts, dtype=np.int64) for c in range(5)]
+
+
 def _word_grams(raw: bytes, b: np.ndarray, seen: np.ndarray) -> None:
     """Marks n-grams of word shapes, n from 1 to 3, and the steps that the shares of some shapes reach."""
     words = raw.split()  # at the six bytes that are no _WORD
@@ -73,8 +85,7 @@ def _word_grams(raw: bytes, b: np.ndarray, seen: np.ndarray) -> None:
         starts = np.append(0, starts)
     lengths = np.fromiter(map(len, words), np.int64, n)
     names = np.fromiter(map(hash, words), np.int64, n)  # compared within the text only
-    counts = np.add.reduceat(_COUNT[b], starts)
-    count = [(counts >> np.uint64(12 * c)) & np.uint64(4095) for c in range(5)]
+    count = _class_counts(b, starts, int(lengths.max()))
     upper = (count[2] > 1) & (count[2] >= count[1])
     same = np.concatenate(([False], names[1:] == names[:-1]))
     same2 = np.concatenate(([False] * min(2, n), names[2:] == names[:-2]))

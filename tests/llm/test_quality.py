@@ -51,3 +51,13 @@ def test_edges(spark, labels):
     kept = quality.keep_good(docs, label_rows(spark, labels))
     assert kept.columns == docs.columns and kept.count() == sum(r.predicted for r in rows)
     assert quality.classify(no_documents(spark), label_rows(spark, labels)).count() == 0
+
+
+def test_classes_of_long_words_are_counted_whole():
+    for word in (b"a" * 9000, b"A" * 5000 + b"b" * 4999, b"1" * 4096, b"ab#9" * 3):
+        raw = b" x\t" + word + b"\n Yy "
+        b = np.frombuffer(raw, np.uint8)
+        starts = np.array([raw.index(w) for w in raw.split()])
+        got = np.array(quality._class_counts(b, starts, max(map(len, raw.split()))))
+        want = [[sum(quality._CLASS[c] == k for c in w) for w in raw.split()] for k in range(5)]
+        assert (got == np.array(want)).all()
