@@ -8,7 +8,8 @@ One pass reads the texts and writes figures and votes, a few numbers a document.
 so their counts, over all documents, are what the driver sees, whatever the corpus.
 
 Edge cases: a null text has no words.  A text without words has zero in every figure and fails the base rules.  Repeated
-rows are judged, and counted, each.  An empty table gives an empty result.  Extra columns are ignored.
+rows are judged, and counted, each.  Very long texts are read whole; the vocabulary rule sees them in blocks.  Under 20 words the
+sentence rule abstains, for shares of so few say nothing.  An empty table gives an empty result.  Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -60,6 +61,8 @@ RULES = (
     Rule("alphabetic", "wordless_share", outer_high=0.2),  # eight words in ten have a letter or digit
     Rule("vocabulary", "distinct_share", outer_low=0.12),
 )
+#: Words that the share of distinct ones is taken over: it falls with a text's length, so longer texts are cut evenly.
+VOCABULARY_WORDS = 2_000
 #: A rule is taken to vote against no more than this share of good documents.
 MAX_FALSE_ALARM = 0.01
 
@@ -82,8 +85,15 @@ def repeated_words(words: list[bytes], window: int = 3) -> int:
     return int(covered.sum())
 
 
+def distinct_words(words: list[bytes], block: int = VOCABULARY_WORDS) -> int:
+    """Distinct words, summed over the fewest equal blocks of at most ``block`` words."""
+    blocks = max(1, -(-len(words) // block))
+    cuts = [len(words) * k // blocks for k in range(blocks + 1)]
+    return sum(len(set(words[lo:hi])) for lo, hi in zip(cuts, cuts[1:]))
+
+
 def measure(text: str) -> tuple[int, ...]:
-    """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, lines with a word, distinct words, letters, A-Z, a-z, sentence ends, words of punctuation."""
+    """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, lines with a word, distinct words of blocks, letters, A-Z, a-z, sentence ends, words of punctuation."""
     raw = text.encode("utf-8", "replace")
     words = raw.split()
     chars = len(text) - sum(map(text.count, WHITE))
@@ -99,7 +109,7 @@ def measure(text: str) -> tuple[int, ...]:
     upper, lower = len(raw.translate(None, _NOT_UPPER)), len(raw.translate(None, _NOT_LOWER))
     ends = sum(map(raw.count, _ENDS)) + raw.endswith((b".", b"?", b"!"))
     wordless = len(words) - len(raw.translate(None, _PUNCTUATION).split())
-    repeated, distinct = repeated_words(words), len(set(words))
+    repeated, distinct = repeated_words(words), distinct_words(words)
     return len(words), chars, symbols, dup, repeated, lines, distinct, len(letters.decode()), upper, lower, ends, wordless
 
 
@@ -117,7 +127,7 @@ def figures(rows: pd.DataFrame) -> pd.DataFrame:
         "upper_share": rows["upper"] / cased,
         "letter_share": rows["letters"] / rows["word_chars"].replace(0, np.nan),
         "wordless_share": rows["wordless"] / words,
-        "distinct_share": (rows["distinct"] / words).where(rows["n_words"] <= 2000),
+        "distinct_share": rows["distinct"] / words,
     })
 
 

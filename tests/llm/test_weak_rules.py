@@ -64,3 +64,15 @@ def test_one_vote_does_not_sink_a_document():
 
 def test_no_documents(spark):
     assert weak_rules.judge(no_documents(spark)).count() == 0
+
+
+def test_vocabulary_votes_at_every_length():
+    rng = np.random.default_rng(3)
+    vocabulary = next(k for k, r in enumerate(weak_rules.RULES) if r.name == "vocabulary")
+    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "lines", "distinct", "letters", "upper", "lower", "ends", "wordless"]
+    for n in (1999, 2000, 2001, 5000, 100_000):
+        poor, rich = (" ".join(map(str, rng.integers(0, k, n))) for k in (60, 4000))
+        rows = weak_rules.pd.DataFrame([weak_rules.measure(t) for t in (poor, rich)], columns=names, dtype="int64")
+        votes = weak_rules.RULES[vocabulary].votes(weak_rules.figures(rows)["distinct_share"].to_numpy())
+        assert list(votes) == [-1, 0]
+    assert weak_rules.distinct_words([]) == 0 and weak_rules.distinct_words([b"a", b"b", b"a"], 2) == 3
