@@ -430,9 +430,14 @@ MEASURES: dict[str, Callable[[Tables, Slice, SlaConfig], DataFrame]] = {
 
 def measure_table(t: Tables, s: Slice, cfg: SlaConfig = SlaConfig()) -> DataFrame:
     """All line, rolling and service-level measures of a slice from one pass over the lines."""
+    return service_levels(rolling_calendar_days(t, s, cfg, shipment_results(t, s, cfg)), s, cfg)
+
+
+def service_levels(rolled: DataFrame, s: Slice, cfg: SlaConfig) -> DataFrame:
+    """The table's columns from the totals and rolling shares of a slice."""
     share, change = F.col("rolling_7d"), F.col("rolling_7d") - F.col("previous_7d")
     target = F.lit(cfg.otif_target / 100)
-    return rolling_calendar_days(t, s, cfg, shipment_results(t, s, cfg)).select(
+    return rolled.select(
         *s.by, "lines", "on_time", "in_full", "otif",
         divide("otif", "lines").alias("otif_share"),
         divide("on_time", "lines").alias("on_time_share"),

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from dockside.config import SlaConfig
 from dockside.operators import alerts, backorders, dwell, otif, sequences
+from dockside.operators.cube import Cube
 from dockside.plans.staging import stage
 from dockside.tables import Tables
 
@@ -56,6 +57,11 @@ class FulfilmentModel:
         month = F.trunc("actual_delivery_date", "month")
         return stage(ll.withColumn(otif.MONTH, month), "line-level", partition=otif.MONTH)
 
+    @cached_property
+    def cube(self) -> Cube:
+        """Additive figures by day and slice, written once for all measures that are read off them."""
+        return Cube.build(self.tables, self.cfg)
+
     @cached_property
     def anchor(self) -> dt.date | None:
         if self.shared:

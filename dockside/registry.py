@@ -187,7 +187,7 @@ MEASURES: dict[str, Query] = {
         lambda m: measures.target_attainment(m.tables, measures.Slice(("vendor_region",)), m.cfg)
     ),
     "m30_measure_table": _q(
-        lambda m: measures.measure_table(m.tables, measures.Slice(("vendor_code",)), m.cfg)
+        lambda m: m.cube.measure_table(measures.Slice(("vendor_code",)))
     ),
 }
 
@@ -225,7 +225,7 @@ DASHBOARD: dict[str, Query] = {
     "d06b_backorder_treemap_by_truck": _q(
         lambda m: dashboard.backorder_treemap(m.tables, filters={"carrier_mode": "truck"})
     ),
-    "d07_vendor_table": _q(lambda m: dashboard.vendor_table(m.tables, m.cfg)),
+    "d07_vendor_table": _q(lambda m: m.cube.vendor_table()),
     "d08_carrier_table": _q(lambda m: dashboard.carrier_table(m.tables, m.cfg)),
     "d09_region_rolling": _q(lambda m: dashboard.region_rolling(m.tables, m.cfg)),
     "d10_active_alerts_by_severity": _q(
