@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from dockside.operators import (
-    alerts, backorders, cooldown, dashboard, dwell, erp, measures, otif, quality, routing, security,
+    alerts, backorders, checksums, cooldown, dashboard, dwell, erp, measures, otif, quality, routing, security,
     sequences, sketches, targets,
 )
 from dockside.plans import maintained
@@ -85,7 +85,7 @@ def _feed(m: FulfilmentModel) -> DataFrame:
 
 VIEWS: dict[str, Query] = {
     "v01_otif_line_level": _q(lambda m: m.line_level),
-    "v02_date_anchor": _q(lambda m: otif.date_anchor(m.line_level, m.cfg)),
+    "v02_date_anchor": _q(lambda m: otif.date_anchor(m._recent(0), m.cfg)),
     "v03_rolling_active_7": _q(lambda m: m.rolling_7d),
     "v04_rolling_active_30": _q(lambda m: m.rolling_30d),
     "v05_vendor_hierarchy": _q(lambda m: m.vendor_hierarchy),
@@ -376,6 +376,40 @@ def _csv(m: FulfilmentModel) -> DataFrame:
     return lines
 
 
+def _exact(frames: dict[str, DataFrame]) -> DataFrame:
+    return checksums.checksums({n: checksums.exact_columns(df) for n, df in frames.items()})
+
+
+#: Tables of the exchange whose rows the SQL twins restate.
+SUMMED = [n for n in readers.EXCHANGE if n != "carriers"]
+
+
+def _reload_sums(m: FulfilmentModel) -> DataFrame:
+    """Contents after a reload that is run twice."""
+    folder = fresh_path(m.tables.spark, "reload")
+    for _ in range(2):
+        readers.write_tables(m.tables, folder, SUMMED)
+    return _exact({n: readers.read_table(m.tables.spark, n, f"{folder}/{n}") for n in SUMMED})
+
+
+def _csv_sums(m: FulfilmentModel) -> DataFrame:
+    """Contents of the flat files, read back with their types."""
+    folder = fresh_path(m.tables.spark, "csv")
+    readers.write_csv(m.tables, folder)
+    read = readers.read_csv(m.tables.spark, folder, m.tables.alert_history)
+    return _exact({n: getattr(read, n).select(*readers.exchanged_columns(n)) for n in SUMMED})
+
+
+def _unchanged(m: FulfilmentModel) -> DataFrame:
+    """Shipments published twice as they are, then then every other one of them, twice: two versions stand."""
+    spark, root, s = m.tables.spark, fresh_path(m.tables.spark, "unchanged"), m.tables.shipments
+    half = s.where(F.col("shipment_id") % 2 == 0)
+    for df in (s, s.repartition(5), half, half):
+        snapshots.publish(df, root, "shipments", ["shipment_number"])
+    versions = len(snapshots.published_versions(spark, root, "shipments"))
+    return checksums.checksum(snapshots.current(spark, root, "shipments")).withColumn("versions", F.lit(versions))
+
+
 def _absent(m: FulfilmentModel) -> DataFrame:
     bare = m.tables.delivery_lines.drop("damage_qty", "delivery_line_id")
     vendors = readers.with_defaults(m.tables.vendors.drop("country", "tier"), "vendors").select(
@@ -448,11 +482,14 @@ SOURCES: dict[str, Query] = {
     "s02_typed_erp_tables": _erp_files,
     "s03_absent_column_defaults": _q(_absent),
     "s04_csv_round_trip": _q(_csv),
+    "s04b_csv_checksums": _q(_csv_sums),
     "s06_surrogate_keys": _q(
         lambda m: readers.with_surrogate_key(m.tables.shipments, "shipments").select("shipment_id", "shipment_number")
     ),
     "s07_reload": _q(_reload),
+    "s07b_reload_checksums": _q(_reload_sums),
     "s08_snapshot": _q(_snapshot),
+    "s08b_unchanged_snapshot": _q(_unchanged),
     "s10_refresh_all": _q(_refresh),
     "s11_row_counts": _q(lambda m: readers.row_counts(m.tables)),
     "s12_bi_extract": _q(_extract),

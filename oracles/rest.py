@@ -203,6 +203,41 @@ FIGURES = sql(
     " UNION ALL ".join(_long(name, *x) for name, x in _NUMBERS.items()), f"hierarchy AS ({HIERARCHY})"
 )
 
+# Column of a table -> SQL over its rows; one that is named alone stands for itself.
+_CONTENTS = {
+    "customers": ("f_customers", "customer_id customer_code customer_name region country", {}),
+    "vendors": ("f_vendors", "vendor_id vendor_code vendor_name region country tier", {}),
+    "products": ("f_products", "product_id sku product_name category subcategory unit_of_measure unit_price",
+                 {"unit_price": "(price_cents / 100.0)::DECIMAL(18,2)"}),
+    "orders": ("f_orders", "order_id order_number customer_code order_date requested_delivery_date order_status channel currency "
+               "total_value", {}),
+    "order_lines": ("f_order_lines", "order_line_id order_number line_number sku product_name category ordered_qty confirmed_qty "
+                    "unit_price line_total partial_delivery_allowed",
+                    {"ordered_qty": "ordered_qty::DECIMAL(18,3)", "confirmed_qty": "confirmed_qty::DECIMAL(18,3)",
+                     "unit_price": "(price_cents / 100.0)::DECIMAL(18,2)", "line_total": "(line_cents / 100.0)::DECIMAL(18,2)",
+                     "partial_delivery_allowed": "1"}),
+    "shipments": ("f_shipments", "shipment_id shipment_number order_number carrier_code carrier_name carrier_mode vendor_code "
+                  "vendor_region shipping_point route planned_ship_date planned_delivery_date actual_ship_date actual_delivery_date "
+                  "shipment_status delivery_type incoterm", {}),
+    "delivery_lines": ("f_delivery_lines", "delivery_line_id shipment_number order_number line_number product_id sku delivered_qty "
+                       "damage_qty", {"delivered_qty": "delivered_qty::DECIMAL(18,3)", "damage_qty": "damage_qty::DECIMAL(18,3)"}),
+    "backorders": ("f_backorders", "backorder_id order_number line_number product_id backorder_qty estimated_fill_date status "
+                   "created_at", {"backorder_qty": "backorder_qty::DECIMAL(18,3)"}),
+}
+
+
+def _sums(table: str, left_out: str = "", where: str = "true") -> str:
+    source, columns, forms = _CONTENTS[table]
+    texts = [f"({forms.get(c, c)})::VARCHAR" for c in sorted(columns.split()) if c not in left_out.split()]
+    row = " || ".join(f"coalesce(length({x}) || '=' || {x}, '-')" for x in texts)
+    parts = " || '-' || ".join(f"coalesce(sum(('0x' || substr(h, {k}, 15))::BIGINT), 0)::VARCHAR" for k in (1, 16))
+    return f"SELECT count(*) AS rows, {parts} AS checksum FROM (SELECT md5({row}) AS h FROM {source} WHERE {where})"
+
+
+def _all_sums(**left_out: str) -> str:
+    return sql(" UNION ALL ".join(f"SELECT '{t}' AS table_name, * FROM ({_sums(t, left_out.get(t, ''))})" for t in _CONTENTS))
+
+
 SOURCES = {
     "m02c_orders_sketched": sql("SELECT vendor_region, count(DISTINCT order_number) AS exact, true AS close FROM ll GROUP BY 1"),
     "m03b_shipments_sketched": sql(
@@ -234,8 +269,14 @@ SOURCES = {
         """SELECT row_number() OVER (ORDER BY shipment_number, order_number, line_number) AS delivery_line_id, shipment_number, order_number,
         line_number::BIGINT AS line_number, product_id, sku, delivered_qty::DOUBLE AS delivered_qty, damage_qty::DOUBLE AS damage_qty
         FROM f_delivery_lines"""),
+    "s04b_csv_checksums": _all_sums(
+        customers="customer_id", vendors="vendor_id country", products="product_id", orders="order_id",
+        order_lines="order_line_id", shipments="shipment_id", delivery_lines="delivery_line_id", backorders="backorder_id",
+    ),
     "s06_surrogate_keys": sql("SELECT row_number() OVER (ORDER BY shipment_number) AS shipment_id, shipment_number FROM f_shipments"),
     "s07_reload": _tally(**_full()),
+    "s07b_reload_checksums": _all_sums(),
+    "s08b_unchanged_snapshot": sql(f"SELECT *, 2 AS versions FROM ({_sums('shipments', where='shipment_id % 2 = 0')})"),
     "s08_snapshot": sql("SELECT * FROM r7"),
     "s10_refresh_all": FIGURES,
     "s11_row_counts": _tally(**_full()),
