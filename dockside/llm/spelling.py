@@ -259,10 +259,13 @@ def near_words(vocab: DataFrame, *, block: int = BLOCK) -> DataFrame:
     routed = vocab.select("word", "n", F.explode(sides).alias("x")).select("word", "n", "x.*")
     sizes = stage(routed.groupBy("to_right", "route").agg(F.ceil(F.sum(size) / block).cast("int").alias("cells")), "routes")
     blocks = max(1, int((vocab.agg(F.sum(size)).first()[0] or 0) // block))
-    dealt = routed.join(sizes, ["to_right", "route"]).select(
-        "to_right", "route", "word", "n", F.pmod(F.xxhash64("word"), F.col("cells")).cast("int").alias("own"),
-        F.explode(F.sequence(F.lit(0), F.col("cells") - 1)).alias("cell"),
-    ).select("to_right", F.pmod(F.xxhash64("route", "cell"), F.lit(blocks)).alias("block"), "word", "n", (F.col("own") == F.col("cell")).alias("indexed"))
+    placed = lambda cell: F.pmod(F.xxhash64("route", cell), F.lit(blocks))
+    own = placed(F.pmod(F.xxhash64("word"), F.col("cells")).cast("int"))
+    # Several cells of a route may fall into one block; a word asks there once, or its near words would count for each.
+    every = F.array_distinct(F.transform(F.sequence(F.lit(0), F.col("cells") - 1), placed))
+    dealt = routed.join(sizes, ["to_right", "route"]).select("to_right", "word", "n", own.alias("own"), F.explode(every).alias("block")).select(
+        "to_right", "block", "word", "n", (F.col("own") == F.col("block")).alias("indexed")
+    )
     asked = dealt.groupBy("to_right", "block").applyInPandas(_asked, "word string, n_near long, form string, form_n long")
     best = F.min(F.struct((-F.col("form_n")).alias("less"), F.col("form").alias("form"))).alias("x")
     return asked.groupBy("word").agg(F.sum("n_near").alias("n_near"), best).select(

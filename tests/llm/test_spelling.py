@@ -78,6 +78,18 @@ def test_against_plain_pairs(spark, block):
     assert any(f and r != f for _, f, r, *_ in have)  # a chain of forms
 
 
+def test_parts_of_one_beginning_that_share_a_block(spark):
+    """Words of one beginning fill many parts, more than there are blocks: some lie together, and a near word still counts once."""
+    rng = random.Random(11)
+    some = sorted({"abc" + "".join(rng.choice("abc") for _ in range(rng.randint(4, 6))) for _ in range(300)})
+    v = {w: 5 + k % 40 for k, w in enumerate(some)}
+    vocab = spark.createDataFrame(list(v.items()), "word string, n long")
+    have = {r.word: (r.n_near, r.form, r.form_n) for r in spelling.near_words(vocab, block=200).collect()}
+    near = {w: [x for x in v if one_edit(w, x)] for w in v}
+    best = {w: min(xs, key=lambda x: (-v[x], x)) for w, xs in near.items() if xs}
+    assert have == {w: (len(near[w]), b, v[b]) for w, b in best.items()}
+
+
 def test_edges(spark):
     docs = edge_documents(spark)
     assert got(spelling.variants(docs)) == plain_variants(plain_vocabulary([(r.doc_id, r.text) for r in docs.collect()]))
