@@ -209,3 +209,19 @@ def test_late_lines_correct_streaks(spark, small_model):
     got, want = carried.output(spark, folder, carried.STREAKS), sequences.consecutive_failures(ll)
     cols = ["vendor_code", "actual_delivery_date", "delivery_rank", "failure_streak_label"]
     assert want.select(*cols).exceptAll(got.select(*cols)).count() == 0 and got.count() == want.count()
+
+
+def test_touched_windows_meet_without_a_broadcast(spark):
+    """Windows of a batch are never sent to the driver; late days, a vendor without code and old windows left alone."""
+    day = lambda k: dt.date(2024, 1, k)
+    rows = [("A", day(1), 2, 1, False), ("A", day(3), 4, 4, False), ("A", day(2), 1, 0, True), ("A", day(20), 5, 5, False),
+            ("B", day(5), 1, 1, False), (None, day(9), 3, 2, True), (None, day(9), 1, 1, False)]
+    counts = spark.createDataFrame(rows, "vendor_code string, actual_delivery_date date, lines long, otif_lines long, new boolean")
+    found = kpis.touched_windows(counts, 3)
+    assert "Broadcast" not in found._jdf.queryExecution().toString()
+    want = {}
+    for v in ("A", None):
+        for first in (d - dt.timedelta(days=b) for w, d, *_, new in rows for b in range(3) if w == v and new):
+            inside = [r for r in rows if r[0] == v and first <= r[1] < first + dt.timedelta(days=3)]
+            want[v, first] = (sum(r[2] for r in inside), sum(r[3] for r in inside))
+    assert {(r.vendor_code, r.first_day): (r.lines, r.otif_lines) for r in found.collect()} == want
