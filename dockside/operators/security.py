@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from dockside.tables import Tables
+from dockside.tables import Later, Tables
 
 REGION_SETTING = "app.region"
 
@@ -53,35 +54,40 @@ def secure_tables(
                 regions.add(value)
                 scoped |= _BY_REGION[role]
     inside = _region_frames(t, sorted(regions), derived)
+
+    def seen(name: str) -> DataFrame:
+        return inside[name]().select(*t.schema(name).names)
+
+    # A table that nobody asks for is not read, and a denied one never is.
     out = {}
-    for name, df in t.items():
+    for name in Tables.names():
         if name in opened:
-            out[name] = df
+            out[name] = t.unread(name)
         elif name in scoped or (derived and regions and name in inside):
-            out[name] = inside[name]
+            out[name] = Later(t.spark, t.schema(name), partial(seen, name))
         else:
-            out[name] = df.where(F.lit(False))
+            out[name] = t.spark.createDataFrame([], t.schema(name))
     return Tables(**out)
 
 
-def _region_frames(t: Tables, regions: list[str], derived: bool) -> dict[str, DataFrame]:
-    customers = t.customers.where(F.col("region").isin(regions))
-    orders = t.orders.join(customers.select("customer_code"), "customer_code", "left_semi")
-    order_keys = orders.select("order_number")
-    shipments = t.shipments.where(F.col("vendor_region").isin(regions))
+def _region_frames(t: Tables, regions: list[str], derived: bool) -> dict[str, Callable[[], DataFrame]]:
+    customers = lambda: t.customers.where(F.col("region").isin(regions))
+    orders = lambda: t.orders.join(customers().select("customer_code"), "customer_code", "left_semi")
+    order_keys = lambda: orders().select("order_number")
+    shipments = lambda: t.shipments.where(F.col("vendor_region").isin(regions))
     frames = {
         "customers": customers,
-        "vendors": t.vendors.where(F.col("region").isin(regions)),
+        "vendors": lambda: t.vendors.where(F.col("region").isin(regions)),
         "orders": orders,
-        "order_lines": t.order_lines.join(order_keys, "order_number", "left_semi"),
+        "order_lines": lambda: t.order_lines.join(order_keys(), "order_number", "left_semi"),
         "shipments": shipments,
-        "alert_history": t.alert_history.where(F.col("region").isin(regions)),
+        "alert_history": lambda: t.alert_history.where(F.col("region").isin(regions)),
     }
     if derived:
-        frames["delivery_lines"] = t.delivery_lines.join(
-            shipments.select("shipment_number"), "shipment_number", "left_semi"
+        frames["delivery_lines"] = lambda: t.delivery_lines.join(
+            shipments().select("shipment_number"), "shipment_number", "left_semi"
         )
-        frames["backorders"] = t.backorders.join(order_keys, "order_number", "left_semi")
-        frames["products"] = t.products
-        frames["carriers"] = t.carriers
-    return {n: df.select(*getattr(t, n).columns) for n, df in frames.items()}
+        frames["backorders"] = lambda: t.backorders.join(order_keys(), "order_number", "left_semi")
+        frames["products"] = lambda: t.products
+        frames["carriers"] = lambda: t.carriers
+    return frames

@@ -204,3 +204,23 @@ def test_shared_folder_is_the_checkpoint_folder_or_the_warehouse():
 
 def test_schemas_cover_every_table():
     assert len(GENERIC) == 10 and len(ERP) == 9
+
+
+def test_tables_are_made_when_they_are_read(spark, tmp_path):
+    """A query reads what it names: denied tables and those of other queries are never made."""
+    from dockside.operators.security import secure_tables
+    from dockside.tables import Later, Tables
+
+    made = []
+
+    def later(name):
+        schema = GENERIC[name]
+        return Later(spark, schema, lambda: made.append(name) or spark.createDataFrame([], schema))
+
+    t = Tables(**{n: later(n) for n in Tables.names()})
+    assert t.but(customers=t.unread("customers")).spark is not None and made == []
+    seen = secure_tables(t, [("auditor", None)])
+    assert readers.row_counts(seen).where("rows = 0").count() == len(Tables.names()) and made == ["alert_history"]
+    assert secure_tables(t, [("regional_manager", "ASIA")]).orders.columns == GENERIC["orders"].names
+    assert sorted(made) == ["alert_history", "customers", "orders"]
+    assert t.orders is t.orders and len(made) == 3
