@@ -107,3 +107,16 @@ def test_views_read_the_maintained_lines(spark, tmp_path, small_model):
     assert rows(kept.rolling_7d) == rows(small_model.rolling_7d)
     assert "BroadcastExchange" not in kept.geographic._jdf.queryExecution().optimizedPlan().toString()
     assert rows(kept.geographic) == rows(small_model.geographic)
+
+
+def test_a_batch_leaves_nothing_aside(spark):
+    """What a batch stages is removed with it."""
+    from dockside.plans.staging import fresh_path, staged_under
+
+    folder = staged_under(spark, "").rstrip("/")
+    os.makedirs(folder, exist_ok=True)
+    root = fresh_path(spark, "kept")
+    store = MaintainedLineLevel(spark, root, order_parts=2, vendor_shares=1)
+    before = set(os.listdir(folder))
+    store.apply(micro.tables(spark), 0)
+    assert set(os.listdir(folder)) - before == {os.path.basename(root)}
