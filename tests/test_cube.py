@@ -71,3 +71,14 @@ def test_smallest_cuboid_is_read(cube):
 def test_no_rows(tables):
     none = cubes.Cube.build(tables.but(shipments=tables.shipments.limit(0), delivery_lines=tables.delivery_lines.limit(0)), CFG)
     assert none.measure("otif_share", Slice(("vendor_code",))).count() == 0 and none.rolling(Slice()).count() == 1
+
+
+def test_a_cuboid_is_written_by_several_tasks(spark):
+    wide = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(wide)
+    spark.conf.set(wide, "false")
+    try:
+        built = cubes.Cube.build(load_mart(spark, SMALL), CFG)
+    finally:
+        spark.conf.set(wide, before)
+    assert len(built.cuboids[("vendor_code",)].inputFiles()) > 1
