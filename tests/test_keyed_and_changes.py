@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+from pyspark.sql import Row
+
 from dockside.operators import routing
 from dockside.streaming import changes, keyed, runner
 
@@ -72,3 +74,64 @@ def test_late_answers_retract_and_late_alerts_are_added(spark, tmp_path):
         every_k[0] = every_k[0].unionByName(x)
     want = routing.unacknowledged(every_a[0], every_k[0])
     assert sorted(r.alert_id for r in changes.fold(log).collect()) == sorted(r.alert_id for r in want.collect()) == [2, 4, 5]
+
+
+def test_state_calls_are_as_many_as_spans_not_rows():
+    calls = []
+
+    class Held(dict):
+        def getValue(self, k):
+            calls.append("get")
+            return (self[k],)
+
+        def updateValue(self, k, v):
+            calls.append("put")
+            self[k] = v[0]
+
+        def containsKey(self, k):
+            calls.append("has")
+            return k in self
+
+        def removeKey(self, k):
+            calls.append("remove")
+            del self[k]
+
+    class Value:
+        held = None
+
+        def exists(self):
+            return self.held is not None
+
+        def get(self):
+            return self.held
+
+        def update(self, v):
+            calls.append("state")
+            self.held = v
+
+    class Handle:
+        def getValueState(self, *_):
+            return Value()
+
+        def getMapState(self, *_):
+            return Held()
+
+        def registerTimer(self, at):
+            calls.append(("timer", at))
+
+    class At:
+        def __init__(self, now):
+            self.now = now
+
+        def getCurrentWatermarkInMs(self):
+            return self.now
+
+    day, streaks = 86_400_000, keyed.Streaks()
+    streaks.init(Handle())
+    rows = [Row(micros=d * day * 1000, shipment_number=f"S{d}-{n}", line_number=1, is_otif=0) for d in range(20, -1, -1) for n in range(5)]
+    assert list(streaks.handleInputRows(("V1",), iter(rows), At(0))) == []
+    out = list(streaks.handleExpiredTimer(("V1",), At(10 * day), None))  # the tenth day itself stays
+    assert [r.delivery_rank for r in out] == list(range(1, 51)) and calls[-1] == ("timer", 10 * day + 1)
+    out = list(streaks.handleExpiredTimer(("V1",), At(30 * day), None))
+    assert [r.delivery_rank for r in out] == list(range(51, 106)) and not streaks.rows
+    assert len(calls) <= 12
