@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from dockside.config import SlaConfig
 from dockside.functions.exprs import at_least, flag, pct, pct2, round_to, week_of
+from dockside.plans.staging import stage
 from dockside.tables import Tables
 
 LINE_KEY = [("actual_delivery_date", True), ("shipment_number", True), ("line_number", True)]
@@ -18,12 +19,13 @@ def line_level(
 ) -> DataFrame:
     """One row per delivered line with its on-time, in-full and combined flags.
 
-    The whole history is joined in a bushy shape: headers (shipment with
-    order) meet lines (delivery with order line), so the wide header columns
-    travel once per shipment.  With ``since`` the few recent headers go first
-    and cut the delivery lines before order lines are looked up.  Either way
-    every join reads two fresh exchanges, so adaptive execution can split a
-    hot order, line or shipment.
+    The whole history is joined in a bushy shape: order lines take the dates
+    of their order, delivery lines meet them, and the wide shipments come
+    last, so they travel once, straight from their scan.  With ``since`` the
+    few recent headers (shipment with order) go first and cut the delivery
+    lines before order lines are looked up.  Either way every join reads two
+    fresh exchanges, so adaptive execution can split a hot order, line or
+    shipment.
 
     null_damage  'unknown' leaves in-full false when damage is missing (the
                  combined flag still counts it as zero); 'zero' counts it as
@@ -34,15 +36,13 @@ def line_level(
     shipped = t.shipments.where(F.col("actual_delivery_date").isNotNull())
     if since is not None:
         shipped = shipped.where(F.col("actual_delivery_date") >= F.lit(since))
-    headers = shipped.select(
+    shipped = shipped.select(
         "shipment_id", "shipment_number", "order_number", "carrier_code", "carrier_name",
         "carrier_mode", "vendor_code", "vendor_region", "shipping_point", "route",
         "actual_ship_date", "actual_delivery_date",
-    ).join(
-        t.orders.select(
-            "order_number", "order_date", F.col("requested_delivery_date").alias("requested_date")
-        ),
-        "order_number",
+    )
+    dates = t.orders.select(
+        "order_number", "order_date", F.col("requested_delivery_date").alias("requested_date")
     )
     delivered = t.delivery_lines.select(
         "shipment_number", "order_number", "line_number", "delivered_qty", "damage_qty"
@@ -52,9 +52,9 @@ def line_level(
     )
     shipment, line = ["shipment_number", "order_number"], ["order_number", "line_number"]
     if since is None:
-        rows = headers.join(delivered.join(ordered, line), shipment)
+        rows = shipped.join(delivered.join(ordered.join(dates, "order_number"), line), shipment)
     else:
-        rows = delivered.join(headers, shipment).join(ordered, line)
+        rows = delivered.join(shipped.join(dates, "order_number"), shipment).join(ordered, line)
 
     due, came = F.col("requested_date"), F.col("actual_delivery_date")
     on_time = (came <= due) & (came >= F.date_sub(due, cfg.early_tolerance_days))
@@ -88,18 +88,28 @@ def date_anchor(ll: DataFrame, cfg: SlaConfig = SlaConfig()) -> DataFrame:
 def anchor_date(t: Tables, cfg: SlaConfig = SlaConfig()) -> dt.date | None:
     """The newest delivery date, found without joining the whole history.
 
-    Tries the newest weeks of shipments first and widens fourfold until a
-    delivered line turns up, so the usual cost is one narrow slice.
+    Tries the newest days of shipments first and widens fourfold until a
+    delivered line turns up, so the usual cost is one narrow slice.  What is
+    left after each look-up is written, so its size is known and the large
+    tables are scanned past it, not exchanged, while it is small.
     """
     span = t.shipments.agg(
         F.max("actual_delivery_date").alias("hi"), F.min("actual_delivery_date").alias("lo")
     ).first()
     if span.hi is None:
         return None
-    width = cfg.lookback_short_days
+    width, day = 2, "actual_delivery_date"
     while True:
         since = span.hi - dt.timedelta(days=width)
-        found = line_level(t, cfg, since=since).agg(F.max("actual_delivery_date")).first()[0]
+        left = stage(
+            t.shipments.where(F.col(day) >= F.lit(since)).select("shipment_number", "order_number", day).distinct(), "newest-shipments"
+        )
+        for table, keys, kept in (
+            (t.delivery_lines, ["shipment_number", "order_number"], ["order_number", "line_number", day]),
+            (t.order_lines, ["order_number", "line_number"], ["order_number", day]),
+        ):
+            left = stage(table.select(*keys, *[c for c in kept if c not in [*keys, day]]).join(left, keys).select(*kept).distinct(), "newest-lines")
+        found = t.orders.select("order_number").join(left, "order_number").agg(F.max(day)).first()[0]
         if found is not None or since <= span.lo:
             return found
         width *= 4
