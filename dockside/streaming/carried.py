@@ -23,7 +23,7 @@ from dockside.operators import cooldown
 from dockside.operators.cooldown import KEY, period_micros
 from dockside.operators.otif import LINE_KEY
 from dockside.plans.ordered import ordered_columns, same_keys
-from dockside.plans.staging import fresh_path, stage
+from dockside.plans.staging import COMPACT, fresh_path, stage
 from dockside.streaming.runner import run_available
 
 # Step: (rows of the batch, state before) -> (output, state of the keys seen); its attribute late: which rows are late.
@@ -48,7 +48,7 @@ def batch_action(step: Step, schema: str, folder: str) -> Callable[[DataFrame, i
         spark = batch.sparkSession
         prior = _state(spark, schema, folder, batch_id - 1)
         keys = _keys(schema)
-        batch.write.mode("overwrite").parquet(f"{folder}/history/{batch_id}")
+        batch.write.mode("overwrite").options(**COMPACT).parquet(f"{folder}/history/{batch_id}")
         rows = spark.read.schema(batch.schema).parquet(f"{folder}/history/{batch_id}")
         rows.alias("a").join(prior.alias("p"), same_keys("a", "p", keys)).where(step.late).select(
             *[f"a.{k}" for k in keys]
@@ -62,7 +62,7 @@ def batch_action(step: Step, schema: str, folder: str) -> Callable[[DataFrame, i
         else:
             carried = prior
         output, seen = step(rows, carried)
-        output.write.mode("overwrite").parquet(f"{folder}/out/batch={batch_id}")
+        output.write.mode("overwrite").options(**COMPACT).parquet(f"{folder}/out/batch={batch_id}")
         kept = prior.alias("p").join(seen.alias("s"), same_keys("p", "s", keys), "left_anti")
         seen.select(*prior.columns).unionByName(kept).write.mode("overwrite").parquet(
             f"{folder}/state/{batch_id}"
