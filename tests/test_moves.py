@@ -74,7 +74,7 @@ def test_staged_files_are_compact(spark):
 
 def test_shipments_of_the_mart_are_not_exchanged_for_their_region(spark, monkeypatch):
     seen = spied(monkeypatch, sample_mart)
-    with settings(spark, {"spark.sql.adaptive.enabled": "false"}):
+    with settings(spark, PLAIN | {"spark.sql.autoBroadcastJoinThreshold": "20KB"}):
         assert sample_mart.derive_tables(spark, SMALL).shipments.count() > 0
         assert moved(seen["mart-shipments"]) == []
 
