@@ -2,6 +2,7 @@
 
 import glob
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -120,3 +121,52 @@ def test_a_batch_leaves_nothing_aside(spark):
     before = set(os.listdir(folder))
     store.apply(micro.tables(spark), 0)
     assert set(os.listdir(folder)) - before == {os.path.basename(root)}
+
+
+def test_a_batch_adds_lines_and_leaves_those_before(spark, tmp_path):
+    """Lines of an order that come in two batches are each written once, in the same partition."""
+    store = MaintainedLineLevel(spark, str(tmp_path), order_parts=4, vendor_shares=1)
+    whole = orders(spark, range(0, 12, 3))
+    none = {n: getattr(whole, n).where(F.lit(False)) for n in BY_ORDER}
+    store.apply(whole, 0)
+    before = files(tmp_path / "lines") | files(tmp_path / "days")
+    again = whole.but(**none | {"delivery_lines": whole.delivery_lines.where("order_number in ('O3', 'O6')")})
+    assert store.apply(again, 1).partitions
+    after = files(tmp_path / "lines") | files(tmp_path / "days")
+    assert before.items() <= after.items()
+    assert store.line_level(whole).count() == 6 and store.days(whole).agg(F.sum("lines")).first()[0] == 6
+    assert rows(store.line_level(whole)) == rows(otif.line_level(both(spark, whole, again)))
+
+
+@pytest.mark.parametrize("few", [0, 1000])
+def test_folders_of_orders_are_joined_one_after_the_other(spark, tmp_path, monkeypatch, few):
+    monkeypatch.setattr(maintained, "SLICE_BYTES", 1)
+    monkeypatch.setattr(maintained, "FEW", few)
+    joined, line_level = [], otif.line_level
+    monkeypatch.setattr(otif, "line_level", lambda t, *a, **b: (joined.append(b.get("newest")), line_level(t, *a, **b))[1])
+    store = MaintainedLineLevel(spark, str(tmp_path), order_parts=4, vendor_shares=2)
+    history, new = orders(spark, range(20)), orders(spark, range(20, 26))
+    parts = [len(store.apply(x, k).order_parts) for k, x in enumerate((history, new))]
+    assert joined.count(maintained.BATCH) == sum(parts) > 5
+    assert rows(store.line_level(history)) == rows(line_level(both(spark, history, new)))
+
+
+def test_shuffle_files_go_with_their_execution(spark, tmp_path, monkeypatch):
+    """Not when the driver happens to collect its garbage; the session's own setting is the same afterwards."""
+    from dockside.plans import staging
+
+    seen, write = [], MaintainedLineLevel._write
+    monkeypatch.setattr(MaintainedLineLevel, "_write", lambda self, *a: (seen.append(spark.conf.get(staging.FREE)), write(self, *a)))
+    before = spark.conf.get(staging.FREE, None)
+    store = MaintainedLineLevel(spark, str(tmp_path), order_parts=2, vendor_shares=1)
+    assert store.apply(orders(spark, range(5)), 0).partitions
+    assert set(seen) == {"true"} and spark.conf.get(staging.FREE, None) == before
+    dirs = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    shuffles = lambda: {f for d in dirs for f in glob.glob(f"{d}/*/shuffle_*.data")}
+    kept = shuffles()
+    staging.stage(spark.range(1000).groupBy(F.col("id") % 7).count(), "freed")
+    for _ in range(100):
+        if shuffles() <= kept:
+            break
+        time.sleep(0.1)
+    assert shuffles() <= kept
