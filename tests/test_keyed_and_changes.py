@@ -147,3 +147,69 @@ def test_state_calls_are_as_many_as_spans_not_rows():
     assert passed(10 * day) == list(range(1, 51))  # the tenth day itself stays
     assert passed(30 * day) == list(range(51, 106)) and not streaks.rows
     assert len(calls) <= 12, calls
+
+
+def test_rows_of_a_key_with_few_are_one_value_and_many_lie_by_spans(spark, monkeypatch):
+    """Over years, a vendor of few lines takes a call or two a batch; where it has many, the result is the same."""
+    puts = []
+    monkeypatch.setattr(keyed._InOrder, "_hold", lambda self, rows, hold=keyed._InOrder._hold: (puts.append(len(rows)), hold(self, rows))[1])
+
+    class Value:
+        held = None
+
+        def get(self):
+            return self.held
+
+        def update(self, v):
+            self.held = v
+
+    class Spans(dict):
+        containsKey = dict.__contains__
+        removeKey = dict.__delitem__
+
+        def getValue(self, k):
+            return (self[k],)
+
+        def updateValue(self, k, v):
+            self[k] = v[0]
+
+    class Handle:
+        def __init__(self):
+            self.timers = set()
+
+        def getValueState(self, *_):
+            return Value()
+
+        def getMapState(self, *_):
+            return Spans()
+
+        def registerTimer(self, at):
+            self.timers.add(at)
+
+    class At:
+        def __init__(self, now):
+            self.now = now
+
+        def getCurrentWatermarkInMs(self):
+            return self.now
+
+    day = 86_400_000
+
+    def walked(few):
+        monkeypatch.setattr(keyed, "_FEW", few)
+        streaks, handle, out = keyed.Streaks(), Handle(), []
+        streaks.init(handle)
+        for batch in range(4):
+            days = [d for d in range(3000) if min(d // 800 + d % 2, 3) == batch]
+            rows = [Row(micros=d * day * 1000, shipment_number=f"S{d}", line_number=1, is_otif=int(d % 5 == 0)) for d in reversed(days)]
+            list(streaks.handleInputRows(("V1",), iter(rows), At(0)))
+            watermark = batch * 800 * day if batch < 3 else 4000 * day
+            while handle.timers and min(handle.timers) <= watermark:
+                handle.timers.remove(min(handle.timers))
+                out += streaks.handleExpiredTimer(("V1",), At(watermark), None)
+        return out
+
+    whole = walked(5000)
+    assert not puts and [r.micros // 1000 // day for r in whole] == [d for d in range(3000) if d % 5]
+    assert [r.delivery_rank for r in whole] == [d + 1 for d in range(3000) if d % 5]
+    assert walked(100) == whole and puts
