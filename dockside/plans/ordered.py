@@ -52,6 +52,7 @@ def ordered_columns(
     running: dict[str, tuple[str, str]] | None = None,
     trailing: dict[str, tuple[str, int]] | None = None,
     segments: int | None = None,
+    aside: str = "",
 ) -> DataFrame:
     """Add order-dependent columns to ``df``.
 
@@ -61,26 +62,26 @@ def ordered_columns(
     trailing  {new: (column, rows)} sum over the last ``rows`` rows
 
     ``order`` must be total within a group.  ``segments`` fixes the number of
-    ranges, for tests.
+    ranges, for tests.  What is staged gets labels that begin with ``aside``.
     """
     return _segmented(
         df, group, order, segments=segments, rank=rank, lags=lags or {}, leads=leads or {},
-        running=running or {}, trailing=trailing or {},
+        running=running or {}, trailing=trailing or {}, aside=aside,
     )
 
 
-def _segmented(df, group, order, *, rank, lags, leads, running, trailing, segments):
+def _segmented(df, group, order, *, rank, lags, leads, running, trailing, segments, aside):
     by = [*[F.col(g).asc() for g in group], *_sort(order)]
     # Without a count, adaptive execution merges neighbouring small ranges.
     ranged = df.repartitionByRange(segments, *by) if segments else df.repartitionByRange(*by)
     # Staging freezes the segment number: later reads cannot re-sample the ranges.  Sorted rows take less room, there and
     # in the exchanges that read them.
-    rows = stage(ranged.sortWithinPartitions(*by).withColumn(SEG, F.spark_partition_id()), "segments")
+    rows = stage(ranged.sortWithinPartitions(*by).withColumn(SEG, F.spark_partition_id()), f"{aside}segments")
 
     key = [*group, SEG]
     back = max([k for _, k in lags.values()] + [n - 1 for _, n in trailing.values()] + [0])
     ahead = max([k for _, k in leads.values()] + [0])
-    starts = _segment_starts(rows, group, key, running)
+    starts = _segment_starts(rows, group, key, running, aside)
 
     border = list(dict.fromkeys(
         [c for c, _ in order] + [c for c, _ in [*lags.values(), *leads.values(), *trailing.values()]]
@@ -131,7 +132,7 @@ def _segmented(df, group, order, *, rank, lags, leads, running, trailing, segmen
     return local.select(*df.columns, *lags, *leads, *trailing)
 
 
-def _segment_starts(rows, group, key, running) -> DataFrame:
+def _segment_starts(rows, group, key, running, aside) -> DataFrame:
     """Row count and totals in front of every (group, segment)."""
     totals = [F.count(F.lit(1)).alias("_size")]
     for name, (c, how) in running.items():
@@ -143,7 +144,7 @@ def _segment_starts(rows, group, key, running) -> DataFrame:
     for name, (_, how) in running.items():
         f = F.sum if how == "sum" else F.min
         cols.append(f(f"_total_{name}").over(before).alias(f"_before_{name}"))
-    return stage(sizes.select(*key, "_size", *cols), "segment-starts")
+    return stage(sizes.select(*key, "_size", *cols), f"{aside}segment-starts")
 
 
 def _borrowed(rows, starts, group, key, order, border, depth, *, before) -> DataFrame:

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import partial
 
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession, functions as F
 
 from dockside.operators.erp import trimmed
 from dockside.plans.ordered import ordered_columns
 from dockside.schemas import DEFAULTS, ERP, GENERIC, NATURAL_KEYS, STAMPED, SURROGATE_KEYS
-from dockside.tables import Tables
+from dockside.tables import Later, Tables
 
 # Tables of the flat-file exchange, parents before children.
 EXCHANGE = [
@@ -42,20 +43,20 @@ def with_defaults(df: DataFrame, name: str) -> DataFrame:
     return df.select(*out)
 
 
-def with_surrogate_key(df: DataFrame, name: str) -> DataFrame:
+def with_surrogate_key(df: DataFrame, name: str, *, aside: str = "") -> DataFrame:
     """Number rows 1..n in natural-key order, without a single-task sort."""
     _check(name)
     key = SURROGATE_KEYS[name]
     order = [(c, True) for c in NATURAL_KEYS[name]]
-    numbered = ordered_columns(df.drop(key), [], order, rank=key)
+    numbered = ordered_columns(df.drop(key), [], order, rank=key, aside=aside)
     return numbered.select(*[f.name for f in GENERIC[name] if f.name in numbered.columns])
 
 
-def read_table(spark: SparkSession, name: str, path: str, fmt: str = "parquet") -> DataFrame:
+def read_table(spark: SparkSession, name: str, path: str, fmt: str = "parquet", *, aside: str = "") -> DataFrame:
     """One common table with its declared types; nothing is inferred."""
     _check(name)
     if fmt == "csv":
-        return _read_csv(spark, name, path)
+        return _read_csv(spark, name, path, aside)
     return with_defaults(spark.read.format(fmt).load(path), name)
 
 
@@ -64,24 +65,25 @@ def exchanged_columns(name: str) -> list[str]:
     return [f.name for f in GENERIC[name] if f.name not in left_out]
 
 
-def _read_csv(spark: SparkSession, name: str, path: str) -> DataFrame:
+def _read_csv(spark: SparkSession, name: str, path: str, aside: str) -> DataFrame:
     from pyspark.sql.types import StructType
 
     columns = exchanged_columns(name)
     schema = StructType([f for f in GENERIC[name] if f.name in columns])
     raw = spark.read.schema(schema).option("header", True).csv(path)
-    return with_defaults(with_surrogate_key(raw, name), name)
+    return with_defaults(with_surrogate_key(raw, name, aside=aside), name)
 
 
-def write_csv(t: Tables, folder: str) -> None:
+def write_csv(t: Tables, folder: str, names: Iterable[str] | None = None) -> None:
     """Flat files with a header, one folder per table, surrogate ids left out."""
-    for name in EXCHANGE:
+    for name in names or EXCHANGE:
         df = getattr(t, name).select(*exchanged_columns(name))
         df.write.mode("overwrite").option("header", True).csv(f"{folder}/{name}")
 
 
-def read_csv(spark: SparkSession, folder: str, alert_history: DataFrame) -> Tables:
-    frames = {n: read_table(spark, n, f"{folder}/{n}", "csv") for n in EXCHANGE}
+def read_csv(spark: SparkSession, folder: str, alert_history: DataFrame, *, aside: str = "") -> Tables:
+    """The flat files; a table's rows are numbered when it is first read, and what that stages is labelled ``aside``."""
+    frames = {n: Later(spark, GENERIC[n], partial(read_table, spark, n, f"{folder}/{n}", "csv", aside=aside)) for n in EXCHANGE}
     return Tables(**frames, alert_history=alert_history)
 
 
