@@ -23,12 +23,13 @@ from dockside.operators import cooldown
 from dockside.operators.cooldown import KEY, period_micros
 from dockside.operators.otif import LINE_KEY
 from dockside.plans.ordered import ordered_columns, same_keys
-from dockside.plans.staging import COMPACT, fresh_path, stage
+from dockside.plans.staging import COMPACT, freed, fresh_path, set_aside, stage
 from dockside.streaming.runner import run_available
 
 # Step: (rows of the batch, state before) -> (output, state of the keys seen); its attribute late: which rows are late.
 # In a state schema the key columns are the strings.
-Step = Callable[[DataFrame, DataFrame], tuple[DataFrame, DataFrame]]
+# It stages under the label it gets third, which is removed once output and state are written.
+Step = Callable[[DataFrame, DataFrame, str], tuple[DataFrame, DataFrame]]
 
 STREAKS = (
     "vendor_code string, open_run long, seen long, "
@@ -41,10 +42,15 @@ def batch_action(step: Step, schema: str, folder: str) -> Callable[[DataFrame, i
     """A ``foreachBatch`` action.
 
     Output lands in ``folder/out``, state in ``folder/state``, all rows in ``folder/history`` and the keys that late rows
-    made run again in ``folder/again``.  ``step.late`` tells late rows (``a``) by the state of their key (``p``).
+    made run again in ``folder/again``.  ``step.late`` tells late rows (``a``) by the state of their key (``p``), and
+    ``step.columns``, where it is given, what a step needs of them.
     """
 
     def act(batch: DataFrame, batch_id: int) -> None:
+        with set_aside(batch.sparkSession, "carried-batch") as aside:
+            run_batch(batch.select(*getattr(step, "columns", batch.columns)), batch_id, aside)
+
+    def run_batch(batch: DataFrame, batch_id: int, aside: str) -> None:
         spark = batch.sparkSession
         prior = _state(spark, schema, folder, batch_id - 1)
         keys = _keys(schema)
@@ -57,11 +63,11 @@ def batch_action(step: Step, schema: str, folder: str) -> Callable[[DataFrame, i
         if not again.isEmpty():
             only = lambda df, how: df.alias("a").join(again.alias("g"), same_keys("a", "g", keys), how)
             earlier = spark.read.schema(batch.schema).parquet(*[f"{folder}/history/{k}" for k in range(batch_id)])
-            rows = stage(rows.unionByName(only(earlier, "left_semi")), "carried-again")
-            carried = stage(only(prior, "left_anti"), "carried-prior")
+            rows = stage(rows.unionByName(only(earlier, "left_semi")), f"{aside}/again")
+            carried = stage(only(prior, "left_anti"), f"{aside}/prior")
         else:
             carried = prior
-        output, seen = step(rows, carried)
+        output, seen = step(rows, carried, aside)
         output.write.mode("overwrite").options(**COMPACT).parquet(f"{folder}/out/batch={batch_id}")
         kept = prior.alias("p").join(seen.alias("s"), same_keys("p", "s", keys), "left_anti")
         seen.select(*prior.columns).unionByName(kept).write.mode("overwrite").parquet(
@@ -97,10 +103,11 @@ def _state(spark: SparkSession, schema: str, folder: str, batch_id: int) -> Data
 
 def run(stream: DataFrame, folder: str, schema: str, step: Step) -> None:
     """Process what has arrived; call again with the same folder when more has."""
-    run_available(
-        stream.writeStream.foreachBatch(batch_action(step, schema, folder))
-        .option("checkpointLocation", f"{folder}/checkpoint")
-    )
+    with freed(stream.sparkSession):
+        run_available(
+            stream.writeStream.foreachBatch(batch_action(step, schema, folder))
+            .option("checkpointLocation", f"{folder}/checkpoint")
+        )
 
 
 def replay(stream: DataFrame, label: str, schema: str, step: Step) -> DataFrame:
@@ -113,12 +120,14 @@ def replay(stream: DataFrame, label: str, schema: str, step: Step) -> DataFrame:
 def streak_step() -> Step:
     """Failed lines with their streak label, continuing each vendor's open run."""
 
-    def step(lines: DataFrame, prior: DataFrame) -> tuple[DataFrame, DataFrame]:
-        columns = ["vendor_code", "actual_delivery_date", "shipment_number", "line_number", "is_otif"]
+    columns = ["vendor_code", "actual_delivery_date", "shipment_number", "line_number", "is_otif"]
+
+    def step(lines: DataFrame, prior: DataFrame, aside: str) -> tuple[DataFrame, DataFrame]:
         seq = ordered_columns(
             lines.select(*columns), ["vendor_code"], LINE_KEY,
             rank="place",
             lags={"back_1": ("is_otif", 1), "back_2": ("is_otif", 2), "back_3": ("is_otif", 3)},
+            aside=f"{aside}/",
         )
         carried = F.coalesce("open_run", F.lit(0))
 
@@ -139,7 +148,7 @@ def streak_step() -> Step:
                 (F.coalesce("seen", F.lit(0)) + F.col("place")).alias("delivery_rank"),
                 F.when(F.col("is_otif") == 0, run_length).otherwise(0).cast("long").alias("run"),
             ),
-            "streak-lines",
+            f"{aside}/streak-lines",
         )
         label = (
             F.when(F.col("run") >= 4, "4+ CONSECUTIVE FAILURES").when(F.col("run") == 3, "3 CONSECUTIVE FAILURES")
@@ -153,14 +162,14 @@ def streak_step() -> Step:
         return output, seen
 
     place = F.struct(*[F.col(f"a.{c}") for c, _ in LINE_KEY[:2]], F.col("a.line_number").cast("int").alias("line_number"))
-    step.late = place < F.col("p.newest")
+    step.late, step.columns = place < F.col("p.newest"), columns
     return step
 
 
 def throttle_step(cfg: SlaConfig = SlaConfig()) -> Step:
     """Alerts that fire: the batch cooldown over what the last fired alert leaves free."""
 
-    def step(alerts: DataFrame, prior: DataFrame) -> tuple[DataFrame, DataFrame]:
+    def step(alerts: DataFrame, prior: DataFrame, aside: str) -> tuple[DataFrame, DataFrame]:
         at = F.unix_micros(F.col("ts").cast("timestamp"))
         over = at >= F.col("fired_at") + period_micros(cfg, "a.alert_type")
         free = F.col("fired_at").isNull() | over
@@ -168,7 +177,7 @@ def throttle_step(cfg: SlaConfig = SlaConfig()) -> Step:
             alerts.alias("a").join(prior.alias("p"), same_keys("a", "p", KEY), "left")
             .where(free).select("a.*")
         )
-        fired = stage(cooldown.throttle(waiting, cfg), "fired")
+        fired = stage(cooldown.throttle(waiting, cfg), f"{aside}/fired")
         return fired, fired.groupBy(*KEY).agg(F.max(at).alias("fired_at"))
 
     # Up to a period behind the last alert that fired nothing can, whenever it comes; at or before it the chain may change.

@@ -1,6 +1,7 @@
 """What moves: wide rows once, small sides by their known size, nothing for what was found out before."""
 
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +10,8 @@ from dockside import registry
 from dockside.operators import backorders, otif
 from dockside.plans import model as plans_model, ordered, staging
 from dockside.plans.model import FulfilmentModel
-from dockside.sources import snapshots
+from dockside.sources import readers, snapshots
+from dockside.streaming import carried, kpis, runner
 from fixtures import sample_mart
 from tests.conftest import SMALL
 from tests.test_skew import settings
@@ -104,3 +106,52 @@ def test_late_corrections_join_lines_once(spark, monkeypatch):
     seen = spied(monkeypatch, registry)
     assert registry.QUERIES["t10_late_corrections"](spark, SMALL).columns
     assert [x for x in seen if x == "late-lines"]
+
+
+def test_the_newest_rows_meet_once_and_are_not_sorted(spark):
+    df = spark.createDataFrame([("a", 1, 0.5, 0), ("a", 1, None, 2), ("a", 2, 0.1, 1)], "k string, d int, share double, batch int")
+    newest = runner.latest(df, ["k", "d"])
+    assert sorted(map(tuple, newest.collect())) == [("a", 1, None, 2), ("a", 2, 0.1, 1)]
+    with settings(spark, PLAIN):
+        plan = runner.latest(df, ["k", "d"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Sort" not in plan and plan.index("HashAggregate") < plan.index("Exchange")
+    assert "partial_max" not in plan[plan.index("Exchange"):]
+
+
+def test_lines_of_a_batch_are_joined_by_shares_of_orders(spark, small_model, monkeypatch):
+    t, folder = small_model.tables, staging.fresh_path(spark, "shares")
+    size = sum(staging.input_bytes(getattr(t, n)) for n in kpis.BY_ORDER)
+    assert size > 1000 and kpis.by_orders(t) == [t]
+    monkeypatch.setattr(kpis, "SLICE_BYTES", size // 3 + 1)
+    assert len(kpis.by_orders(t)) == 3
+    joined, line_level = [], otif.line_level
+    monkeypatch.setattr(otif, "line_level", lambda t, *a: (joined.append(t), line_level(t, *a))[1])
+    act = kpis.line_level_action(lambda: t, folder)
+    for _ in range(2):  # a batch that runs again replaces what it wrote
+        act(t.delivery_lines, 0)
+    got, want = spark.read.parquet(f"{folder}/out").drop("batch"), line_level(t)
+    assert len(joined) > 5 and got.count() == want.count() and got.exceptAll(want).isEmpty()
+
+
+def test_a_batch_of_streaks_keeps_what_it_needs(spark, small_model):
+    """History has the columns of the step; segments and the like are gone with the batch, what waited two batches ago too."""
+    folder, under = staging.fresh_path(spark, "lean"), staging.staged_under(spark, "").rstrip("/")
+    step = carried.streak_step()
+    lines = small_model.line_level
+    before = set(os.listdir(under))
+    carried.batch_action(step, carried.STREAKS, folder)(lines, 0)
+    assert set(os.listdir(under)) - before == {os.path.basename(folder)}
+    assert spark.read.parquet(f"{folder}/history/0").columns == step.columns
+    t, folder = small_model.tables, staging.fresh_path(spark, "waited")
+    act = kpis.line_level_action(lambda: t.but(shipments=t.shipments.where("false")), folder)
+    for k in range(3):
+        act(t.delivery_lines.where(f"delivery_line_id % 3 = {k}"), k)
+    assert sorted(os.listdir(f"{folder}/waiting")) == ["1", "2"]
+    assert spark.read.parquet(f"{folder}/waiting/2").count() == t.delivery_lines.count()
+
+
+def test_flat_files_go_once_they_are_summed(spark, monkeypatch):
+    seen, write = [], readers.write_csv
+    monkeypatch.setattr(readers, "write_csv", lambda t, folder, *a: (seen.append(folder), write(t, folder, *a))[1])
+    assert registry.QUERIES["s04b_csv_checksums"](spark, SMALL).count() == len(registry.SUMMED)
+    assert len(seen) == len(readers.EXCHANGE) and not any(map(os.path.exists, seen))
